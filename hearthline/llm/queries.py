@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import mixing
+from hearthline.llm import decontaminate, langid, mixing, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +19,24 @@ def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in which a benchmark item occurs, with the item, its edits and its end in the plain text."""
+    found = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "edits", "end")
+
+
+def op9_wavelet_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.token_output(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.detect_languages(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pareto_mix,)}
+    return {f.__name__: f for f in (op2_pareto_mix, op8_pigeonhole_decontamination, op9_wavelet_token_ids, op10_language_mixture)}
 
 
 def oracle_sql() -> dict[str, str]:
