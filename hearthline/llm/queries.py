@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import decontaminate, langid, mixing, tokens
+from hearthline.llm import decontaminate, langid, minhash, mixing, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -36,7 +40,7 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pareto_mix, op8_pigeonhole_decontamination, op9_wavelet_token_ids, op10_language_mixture)}
+    return {f.__name__: f for f in (op1_bottom_k_near_dedup, op2_pareto_mix, op8_pigeonhole_decontamination, op9_wavelet_token_ids, op10_language_mixture)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -101,7 +101,7 @@ def shingle_hashes(hashes: np.ndarray, first: np.ndarray, width: int = 5) -> Ite
             x = np.sort(rolled[a : b - width + 1])
             yield x[np.concatenate(([True], x[1:] != x[:-1]))]
         elif b > a:
-            x = (hashes[a:b] * (_PLACE[: b - a] | U64(1))).sum(dtype=U64) + _PLACE[8 + b - a]
+            x = (hashes[a:b] * (_PLACE[: b - a] | U64(1))).sum(dtype=U64) ^ _PLACE[8 + b - a]
             yield mix(np.array([x])) >> U64(1)
         else:
             yield np.zeros(0, U64)
