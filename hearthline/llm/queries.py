@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import decontaminate, langid, minhash, mixing, tokens
+from hearthline.llm import ctw, decontaminate, langid, minhash, mixing, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op4_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in which a benchmark item occurs, with the item, its edits and its end in the plain text."""
     found = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -40,7 +44,7 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bottom_k_near_dedup, op2_pareto_mix, op8_pigeonhole_decontamination, op9_wavelet_token_ids, op10_language_mixture)}
+    return {f.__name__: f for f in (op1_bottom_k_near_dedup, op2_pareto_mix, op4_context_tree_score, op8_pigeonhole_decontamination, op9_wavelet_token_ids, op10_language_mixture)}
 
 
 def oracle_sql() -> dict[str, str]:
