@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import ctw, decontaminate, langid, minhash, mixing, tokens
+from hearthline.llm import ctw, decontaminate, langid, minhash, mixing, neighbours, secrets, sharding, tokens, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +23,34 @@ def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+#: host, path, whether it blocks
+URL_RULES = (("net", "/", True), ("example.net", "/en/", False), ("example.com", "/de/", True), ("org", "/fr/", False))
+
+
+def op3_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URLs that a rule fits are the labelled ones."""
+    return urls.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    n = [F.col("counts")[k].alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE)]
+    return found.select("doc_id", *n, "base_sha256", "spans")
+
+
+def op6_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op7_permutation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    return sharding.place(docs).select("doc_id", "source", "slot", "shard")
+
+
 def op8_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in which a benchmark item occurs, with the item, its edits and its end in the plain text."""
     found = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -44,7 +68,7 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bottom_k_near_dedup, op2_pareto_mix, op4_context_tree_score, op8_pigeonhole_decontamination, op9_wavelet_token_ids, op10_language_mixture)}
+    return {f.__name__: f for f in (op1_bottom_k_near_dedup, op2_pareto_mix, op3_url_regression, op4_context_tree_score, op5_trigram_secret_scan, op6_multiprobe_neighbours, op7_permutation_shards, op8_pigeonhole_decontamination, op9_wavelet_token_ids, op10_language_mixture)}
 
 
 def oracle_sql() -> dict[str, str]:
