@@ -187,6 +187,13 @@ SELECT source, feed, page, position, external_id FROM c WHERE NOT known AND (sto
     out["feed_failure_cutoff"] = f"""{with_views('feed_v')}, i AS (SELECT *, row_number() OVER w AS pos, sum(CASE WHEN is_item AND NOT failed THEN 1 ELSE 0 END) OVER w AS island FROM feed_v WINDOW w AS (PARTITION BY source ORDER BY feed, page, position, event_id ROWS UNBOUNDED PRECEDING)),
 r AS (SELECT *, sum(CASE WHEN failed THEN 1 ELSE 0 END) OVER (PARTITION BY source, island ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM i), c AS (SELECT *, min(CASE WHEN run >= 12 THEN pos END) OVER (PARTITION BY source) AS stop FROM r)
 SELECT source, feed, CAST(position AS INT) AS position, event_id, CAST(run AS BIGINT) AS run FROM c WHERE stop IS NULL OR pos <= stop"""
+    kind = "CASE page_id % 3 WHEN 0 THEN 'for-sale' WHEN 1 THEN 'for-rent' ELSE 'short-let' END"
+    out["external_ids"] = f"""WITH p AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'propertypro' WHEN 1 THEN 'privateproperty' WHEN 2 THEN 'nigeriapropertycentre' ELSE 'jiji' END AS source,
+ CASE page_id % 4 WHEN 0 THEN concat('https://a.test/property/', {kind}, '-flat-', page_id + 100000) WHEN 1 THEN concat('https://b.test/listings/', {kind}, '-', page_id + 100000, '?x=1')
+  WHEN 2 THEN concat('https://c.test/', {kind}, '/', page_id + 1000000, '-some-house') ELSE concat('https://d.test/houses-apartments-for-sale/x-', lpad(CAST(page_id + 100000 AS VARCHAR), 12, '0'), '.html') END AS url FROM pages)
+SELECT page_id, source, url, CASE page_id % 4 WHEN 0 THEN regexp_extract(url, '/property/[^?#]+-([A-Za-z0-9]{{4,10}})(?:[?#/]|$)', 1) WHEN 1 THEN regexp_extract(url, '/listings/[^?#]+-([A-Za-z0-9]{{4,10}})(?:[?#/]|$)', 1)
+  WHEN 2 THEN regexp_extract(url, '/(\\d{{5,}})(?:-[a-z0-9-]+)?(?:\\.html)?$', 1) ELSE regexp_extract(url, '-([A-Za-z0-9]{{10,}})\\.html?$', 1) END AS external_id,
+ CASE WHEN page_id % 4 = 3 THEN 'FOR_SALE' WHEN contains(url, 'for-sale') THEN 'FOR_SALE' WHEN contains(url, 'for-rent') THEN 'FOR_RENT' WHEN page_id % 4 <> 0 AND contains(url, 'short-let') THEN 'FOR_SHORT_LET' END AS raw_price_type FROM p"""
     out["page_frontier"] = f"""{with_views('feed_v')}, f AS (SELECT DISTINCT source AS s, feed AS fd FROM feed_v), b AS (SELECT ['propertypro', 'privateproperty', 'nigeriapropertycentre', 'jiji'][length(s) % 4 + 1] AS source, concat(s, '-', fd) AS feed, concat('https://feed.test/', s, '/', fd) AS base FROM f)
 SELECT source, feed, CAST(page AS INT) AS page, CASE WHEN page = 1 THEN base WHEN source IN ('propertypro', 'privateproperty') THEN concat(base, '&page=', page) ELSE concat(base, '?page=', page) END AS url FROM b, range(1, 6) p(page)"""
     return out

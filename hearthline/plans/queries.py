@@ -263,7 +263,7 @@ def page_frontier(s, d):
 def _site(s, d):
     """The pages' ids in the URL shapes of the four sources."""
     p = s.read.parquet(f"{d}/pages.parquet")
-    code = F.upper(F.conv(C("page_id") + 100000, 10, 36))
+    code = (C("page_id") + 100000).cast("string")
     kind = F.when(C("page_id") % 3 == 0, "for-sale").when(C("page_id") % 3 == 1, "for-rent").otherwise("short-let")
     source = F.element_at(F.array(*[F.lit(x) for x in web.EXTERNAL_IDS]), (C("page_id") % 4 + 1).cast("int"))
     url = (
