@@ -12,6 +12,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthline.functions.listing import match_text, noise_free
 from hearthline.params import DEFAULT, Params
@@ -42,7 +43,7 @@ def _literals(names: list[tuple]) -> Column:
     return F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in zip(fields, row, strict=True)]) for row in names])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratio of matching blocks, twice their length over both lengths; the order of arguments matters."""
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")

@@ -3,8 +3,19 @@
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "smallint": T.ShortType(), "double": T.DoubleType(), "boolean": T.BooleanType(),
+    "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType(), "decimal(8,2)": T.DecimalType(8, 2),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """``name type [not null], ...``; needs no session."""
+    fields = []
+    for item in text.split(", "):
+        name, kind, *rest = item.split(" ", 2)
+        fields.append(T.StructField(name, _TYPES[kind], nullable=not rest))
+    return T.StructType(fields)
 
 
 RAW_LISTING = _struct(
