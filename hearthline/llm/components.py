@@ -1,35 +1,78 @@
-"""Connected components of a link table by repeated contraction."""
+"""Connected components of a link table."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.llm.staging import stage, unstage
 
+#: Links that a task merges at a time.
+CHUNK = 200_000
+
+
+def _stars(batches):
+    """Merges the links at hand, chunk by chunk: each node and the smallest node that it reaches there."""
+
+    def flush(a: list, b: list) -> pa.RecordBatch:
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            top = x
+            while up[top] != top:
+                top = up[top]
+            while up[x] != top:
+                up[x], x = top, up[x]
+            return top
+
+        for x, y in zip(np.concatenate(a).tolist(), np.concatenate(b).tolist(), strict=True):
+            up.setdefault(x, x)
+            up.setdefault(y, y)
+            x, y = root(x), root(y)
+            up[max(x, y)] = min(x, y)
+        pairs = [(x, r) for x in up if (r := root(x)) != x]
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([r for _, r in pairs], pa.int64())], ["node", "root"])
+
+    a, b, held = [], [], 0
+    for batch in batches:
+        a.append(batch.column(0).to_numpy())
+        b.append(batch.column(1).to_numpy())
+        held += batch.num_rows
+        if held >= CHUNK:
+            yield flush(a, b)
+            a, b, held = [], [], 0
+    if held:
+        yield flush(a, b)
+
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) for each node that has a link to another; component is the smallest node that it reaches.
+    """(node, component) for each node that reaches a smaller one; component is the smallest that it reaches.
 
-    In each round every node moves to the neighbour of least random priority (or stays); links are moved along and
-    loops go. A round removes a constant share of the nodes still linked, whatever the shape, so rounds grow with the
-    logarithm of the links. Every round's tables are written, so lineage stays short and no state is on the driver.
+    A round merges links within chunks into stars around their smallest nodes, hangs each node below the smallest
+    center it got, flattens these trees by doubling, and goes on with the links between what is left. Rounds end when
+    no link is left; every table in between is written, and nothing but emptiness is asked from the driver.
     """
     e = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
-    edges = stage(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
-    # each node met so far, and the node that it has moved to
-    nodes = stage(edges.select("a").distinct().select(F.col("a").alias("node"), F.col("a").alias("at")), "cc-nodes")
-    round_ = 0
+    edges, nodes = stage(e.mapInArrow(_stars, "node long, root long").distinct(), "cc-edges"), None
     while edges.limit(1).count():
-        rank = lambda c: F.struct(F.xxhash64(c, F.lit(round_)).alias("r"), F.col(c).alias("n"))
-        move = stage(edges.groupBy("a").agg(F.least(F.min(rank("b")), F.first(rank("a")))["n"].alias("to")), "cc-moves")
-        moved = edges.join(move, "a").select("b", F.col("to").alias("a2"))
-        moved = moved.join(move.withColumnRenamed("a", "b"), "b").select(F.col("a2").alias("a"), F.col("to").alias("b"))
-        next_edges = stage(moved.where("a <> b").distinct(), "cc-edges")
-        next_nodes = stage(nodes.join(move, nodes["at"] == move["a"], "left").select("node", F.coalesce("to", "at").alias("at")), "cc-nodes")
-        unstage(edges, nodes, move)
-        edges, nodes, round_ = next_edges, next_nodes, round_ + 1
-    least = stage(nodes.groupBy("at").agg(F.min("node").alias("component")), "cc-least")
-    out = stage(nodes.join(least, "at").select("node", "component"), "cc-out")
-    unstage(edges, nodes, least)
-    return out
+        tree = stage(edges.groupBy("node").agg(F.min("root").alias("to")), "cc-tree")
+        while True:
+            above = tree.select(F.col("node").alias("top"), F.col("to").alias("over"))
+            flat = stage(tree.join(above, F.col("to") == F.col("top"), "left").select("node", F.coalesce("over", "to").alias("to"), F.col("over").isNotNull().alias("moved")), "cc-tree")
+            unstage(tree)
+            tree, more = flat, flat.where("moved").limit(1).count()
+            if not more:
+                break
+        tree_of = tree.select("node", "to")
+        left = edges.join(tree_of, "node").select("root", F.col("to").alias("a")).join(tree_of.toDF("root", "rt"), "root", "left").select("a", F.coalesce("rt", "root").alias("b")).where("a <> b")
+        following = stage(left.mapInArrow(_stars, "node long, root long").distinct(), "cc-edges")
+        if nodes is None:
+            nodes = tree
+        else:
+            moved = nodes.select("node", F.col("to").alias("at")).join(tree_of.toDF("at", "top"), "at", "left").select("node", F.coalesce("top", "at").alias("to"))
+            nodes = stage(moved.unionByName(tree_of), "cc-nodes")
+        unstage(edges)
+        edges = following
+    return nodes.select("node", F.col("to").alias("component")) if nodes is not None else links.sparkSession.createDataFrame([], "node long, component long")

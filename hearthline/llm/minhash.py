@@ -6,10 +6,11 @@
    retained values (or 85% of a set smaller than that; the chance to share fewer is below 1e-7 a pair), so they meet
    in one of the k - SHARED + 1 rarest values of each: only those are listed, and passages that many documents share,
    being frequent values, hardly are.
-3. Long lists come from large groups of near copies. They are met by pivots: a few documents of a list are paired with
-   all of it, and only members that are not yet in one component stay for the next round, with twice as many pivots;
-   short lists have all members for pivots. Rounds go on until every list is in one component or all its pairs were
-   met, so no link between components is lost and none of the rounds makes all pairs of a large group.
+3. Short lists are paired whole. Nodes of long lists are listed anew, by the rarest shingles of their whole sets (of
+   which a similar set shares 85%), so that only near copies still meet in long lists. These are met by pivots: a few
+   documents of a list are paired with all of it, and only members that are not yet in one component stay for the next
+   round, with twice as many pivots. Rounds go on until every list is in one component or all its pairs were met, so
+   no link between components is lost and none of the rounds makes all pairs of a large group.
 4. The similarity estimated from the sketch of the union drops pairs; exact sets confirm the rest.
 
 Edge cases: null or wordless text has an empty set, is its own component and is kept; rows that repeat an id are one
@@ -31,8 +32,9 @@ from hearthline.llm.textbytes import long_lists, mix, shingle_hashes, slices, ut
 WIDTH = 5
 SKETCH = 64
 SHARED = 38
-#: Lists up to this length are paired whole; of longer ones so many documents are pivots in the first round.
-PIVOTS = 16
+#: Lists up to this length are paired whole; of longer ones about PIVOTS documents are pivots in the first round.
+WHOLE = 16
+PIVOTS = 4
 
 
 def _sets(column: pa.Array, width: int):
@@ -79,72 +81,110 @@ def full_sets(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     return texts.mapInArrow(run, "node long, shingles array<long>")
 
 
-def _needed(n: Column, percent: int) -> Column:
-    """Retained values that a similar document must share with one of n shingles."""
-    return F.least(F.ceil(n * percent / 100).cast("int"), F.lit(SHARED))
+def _estimate(a: Column, b: Column, k: int = SKETCH) -> Column:
+    """Of the k smallest values of the union, the share that is in both sketches."""
+    union = F.slice(F.sort_array(F.array_union(a, b)), 1, k)
+    return F.size(F.array_intersect(F.array_intersect(a, b), union)) / F.size(union)
 
 
-def listed_values(nodes: DataFrame, percent: int) -> DataFrame:
-    """(value, node, n): each node in the inverted lists of its rarest retained values, lists of one left out."""
-    each = nodes.select("node", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
-    lists = stage(each.groupBy("value").count().where("count > 1"), "near-lists")
-    shared = each.join(lists, "value").groupBy("node", "n", "k").agg(F.sort_array(F.collect_list(F.struct("count", "value"))).alias("v"))
-    # values in no other sketch come first among the rarest
-    room = F.col("k") - _needed(F.col("n"), percent) + 1 - (F.col("k") - F.size("v"))
-    out = stage(shared.where(room > 0).select("node", "n", F.explode(F.slice("v", F.lit(1), room)).alias("v")).select(F.col("v.value").alias("value"), "node", "n"), "near-index")
-    unstage(lists)
-    return out
+def inverted_lists(nodes: DataFrame, values: str, needed: Column) -> DataFrame:
+    """(value, node, n, pos): each node in the lists of its rarest values, and how many rarer ones it has. Two nodes that
+    share at least ``needed`` of their values meet in one of the rarest size - needed + 1 of each; lists of one node are
+    left out."""
+    each = nodes.select("node", "n", F.size(values).alias("k"), needed.alias("needed"), F.explode(values).alias("value"))
+    lists = stage(each.groupBy("value").count().where("count > 1"), "near-counts")
+    shared = each.join(lists, "value").groupBy("node", "n", "k", "needed").agg(F.sort_array(F.collect_list(F.struct("count", "value"))).alias("v"))
+    # values that no other node has come first among the rarest
+    alone = F.col("k") - F.size("v")
+    room = F.col("k") - F.col("needed") + 1 - alone
+    out = shared.where(room > 0).select("node", "n", alone.alias("alone"), F.posexplode(F.slice("v", F.lit(1), room)).alias("i", "v"))
+    return stage(out.select(F.col("v.value").alias("value"), "node", "n", (F.col("alone") + F.col("i")).cast("long").alias("pos")), "near-index")
 
 
-def _estimate(a: Column, b: Column, k: int = SKETCH) -> Column:
-    """Of the k smallest values of the union, how many are in both sketches; and how many there are."""
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, k)
-    return F.size(F.array_intersect(F.array_intersect(a, b), union)) / F.size(union)
+def _hopeful(lists: DataFrame, percent: int) -> DataFrame:
+    """The entries of lists by whole sets that some entry of another component can still match. If two sets meet first
+    in a value, they share at most what each has from there on, n - pos, and need percent / (100 + percent) of both
+    sizes. What partners offer is summed up per list and size class, for the list's main component (that of the member
+    with fewest rare values) and for the others."""
+    main = F.min(F.struct("pos", F.xxhash64("node").alias("r"), "c"))["c"]
+    whose = stage(lists.groupBy("value").agg(main.alias("main"), F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2").select("value", "main"), "near-main")
+    lists = lists.join(whose, "value").withColumn("inside", F.col("c") == F.col("main")).drop("main")
+    offer = (100 + percent) * (F.col("n") - F.col("pos")) - percent * F.col("n")
+    by_class = lists.groupBy("value", "inside", F.floor(F.log(F.col("n")) / 0.03).alias("class")).agg(F.min("n").alias("least"), F.max(offer).alias("offer"))
+    classes = stage(by_class.groupBy("value").agg(F.collect_list(F.struct("least", "offer", "inside")).alias("classes")), "near-classes")
+    other = lambda x: ~F.col("inside") | ~x["inside"]
+    fits = F.exists("classes", lambda x: (x["offer"] >= percent * F.col("n")) & (offer >= percent * x["least"]) & other(x))
+    return stage(lists.join(classes, "value").where(fits).drop("classes", "inside"), "near-hopeful")
+
+
+def _alike(a: str, b: str, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    both = F.size(F.array_intersect("sa", "sb"))
+    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    return stage(met.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"), "near-links")
+
+
+def _sketch_filter(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
+    met = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
+    return met.where(_estimate(F.col("sa"), F.col("sb")) >= SHARED / SKETCH).select("a", "b")
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, percent: int, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
     """(a, b): links that make the same components as all pairs of nodes with similarity of at least ``percent``."""
-    spark = docs.sparkSession
-    lists, pivots, links, sets, label = listed_values(nodes, percent), PIVOTS, None, None, None
-    floor = SHARED / SKETCH
-    sketch = stage(nodes.join(lists.select("node").distinct(), "node", "left_semi").select("node", "sketch"), "near-sketches")
-    while lists.limit(1).count():
-        about = stage(lists.groupBy("value").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("node", F.lit(pivots)).alias("r"), "node"))["node"].alias("least")), "near-about")
+    share = F.ceil(F.col("n") * percent / 100).cast("int")
+    lists = inverted_lists(nodes, "sketch", F.least(share, F.lit(SHARED)))
+    sizes = stage(lists.groupBy("value").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-sizes")
+    tagged = stage(lists.join(sizes, "value"), "near-tagged")
+    unstage(lists, sizes)
+    short = tagged.where(F.col("size") <= WHOLE).select("value", "node", "n")
+    pairs = short.join(short.toDF("value", "b", "nb"), "value").where((F.col("node") < F.col("b")) & _alike("n", "nb", percent)).select(F.col("node").alias("a"), "b").distinct()
+    sketch = nodes.select("node", "sketch")
+    pairs = stage(_sketch_filter(pairs, sketch), "near-pairs")
+    long_ = stage(tagged.where(F.col("size") > WHOLE).select("node").distinct(), "near-long")
+    need = stage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(long_).distinct(), "near-need")
+    texts = keyed_join(docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")), need, "node", "left_semi")
+    sets = stage(full_sets(texts, width), "near-sets")
+    links = _confirmed(pairs, sets, percent)
+    unstage(tagged, pairs, need)
+    if long_.limit(1).count() == 0:
+        return links
+    # nodes of long lists: listed anew by the rarest shingles of their whole sets, which leaves near copies alone in long lists
+    whole = sets.join(long_, "node", "left_semi").select("node", F.size("shingles").cast("long").alias("n"), "shingles")
+    lists, pivots = inverted_lists(whole, "shingles", share).withColumn("c", F.col("node")), PIVOTS
+    while True:
+        lists = _hopeful(lists, percent)
+        # pivots: the member with fewest rare values, which stands nearest to the others, and some by lot
+        nearest = F.min(F.struct("pos", F.xxhash64("node").alias("r"), "node"))["node"]
+        about = lists.groupBy("value").agg(F.count(F.lit(1)).alias("size"), nearest.alias("nearest"), F.min("c").alias("c1"), F.max("c").alias("c2"))
+        about = stage(about.where("c1 < c2").select("value", "size", "nearest"), "near-about")
+        if about.limit(1).count() == 0:
+            return links
         draw = F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(1 << 30)) / float(1 << 30)
-        tagged = stage(lists.join(about.where("size > 1"), "value").withColumn("pivot", (F.col("size") <= pivots) | (F.col("node") == F.col("least")) | (draw < pivots / F.col("size"))), "near-tagged")
-        p = tagged.where("pivot").select("value", F.col("node").alias("p"), F.col("n").alias("pn"))
-        met = tagged.join(p, "value").where((F.col("node") != F.col("p")) & (~F.col("pivot") | (F.col("node") < F.col("p"))) & (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")))
-        if label is not None:
-            met = met.join(label.toDF("node", "c"), "node", "left").join(label.toDF("p", "pc"), "p", "left").where("coalesce(c, node) <> coalesce(pc, p)")
-        pairs = met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        pairs = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b").where(_estimate(F.col("sa"), F.col("sb")) >= floor).select("a", "b")
-        pairs = stage(pairs, "near-pairs")
-        need = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        if sets is not None:
-            need = need.join(sets.select("node"), "node", "left_anti")
-        need = stage(need, "near-need")
-        texts = keyed_join(docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")), need, "node", "left_semi")
-        made = stage(full_sets(texts, width), "near-sets") if need.limit(1).count() else None
-        sets = made if sets is None else sets if made is None else sets.unionByName(made)
-        if sets is None:
-            break
-        both = F.size(F.array_intersect("sa", "sb"))
-        found = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b")
-        found = stage(found, "near-links")
-        links = found if links is None else links.unionByName(found)
-        # what long lists still hold: members that were no pivots, where these are not all of one component
-        rest = tagged.where("size > {} and not pivot".format(pivots)).select("value", "node", "n")
-        unstage(about, pairs, need)
+        pivot = (F.col("size") <= WHOLE) | (F.col("node") == F.col("nearest")) | (draw < pivots / F.col("size"))
+        tagged = stage(lists.join(about, "value").withColumn("pivot", pivot), "near-tagged")
+        # each entry meets the array of its list's pivots, so rows are not multiplied before pairs are distinct
+        few = tagged.where("pivot").groupBy("value").agg(F.collect_list(F.struct("node", "n", "pos", "c")).alias("pivots"))
+        few = stage(few, "near-pivots")
+
+        def meets(p):
+            reach = (100 + percent) * F.least(F.col("n") - F.col("pos"), p["n"] - p["pos"]) >= percent * (F.col("n") + p["n"])
+            return (p["c"] != F.col("c")) & (~F.col("pivot") | (F.col("node") < p["node"])) & reach
+
+        met = tagged.join(few, "value").select("node", F.transform(F.filter("pivots", meets), lambda p: p["node"]).alias("p")).where(F.size("p") > 0)
+        met = met.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("p"))).alias("p")).select("node", F.explode("p").alias("p"))
+        met = met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+        pairs = stage(_sketch_filter(met, sketch), "near-pairs")
+        links = links.unionByName(_confirmed(pairs, sets, percent))
+        # what stays: members that were no pivots; what can match no more, or is of one component, goes in the next round
+        rest = tagged.where("not pivot").select("value", "node", "n", "pos")
         if rest.limit(1).count() == 0:
-            unstage(tagged)
-            break
+            return links
         label = connected_components(links)
-        rest = stage(rest.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")), "near-rest")
-        mixed = stage(rest.groupBy("value").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2").select("value"), "near-mixed")
-        following = stage(rest.join(mixed, "value", "left_semi").select("value", "node", "n"), "near-index")
-        unstage(tagged, rest, mixed, lists)
-        lists, pivots = following, 2 * pivots
-    return links if links is not None else spark.createDataFrame([], "a long, b long")
+        lists = rest.join(label, "node", "left").select("value", "node", "n", "pos", F.coalesce("component", "node").alias("c"))
+        pivots *= 2
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = WIDTH) -> DataFrame:
