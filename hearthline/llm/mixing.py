@@ -57,7 +57,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     targets = stage(source_targets(sized, weights, share, most), "mix-targets")
     if targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         targets = F.broadcast(targets)
-    u = (F.shiftrightunsigned(F.xxhash64(F.col("id"), F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("null")))), 1, 12)
+    u = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 48)
     expected = F.when(F.col("source_words") > 0, F.col("target") / F.col("source_words")).otherwise(0.0)
     d = (
         sized.join(targets, "source_key")
