@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import ctw, decontaminate, langid, minhash, mixing, neighbours, secrets, sharding, tokens, urls
+from hearthline.llm import ctw, decontaminate, langid, minhash, mixing, neighbours, oracles, secrets, sharding, tokens, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
