@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.functions.time import moment
@@ -28,42 +28,56 @@ def price_periods(changes: DataFrame) -> DataFrame:
     return changes.groupBy("listing_id").agg(F.sort_array(F.collect_list(F.struct("event_date", "id", "old_value", "new_value"))).alias("changes"))
 
 
-def listing_weeks(base: DataFrame, *, as_of) -> DataFrame:
-    """One row per listing and completed week in which it was on the market: the calendar is dealt out per listing, so
-    no join of weeks with listings is made."""
+def price_segments(base: DataFrame, *, as_of) -> DataFrame:
+    """base with its ``changes``: one row per listing and span of completed weeks (Mondays ``lo`` to ``hi``) in which it
+    was on the market at one price. Before each change that tells an old value that value held, after the last one the
+    present price."""
     last = F.date_sub(monday(moment(as_of)), 7)
     end = F.when(F.col("listing_status") == "ACTIVE", last).otherwise(F.least(last, monday(F.col("last_seen_at"))))
-    start = monday(F.col("first_seen_at"))
-    weeks = base.withColumn("_from", start).withColumn("_to", end).where("_from <= _to")  # a sequence would count down
-    return weeks.withColumn("week", F.explode(F.expr("sequence(_from, _to, interval 7 day)"))).drop("_from", "_to")
+    told = F.coalesce(F.filter("changes", lambda e: e["old_value"].isNotNull()), F.array().cast("array<struct<event_date:date,id:bigint,old_value:bigint,new_value:bigint>>"))
+    d = base.withColumn("_from", monday(F.col("first_seen_at"))).withColumn("_to", end).where("_from <= _to").withColumn("_told", told)
+    d = d.withColumn("_i", F.explode(F.sequence(F.lit(0), F.size("_told"))))
+    before, after = F.try_element_at("_told", F.when(F.col("_i") > 0, F.col("_i"))), F.try_element_at("_told", F.col("_i") + 1)
+    d = d.withColumn("lo", F.greatest("_from", monday(before["event_date"]))).withColumn("hi", F.least("_to", F.date_sub(monday(after["event_date"]), 7)))
+    return d.where("lo <= hi").withColumn("price", F.coalesce(after["old_value"], F.col("price_kobo"))).drop("_from", "_to", "_told", "_i", "changes")
 
 
 def weekly_snapshots(listings: DataFrame, history: DataFrame, *, as_of, computed_at=None, min_listings: int = DEFAULT.week_min_listings, id_includes_city: bool = False) -> DataFrame:
     """One row per place and completed week with at least ``min_listings`` active listings.
 
-    A listing's changes hang on its row as a short array before its weeks are dealt out, so the as-of price and the
-    reductions need no further join: the first change after the week with an old value tells the price in force, else
-    the present price. The id leaves the city out by default; of one name in several cities the first city stands.
+    A listing's changes hang on its row as a short array, from which its spans of one price are dealt out and then their
+    weeks, so no join of weeks with listings or changes is made. Percentiles come from ranks in the one sort by place,
+    week and price, which can spill. The id leaves the city out by default; of one name in several cities the first
+    city stands.
     """
     base = snapshot_base(listings).join(price_periods(price_changes(history)), "listing_id", "left")
-    w = listing_weeks(base, as_of=as_of)
+    cut = F.filter("changes", lambda e: e["new_value"] < e["old_value"])
+    base = base.withColumn("cuts", F.array_distinct(F.transform(cut, lambda e: monday(e["event_date"]))))
+    spans = price_segments(base, as_of=as_of)
+    first, seen = F.col("first_seen_at").cast("date"), F.when(F.col("listing_status") == "REMOVED", F.col("last_seen_at")).cast("date")
+    spans = spans.select("city", "neighbourhood", "price", "cuts", first.alias("first"), seen.alias("gone"), F.explode(F.expr("sequence(lo, hi, interval 7 day)")).alias("week"))
     sunday = F.date_add("week", 6)
-    later = F.filter("changes", lambda e: (e["event_date"] > sunday) & e["old_value"].isNotNull())
-    price = F.coalesce(F.try_element_at(later, F.lit(1))["old_value"], F.col("price_kobo"))
-    reduced = F.coalesce(F.exists("changes", lambda e: (e["event_date"] >= F.col("week")) & (e["event_date"] <= sunday) & (e["new_value"] < e["old_value"])), F.lit(False))
-    gone = (F.col("listing_status") == "REMOVED") & (F.col("last_seen_at") < F.date_add("week", 7).cast("timestamp_ntz"))
-    days = F.greatest(F.lit(0), F.date_diff(F.when(gone, F.col("last_seen_at").cast("date")).otherwise(sunday), F.col("first_seen_at").cast("date")))
-    rows = w.select("city", "neighbourhood", "week", price.alias("price"), reduced.alias("reduced"), days.alias("days"), (monday(F.col("first_seen_at")) == F.col("week")).alias("is_new"))
+    days = F.greatest(F.lit(0), F.date_diff(F.when(F.col("gone") <= sunday, F.col("gone")).otherwise(sunday), F.col("first")))
+    rows = spans.select("city", "neighbourhood", "week", "price", F.coalesce(F.array_contains("cuts", F.col("week")), F.lit(False)).alias("reduced"), days.alias("days"), (monday(F.col("first")) == F.col("week")).alias("is_new"))
+    group = Window.partitionBy("city", "neighbourhood", "week")
+    rows = rows.withColumn("rank", F.row_number().over(group.orderBy(F.col("price").asc_nulls_last()))).withColumn("prices", F.count("price").over(group))
+
+    def percentile(q: float):
+        at = q * (F.col("prices") - 1)
+        below = F.max(F.when(F.col("rank") == F.floor(at) + 1, F.col("price"))).cast("double")
+        above = F.max(F.when(F.col("rank") == F.ceil(at) + 1, F.col("price"))).cast("double")
+        return below + (above - below) * F.max(at - F.floor(at))
+
     out = rows.groupBy("city", "neighbourhood", "week").agg(
         F.count(F.lit(1)).alias("active_listing_count"), F.count_if("is_new").alias("new_listings_count"), F.count_if("reduced").alias("price_reduced_count"),
-        F.round(F.avg("days"), 1).alias("avg_days_on_market"), F.percentile("price", F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75, 0.9)])).alias("_p"),
+        F.round(F.avg("days"), 1).alias("avg_days_on_market"), percentile(0.25).alias("p25"), percentile(0.5).alias("median_price_kobo"), percentile(0.75).alias("p75"), percentile(0.9).alias("p90"),
     )
     out = out.where(F.col("active_listing_count") >= min_listings)
     name = F.concat("neighbourhood", F.date_format("week", "yyyy-MM-dd"))
     out = out.withColumn("id", F.md5(F.concat("city", name) if id_includes_city else name))
     out = out.select(
         "id", "city", "neighbourhood", F.col("week").alias("snapshot_week"), "avg_days_on_market", moment(computed_at or as_of).alias("computed_at"), "active_listing_count",
-        "new_listings_count", "price_reduced_count", F.col("_p")[1].alias("median_price_kobo"), F.col("_p")[0].alias("p25"), F.col("_p")[2].alias("p75"), F.col("_p")[3].alias("p90"),
+        "new_listings_count", "price_reduced_count", "median_price_kobo", "p25", "p75", "p90",
     )
     rest = [c for c in out.columns if c != "id"]
     return out.groupBy("id").agg(F.min_by(F.struct(*rest), "city").alias("_row")).select("id", "_row.*")
