@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes worked on at once; a longer single text is worked on alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -28,7 +28,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_LETTER = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))[LOWER]
+_BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
+_LETTER = _BYTE[LOWER]
 _BASE, _BASE_INVERSE = 0x5851F42D4C957F2D, pow(0x5851F42D4C957F2D, -1, 1 << 64)
 _powers = np.ones(1, U64), np.ones(1, U64)
 
@@ -78,10 +79,11 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(full & ends) + 1, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """64-bit hashes of the words; without ``fold``, A-Z are not a-z."""
     power, inverse = _power_tables(len(data) + 1)
     total = np.zeros(len(data) + 1, U64)
-    np.cumsum(_LETTER[data] * power[: len(data)], out=total[1:])
+    np.cumsum((_LETTER if fold else _BYTE)[data] * power[: len(data)], out=total[1:])
     return mix((total[ends] - total[starts]) * inverse[starts])
 
 

@@ -22,36 +22,108 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.llm.staging import new_folder, stage
-from hearthline.llm.textbytes import slices, utf8
+from hearthline.llm.textbytes import slices, utf8, word_hashes, words
 from hearthline.llm.wavelet import WaveletMatrix, encode
 
 SHARD_TOKENS = 2_000_000
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+#: Words whose ids a worker remembers, and as many older ones.
+CACHE_WORDS = 120_000
 
 
 class Encoder:
-    """Ids of texts under a tokenizer that never joins what white space parts: each distinct word is encoded once."""
+    """Ids of texts under a tokenizer that never joins what white space parts: each distinct word is encoded once while
+    a worker remembers it.
+
+    If the vocabulary marks the ends of words, words of letters alone are encoded in one go and told apart by the
+    marks, and a word of letters with points and commas behind it is its two parts; other words are encoded singly.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cache = Tokenizer.from_file(path), {}
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Per text, its ids as little-endian uint32."""
-        split = [t.split() for t in texts]
-        missing = list(set().union(*split).difference(self.cache))
-        if len(self.cache) + len(missing) > CACHE_WORDS:
-            self.cache = {}
-            missing = list(set().union(*split))
-        for i in range(0, len(missing), 10_000):
-            part = missing[i : i + 10_000]
+        self.tokenizer, self.cache, self.older = Tokenizer.from_file(path), {}, {}
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if mark:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(mark)]] = True
+
+    def _singly(self, batch: list[bytes]) -> None:
+        for i in range(0, len(batch), 10_000):
+            part = batch[i : i + 10_000]
             for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
                 self.cache[word] = np.array(e.ids, "<u4").tobytes()
-        known = self.cache.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+
+    def _together(self, batch: list[bytes]) -> None:
+        for i in range(0, len(batch), 10_000):
+            part = batch[i : i + 10_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([b"\n".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) != len(part) or (len(ends) and ends[-1] != 4 * len(ids)):
+                self._singly(part)
+                continue
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(part, ends.tolist(), strict=True):
+                self.cache[word] = raw[at:end]
+                at = end
+
+    def _learn(self, batch: set[bytes]) -> None:
+        new = []
+        for w in batch:
+            known = self.older.get(w)
+            if known is None:
+                new.append(w)
+            else:
+                self.cache[w] = known
+        if self.ends is None:
+            return self._singly(new)
+        letters, parts, odd = [], [], []
+        for w in new:
+            text = w.decode()
+            if text.isalpha():
+                letters.append(w)
+            elif (core := text.rstrip(".,")).isalpha():
+                core = core.encode()
+                parts.append((w, core, w[len(core) :]))
+            else:
+                odd.append(w)
+        self._singly(odd)
+        cores = {c for _, c, _ in parts}.difference(self.cache, letters)
+        tails = {t for _, _, t in parts}.difference(self.cache)
+        self._together(letters + list(cores))
+        self._singly(list(tails))
+        for w, core, tail in parts:
+            self.cache[w] = self.cache[core] + self.cache[tail]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Per text, its ids as little-endian uint32. Each distinct word of the texts at hand is looked up once, and
+        its ids are dealt out to all its places."""
+        starts, ends, first = words(data, offsets)
+        _, some, place = np.unique(word_hashes(data, starts, ends, fold=False), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        distinct = [raw[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)]
+        if len(self.cache) > CACHE_WORDS:
+            self.older, self.cache = self.cache, {}
+        self._learn(set(distinct).difference(self.cache))
+        parts = [self.cache[w] for w in distinct]
+        sizes = np.array([len(p) // 4 for p in parts], np.int64)
+        pool, n = np.frombuffer(b"".join(parts), "<u4"), sizes[place]
+        upto = np.concatenate(([0], np.cumsum(n)))
+        ids = pool[np.repeat((np.cumsum(sizes) - sizes)[place] - upto[:-1], n) + np.arange(upto[-1])]
+        cut = upto[first]
+        return [ids[a:b].tobytes() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
+
+#: One per tokenizer file and worker: later tasks find earlier tasks' words.
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -66,7 +138,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_c
         from pyspark import TaskContext
 
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
-        encoder, place = Encoder(tokenizer), 0
+        coder, place = encoder(tokenizer), 0
         fs, root = _filesystem(folder)
         ids: list = []
         lengths: list[int] = []
@@ -87,9 +159,8 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_c
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             doc_ids = batch.column(0).to_pylist()
-            for i, j in slices(offsets):
-                texts = [data[a:b].tobytes() for a, b in zip(offsets[i:j], offsets[i + 1 : j + 1], strict=True)]
-                for k, coded in enumerate(encoder.encode(texts), i):
+            for i, j in slices(offsets, 1 << 20):
+                for k, coded in enumerate(coder.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), i):
                     n = len(coded) // 4 + 1
                     if held and held + n > SHARD_TOKENS:
                         yield close()

@@ -120,10 +120,11 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All tokens: the planes are undone from the last to the first."""
-        value = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        value = np.zeros(self.n, kind)
         for plane in range(self.bits - 1, -1, -1):
             bit = np.concatenate([self._unpack(plane, b) for b in range(self.blocks)]).view(bool) if self.n else np.zeros(0, bool)
             above, zeros = np.empty_like(value), int(self.zeros[plane])
             above[~bit], above[bit] = value[:zeros], value[zeros:]
-            value = above | (bit.astype(np.uint32) << np.uint32(self.bits - 1 - plane))
-        return value
+            value = above | (bit.astype(kind) << kind(self.bits - 1 - plane))
+        return value.astype(np.uint32)
