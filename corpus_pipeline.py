@@ -10,18 +10,29 @@ from hearthline.llm import decontaminate, langid, minhash, mixing, tokens
 from hearthline.llm.staging import keyed_join, stage
 
 
+#: Rows that cross to Python at a time: texts are long, and workers keep what their largest batch needed.
+BATCH_ROWS = "2000"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents for which no language is found go."""
+    _small_batches(spark)
     return langid.keep_identified(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document with the smallest id stays."""
+    _small_batches(spark)
     return minhash.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    _small_batches(spark)
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -36,6 +47,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in wavelet matrix files; one row per document copy, read from the files."""
+    _small_batches(spark)
     return tokens.token_output(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
