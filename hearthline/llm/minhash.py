@@ -3,7 +3,7 @@
 1. A document's set is its distinct 5-word shingles; its sketch is the k smallest of their hashes. Documents with the
    same set are one node from here on, so copies are never paired with each other.
 2. The inverted lists of retained values generate overlaps. Two sets of similarity 0.85 share at least SHARED of k
-   retained values (or 85% of a set smaller than that; the chance to share fewer is below 1e-7 a pair), so they meet
+   retained values (or 85% of a set smaller than that; the chance to share fewer is of about 2e-07 a pair), so they meet
    in one of the k - SHARED + 1 rarest values of each: only those are listed, and passages that many documents share,
    being frequent values, hardly are.
 3. Short lists are paired whole. Nodes of long lists are listed anew, by the rarest shingles of their whole sets (of
