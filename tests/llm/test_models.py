@@ -131,6 +131,18 @@ def test_scores_match_brute_force(spark, hot):
         assert r.score == pytest.approx(model(text[r.doc_id] or ""), rel=1e-5)
 
 
+@pytest.mark.parametrize("broadcast", [0, 30, 10**6])
+def test_scores_keep_their_depth_at_all_sizes(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(ctw, "GROUP_STRINGS", 20)
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choice(["cat", "cattle", "café", "category", "at", "tat"]) for _ in range(rng.randint(0, 8)))) for i in range(40)] + [(77, None), (3, "Cat")]
+    training = [t or "" for i, t in docs if zlib.crc32(str(i).encode()) % 5 != 1]
+    out = ctw.score_documents(rows(spark, docs, "doc_id long, text string"), depth=5, max_strings=broadcast).collect()
+    model = brute_tree(training, 5)
+    assert len(training) < len(out) == len(docs)
+    assert sorted((r.doc_id, round(r.score, 3)) for r in out) == [(i, pytest.approx(x, abs=2e-3)) for i, x in sorted((i, round(model(t or ""), 3)) for i, t in docs)]
+
+
 def test_scores_of_bounded_and_empty_models(spark):
     docs = rows(spark, [(i, "abc abd " * 5) for i in range(8)], "doc_id long, text string")
     shallow = ctw.score_documents(docs, depth=4, max_strings=3).collect()
