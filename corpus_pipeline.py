@@ -25,7 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id stays."""
+    """Of each group of near duplicates (similarity of at least 0.8), the document with the smallest id stays."""
     _small_batches(spark)
     return minhash.drop_near_duplicates(docs)
 

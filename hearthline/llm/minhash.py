@@ -2,12 +2,12 @@
 
 1. A document's set is its distinct 5-word shingles; its sketch is the k smallest of their hashes. Documents with the
    same set are one node from here on, so copies are never paired with each other.
-2. The inverted lists of retained values generate overlaps. Two sets of similarity 0.85 share at least SHARED of k
-   retained values (or 85% of a set smaller than that; the chance to share fewer is of about 2e-07 a pair), so they meet
-   in one of the k - SHARED + 1 rarest values of each: only those are listed, and passages that many documents share,
-   being frequent values, hardly are.
+2. The inverted lists of retained values generate overlaps. Two sets of the asked similarity share at least ``shared``
+   of k retained values (or that part of a set smaller than that; ``sketch_plan`` sets both so that the chance to share
+   fewer is at most MISS a pair), so they meet in one of the k - shared + 1 rarest values of each: only those are listed,
+   and passages that many documents share, being frequent values, hardly are.
 3. Short lists are paired whole. Nodes of long lists are listed anew, by the rarest shingles of their whole sets (of
-   which a similar set shares 85%), so that only near copies still meet in long lists. These are met by pivots: a few
+   which a similar set shares the asked part), so that only near copies still meet in long lists. These are met by pivots: a few
    documents of a list are paired with all of it, and only members that are not yet in one component stay for the next
    round, with twice as many pivots. Rounds go on until every list is in one component or all its pairs were met, so
    no link between components is lost and none of the rounds makes all pairs of a large group.
@@ -20,6 +20,8 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,13 +32,34 @@ from hearthline.llm.staging import keyed_join, stage, unstage
 from hearthline.llm.textbytes import long_lists, mix, shingle_hashes, slices, utf8, word_hashes, words
 
 WIDTH = 5
+#: Similarity, in percent, from which near duplicates are dropped.
+PERCENT = 80
+#: Retained values, more where the similarity is so low that few would be shared.
 SKETCH = 64
-SHARED = 38
+#: Chance at most to miss a pair of just the asked similarity.
+MISS = 2e-7
 #: Lists up to this length are paired whole; of longer ones about PIVOTS documents are pivots in the first round.
 WHOLE = 16
 PIVOTS = 4
 
 
+def sketch_plan(percent: int) -> tuple[int, int]:
+    """Values to retain, and how many of them two sets of that similarity share but for a chance of MISS: each of the
+    k smallest values of their union is in both with that similarity as chance."""
+    p, k = percent / 100, SKETCH
+    if not 0 < p <= 1:
+        raise ValueError(f"percent must be 1 to 100: {percent}")
+    while (1 - p) ** k > MISS:
+        k *= 2
+    fewer, shared = 0.0, 0
+    while shared < k:
+        fewer += math.comb(k, shared) * p**shared * (1 - p) ** (k - shared)
+        if fewer > MISS:
+            break
+        shared += 1
+    return k, shared
+
+
 def _sets(column: pa.Array, width: int):
     data, offsets = utf8(column)
     for i, j in slices(offsets):
@@ -81,7 +104,7 @@ def full_sets(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     return texts.mapInArrow(run, "node long, shingles array<long>")
 
 
-def _estimate(a: Column, b: Column, k: int = SKETCH) -> Column:
+def _estimate(a: Column, b: Column, k: int) -> Column:
     """Of the k smallest values of the union, the share that is in both sketches."""
     union = F.slice(F.sort_array(F.array_union(a, b)), 1, k)
     return F.size(F.array_intersect(F.array_intersect(a, b), union)) / F.size(union)
@@ -127,22 +150,23 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stage(met.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"), "near-links")
 
 
-def _sketch_filter(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
+def _sketch_filter(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    k, shared = sketch_plan(percent)
     met = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
-    return met.where(_estimate(F.col("sa"), F.col("sb")) >= SHARED / SKETCH).select("a", "b")
+    return met.where(_estimate(F.col("sa"), F.col("sb"), k) >= shared / k).select("a", "b")
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, percent: int, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
     """(a, b): links that make the same components as all pairs of nodes with similarity of at least ``percent``."""
     share = F.ceil(F.col("n") * percent / 100).cast("int")
-    lists = inverted_lists(nodes, "sketch", F.least(share, F.lit(SHARED)))
+    lists = inverted_lists(nodes, "sketch", F.least(share, F.lit(sketch_plan(percent)[1])))
     sizes = stage(lists.groupBy("value").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-sizes")
     tagged = stage(lists.join(sizes, "value"), "near-tagged")
     unstage(lists, sizes)
     short = tagged.where(F.col("size") <= WHOLE).select("value", "node", "n")
     pairs = short.join(short.toDF("value", "b", "nb"), "value").where((F.col("node") < F.col("b")) & _alike("n", "nb", percent)).select(F.col("node").alias("a"), "b").distinct()
     sketch = nodes.select("node", "sketch")
-    pairs = stage(_sketch_filter(pairs, sketch), "near-pairs")
+    pairs = stage(_sketch_filter(pairs, sketch, percent), "near-pairs")
     long_ = stage(tagged.where(F.col("size") > WHOLE).select("node").distinct(), "near-long")
     need = stage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(long_).distinct(), "near-need")
     texts = keyed_join(docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")), need, "node", "left_semi")
@@ -176,7 +200,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, percent: int, id_col: str, tex
         met = tagged.join(few, "value").select("node", F.transform(F.filter("pivots", meets), lambda p: p["node"]).alias("p")).where(F.size("p") > 0)
         met = met.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("p"))).alias("p")).select("node", F.explode("p").alias("p"))
         met = met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        pairs = stage(_sketch_filter(met, sketch), "near-pairs")
+        pairs = stage(_sketch_filter(met, sketch, percent), "near-pairs")
         links = links.unionByName(_confirmed(pairs, sets, percent))
         # what stays: members that were no pivots; what can match no more, or is of one component, goes in the next round
         rest = tagged.where("not pivot").select("value", "node", "n", "pos")
@@ -189,7 +213,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, percent: int, id_col: str, tex
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = WIDTH) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept, set_id (the smallest id with the same set)."""
-    sk = stage(sketches(docs, id_col, text_col, width), "near-all")
+    sk = stage(sketches(docs, id_col, text_col, width, sketch_plan(percent)[0]), "near-all")
     real = sk.where("n > 0 and id is not null")
     one = stage(real.groupBy("n", "d1", "d2").agg(F.min(F.struct("id", "sketch")).alias("m")).select("n", "d1", "d2", F.col("m.id").alias("set_id"), F.col("m.sketch").alias("sketch")), "near-sets-once")
     # an id with several sets links them: each to the smallest id that has it
@@ -207,7 +231,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents, all columns as they are, less all but the smallest id of each component."""
     gone = stage(near_duplicates(docs, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("_gone")).distinct(), "near-gone")
     return keyed_join(docs, gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")

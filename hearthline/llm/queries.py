@@ -15,7 +15,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
