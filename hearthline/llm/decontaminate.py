@@ -2,22 +2,29 @@
 
 Texts are lower-cased and their white space is made single blanks. An item of n characters allows e = n * rate edits,
 so if it occurs in a document with at most e edits, one of its e + 1 pieces occurs unchanged: exact piece hits (one
-automaton over all items' pieces) give the places, and Myers' bit-parallel distance verifies each.
+automaton over all items' pieces) give the places, and Myers' bit-parallel distance verifies each. An item too short
+for an edit is one whole piece; it must not stand within a longer word (scripts that write words without blanks have
+no such borders).
 
-Edge cases: null or empty texts and items match nothing; items shorter than ``MIN_CHARS`` are left out, as they occur
-by chance; equal items are reported each; ids may repeat (one row per document row and item); an empty table of
+Edge cases: null or empty texts and items match nothing; equal items are reported each; ids may repeat (one row per document row and item); an empty table of
 either kind gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ERROR_RATE = 0.08
-MIN_CHARS = 40
+#: Items with fewer characters, which are the empty ones, match nothing.
+MIN_CHARS = 1
+#: Letters of scripts that set no blanks between words: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
+UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 #: Characters of items held by one automaton; more items are matched block by block.
 BLOCK_CHARS = 4_000_000
 
@@ -26,6 +33,15 @@ def plain(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
+def _in_word(c: str) -> bool:
+    return (c.isalnum() or c == "_" or unicodedata.category(c)[0] == "M") and not UNSPACED.match(c)
+
+
+def bordered(text: str, a: int, b: int) -> bool:
+    """Whether text[a:b] begins and ends where words do."""
+    return not (a > 0 and _in_word(text[a - 1]) and _in_word(text[a])) and not (b < len(text) and _in_word(text[b - 1]) and _in_word(text[b]))
+
+
 def pieces(item: str, errors: int) -> list[tuple[int, str]]:
     """The item cut into ``errors`` + 1 parts of nearly equal length, with their places."""
     cuts = [len(item) * k // (errors + 1) for k in range(errors + 2)]
@@ -89,6 +105,11 @@ class Matcher:
         out = []
         for k, starts in windows.items():
             item_id, item, errors, peq = self.items[k]
+            if not errors:  # one whole piece: its hits are exact
+                ends = [s + len(item) for s in starts if bordered(text, s, s + len(item))]
+                if ends:
+                    out.append((item_id, 0, min(ends)))
+                continue
             found, upto, run = None, -1, None
             merged = []
             for s in sorted(starts):  # places whose windows overlap are verified in one go
