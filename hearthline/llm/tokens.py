@@ -12,6 +12,7 @@ side by side, shorter texts first; an empty table makes no file and an empty res
 from __future__ import annotations
 
 import os
+import unicodedata
 import uuid
 import zlib
 
@@ -30,12 +31,18 @@ SHARD_TOKENS = 2_000_000
 CACHE_WORDS = 120_000
 
 
+def _letters(word: str) -> bool:
+    return word.isascii() and word.isalpha() or word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
+
+
 class Encoder:
     """Ids of texts under a tokenizer that never joins what white space parts: each distinct word is encoded once while
     a worker remembers it.
 
     If the vocabulary marks the ends of words, words of letters alone are encoded in one go and told apart by the
     marks, and a word of letters with points and commas behind it is its two parts; other words are encoded singly.
+    Letters are words that are still letters alone once composed and lower-cased, as the tokenizer does first: U+0130
+    becomes i and a mark, which would join the point behind it.
     """
 
     def __init__(self, path: str):
@@ -82,9 +89,9 @@ class Encoder:
         letters, parts, odd = [], [], []
         for w in new:
             text = w.decode()
-            if text.isalpha():
+            if _letters(text):
                 letters.append(w)
-            elif (core := text.rstrip(".,")).isalpha():
+            elif _letters(core := text.rstrip(".,")):
                 core = core.encode()
                 parts.append((w, core, w[len(core) :]))
             else:
