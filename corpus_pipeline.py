@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.llm import decontaminate, langid, minhash, mixing, tokens
-from hearthline.llm.staging import keyed_join, stage
+from hearthline.llm.staging import keyed_join, stage, with_row_key
 
 
 #: Rows that cross to Python at a time: texts are long, and workers keep what their largest batch needed.
@@ -38,10 +38,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    drawn = mixing.mix_sources(docs).where("copies <> 1").select(F.col("doc_id").alias("_drawn"), F.col("copies").alias("_copies"))
-    # an id that repeats was drawn once for each of its rows, alike for rows of one size
-    drawn = stage(drawn.groupBy("_drawn").agg(F.max("_copies").alias("_copies")), "mix-drawn")
-    out = keyed_join(docs, drawn, docs["doc_id"] == drawn["_drawn"], "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
+    rows, row = with_row_key(docs)
+    # keys of rows do not repeat, so those that are not here are taken once
+    drawn = stage(mixing.mix_sources(rows, row_col=row).where("copies <> 1").select(F.col(row).alias("_drawn"), F.col("copies").alias("_copies")), "mix-drawn")
+    out = keyed_join(rows, drawn, rows[row] == drawn["_drawn"], "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
     return out.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
 
 

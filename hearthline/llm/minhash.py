@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.llm.components import connected_components
-from hearthline.llm.staging import keyed_join, stage, unstage
+from hearthline.llm.staging import keyed_join, stage, unstage, with_row_key
 from hearthline.llm.textbytes import long_lists, mix, shingle_hashes, slices, utf8, word_hashes, words
 
 WIDTH = 5
@@ -232,6 +232,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The documents, all columns as they are, less all but the smallest id of each component."""
-    gone = stage(near_duplicates(docs, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("_gone")).distinct(), "near-gone")
-    return keyed_join(docs, gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    """The documents, all columns as they are, less all but one row of each component: that with the smallest id, null
+    last. Each row is a document of its own here, also where ids repeat or are null."""
+    rows, row = with_row_key(docs)
+    label = near_duplicates(rows, row, text_col, percent).select(F.col(row).alias("_gone"), "component_id")
+    label = stage(label.join(rows.select(F.col(row).alias("_gone"), F.col(id_col).cast("long").alias("_id")), "_gone"), "near-labels")
+    first = F.min(F.struct(F.col("_id").isNull().alias("last"), "_id", "_gone"))["_gone"]
+    groups = label.groupBy("component_id").agg(first.alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    gone = stage(label.join(groups, "component_id").where("_gone <> _first").select("_gone"), "near-gone")
+    return keyed_join(rows, gone, rows[row] == gone["_gone"], "left_anti").drop(row)

@@ -50,10 +50,12 @@ def source_targets(sizes: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5
     return s.select("source_key", "source_words", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 17) -> DataFrame:
-    """One row per document: id, size, source_size, target, copies, taken (= copies * size)."""
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 17, row_col: str | None = None) -> DataFrame:
+    """One row per document: id, size, source_size, target, copies, taken (= copies * size); and ``row_col``, a key of
+    rows that tells those apart that repeat an id or have none, where one is given."""
+    row = ["row"] if row_col else []
     key = F.struct(F.col(source_col).isNull().alias("last"), F.coalesce(source_col, F.lit("")).alias("name"))
-    sized = stage(docs.select(F.col(id_col).cast("long").alias("id"), word_count(F.col(text_col)).alias("size"), key.alias("source_key")), "mix-sizes")
+    sized = stage(docs.select(F.col(id_col).cast("long").alias("id"), word_count(F.col(text_col)).alias("size"), key.alias("source_key"), *[F.col(row_col).alias(r) for r in row]), "mix-sizes")
     targets = stage(source_targets(sized, weights, share, most), "mix-targets")
     if targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         targets = F.broadcast(targets)
@@ -78,7 +80,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = stage(cut, "mix-cuts")
     d = d.join(F.broadcast(cut) if cut.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else cut, "source_key", "left")
     edge = d.where("p > 0 and class = cut.class")
-    order = Window.partitionBy("source_key").orderBy("rank", "id", "size")
+    order = Window.partitionBy("source_key").orderBy("rank", "id", "size", *row)
     edge = (
         edge.withColumn("so_far", F.col("cut.before") + F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         # the last document goes in if that ends nearer to the target
@@ -87,6 +89,6 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = d.where("p = 0 or cut is null or class <> cut.class").withColumn(
         "extra", F.when(F.col("p") <= 0, 0).when(F.col("cut").isNull(), 1).otherwise((F.col("class") < F.col("cut.class")).cast("int")).cast("long")
     )
-    columns = ["id", "size", F.col("source_words").alias("source_size"), "target", (F.col("certain") + F.col("extra")).alias("copies")]
+    columns = ["id", "size", F.col("source_words").alias("source_size"), "target", (F.col("certain") + F.col("extra")).alias("copies"), *row]
     out = whole.select(*columns).unionByName(edge.select(*columns))
-    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *[F.col(r).alias(row_col) for r in row])

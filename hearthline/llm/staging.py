@@ -56,6 +56,12 @@ def keyed_join(left: DataFrame, keys: DataFrame, on, how: str, rows: int = BROAD
     return left.join(F.broadcast(keys) if is_small(keys, rows) else keys, on, how)
 
 
+def with_row_key(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written once with a key that tells its rows apart, whatever their ids, and the key's name."""
+    row = fresh(df, "_row")
+    return stage(df.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` has not."""
     taken = {c.lower() for c in df.columns}
