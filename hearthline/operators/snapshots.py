@@ -23,54 +23,64 @@ def monday(c: Column) -> Column:
     return F.date_trunc("week", c).cast("date")
 
 
-def price_periods(changes: DataFrame) -> DataFrame:
-    """Per listing, its changes as an array in order of date, then id: (event_date, id, old_value, new_value)."""
-    return changes.groupBy("listing_id").agg(F.sort_array(F.collect_list(F.struct("event_date", "id", "old_value", "new_value"))).alias("changes"))
-
-
-def price_segments(base: DataFrame, *, as_of) -> DataFrame:
-    """base with its ``changes``: one row per listing and span of completed weeks (Mondays ``lo`` to ``hi``) in which it
-    was on the market at one price. Before each change that tells an old value that value held, after the last one the
-    present price."""
+def price_weeks(changes: DataFrame) -> DataFrame:
+    """Per listing and week with a change that tells an old value: the first such value, and whether a price was cut."""
+    told = changes.where("old_value is not null and event_date is not null").withColumn("week", monday(F.col("event_date")))
+    first = F.min(F.struct("event_date", "id", "old_value", "new_value"))["old_value"]
+    return told.groupBy("listing_id", "week").agg(first.alias("old"), F.count_if(F.col("new_value") < F.col("old_value")).alias("cuts"))
+
+
+def price_periods(weeks: DataFrame) -> DataFrame:
+    """Per listing, the spans between its weeks of changes: start (null before the first), whether a price was cut in
+    the start's week, end (null after the last) and the price that the next change tells to have held."""
+    w = Window.partitionBy("listing_id").orderBy("week")
+    after = F.lead("week").over(w)
+    span = F.struct(F.col("week").alias("start"), (F.col("cuts") > 0).alias("cut"), F.date_sub(after, 7).alias("end"), F.lead("old").over(w).alias("told"))
+    before = F.struct(F.lit(None).cast("date").alias("start"), F.lit(False).alias("cut"), F.date_sub("week", 7).alias("end"), F.col("old").alias("told"))
+    spans = F.when(F.lag("week").over(w).isNull(), F.array(before, span)).otherwise(F.array(span))
+    return weeks.select("listing_id", spans.alias("spans")).select("listing_id", F.explode("spans").alias("_s")).select("listing_id", "_s.*")
+
+
+def price_segments(base: DataFrame, changes: DataFrame, *, as_of) -> DataFrame:
+    """One row per listing and span of completed weeks (Mondays ``lo`` to ``hi``) in which it was on the market at one
+    price, with ``cut_week`` where one was cut. Before each change that tells an old value that value held, after the
+    last one the present price."""
     last = F.date_sub(monday(moment(as_of)), 7)
     end = F.when(F.col("listing_status") == "ACTIVE", last).otherwise(F.least(last, monday(F.col("last_seen_at"))))
-    told = F.coalesce(F.filter("changes", lambda e: e["old_value"].isNotNull()), F.array().cast("array<struct<event_date:date,id:bigint,old_value:bigint,new_value:bigint>>"))
-    d = base.withColumn("_from", monday(F.col("first_seen_at"))).withColumn("_to", end).where("_from <= _to").withColumn("_told", told)
-    d = d.withColumn("_i", F.explode(F.sequence(F.lit(0), F.size("_told"))))
-    before, after = F.try_element_at("_told", F.when(F.col("_i") > 0, F.col("_i"))), F.try_element_at("_told", F.col("_i") + 1)
-    d = d.withColumn("lo", F.greatest("_from", monday(before["event_date"]))).withColumn("hi", F.least("_to", F.date_sub(monday(after["event_date"]), 7)))
-    return d.where("lo <= hi").withColumn("price", F.coalesce(after["old_value"], F.col("price_kobo"))).drop("_from", "_to", "_told", "_i", "changes")
+    d = base.withColumn("_from", monday(F.col("first_seen_at"))).withColumn("_to", end).where("_from <= _to")
+    d = d.join(price_periods(price_weeks(changes)), "listing_id", "left")
+    d = d.withColumn("lo", F.greatest("_from", "start")).withColumn("hi", F.least("_to", "end")).where("lo <= hi")
+    price = F.when(F.col("end").isNull(), F.col("price_kobo")).otherwise(F.col("told"))
+    return d.withColumn("price", price).withColumn("cut_week", F.when(F.col("cut"), F.col("start"))).drop("_from", "_to", "start", "end", "told", "cut")
 
 
 def weekly_snapshots(listings: DataFrame, history: DataFrame, *, as_of, computed_at=None, min_listings: int = DEFAULT.week_min_listings, id_includes_city: bool = False) -> DataFrame:
     """One row per place and completed week with at least ``min_listings`` active listings.
 
-    A listing's changes hang on its row as a short array, from which its spans of one price are dealt out and then their
-    weeks, so no join of weeks with listings or changes is made. Percentiles come from ranks in the one sort by place,
-    week and price, which can spill. The id leaves the city out by default; of one name in several cities the first
-    city stands.
+    Changes are summed up per listing and week, so a listing has no more spans than weeks however many changes it has;
+    no join of weeks with listings or changes is made. Percentiles come from running counts of the distinct prices of a
+    place and week. The id leaves the city out by default; of one name in several cities the first city stands.
     """
-    base = snapshot_base(listings).join(price_periods(price_changes(history)), "listing_id", "left")
-    cut = F.filter("changes", lambda e: e["new_value"] < e["old_value"])
-    base = base.withColumn("cuts", F.array_distinct(F.transform(cut, lambda e: monday(e["event_date"]))))
-    spans = price_segments(base, as_of=as_of)
+    spans = price_segments(snapshot_base(listings), price_changes(history), as_of=as_of)
     first, seen = F.col("first_seen_at").cast("date"), F.when(F.col("listing_status") == "REMOVED", F.col("last_seen_at")).cast("date")
-    spans = spans.select("city", "neighbourhood", "price", "cuts", first.alias("first"), seen.alias("gone"), F.explode(F.expr("sequence(lo, hi, interval 7 day)")).alias("week"))
+    spans = spans.select("city", "neighbourhood", "price", "cut_week", first.alias("first"), seen.alias("gone"), F.explode(F.expr("sequence(lo, hi, interval 7 day)")).alias("week"))
     sunday = F.date_add("week", 6)
     days = F.greatest(F.lit(0), F.date_diff(F.when(F.col("gone") <= sunday, F.col("gone")).otherwise(sunday), F.col("first")))
-    rows = spans.select("city", "neighbourhood", "week", "price", F.coalesce(F.array_contains("cuts", F.col("week")), F.lit(False)).alias("reduced"), days.alias("days"), (monday(F.col("first")) == F.col("week")).alias("is_new"))
+    rows = spans.select("city", "neighbourhood", "week", "price", (F.col("cut_week") == F.col("week")).alias("reduced"), days.alias("days"), (monday(F.col("first")) == F.col("week")).alias("is_new"))
+    rows = rows.groupBy("city", "neighbourhood", "week", "price").agg(F.count(F.lit(1)).alias("n"), F.count("price").alias("priced"), F.count_if("is_new").alias("new"), F.count_if("reduced").alias("cuts"), F.sum("days").alias("days"))
     group = Window.partitionBy("city", "neighbourhood", "week")
-    rows = rows.withColumn("rank", F.row_number().over(group.orderBy(F.col("price").asc_nulls_last()))).withColumn("prices", F.count("price").over(group))
+    upto = group.orderBy(F.col("price").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("upto", F.sum("priced").over(upto)).withColumn("prices", F.sum("priced").over(group))
 
     def percentile(q: float):
         at = q * (F.col("prices") - 1)
-        below = F.max(F.when(F.col("rank") == F.floor(at) + 1, F.col("price"))).cast("double")
-        above = F.max(F.when(F.col("rank") == F.ceil(at) + 1, F.col("price"))).cast("double")
+        nth = lambda n: F.max(F.when((F.col("upto") - F.col("priced") < n) & (n <= F.col("upto")), F.col("price"))).cast("double")
+        below, above = nth(F.floor(at) + 1), nth(F.ceil(at) + 1)
         return below + (above - below) * F.max(at - F.floor(at))
 
     out = rows.groupBy("city", "neighbourhood", "week").agg(
-        F.count(F.lit(1)).alias("active_listing_count"), F.count_if("is_new").alias("new_listings_count"), F.count_if("reduced").alias("price_reduced_count"),
-        F.round(F.avg("days"), 1).alias("avg_days_on_market"), percentile(0.25).alias("p25"), percentile(0.5).alias("median_price_kobo"), percentile(0.75).alias("p75"), percentile(0.9).alias("p90"),
+        F.sum("n").alias("active_listing_count"), F.sum("new").alias("new_listings_count"), F.sum("cuts").alias("price_reduced_count"),
+        F.round(F.sum("days") / F.sum("n"), 1).alias("avg_days_on_market"), percentile(0.25).alias("p25"), percentile(0.5).alias("median_price_kobo"), percentile(0.75).alias("p75"), percentile(0.9).alias("p90"),
     )
     out = out.where(F.col("active_listing_count") >= min_listings)
     name = F.concat("neighbourhood", F.date_format("week", "yyyy-MM-dd"))
