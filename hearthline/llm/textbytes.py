@@ -1,10 +1,11 @@
-"""Vectorised work on the UTF-8 bytes of Arrow string columns: words, 64-bit word hashes and word shingles.
+"""Vectorised work on the UTF-8 bytes of Arrow string columns: words, word hashes and word shingles.
 
 A word is a maximal run of bytes other than space and 0x09-0x0D; A-Z count as a-z. A null text is an empty one.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,24 +29,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
-_LETTER = _BYTE[LOWER]
-_BASE, _BASE_INVERSE = 0x5851F42D4C957F2D, pow(0x5851F42D4C957F2D, -1, 1 << 64)
-_powers = np.ones(1, U64), np.ones(1, U64)
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers
-    if len(_powers[0]) < n:
-        made = []
-        for base in (_BASE, _BASE_INVERSE):
-            x = np.full(max(n, SLICE_BYTES), base, U64)
-            x[0] = 1
-            made.append(np.multiply.accumulate(x))
-        _powers = made[0], made[1]
-    return _powers
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes and, for each row, where it starts; one more entry ends the last."""
     if isinstance(column, pa.ChunkedArray):
@@ -79,34 +62,154 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(full & ends) + 1, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
-    """64-bit hashes of the words; without ``fold``, A-Z are not a-z."""
-    power, inverse = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, U64)
-    np.cumsum((_LETTER if fold else _BYTE)[data] * power[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts])
+def _packed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The words as a binary array: all bytes that are no space, cut at the words' ends."""
+    offsets = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[~IS_SPACE[data]])])
+
+
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words of ``words`` (by their bytes, as binary) and the place of each word among them."""
+    coded = _packed(data, starts, ends).dictionary_encode()
+    return coded.dictionary.cast(pa.binary()), coded.indices.to_numpy()
+
+
+def _chunks(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
+    """Bytes 8k to 8k + 7 of words that have that many, as numbers; what lies behind a word's end is zero. ``data`` has
+    eight bytes to spare."""
+    wide = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
+    left = np.minimum(sizes - 8 * k, 8).astype(U64)
+    return wide[starts + 8 * k] & (~U64(0) >> (U64(64) - U64(8) * left))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the words, A-Z as a-z: eight bytes at a time are mixed into a seeded state, each time by a
+    bijection that is not linear, so that no words collide by construction under two seeds at once. Hashes of two
+    seeds are independent: together they are 128 bits."""
+    data = np.concatenate((LOWER[data], np.zeros(8, np.uint8)))
+    sizes = ends - starts
+    out = mix((sizes.astype(U64) + U64(seed + 1)) * U64(0x9E3779B97F4A7C15))
+    salt, at, k = mix(np.array([seed + 1], U64))[0], np.arange(len(starts)), 0
+    while len(at):
+        out[at] = mix((out[at] ^ _chunks(data, starts[at], sizes[at], k)) * U64(0xD6E8FEB86659FD93) + salt)
+        k += 1
+        at = at[sizes[at] > 8 * k]
+        if k >= 32:  # words of more than 256 bytes, which are few, one by one
+            for w in at.tolist():
+                digest = hashlib.blake2b(data[starts[w] : ends[w]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+                out[w] ^= U64(int.from_bytes(digest, "little"))
+            break
+    return out
+
+
+def _cuts(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+
+
+def texts(column: pa.Array) -> list[str]:
+    """The strings of a binary array without nulls, all decoded in one go."""
+    cuts, raw = _cuts(column), column.buffers()[2]
+    if not len(column) or raw is None:
+        return [""] * len(column)
+    text = raw.to_pybytes()[cuts[0] : cuts[-1]].decode()
+    if len(text) < cuts[-1] - cuts[0]:  # places in bytes are those of characters only if all are ASCII
+        lead = np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8)[cuts[0] : cuts[-1]] & 0xC0) != 0x80)))
+        cuts = lead[cuts - cuts[0]]
+    else:
+        cuts = cuts - cuts[0]
+    at = cuts.tolist()
+    return [text[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+
+class WordNumbers:
+    """Numbers distinct words in the order in which they come. Words are told apart by their bytes: those of at most 16
+    as two numbers and a length in a table with open places, longer ones in a dict."""
+
+    def __init__(self) -> None:
+        self.size, self.long = 0, {}
+        self.keys = np.zeros((3, 1 << 10), U64)
+        self.table = np.full(1 << 11, -1, np.int32)
+
+    def __len__(self) -> int:
+        return self.size
+
+    @staticmethod
+    def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        cuts, raw = _cuts(column).astype(np.int64), column.buffers()[2] if len(column) else None
+        data = np.concatenate((np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8), np.zeros(16, np.uint8)))
+        sizes = np.diff(cuts)
+        key = np.zeros((3, len(sizes)), U64)
+        some = sizes > 0
+        key[0, some] = _chunks(data, cuts[:-1][some], sizes[some], 0)
+        more = sizes > 8
+        key[1, more] = _chunks(data, cuts[:-1][more], sizes[more], 1)
+        key[2] = sizes
+        return key, np.flatnonzero(sizes > 16)
+
+    def _slots(self, key: np.ndarray) -> np.ndarray:
+        return (mix(key[0] ^ mix(key[1] + key[2])) & U64(len(self.table) - 1)).astype(np.int64)
+
+    def find(self, column: pa.Array) -> np.ndarray:
+        """Each word's number, or -1."""
+        key, long_ = self._keys(column)
+        out, open_, slot = np.full(len(column), -1, np.int64), np.arange(len(column)), self._slots(key)
+        while len(open_):
+            at = self.table[slot]
+            own = (at >= 0) & (self.keys[:, at] == key[:, open_]).all(0)
+            out[open_[own]] = at[own]
+            on = (at >= 0) & ~own
+            open_, slot = open_[on], (slot[on] + 1) & (len(self.table) - 1)
+        if len(long_):
+            out[long_] = [self.long.get(w, -1) for w in column.take(pa.array(long_)).to_pylist()]
+        return out
+
+    def add(self, column: pa.Array) -> np.ndarray:
+        """Numbers words that are distinct and new."""
+        key, long_ = self._keys(column)
+        number = self.size + np.arange(len(column))
+        self.size += len(column)
+        self.long.update(zip(column.take(pa.array(long_)).to_pylist(), number[long_].tolist(), strict=True))
+        while self.keys.shape[1] < self.size:
+            self.keys = np.concatenate((self.keys, np.zeros_like(self.keys)), axis=1)
+        self.keys[:, number] = key
+        self.keys[2, number[long_]] = 0  # found in the dict alone
+        if 2 * self.size > len(self.table):
+            self.table = np.full(1 << (4 * self.size).bit_length(), -1, np.int32)
+            self._place(np.arange(self.size))
+        else:
+            self._place(number)
+        return number
+
+    def _place(self, number: np.ndarray) -> None:
+        slot = self._slots(self.keys[:, number])
+        while len(number):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = number[free]
+            left = self.table[slot] != number
+            number, slot = number[left], (slot[left] + 1) & (len(self.table) - 1)
 
 
 _PLACE = mix(np.arange(101, 117, dtype=U64))
 
 
-def shingle_hashes(hashes: np.ndarray, first: np.ndarray, width: int = 5) -> Iterator[np.ndarray]:
-    """For each row, the sorted distinct 63-bit hashes of its ``width``-word shingles; with fewer words, of the whole
-    sequence as one; of a row without words, none."""
+def shingle_hashes(hashes: np.ndarray, first: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """63-bit hashes of the ``width``-word shingles of each row, and where each row's start (one more entry ends the
+    last); with fewer words, of the whole sequence as one; of a row without words, none."""
     n = len(hashes)
-    rolled = np.zeros(max(0, n - width + 1), U64)
-    for j in range(width):
-        rolled += hashes[j : j + len(rolled)] * (_PLACE[j] | U64(1))
-    rolled = mix(rolled) >> U64(1)
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        if b - a >= width:
-            x = np.sort(rolled[a : b - width + 1])
-            yield x[np.concatenate(([True], x[1:] != x[:-1]))]
-        elif b > a:
-            x = (hashes[a:b] * (_PLACE[: b - a] | U64(1))).sum(dtype=U64) ^ _PLACE[8 + b - a]
-            yield mix(np.array([x])) >> U64(1)
-        else:
-            yield np.zeros(0, U64)
+    rolled = np.zeros(n, U64)
+    for j in range(width):  # a shingle mixes in one word after the other
+        whole = max(0, n - j)
+        rolled[:whole] = mix((rolled[:whole] ^ hashes[j:]) * (_PLACE[j] | U64(1)))
+    size = np.diff(first)
+    for row in np.flatnonzero((size > 0) & (size < width)).tolist():
+        a, x = first[row], _PLACE[8 + size[row] : 9 + size[row]]
+        for h in hashes[a : a + size[row]].tolist():
+            x = mix((x ^ U64(h)) * (_PLACE[0] | U64(1)))
+        rolled[a] = x[0]
+    count = np.where(size < width, size > 0, size - width + 1)
+    at = np.concatenate(([0], np.cumsum(count)))
+    keep = np.repeat(first[:-1] - at[:-1], count) + np.arange(at[-1])
+    return rolled[keep] >> U64(1), at
 
 
 def long_lists(parts: list[np.ndarray]) -> pa.ListArray:

@@ -294,9 +294,9 @@ def test_documents_are_placed(spark, tmp_path):
 # --- tokens
 
 
-@pytest.mark.parametrize("size,top", [(0, 5), (1, 1), (1000, 3), (5000, 49_408), (300, 70_000)])
+@pytest.mark.parametrize("size,top", [(0, 5), (1, 1), (1000, 3), (5000, 49_408), (9000, 2), (300, 70_000)])
 def test_wavelet_matrix_round_trip(size, top, monkeypatch):
-    monkeypatch.setattr(wavelet, "BLOCK_BITS", 256)
+    monkeypatch.setattr(wavelet, "BLOCK_BITS", 4096)
     ids = np.random.default_rng(size).integers(0, top, size).astype(np.uint32)
     m = wavelet.WaveletMatrix(wavelet.encode(ids, [7, None], np.array([size, 0])))
     assert m.doc_ids == [7, None] and m.counts.tolist() == [size, 0] and (m.decode() == ids).all()
