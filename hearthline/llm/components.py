@@ -52,7 +52,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     A round merges links within chunks into stars around their smallest nodes, hangs each node below the smallest
     center it got, flattens these trees by doubling, and goes on with the links between what is left. Rounds end when
-    no link is left; every table in between is written, and nothing but emptiness is asked from the driver.
+    no link is left; every table in between is written, and nothing but emptiness is asked from the driver. The result
+    is a staged table.
     """
     e = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
     edges, nodes = stage(e.mapInArrow(_stars, "node long, root long").distinct(), "cc-edges"), None
@@ -72,7 +73,14 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
             nodes = tree
         else:
             moved = nodes.select("node", F.col("to").alias("at")).join(tree_of.toDF("at", "top"), "at", "left").select("node", F.coalesce("top", "at").alias("to"))
-            nodes = stage(moved.unionByName(tree_of), "cc-nodes")
+            merged = stage(moved.unionByName(tree_of), "cc-nodes")
+            unstage(nodes, tree)
+            nodes = merged
         unstage(edges)
         edges = following
-    return nodes.select("node", F.col("to").alias("component")) if nodes is not None else links.sparkSession.createDataFrame([], "node long, component long")
+    unstage(edges)
+    if nodes is None:
+        return links.sparkSession.createDataFrame([], "node long, component long")
+    out = nodes.select("node", F.col("to").alias("component"))
+    out._hearthline_path = nodes._hearthline_path  # for unstage
+    return out

@@ -6,12 +6,16 @@
    of k retained values (or that part of a set smaller than that; ``sketch_plan`` sets both so that the chance to share
    fewer is at most MISS a pair), so they meet in one of the k - shared + 1 rarest values of each: only those are listed,
    and passages that many documents share, being frequent values, hardly are.
-3. Short lists are paired whole. Nodes of long lists are listed anew, by the rarest shingles of their whole sets (of
-   which a similar set shares the asked part), so that only near copies still meet in long lists. These are met by pivots: a few
-   documents of a list are paired with all of it, and only members that are not yet in one component stay for the next
-   round, with twice as many pivots. Rounds go on until every list is in one component or all its pairs were met, so
-   no link between components is lost and none of the rounds makes all pairs of a large group.
-4. The similarity estimated from the sketch of the union drops pairs; exact sets confirm the rest.
+3. In short lists, all members are first paired with one of them, the same in most lists of a group of copies; what is
+   then in lists of several components is paired across these. Nodes of long lists are listed anew, by the rarest
+   shingles of their whole sets (of which a similar set shares the asked part), so that only near copies still meet in
+   long lists. These are met by pivots: a few documents of a list are paired with all of it, and only members that are
+   not yet in one component stay for the next round, with twice as many pivots. Rounds go on until every list is in one
+   component or all its pairs were met, so no link between components is lost and none of the rounds makes all pairs of
+   a large group.
+4. The similarity estimated from the sketch of the union drops pairs; exact sets confirm the rest. A set is known by two
+   independent hashes of each shingle: sets count as equal if both digests are, and a link must hold under both, so
+   that only shingles that collide under both at once could mislead it.
 
 Edge cases: null or wordless text has an empty set, is its own component and is kept; rows that repeat an id are one
 document (their texts' sets are linked); rows with a null id stand alone, with a null component, and are kept; an
@@ -28,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.llm.components import connected_components
-from hearthline.llm.staging import keyed_join, stage, unstage, with_row_key
+from hearthline.llm.staging import is_small, keyed_join, stage, unstage, with_row_key
 from hearthline.llm.textbytes import long_lists, mix, shingle_hashes, slices, utf8, word_hashes, words
 
 WIDTH = 5
@@ -38,6 +42,8 @@ PERCENT = 80
 SKETCH = 64
 #: Chance at most to miss a pair of just the asked similarity.
 MISS = 2e-7
+#: Of the two hashes of a shingle.
+SEEDS = (1, 2)
 #: Lists up to this length are paired whole; of longer ones about PIVOTS documents are pivots in the first round.
 WHOLE = 16
 PIVOTS = 4
@@ -60,48 +66,64 @@ def sketch_plan(percent: int) -> tuple[int, int]:
     return k, shared
 
 
+def _distinct(hashes: np.ndarray, at: np.ndarray):
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        x = np.sort(hashes[a:b])
+        yield x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
 def _sets(column: pa.Array, width: int):
+    """For each text the sorted distinct hashes of its shingles, under two seeds."""
     data, offsets = utf8(column)
     for i, j in slices(offsets):
         part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, first = words(part, own)
-        yield from shingle_hashes(word_hashes(part, starts, ends), first, width)
+        yield from zip(*(_distinct(*shingle_hashes(word_hashes(part, starts, ends, seed), first, width)) for seed in SEEDS), strict=True)
+
+
+def _digests(x: np.ndarray, y: np.ndarray) -> list[int]:
+    return [int(mix(z).sum(dtype=np.uint64).view(np.int64)) for z in (x, y)]
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH, k: int = SKETCH) -> DataFrame:
-    """id, n_shingles, digest of the whole set (two longs), sketch."""
+    """id, n_shingles, two digests of the whole set (two longs), sketch."""
 
     def run(batches):
         for batch in batches:
             n, low, high, kept = [], [], [], []
-            for s in _sets(batch.column(1), width):
-                n.append(len(s))
-                low.append(mix(s).sum(dtype=np.uint64))
-                high.append(mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64))
-                kept.append(s[:k])
-            as_long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), as_long(low), as_long(high), long_lists(kept)], ["id", "n", "d1", "d2", "sketch"])
+            for x, y in _sets(batch.column(1), width):
+                n.append(max(len(x), len(y)))
+                d1, d2 = _digests(x, y)
+                low.append(d1)
+                high.append(d2)
+                kept.append(x[:k])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), long_lists(kept)], ["id", "n", "d1", "d2", "sketch"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, n long, d1 long, d2 long, sketch array<long>")
 
 
 def full_sets(texts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """From (node, text): node and its whole set."""
+    """From (node, text, d1, d2): node and its whole set, under both hashes; texts of other digests are left out."""
+    names = ["node", "shingles", "again"]
 
     def run(batches):
         for batch in batches:
-            nodes, made, size = [], [], 0
-            for node, s in zip(batch.column(0).to_pylist(), _sets(batch.column(1), width), strict=True):
+            nodes, made, again, size = [], [], [], 0
+            known = zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True)
+            for (node, *digests), (x, y) in zip(known, _sets(batch.column(1), width), strict=True):
+                if digests != _digests(x, y):
+                    continue
                 nodes.append(node)
-                made.append(s)
-                size += len(s)
-                if size > 1 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), long_lists(made)], ["node", "shingles"])
-                    nodes, made, size = [], [], 0
+                made.append(x)
+                again.append(y)
+                size += len(x)
+                if size > 1 << 19:
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), long_lists(made), long_lists(again)], names)
+                    nodes, made, again, size = [], [], [], 0
             if nodes:
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), long_lists(made)], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), long_lists(made), long_lists(again)], names)
 
-    return texts.mapInArrow(run, "node long, shingles array<long>")
+    return texts.mapInArrow(run, "node long, shingles array<long>, again array<long>")
 
 
 def _estimate(a: Column, b: Column, k: int) -> Column:
@@ -114,14 +136,17 @@ def inverted_lists(nodes: DataFrame, values: str, needed: Column) -> DataFrame:
     """(value, node, n, pos): each node in the lists of its rarest values, and how many rarer ones it has. Two nodes that
     share at least ``needed`` of their values meet in one of the rarest size - needed + 1 of each; lists of one node are
     left out."""
-    each = nodes.select("node", "n", F.size(values).alias("k"), needed.alias("needed"), F.explode(values).alias("value"))
+    each = nodes.select("node", F.explode(values).alias("value"))
     lists = stage(each.groupBy("value").count().where("count > 1"), "near-counts")
-    shared = each.join(lists, "value").groupBy("node", "n", "k", "needed").agg(F.sort_array(F.collect_list(F.struct("count", "value"))).alias("v"))
+    shared = each.join(lists, "value").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("count", "value"))).alias("v"))
+    shared = shared.join(nodes.select("node", "n", F.size(values).alias("k"), needed.alias("needed")), "node")
     # values that no other node has come first among the rarest
     alone = F.col("k") - F.size("v")
     room = F.col("k") - F.col("needed") + 1 - alone
     out = shared.where(room > 0).select("node", "n", alone.alias("alone"), F.posexplode(F.slice("v", F.lit(1), room)).alias("i", "v"))
-    return stage(out.select(F.col("v.value").alias("value"), "node", "n", (F.col("alone") + F.col("i")).cast("long").alias("pos")), "near-index")
+    out = stage(out.select(F.col("v.value").alias("value"), "node", "n", (F.col("alone") + F.col("i")).cast("long").alias("pos")), "near-index")
+    unstage(lists)
+    return out
 
 
 def _hopeful(lists: DataFrame, percent: int) -> DataFrame:
@@ -137,23 +162,77 @@ def _hopeful(lists: DataFrame, percent: int) -> DataFrame:
     classes = stage(by_class.groupBy("value").agg(F.collect_list(F.struct("least", "offer", "inside")).alias("classes")), "near-classes")
     other = lambda x: ~F.col("inside") | ~x["inside"]
     fits = F.exists("classes", lambda x: (x["offer"] >= percent * F.col("n")) & (offer >= percent * x["least"]) & other(x))
-    return stage(lists.join(classes, "value").where(fits).drop("classes", "inside"), "near-hopeful")
+    out = stage(lists.join(classes, "value").where(fits).drop("classes", "inside"), "near-hopeful")
+    unstage(whose, classes)
+    return out
 
 
 def _alike(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _of_both(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """The staged pairs with the columns of ``table`` (node, ...) for ``a`` and for ``b``. While the pairs are few, only
+    the rows that they name are moved."""
+    columns = [c for c in table.columns if c != "node"]
+    a, b = (table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "ab")
+    if is_small(pairs):
+        return a.join(F.broadcast(pairs), "a").join(b.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi"), "b")
+    return pairs.join(a, "a").join(b, "b")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    both = F.size(F.array_intersect("sa", "sb"))
-    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    return stage(met.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"), "near-links")
+    def holds(c):
+        both = F.size(F.array_intersect(f"{c}_a", f"{c}_b"))
+        return 100 * both >= percent * (F.size(f"{c}_a") + F.size(f"{c}_b") - both)
+
+    return stage(_of_both(pairs, sets).where(holds("shingles") & holds("again")).select("a", "b"), "near-links")
 
 
-def _sketch_filter(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+def _filtered(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the sketch of the union lets pass, staged."""
     k, shared = sketch_plan(percent)
-    met = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
-    return met.where(_estimate(F.col("sa"), F.col("sb"), k) >= shared / k).select("a", "b")
+    pairs = stage(pairs, "near-candidates")
+    out = stage(_of_both(pairs, sketch).where(_estimate(F.col("sketch_a"), F.col("sketch_b"), k) >= shared / k).select("a", "b"), "near-pairs")
+    unstage(pairs)
+    return out
+
+
+def _sets_of(need: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """The whole sets of the needed nodes, staged."""
+    need = stage(nodes.join(need, "node", "left_semi").select("node", "id", "d1", "d2"), "near-need")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    sets = full_sets(keyed_join(texts, need, "id", "inner").select("node", "text", "d1", "d2"), width)
+    # rows that repeat an id may repeat its text
+    out = stage(sets.dropDuplicates(["node"]) if nodes._repeats else sets, "near-sets")
+    unstage(need)
+    return out
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+def _short_links(short: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str, width: int) -> DataFrame:
+    """Links from the staged short lists (value, node, n): of all members with one, then across components."""
+    sketch = nodes.select("node", "sketch")
+    lot = F.struct(F.xxhash64("node").alias("r"), "node", "n")
+    stars = short.join(short.groupBy("value").agg(F.min(lot).alias("c")), "value").where((F.col("node") != F.col("c.node")) & _alike("n", "c.n", percent))
+    pairs = _filtered(stars.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct(), sketch, percent)
+    sets = _sets_of(_ends(pairs), nodes, docs, id_col, text_col, width)
+    first = _confirmed(pairs, sets, percent)
+    unstage(pairs, sets)
+    label = connected_components(first)
+    at = short.join(label, "node", "left").select("value", "node", "n", F.coalesce("component", "node").alias("c"))
+    apart = at.groupBy("value").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min(lot)["node"].alias("center")).where("c1 < c2").select("value", "center")
+    at = stage(at.join(apart, "value").where("node <> center").select("value", "node", "n", "c"), "near-apart")
+    across = at.join(at.toDF("value", "b", "nb", "cb"), "value").where((F.col("node") < F.col("b")) & (F.col("c") != F.col("cb")) & _alike("n", "nb", percent))
+    pairs = _filtered(across.select(F.col("node").alias("a"), "b").distinct(), sketch, percent)
+    sets = _sets_of(_ends(pairs), nodes, docs, id_col, text_col, width)
+    second = _confirmed(pairs, sets, percent)
+    links = stage(first.unionByName(second), "near-links")
+    unstage(label, at, pairs, sets, first, second)
+    return links
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, percent: int, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
@@ -163,33 +242,35 @@ def near_links(docs: DataFrame, nodes: DataFrame, percent: int, id_col: str, tex
     sizes = stage(lists.groupBy("value").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-sizes")
     tagged = stage(lists.join(sizes, "value"), "near-tagged")
     unstage(lists, sizes)
-    short = tagged.where(F.col("size") <= WHOLE).select("value", "node", "n")
-    pairs = short.join(short.toDF("value", "b", "nb"), "value").where((F.col("node") < F.col("b")) & _alike("n", "nb", percent)).select(F.col("node").alias("a"), "b").distinct()
     sketch = nodes.select("node", "sketch")
-    pairs = stage(_sketch_filter(pairs, sketch, percent), "near-pairs")
+    links = _short_links(tagged.where(F.col("size") <= WHOLE).select("value", "node", "n"), nodes, docs, percent, id_col, text_col, width)
     long_ = stage(tagged.where(F.col("size") > WHOLE).select("node").distinct(), "near-long")
-    need = stage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(long_).distinct(), "near-need")
-    texts = keyed_join(docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")), need, "node", "left_semi")
-    sets = stage(full_sets(texts, width), "near-sets")
-    links = _confirmed(pairs, sets, percent)
-    unstage(tagged, pairs, need)
+    unstage(tagged)
     if long_.limit(1).count() == 0:
         return links
     # nodes of long lists: listed anew by the rarest shingles of their whole sets, which leaves near copies alone in long lists
-    whole = sets.join(long_, "node", "left_semi").select("node", F.size("shingles").cast("long").alias("n"), "shingles")
-    lists, pivots = inverted_lists(whole, "shingles", share).withColumn("c", F.col("node")), PIVOTS
+    sets = _sets_of(long_, nodes, docs, id_col, text_col, width)
+    unstage(long_)
+    whole = sets.select("node", F.size("shingles").cast("long").alias("n"), "shingles")
+    lists, pivots, label = inverted_lists(whole, "shingles", share), PIVOTS, connected_components(links)
+    old = [lists]
     while True:
-        lists = _hopeful(lists, percent)
+        joined = lists.join(label, "node", "left").select("value", "node", "n", "pos", F.coalesce("component", "node").alias("c"))
+        lists = _hopeful(joined, percent)
+        unstage(label, *old)
         # pivots: the member with fewest rare values, which stands nearest to the others, and some by lot
         nearest = F.min(F.struct("pos", F.xxhash64("node").alias("r"), "node"))["node"]
         about = lists.groupBy("value").agg(F.count(F.lit(1)).alias("size"), nearest.alias("nearest"), F.min("c").alias("c1"), F.max("c").alias("c2"))
         about = stage(about.where("c1 < c2").select("value", "size", "nearest"), "near-about")
         if about.limit(1).count() == 0:
+            unstage(lists, about, sets)
             return links
         draw = F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(1 << 30)) / float(1 << 30)
         pivot = (F.col("size") <= WHOLE) | (F.col("node") == F.col("nearest")) | (draw < pivots / F.col("size"))
         tagged = stage(lists.join(about, "value").withColumn("pivot", pivot), "near-tagged")
-        # each entry meets the array of its list's pivots, so rows are not multiplied before pairs are distinct
+        unstage(lists, about)
+        # each entry meets the array of its list's pivots, of which there are about WHOLE or ``pivots``, so rows are not
+        # multiplied before pairs are distinct
         few = tagged.where("pivot").groupBy("value").agg(F.collect_list(F.struct("node", "n", "pos", "c")).alias("pivots"))
         few = stage(few, "near-pivots")
 
@@ -200,14 +281,16 @@ def near_links(docs: DataFrame, nodes: DataFrame, percent: int, id_col: str, tex
         met = tagged.join(few, "value").select("node", F.transform(F.filter("pivots", meets), lambda p: p["node"]).alias("p")).where(F.size("p") > 0)
         met = met.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("p"))).alias("p")).select("node", F.explode("p").alias("p"))
         met = met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        pairs = stage(_sketch_filter(met, sketch, percent), "near-pairs")
-        links = links.unionByName(_confirmed(pairs, sets, percent))
+        pairs = _filtered(met, sketch, percent)
+        more = _confirmed(pairs, sets, percent)
+        before, links = links, stage(links.unionByName(more), "near-links")
+        unstage(few, pairs, more, before)
         # what stays: members that were no pivots; what can match no more, or is of one component, goes in the next round
-        rest = tagged.where("not pivot").select("value", "node", "n", "pos")
-        if rest.limit(1).count() == 0:
+        lists = tagged.where("not pivot").select("value", "node", "n", "pos")
+        if lists.limit(1).count() == 0:
+            unstage(tagged, sets)
             return links
-        label = connected_components(links)
-        lists = rest.join(label, "node", "left").select("value", "node", "n", "pos", F.coalesce("component", "node").alias("c"))
+        label, old = connected_components(links), [tagged]
         pivots *= 2
 
 
@@ -215,14 +298,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: id, n_shingles, component_id, kept, set_id (the smallest id with the same set)."""
     sk = stage(sketches(docs, id_col, text_col, width, sketch_plan(percent)[0]), "near-all")
     real = sk.where("n > 0 and id is not null")
-    one = stage(real.groupBy("n", "d1", "d2").agg(F.min(F.struct("id", "sketch")).alias("m")).select("n", "d1", "d2", F.col("m.id").alias("set_id"), F.col("m.sketch").alias("sketch")), "near-sets-once")
-    # an id with several sets links them: each to the smallest id that has it
-    twice = real.groupBy("id").agg(F.min(F.struct("d1", "d2")).alias("x"), F.max(F.struct("d1", "d2")).alias("y")).where("x <> y").select("id")
-    same = real.join(twice, "id", "left_semi").join(one.select("n", "d1", "d2", "set_id"), ["n", "d1", "d2"]).select(F.col("id").alias("a"), F.col("set_id").alias("b"))
-    links = near_links(docs, one.select(F.col("set_id").alias("node"), "n", "sketch"), percent, id_col, text_col, width).unionByName(same)
-    label = connected_components(links)
-    named = stage(one.select("n", "d1", "d2", "set_id").join(label, F.col("set_id") == F.col("node"), "left").select("n", "d1", "d2", "set_id", F.coalesce("component", "set_id").alias("component")), "near-named")
-    out = sk.join(named, ["n", "d1", "d2"], "left")
+    # the smallest id of each set stands for it; sets have numbers of their own, for an id may have several
+    named = real.groupBy("n", "d1", "d2").agg(F.min("id").alias("id"))
+    named = stage(named.withColumn("node", F.monotonically_increasing_id()), "near-sets-once")
+    twice = stage(real.groupBy("id").agg(F.min(F.struct("d1", "d2")).alias("x"), F.max(F.struct("d1", "d2")).alias("y"), F.count(F.lit(1)).alias("rows")).where("rows > 1"), "near-twice")
+    repeats = twice.limit(1).count() > 0
+    nodes = keyed_join(real, named, ["n", "d1", "d2", "id"], "inner").select("node", "id", "n", "d1", "d2", "sketch")
+    nodes = stage(nodes.dropDuplicates(["node"]) if repeats else nodes, "near-nodes")
+    nodes._repeats = repeats
+    links = near_links(docs, nodes, percent, id_col, text_col, width)
+    # an id with several sets links them
+    of_id = real.join(twice.where("x <> y").select("id"), "id", "left_semi").join(named.drop("id"), ["n", "d1", "d2"]).select("id", "node").distinct()
+    same = of_id.join(of_id.groupBy("id").agg(F.min("node").alias("b")), "id").select(F.col("node").alias("a"), "b").where("a <> b")
+    label = connected_components(links.unionByName(same)) if repeats else connected_components(links)
+    unstage(nodes)
+    grouped = stage(named.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component", "node"), "near-grouped")
+    least = grouped.groupBy("c").agg(F.min("id").alias("component"))
+    named_ = stage(grouped.join(least, "c").select("n", "d1", "d2", F.col("id").alias("set_id"), "component"), "near-named")
+    unstage(named, twice, label, links, grouped)
+    out = sk.select("id", "n", "d1", "d2").join(named_, ["n", "d1", "d2"], "left")
     solid = F.col("id").isNotNull() & (F.col("n") > 0)
     component = F.when(solid, F.col("component")).otherwise(F.col("id"))
     return out.select(

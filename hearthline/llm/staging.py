@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 _own: dict[str, str] = {}
+#: Staged tables that stand, and the owner at whose work they were staged.
+_written: dict[str, str | None] = {}
+_owner: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -19,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="hearthline-")
@@ -29,6 +36,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that goes with the staged tables of its owner."""
+    path = new_folder(spark, name)
+    _written[path] = _owner
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once as Parquet in the shared folder and reads it again: lineage ends there, and a lost executor
     costs no recomputation."""
@@ -36,14 +50,39 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._hearthline_path = path
+    _written[path] = _owner
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _written.pop(path, None)
+
+
 def unstage(*tables: DataFrame) -> None:
     """Deletes staged tables that no later table reads."""
     for t in tables:
-        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._hearthline_path)
-        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        if path := getattr(t, "_hearthline_path", None):
+            _delete(t.sparkSession, path)
+
+
+@contextlib.contextmanager
+def owned(owner: str, keep: DataFrame) -> Iterator[None]:
+    """Tables staged in this block belong to ``owner``. Those that an earlier block of the owner left are deleted first,
+    but for those that ``keep`` reads: to be used where its other results have been written."""
+    global _owner
+    left = [p for p, o in _written.items() if o == owner]
+    if left:
+        read = keep.inputFiles()
+        for path in left:
+            if not any(path.rsplit("/", 1)[1] in f for f in read):
+                _delete(keep.sparkSession, path)
+    before, _owner = _owner, owner
+    try:
+        yield
+    finally:
+        _owner = before
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -71,6 +71,19 @@ def test_near_duplicates_edge_rows(spark):
     assert minhash.near_duplicates(rows(spark, [], "doc_id long, text string")).count() == 0
 
 
+def test_texts_that_polynomial_hashes_confuse_are_told_apart(spark):
+    a, b = ("".join("ab"[(bin(i).count("1") + k) % 2] for i in range(1024)) for k in (0, 1))
+    out = minhash.near_duplicates(rows(spark, [(1, a), (2, b), (3, b + " " + a)], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id, r.set_id, r.kept) for r in out) == [(1, 1, 1, True), (2, 2, 2, True), (3, 3, 3, True)]
+
+
+def test_one_id_with_several_sets_of_one_size(spark):
+    a, b, c = "a b c d e f", "g h i j k l", "m n o p q r"
+    docs = [(1, a), (1, b), (2, a), (3, b), (4, c), (1, a), (4, c)]
+    out = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(rows(spark, docs, "doc_id long, text string")).collect()}
+    assert out == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
 def test_drop_near_duplicates_keeps_columns(spark):
     docs = rows(spark, [(1, "a b c d e f", "en", "s", 11), (2, "A b c d e f", None, None, None), (3, "", "en", "s", 0)], DOCS)
     out = minhash.drop_near_duplicates(docs)
