@@ -12,7 +12,8 @@ the top of the tree, which has fixed bounds and is broadcast. So each distinct s
 of the most frequent strings are broadcast; the other strings of a document meet theirs in a shuffle.
 
 Edge cases: null text is empty (one end token); with no training text each binary decision is even and the base is
-log10(0.5 / 0.5) a token; rows that repeat an id are scored each; null ids train (crc32 of the empty text).
+log10(0.5 / 0.5) a token; rows that repeat an id are scored each; null ids train (crc32 of the
+empty text); a very long text is worked on alone; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.llm.staging import stage, unstage
-from hearthline.llm.textbytes import LOWER, U64, slices, utf8, word_hashes, words
+from hearthline.llm.textbytes import LOWER, U64, WordNumbers, distinct_words, slices, utf8, words
 
 DEPTH = 5
 #: Bytes of the context by which strings are grouped; the tree above has contexts of fewer bytes.
@@ -66,12 +67,13 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 def _totals(depth: int):
     """Per task, how often each word (kind 0) and each byte string (kind 1) occurs: n in training texts, m in all. Words
-    are those of training texts alone."""
+    are those of training texts alone, told apart by their bytes."""
+    names = ["kind", "key", "word", "n", "m"]
 
     def run(batches):
-        # words of training texts, strings of training texts, strings of held-out texts
-        kept = {0: ([], []), 1: ([], []), 2: ([], [])}
-        held = dict.fromkeys(kept, 0)
+        # strings of training texts, of held-out texts
+        kept, held = {1: ([], []), 2: ([], [])}, {1: 0, 2: 0}
+        known, seen, counts = WordNumbers(), [], np.zeros(0, np.int64)
 
         def out(kind):
             key, n = _merged(*kept[kind])
@@ -79,18 +81,38 @@ def _totals(depth: int):
             held[kind] = 0
             for i in range(0, len(key), 100_000):
                 part, m = key[i : i + 100_000], n[i : i + 100_000]
-                kinds = pa.array(np.full(len(part), min(kind, 1), np.int32))
-                yield pa.RecordBatch.from_arrays([kinds, pa.array(part.view(np.int64)), pa.array(m * (kind < 2)), pa.array(m)], ["kind", "key", "n", "m"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), np.int32)), pa.array(part.view(np.int64)), pa.nulls(len(part), pa.binary()), pa.array(m * (kind < 2)), pa.array(m)], names)
+
+        def out_words():
+            nonlocal known, seen, counts
+            words_ = pa.concat_arrays(seen) if seen else pa.array([], pa.binary())
+            for i in range(0, len(words_), 100_000):
+                part, n = words_.slice(i, 100_000), pa.array(counts[i : i + 100_000])
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(part), np.int32)), pa.nulls(len(part), pa.int64()), part, n, n], names)
+            known, seen, counts = WordNumbers(), [], np.zeros(0, np.int64)
 
         for batch in batches:
             data, offsets = utf8(batch.column(0))
             held_out = np.array(batch.column(1).to_pylist(), bool)
             for i, j in slices(offsets):
-                part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                part, own = LOWER[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i]
                 starts, ends, first = words(part, own)
-                out_word, out_byte = np.repeat(held_out[i:j], np.diff(first)), np.repeat(held_out[i:j], np.diff(own) + 1)
+                if len(starts):
+                    distinct, place = distinct_words(part, starts, ends)
+                    n = np.bincount(place[~np.repeat(held_out[i:j], np.diff(first))], minlength=len(distinct))
+                    distinct, n = distinct.take(pa.array(np.flatnonzero(n))), n[n > 0]
+                    at = known.find(distinct)
+                    new = np.flatnonzero(at < 0)
+                    if len(new):
+                        seen.append(distinct.take(pa.array(new)))
+                        at[new] = known.add(seen[-1])
+                        counts = np.concatenate((counts, np.zeros(len(new), np.int64)))
+                    counts[at] += n
+                    if len(known) > 500_000:
+                        yield from out_words()
+                out_byte = np.repeat(held_out[i:j], np.diff(own) + 1)
                 strings = byte_strings(part, own, depth)[0]
-                for kind, values in ((0, word_hashes(part, starts, ends)[~out_word]), (1, strings[~out_byte]), (2, strings[out_byte])):
+                for kind, values in ((1, strings[~out_byte]), (2, strings[out_byte])):
                     if len(values):
                         key, n = np.unique(values, return_counts=True)
                         kept[kind][0].append(key)
@@ -102,6 +124,7 @@ def _totals(depth: int):
                             held[kind] = len(key)
                             if len(key) > 750_000:
                                 yield from out(kind)
+        yield from out_words()
         for kind in kept:
             if kept[kind][0]:
                 yield from out(kind)
@@ -338,8 +361,8 @@ def _reached(steps: list, most: int) -> int:
     return least
 
 
-def _lists(sizes: np.ndarray, values: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(values.view(np.int64)))
+def _lists(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), values)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int = 5, held: int = 1, depth: int = DEPTH, max_strings: int = MAX_STRINGS, hot_words: int = HOT_WORDS) -> DataFrame:
@@ -347,14 +370,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("id"), (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts == held).alias("held_out"), F.col(text_col).alias("text"))
     training = d.where("not held_out")
-    each = d.select("text", "held_out").mapInArrow(_totals(depth), "kind int, key long, n long, m long")
-    totals = stage(each.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "lm-totals")
+    each = d.select("text", "held_out").mapInArrow(_totals(depth), "kind int, key long, word binary, n long, m long")
+    totals = stage(each.groupBy("kind", "key", "word").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "lm-totals")
     strings = predictions(totals.where("kind = 1"), depth)
     # frequencies in steps of a sixteenth of an octave: the least that at most max_strings strings reach
     step = F.floor(16 * F.log2("m"))
     often = _reached(strings.groupBy(step.alias("c")).count().orderBy(F.desc("c")).collect(), max_strings)
     frequent = strings.where(step >= often).select("key", "log").toArrow()
-    counts = totals.where("kind = 0").select(F.col("key").alias("word"), F.col("n").alias("c"))
+    counts = totals.where("kind = 0").select("word", F.col("n").alias("c"))
     texts = training.count()
     w = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     total, distinct = (w[0] or 0) + texts, w[1] + (texts > 0)
@@ -362,41 +385,39 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     steps = counts.groupBy(F.least("c", F.lit(1 << 16)).alias("c")).count().orderBy(F.desc("c")).collect()
     least = _reached(steps, hot_words)
     hot = counts.where(F.col("c") >= least).toArrow()
-    order = np.argsort(hot["word"].to_numpy().view(U64))
+    hot_table = WordNumbers()
+    hot_table.add(pa.array(hot["word"].combine_chunks(), pa.binary()) if hot.num_rows else pa.array([], pa.binary()))
     table = Predictions(frequent["key"].to_numpy().view(U64), frequent["log"].to_numpy())
-    model = spark.sparkContext.broadcast((table, hot["word"].to_numpy().view(U64)[order], hot["c"].to_numpy()[order], total, distinct, texts))
+    model = spark.sparkContext.broadcast((table, hot_table, hot["c"].to_numpy(), total, distinct, texts))
 
     def run(batches):
-        table, hot_word, hot_count, total, distinct, texts = model.value
+        table, hot_table, hot_count, total, distinct, texts = model.value
         bottom = np.log10(total + 0.5 * (distinct + 1))
         end = np.log10(texts + 0.5) - bottom
         for batch in batches:
             data, offsets = utf8(batch.column(2))
             for i, j in slices(offsets):
-                part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                part, own = LOWER[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i]
                 starts, ends, first = words(part, own)
-                h = word_hashes(part, starts, ends)
+                distinct_, place = distinct_words(part, starts, ends)
                 row = np.repeat(np.arange(j - i), np.diff(first))
-                if len(hot_word):
-                    at = np.minimum(np.searchsorted(hot_word, h), len(hot_word) - 1)
-                    there = hot_word[at] == h
-                else:
-                    at, there = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+                at = hot_table.find(distinct_)[place]
+                there = at >= 0
                 logs = np.log10(hot_count[at[there]] + 0.5) - bottom
                 base = np.bincount(row[there], logs, j - i) + end
                 known = np.bincount(row[there], minlength=j - i) + (texts > 0)
                 strings, at_string = byte_strings(part, own, depth)
                 logs, open_ = table.look_up(strings)
                 bytes_ = np.add.reduceat(logs, at_string[:-1])
-                rare = _lists(np.bincount(row[~there], minlength=j - i), h[~there])
+                rare = _lists(np.bincount(row[~there], minlength=j - i), distinct_.take(pa.array(place[~there])))
                 open_row = np.searchsorted(at_string, open_, "right") - 1
-                rare_strings = _lists(np.bincount(open_row, minlength=j - i), strings[open_])
+                rare_strings = _lists(np.bincount(open_row, minlength=j - i), pa.array(strings[open_].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(np.diff(first) + 1), pa.array(known.astype(np.int64)), pa.array(base), pa.array(bytes_), pa.array(np.diff(own)), rare, rare_strings],
                     ["id", "held_out", "n_tokens", "known", "base", "score", "n_bytes", "rare", "rare_strings"],
                 )
 
-    scored = d.mapInArrow(run, "id long, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long, rare array<long>, rare_strings array<long>")
+    scored = d.mapInArrow(run, "id long, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long, rare array<binary>, rare_strings array<long>")
     scored = stage(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
     each = scored.where(F.size("rare") > 0).select("row", F.explode("rare").alias("word")).groupBy("row", "word").count()
     bottom = F.log10(F.lit(float(total + 0.5 * (distinct + 1))))
@@ -405,9 +426,12 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.sum(F.col("count") * (F.log10(c + 0.5) - bottom)).alias("rare_base"), F.sum(F.when(c > 0, F.col("count")).otherwise(0)).alias("rare_known")
     )
     rare = stage(rare, "lm-rare")
+    unstage(totals)
     open_ = scored.where(F.size("rare_strings") > 0).select("row", F.explode("rare_strings").alias("key"))
     open_ = open_.join(strings.where(step < often).select("key", "log"), "key").groupBy("row").agg(F.sum(F.col("log").cast("double")).alias("rare_score"))
-    out = scored.drop("rare", "rare_strings").join(rare, "row", "left").join(stage(open_, "lm-rare-strings"), "row", "left")
+    open_ = stage(open_, "lm-rare-strings")
+    unstage(strings)
+    out = scored.drop("rare", "rare_strings").join(rare, "row", "left").join(open_, "row", "left")
     out = out.withColumn("score", F.col("score") + F.coalesce("rare_score", F.lit(0.0)))
     return out.select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
