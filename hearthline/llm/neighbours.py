@@ -3,12 +3,17 @@
 A table's bucket is the vector of floor((a . v + b) / w) over normal vectors a. A query visits its own bucket and then
 perturbed ones, in the order of their estimated success: moves of one coordinate are ranked by how near the query lies
 to that border, and sets of moves by the expected sum of squares for their ranks (Lv et al. 2007). The candidates of
-all tables are merged and ranked by exact distance. Queries come in blocks of stated size that are broadcast; every row
-is hashed once and stands in every table. Queries that find fewer than k are repeated against all rows.
+all tables are merged and ranked by exact distance.
+
+Rows are hashed once and lie in blocks of about BLOCK_ROWS, ordered by their first bucket, so that near rows share few
+blocks. Queries' probes meet the list of buckets and their blocks in an equi-join; a query goes to the blocks that hold
+any bucket it visits, and there meets the rows of these buckets alone. Queries that find fewer than k go to all blocks
+and meet all rows.
 
 Edge cases: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part, nor do rows without an id; rows with the query's id are not its neighbours; of query rows that repeat an id, one
-stands; equal distances go by id; fewer rows than k give all of them; an empty table gives an empty result.
+stands; equal distances go by id; fewer rows than k give all of them; an empty table gives an empty result; other
+columns are not read. Rows that repeat an id with the same vector are told apart only by standing in the result twice.
 """
 
 from __future__ import annotations
@@ -20,10 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.llm.staging import stage
+from hearthline.llm.staging import keyed_join, stage, unstage
 
-TABLES, MOVES, PROBES, WIDTH = 6, 16, 2000, 3.0
-QUERY_BLOCK = 512
+#: Tables, functions of each, buckets that a query visits in each, and their width as a multiple of the vectors' length.
+TABLES, MOVES, PROBES, WIDTH = 16, 8, 60, 2.0
+BLOCK_ROWS = 10_000
+#: Queries that one task holds beside a block, and how many of them it works on at a time.
+QUERY_SLICE, QUERY_STEP = 20_000, 256
 
 
 def probe_order(moves: int, probes: int) -> np.ndarray:
@@ -89,37 +97,47 @@ def _nearest(ids: np.ndarray, vectors: np.ndarray, query_id: int, query: np.ndar
     return ids[at[first]], distance[first]
 
 
-def _search(index: DataFrame, queries: tuple[np.ndarray, np.ndarray], dim: int, k: int, hashes: Hashes | None) -> DataFrame:
-    """Each task's k best rows for each query of the block; without hashes, among all rows."""
-    shared = index.sparkSession.sparkContext.broadcast((queries, hashes))
-
-    def run(batches):
-        (query_ids, query), hashes = shared.value
-        wanted = []
-        for t in range(len(hashes.a) if hashes else 0):
-            keys = hashes.probes(query, t)
-            owner = np.repeat(np.arange(len(query)), keys.shape[1])
-            order = np.argsort(keys, axis=None)
-            wanted.append((keys.ravel()[order], owner[order]))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, vectors = batch.column(0).to_numpy(), _vectors(batch.column(1), dim)
-            met = np.zeros((len(query), len(ids)), bool) if hashes else np.ones((len(query), len(ids)), bool)
-            if hashes:
-                own = batch.column(2).flatten().to_numpy().reshape(len(ids), -1)
-                for t, (keys, owner) in enumerate(wanted):
-                    order = np.argsort(own[:, t], kind="stable")
-                    bucket, first = np.unique(own[order, t], return_index=True)
-                    low, high, ends = np.searchsorted(keys, bucket), np.searchsorted(keys, bucket, "right"), np.append(first[1:], len(ids))
-                    for b in np.flatnonzero(high > low):
-                        met[np.ix_(owner[low[b] : high[b]], order[first[b] : ends[b]])] = True
-            for q in range(len(query)):
-                found, distance = _nearest(ids, vectors, query_ids[q], query[q], np.flatnonzero(met[q]), k)
-                if len(found):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), query_ids[q])), pa.array(found), pa.array(distance)], ["query_id", "vec_id", "score"])
-
-    return index.mapInArrow(run, "query_id long, vec_id long, score double")
+def _met(own: np.ndarray, probes: list[np.ndarray]) -> np.ndarray:
+    """[query, row]: whether the query visits a bucket of the row. ``own`` are the rows' buckets by table."""
+    met = np.zeros((len(probes[0]), len(own)), bool)
+    for t, keys in enumerate(probes):
+        owner = np.repeat(np.arange(len(keys)), keys.shape[1])
+        order = np.argsort(keys, axis=None)
+        keys, owner = keys.ravel()[order], owner[order]
+        order = np.argsort(own[:, t], kind="stable")
+        bucket, first = np.unique(own[order, t], return_index=True)
+        low, high, ends = np.searchsorted(keys, bucket), np.searchsorted(keys, bucket, "right"), np.append(first[1:], len(own))
+        for b in np.flatnonzero(high > low):
+            met[np.ix_(owner[low[b] : high[b]], order[first[b] : ends[b]])] = True
+    return met
+
+
+def _search(index: DataFrame, visits: DataFrame, queries: DataFrame, n: int, dim: int, k: int, hashes: Hashes | None) -> DataFrame:
+    """For each of the staged visits (query_id, block) the query's k best rows of the block, of the buckets that it
+    visits; without hashes, of all."""
+    shared = index.sparkSession.sparkContext.broadcast(hashes)
+    slices = -(-n // QUERY_SLICE)
+    slice_ = F.pmod(F.xxhash64("query_id"), F.lit(slices)).alias("slice")
+    pairs = stage(visits.select("block", slice_).distinct(), "near-slices")
+    left = keyed_join(index, pairs, "block", "inner").groupBy("block", "slice")
+    right = visits.join(queries, "query_id").select("block", slice_, "query_id", "v").groupBy("block", "slice")
+    names = ["query_id", "vec_id", "score"]
+
+    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        hashes, out = shared.value, []
+        ids, vectors = rows["id"].to_numpy(), _vectors(rows["v"].combine_chunks(), dim)
+        own = rows["keys"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1) if hashes else None
+        query_ids, query = asked["query_id"].to_numpy(), _vectors(asked["v"].combine_chunks(), dim)
+        for i in range(0, len(query) if len(ids) else 0, QUERY_STEP):
+            some = query[i : i + QUERY_STEP]
+            met = _met(own, [hashes.probes(some, t) for t in range(len(hashes.a))]) if hashes else np.ones((len(some), len(ids)), bool)
+            for q in range(len(some)):
+                found, distance = _nearest(ids, vectors, query_ids[i + q], some[q], np.flatnonzero(met[q]), k)
+                out.append((np.full(len(found), query_ids[i + q]), found, distance))
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], names)
+
+    return left.cogroup(right).applyInArrow(run, "query_id long, vec_id long, score double")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -127,14 +145,6 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _blocks(queries: DataFrame, dim: int):
-    n = -(-queries.count() // QUERY_BLOCK)
-    for k in range(n):
-        got = (queries if n == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == k)).toArrow()
-        if got.num_rows:
-            yield got["query_id"].to_numpy(), _vectors(got["v"].combine_chunks(), dim)
-
-
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, moves: int = MOVES, probes: int = PROBES, width: float = WIDTH, seed: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each row that ``is_query`` picks."""
     empty = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -145,34 +155,45 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col
     dim = length["n"]
     rows = rows.where(valid_vector(F.col("v"), dim))
     # buckets as wide as the vectors are long
-    norm = rows.agg(F.avg(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
-    if not norm:
+    about = rows.agg(F.avg(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)), F.count(F.lit(1))).first()
+    if not about[0]:
         return empty
+    norm = float(f"{about[0]:.3g}")  # sums of parts differ in the last digits
     hashes = Hashes(dim, width * float(np.sqrt(norm)), tables, moves, probes, seed)
+    shared = vectors.sparkSession.sparkContext.broadcast(hashes)
 
     def keys(batches):
         for batch in batches:
             own = _vectors(batch.column(1), dim)
-            made = np.stack([hashes.place(own, t)[0] for t in range(tables)], axis=1).ravel() if len(own) else np.zeros(0, np.int64)
+            made = np.stack([shared.value.place(own, t)[0] for t in range(tables)], axis=1).ravel() if len(own) else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * tables), pa.array(made))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["id", "v", "keys"])
 
-    index = stage(rows.select("id", "v").mapInArrow(keys, "id long, v array<double>, keys array<long>"), "near-vectors")
+    def visited(batches):
+        for batch in batches:
+            query = _vectors(batch.column(1), dim)
+            for t in range(tables if len(query) else 0):
+                own = shared.value.probes(query, t)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), own.shape[1])), pa.array(np.full(own.size, t, np.int32)), pa.array(own.ravel())], ["query_id", "t", "bucket"])
+
+    hashed = rows.select("id", "v").mapInArrow(keys, "id long, v array<double>, keys array<long>")
+    blocks = max(1, -(-about[1] // BLOCK_ROWS))
+    placed = hashed.repartitionByRange(blocks, F.col("keys")[0], "id") if blocks > 1 else hashed.coalesce(1)
+    index = stage(placed.withColumn("block", F.spark_partition_id()), "near-vectors")
     queries = stage(rows.where("is_query").groupBy(F.col("id").alias("query_id")).agg(F.min("v").alias("v")), "near-queries")
-
-    def union(parts):
-        out = None
-        for p in parts:
-            out = p if out is None else out.unionByName(p)
-        return out
-
-    found = union(_search(index, block, dim, k, hashes) for block in _blocks(queries, dim))
-    if found is None:
+    n = queries.count()
+    if not n:
         return empty
-    found = stage(_ranked(found, k), "near-found")
-    few = queries.join(found.groupBy("query_id").count(), "query_id", "left").where(F.coalesce("count", F.lit(0)) < k).select("query_id", "v")
-    few = stage(few, "near-few")
-    again = union(_search(index.select("id", "v"), block, dim, k, None) for block in _blocks(few, dim))
-    if again is not None:
-        found = found.join(few.select("query_id"), "query_id", "left_anti").select(*found.columns).unionByName(_ranked(again, k))
+    buckets = index.select("block", F.posexplode("keys").alias("t", "bucket")).distinct()
+    visits = queries.mapInArrow(visited, "query_id long, t int, bucket long").join(buckets, ["t", "bucket"]).select("query_id", "block").distinct()
+    visits = stage(visits, "near-visits")
+    found = stage(_ranked(_search(index, visits, queries, n, dim, k, hashes), k), "near-found")
+    unstage(visits)
+    few = stage(queries.join(found.groupBy("query_id").count(), "query_id", "left").where(F.coalesce("count", F.lit(0)) < k).select("query_id"), "near-few")
+    n = few.count()
+    if n:
+        held = index.select("block").distinct()
+        everywhere = stage(few.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(int(held.agg(F.max("block")).first()[0]))))), "near-visits")
+        again = _ranked(_search(index, everywhere, queries, n, dim, k, None), k)
+        found = found.join(few, "query_id", "left_anti").select(*found.columns).unionByName(again)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

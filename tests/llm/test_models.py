@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -236,7 +237,11 @@ def test_probes_come_by_rising_cost():
         assert len({min(x, 7 - x) for x in moves}) == len(moves)
 
 
-def test_neighbours_recall_and_exactness(spark):
+@pytest.mark.parametrize("block,step", [(10_000, 256), (400, 7)])
+def test_neighbours_recall_and_exactness(spark, monkeypatch, block, step):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", block)
+    monkeypatch.setattr(neighbours, "QUERY_STEP", step)
+    monkeypatch.setattr(neighbours, "QUERY_SLICE", 3 * step)
     rng = np.random.default_rng(4)
     base = rng.standard_normal((40, 24))
     v = (base[rng.integers(0, 40, 3000)] + 0.35 * rng.standard_normal((3000, 24))).astype(np.float32)
@@ -256,6 +261,27 @@ def test_neighbours_recall_and_exactness(spark):
     assert hits >= 0.9 * 300 and {r.query_id for r in out} == set(range(0, 3000, 100))
 
 
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="no test data here")
+@pytest.mark.parametrize("folder,block", [("sf0.01", 100), ("sf0.1", 10_000)])
+def test_the_query_finds_nine_of_ten(spark, monkeypatch, folder, block):
+    """With the query's own parameters, on vectors that are nearly random."""
+    from hearthline.llm import queries
+
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", block)
+    out = queries.op6_multiprobe_neighbours(spark, f"/root/testdata/{folder}").collect()
+    table = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet").toPandas()
+    good = [i for i, v in enumerate(table.embedding) if v is not None and len(v) == len(table.embedding[0]) and np.isfinite(np.asarray(v, float)).all() and np.any(v)]
+    ids, v = table.vec_id.to_numpy()[good], np.stack([np.asarray(table.embedding[i], float) for i in good])
+    hits = total = 0
+    for q in np.flatnonzero(ids % 100 == 0):
+        d = np.sqrt(((v - v[q]) ** 2).sum(1))
+        d[q] = np.inf
+        own = sorted((r.rank, r.vec_id, r.score) for r in out if r.query_id == ids[q])
+        assert [r for r, _, _ in own] == list(range(1, 11)) and all(s == pytest.approx(d[ids == i][0], rel=1e-14) for _, i, s in own)
+        hits, total = hits + len({i for _, i, _ in own} & set(ids[np.lexsort((ids, d))[:10]].tolist())), total + 10
+    assert total and hits >= 0.9 * total
+
+
 def test_neighbours_of_few_rows(spark):
     df = rows(spark, [(0, [1.0, 0.0]), (100, [0.0, 9e6]), (3, [-5.0, 1.0]), (3, [-5.0, 1.0])], "vec_id long, embedding array<double>")
     out = neighbours.nearest_neighbours(df, df.vec_id % 100 == 0).collect()
