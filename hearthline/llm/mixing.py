@@ -1,13 +1,16 @@
 """Mixing sources to target weights by Pareto order sampling, in DataFrame functions only.
 
-Every document of a source with target T words and size S words is expected T / S times. The whole part of that are
-certain copies; the fraction p is the document's inclusion odds. Documents are ranked by the Pareto statistic
-(u / (1 - u)) / (p / (1 - p)), u being a hash of the id, and taken from the smallest on until the source's remaining
-words are reached, so that reruns agree and each source ends within about one document of its target.
+A source with target T and S words is to be taken T / S times. The whole part of that are certain copies of each of its
+documents. What is left of the target is drawn: a document's inclusion odds follow from the chance p = min(1, c * w), w
+being the length of its size in binary, and c such that the drawn words are expected to be those left. Chances of 1 are
+certain copies, too. The others are ranked by the Pareto statistic (u / (1 - u)) / (p / (1 - p)), u being a hash of the
+id, and taken from the smallest on until the words left are reached, so that reruns agree and each source ends within
+about one document of its target.
 
 Edge cases: null text or one without words has size 0 and takes 0 words; null sources form one source, ordered last;
-an empty table gives an empty result; rows that repeat an id share its u and are ranked side by side; other columns
-are kept, and the added ones are named by the caller.
+very long texts are counted whole; an empty table gives an empty result; rows that repeat an id share its u and are
+ranked side by side; other columns are not read. Targets pass through windows over all sources, which are taken to be
+few; documents meet in windows only where they share a source and one of 16.8 million classes of ranks.
 """
 
 from __future__ import annotations
@@ -15,10 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.llm.staging import stage
+from hearthline.llm.staging import stage, unstage
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Ranks fall into so many classes of equal width; one class per source is ranked row by row.
+#: Ranks fall into so many classes, and those of the class in which a source is completed into as many again.
 RANK_CLASSES = 4096
 #: Sources up to which their targets are broadcast.
 BROADCAST_SOURCES = 100_000
@@ -50,45 +53,72 @@ def source_targets(sizes: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5
     return s.select("source_key", "source_words", target.alias("target"))
 
 
+def _few(table: DataFrame, most: int) -> DataFrame:
+    return F.broadcast(table) if table.limit(most + 1).count() <= most else table
+
+
+def inclusion_chances(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source_key, w): certain copies, the chance p of one more, and the source's words, target and words left. Chances
+    are in proportion to w, but none above 1; with the largest k classes at 1, the others share what is left by w."""
+    c = sized.groupBy("source_key", "w").agg(F.sum("size").alias("words")).join(targets, "source_key")
+    ratio = F.when(F.col("source_words") > 0, F.col("target") / F.col("source_words")).otherwise(0.0)
+    c = c.withColumn("certain", F.floor(ratio + 1e-12).cast("long")).withColumn("left", F.greatest(F.lit(0.0), F.col("target") - F.col("certain") * F.col("source_words")))
+    source = Window.partitionBy("source_key")
+    larger = source.orderBy(F.desc("w")).rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("capped", F.coalesce(F.sum("words").over(larger), F.lit(0))).withColumn("shares", F.sum(F.col("words") * F.col("w")).over(source) - F.coalesce(F.sum(F.col("words") * F.col("w")).over(larger), F.lit(0)))
+    level = F.when(F.col("shares") > 0, (F.col("left") - F.col("capped")) / F.col("shares"))
+    c = c.withColumn("level", level).withColumn("level", F.min(F.when(F.col("level") * F.col("w") <= 1, F.struct(-F.col("w"), "level"))).over(source)["level"])
+    p = F.when(F.col("left") > 0, F.least(F.lit(1.0), F.coalesce(F.col("level") * F.col("w"), F.lit(1.0)))).otherwise(0.0)
+    return c.select("source_key", "w", "source_words", "target", "certain", "left", p.alias("p"))
+
+
+def _completed(d: DataFrame, keys: list[str], of: str) -> DataFrame:
+    """Per source, the class ``of`` with the word that completes it: from sums per class alone. ``start`` are the words
+    before these classes."""
+    upto = Window.partitionBy(*keys).orderBy(of).rowsBetween(Window.unboundedPreceding, -1)
+    c = d.groupBy(*keys, of).agg(F.sum("size").alias("words"), F.first("left").alias("left"), F.first("start").alias("start"))
+    c = c.withColumn("before", F.col("start") + F.coalesce(F.sum("words").over(upto), F.lit(0))).where("before < left and before + words >= left")
+    cut = c.groupBy(*keys).agg(F.min(F.struct(of, "before")).alias("cut"))
+    return cut.select(*keys, F.col(f"cut.{of}").alias(f"cut_{of}"), F.col("cut.before").alias(f"before_{of}"))
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 17, row_col: str | None = None) -> DataFrame:
-    """One row per document: id, size, source_size, target, copies, taken (= copies * size); and ``row_col``, a key of
-    rows that tells those apart that repeat an id or have none, where one is given."""
+    """One row per document: id, size, source_size, target, copies, taken (= copies * size), chance (that of the drawn
+    copy); and ``row_col``, a key of rows that tells those apart that repeat an id or have none, where one is given.
+    ``most`` is a whole number."""
     row = ["row"] if row_col else []
     key = F.struct(F.col(source_col).isNull().alias("last"), F.coalesce(source_col, F.lit("")).alias("name"))
-    sized = stage(docs.select(F.col(id_col).cast("long").alias("id"), word_count(F.col(text_col)).alias("size"), key.alias("source_key"), *[F.col(row_col).alias(r) for r in row]), "mix-sizes")
+    size = word_count(F.col(text_col)).alias("size")
+    sized = docs.select(F.col(id_col).cast("long").alias("id"), size, key.alias("source_key"), *[F.col(row_col).alias(r) for r in row])
+    sized = stage(sized.withColumn("w", F.length(F.bin("size")).cast("long")), "mix-sizes")
     targets = stage(source_targets(sized, weights, share, most), "mix-targets")
-    if targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        targets = F.broadcast(targets)
+    chances = stage(inclusion_chances(sized, _few(targets, BROADCAST_SOURCES)), "mix-chances")
+    unstage(targets)
     digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("null")))), 1, 12)
     u = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 48)
-    expected = F.when(F.col("source_words") > 0, F.col("target") / F.col("source_words")).otherwise(0.0)
+    drawn = (F.col("p") > 0) & (F.col("p") < 1)
+    even = F.col("rank") / (1 + F.col("rank")) * RANK_CLASSES
     d = (
-        sized.join(targets, "source_key")
-        .withColumn("certain", F.floor(expected + 1e-12).cast("long"))
-        .withColumn("p", F.greatest(F.lit(0.0), expected - F.col("certain")))
-        .withColumn("left", F.greatest(F.lit(0.0), F.col("target") - F.col("certain") * F.col("source_words")))
-        .withColumn("rank", F.when(F.col("p") > 0, (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))))
-        .withColumn("class", F.floor(F.col("rank") / (1 + F.col("rank")) * RANK_CLASSES).cast("int"))
-    )
-    # Which class of ranks holds the word that completes the source: from sums per class alone.
-    upto = Window.partitionBy("source_key").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (
-        d.where("p > 0").groupBy("source_key", "class").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
-        .withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0)))
-        .where("before < left and before + words >= left").groupBy("source_key").agg(F.min(F.struct("class", "before")).alias("cut"))
-    )
-    cut = stage(cut, "mix-cuts")
-    d = d.join(F.broadcast(cut) if cut.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else cut, "source_key", "left")
-    edge = d.where("p > 0 and class = cut.class")
-    order = Window.partitionBy("source_key").orderBy("rank", "id", "size", *row)
-    edge = (
-        edge.withColumn("so_far", F.col("cut.before") + F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        # the last document goes in if that ends nearer to the target
-        .withColumn("extra", (F.col("so_far") + F.col("size") / 2 <= F.col("left")).cast("long"))
-    )
-    whole = d.where("p = 0 or cut is null or class <> cut.class").withColumn(
-        "extra", F.when(F.col("p") <= 0, 0).when(F.col("cut").isNull(), 1).otherwise((F.col("class") < F.col("cut.class")).cast("int")).cast("long")
-    )
-    columns = ["id", "size", F.col("source_words").alias("source_size"), "target", (F.col("certain") + F.col("extra")).alias("copies"), *row]
+        sized.join(_few(chances, BROADCAST_SOURCES), ["source_key", "w"])
+        .withColumn("rank", F.when(drawn, (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))))
+        .withColumn("class", F.floor(even).cast("int")).withColumn("part", F.floor((even - F.floor(even)) * RANK_CLASSES).cast("int"))
+    )
+    # chances of 1 are certain and come before all ranks
+    sure = stage(d.where("p = 1").groupBy("source_key").agg(F.sum("size").alias("start")), "mix-sure")
+    d = d.join(_few(sure, BROADCAST_SOURCES), "source_key", "left").withColumn("start", F.coalesce("start", F.lit(0)))
+    cut = stage(_completed(d.where("rank is not null"), ["source_key"], "class"), "mix-cuts")
+    d = d.join(_few(cut, BROADCAST_SOURCES), "source_key", "left")
+    near = d.where("rank is not null and class = cut_class").withColumn("start", F.col("before_class"))
+    parts = stage(_completed(near, ["source_key"], "part"), "mix-parts")
+    d = d.join(_few(parts, BROADCAST_SOURCES), "source_key", "left")
+    at_edge = F.coalesce((F.col("class") == F.col("cut_class")) & (F.col("part") == F.col("cut_part")), F.lit(False))
+    order = Window.partitionBy("source_key").orderBy("rank", "id", "size", *row).rowsBetween(Window.unboundedPreceding, -1)
+    so_far = F.col("before_part") + F.coalesce(F.sum("size").over(order), F.lit(0))
+    # the last document goes in if that ends nearer to the target
+    edge = d.where(at_edge).withColumn("so_far", so_far).withColumn("extra", ((F.col("so_far") < F.col("left")) & (F.col("so_far") + F.col("size") / 2 <= F.col("left"))).cast("long"))
+    ahead = (F.col("class") < F.col("cut_class")) | ((F.col("class") == F.col("cut_class")) & (F.col("part") < F.col("cut_part")))
+    extra = F.when(F.col("p") <= 0, False).when((F.col("p") >= 1) | F.col("cut_class").isNull(), True).otherwise(ahead)
+    whole = d.where(~at_edge).withColumn("extra", extra.cast("long"))
+    columns = ["id", "size", F.col("source_words").alias("source_size"), "target", (F.col("certain") + F.col("extra")).alias("copies"), F.col("p").alias("chance"), *row]
     out = whole.select(*columns).unionByName(edge.select(*columns))
-    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *[F.col(r).alias(row_col) for r in row])
+    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "chance", *[F.col(r).alias(row_col) for r in row])

@@ -25,12 +25,18 @@ r AS (SELECT source, words, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(k - 1) % 3
 o AS (SELECT *, coalesce(sum(cap) OVER b, 0) AS capped, sum(w) OVER () - coalesce(sum(w) OVER b, 0) AS rest, 1.5::DOUBLE * (SELECT sum(words) FROM s) AS total FROM r WINDOW b AS (ORDER BY cap / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 lv AS (SELECT first((total - capped) / rest ORDER BY cap / w, k) AS level FROM o WHERE (total - capped) / rest <= cap / w),
 t AS (SELECT source, words, coalesce(least(cap, w * level), cap) AS target FROM o, lv),
-j AS (SELECT d.doc_id, d.size, t.words, t.target, CASE WHEN t.words > 0 THEN target / words ELSE 0 END AS e, d.source,
+j AS (SELECT d.doc_id, d.size, t.words, t.target, d.source, length(bin(d.size)) AS w, CASE WHEN t.words > 0 THEN target / words ELSE 0 END AS e,
  (('0x' || substr(md5(concat('17:', coalesce(CAST(doc_id AS VARCHAR), 'null'))), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656 AS u FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
-x AS (SELECT *, floor(e + 1e-12) AS certain, greatest(0, e - floor(e + 1e-12)) AS p FROM j),
-q AS (SELECT *, greatest(0, target - certain * words) AS room, CASE WHEN p > 0 THEN coalesce(sum(size) OVER (PARTITION BY source ORDER BY u, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) END AS before FROM x),
-y AS (SELECT *, CASE WHEN p > 0 AND (before + size < room OR (before < room AND before + size / 2 <= room)) THEN 1 ELSE 0 END AS extra FROM q)
-SELECT doc_id, size, words AS source_size, target, CAST((certain + extra) * size AS BIGINT) AS taken, CAST(certain + extra AS BIGINT) AS copies FROM y"""
+x AS (SELECT *, floor(e + 1e-12) AS certain, greatest(0, target - floor(e + 1e-12) * words) AS room FROM j),
+cl AS (SELECT source, w, room, sum(size)::BIGINT AS n FROM x GROUP BY source, w, room),
+cx AS (SELECT *, coalesce(sum(n) OVER b, 0)::BIGINT AS capped, (sum(n * w) OVER (PARTITION BY source) - coalesce(sum(n * w) OVER b, 0))::BIGINT AS shares FROM cl
+ WINDOW b AS (PARTITION BY source ORDER BY w DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+cv AS (SELECT source, first(level ORDER BY w DESC) AS level FROM (SELECT *, CASE WHEN shares > 0 THEN (room - capped) / shares END AS level FROM cx) z WHERE level * w <= 1 GROUP BY source),
+q AS (SELECT x.*, CASE WHEN room > 0 THEN least(1, coalesce(level * w, 1)) ELSE 0 END AS p FROM x LEFT JOIN cv ON cv.source IS NOT DISTINCT FROM x.source),
+rk AS (SELECT *, CASE WHEN p >= 1 THEN -1 ELSE (u / (1 - u)) / (p / (1 - p)) END AS rank FROM q),
+y AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source, p > 0 ORDER BY rank, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM rk),
+z AS (SELECT *, CASE WHEN p <= 0 THEN 0 WHEN p >= 1 OR (before < room AND before + size / 2 <= room) THEN 1 ELSE 0 END AS extra FROM y)
+SELECT doc_id, size, words AS source_size, target, CAST((certain + extra) * size AS BIGINT) AS taken, CAST(certain + extra AS BIGINT) AS copies, p AS chance FROM z"""
 
 _NAMES = ", ".join(f"({k}, '{x}')" for k, x in enumerate(sorted(SHARDS)))
 _HASH = "('0x' || substr(md5({}), 1, 8))::BIGINT"

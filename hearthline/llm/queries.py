@@ -20,7 +20,7 @@ def op1_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
+    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "chance")
 
 
 #: host, path, whether it blocks
