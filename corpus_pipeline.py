@@ -1,53 +1,73 @@
-"""The corpus pipeline: documents in, token ids out. Each stage is one of the numbered operators on what its predecessor kept."""
+"""The corpus pipeline: documents in, token ids out. Each stage is one of the numbered operators on what its predecessor kept.
+
+All stages take any table with the columns of documents, also others beside them, whatever their names, and all but the
+last return the columns that they got. Rows count one by one, also where ids repeat or are null; texts are worked on
+whole, however long; an empty table gives an empty one. Null and empty texts, and ties, are stated at each stage. Tables
+that a stage stages are deleted when the next one begins, unless that one's ``docs`` still reads them.
+"""
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.llm import decontaminate, langid, minhash, mixing, tokens
-from hearthline.llm.staging import keyed_join, stage, with_row_key
-
+from hearthline.llm.staging import fresh, keyed_join, owned, stage, unstage, with_row_key
 
 #: Rows that cross to Python at a time: texts are long, and workers keep what their largest batch needed.
-BATCH_ROWS = "2000"
+BATCH_ROWS = "1000"
+
 
+def _stage(f):
+    @functools.wraps(f)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        with owned("pipeline", docs):
+            return f(spark, docs, sf_dir)
 
-def _small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return run
 
 
+@_stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents for which no language is found go."""
-    _small_batches(spark)
+    """Documents for which no language is found go: those with a null text or one without letters; all, if no document
+    has a label to learn from. Equal proportions are a language found."""
     return langid.keep_identified(docs)
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (similarity of at least 0.8), the document with the smallest id stays."""
-    _small_batches(spark)
+    """Of each group of near duplicates (similarity of at least 0.8), the row with the smallest id stays; of several
+    with that id one, and one with a null id only if all are null. Texts without words are like no other and stay."""
     return minhash.drop_near_duplicates(docs)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    _small_batches(spark)
+    """Documents that hold a benchmark item go; null and empty texts and items match nothing."""
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each row as often as the mix takes it, 0 to 2 times. Texts without words weigh nothing and stay once. Ties in
+    rank go by id, size and row."""
     rows, row = with_row_key(docs)
+    drawn_row, copies, copy = fresh(rows, "_drawn"), fresh(rows, "_copies"), fresh(rows, "_copy")
     # keys of rows do not repeat, so those that are not here are taken once
-    drawn = stage(mixing.mix_sources(rows, row_col=row).where("copies <> 1").select(F.col(row).alias("_drawn"), F.col("copies").alias("_copies")), "mix-drawn")
-    out = keyed_join(rows, drawn, rows[row] == drawn["_drawn"], "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
-    return out.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    drawn = mixing.mix_sources(rows, row_col=row)
+    drawn = stage(drawn.where("copies <> 1 and size > 0").select(F.col(row).alias(drawn_row), F.col("copies").alias(copies)), "mix-drawn")
+    out = keyed_join(rows, drawn, rows[row] == drawn[drawn_row], "left").withColumn(copies, F.coalesce(copies, F.lit(1)))
+    return out.where(F.col(copies) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*docs.columns)
 
 
+@_stage
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in wavelet matrix files; one row per document copy, read from the files."""
-    _small_batches(spark)
+    """Token ids in wavelet matrix files; one row per row of ``docs``, read from the files, in the order of ids (null
+    first). A null or empty text is the end id alone."""
     return tokens.token_output(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
@@ -59,5 +79,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage_of in STAGES[:-1]:
-        docs = stage(stage_of(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, stage(stage_of(spark, docs, sf_dir), f"pipeline-{name}")
+        unstage(before)
     return STAGES[-1][1](spark, docs, sf_dir)
