@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -12,8 +13,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def append_history(events: DataFrame, path: str) -> None:
-    events.write.mode("append").partitionBy("event_type").parquet(path)
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def append_history(events: DataFrame, path: str, batch: str | None = None) -> None:
+    """Adds the events as the part ``batch`` (a new one by default). A part that is written again replaces itself."""
+    part = events.withColumn("batch", F.lit(batch or f"run-{uuid.uuid4().hex}"))
+    part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "event_type").parquet(path)
 
 
 def append_runs(rows: DataFrame, path: str) -> None:
@@ -25,8 +33,10 @@ def append_gazetteer(rows: DataFrame, path: str) -> None:
 
 
 def replace_snapshots(rows: DataFrame, path: str) -> None:
-    """Truncate and reload; one row per id."""
-    rows.dropDuplicates(["id"]).write.mode("overwrite").parquet(path)
+    """Truncate and reload; of rows that share an id, the one whose city, place and week come first stays."""
+    rest = F.struct(*[c for c in rows.columns if c != "id"])
+    one = rows.groupBy("id").agg(F.min_by(rest, F.struct("city", "neighbourhood", "snapshot_week", F.xxhash64(rest))).alias("r"))
+    one.select("id", "r.*").select(*rows.columns).write.mode("overwrite").parquet(path)
 
 
 class VersionedState:
@@ -37,20 +47,26 @@ class VersionedState:
         self.spark, self.root = spark, root.rstrip("/")
 
     def current_path(self) -> str | None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/pointer")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return None
-        last = self.spark.read.schema("version long, name string").json(f"{self.root}/pointer").orderBy("version", ascending=False).first()
+        last = self._named().orderBy("version", ascending=False).first()
         return f"{self.root}/{last['name']}" if last else None
 
+    def _named(self) -> DataFrame:
+        schema = "version long, name string, batch string"
+        there = exists(self.spark, f"{self.root}/pointer")
+        return self.spark.read.schema(schema).json(f"{self.root}/pointer") if there else self.spark.createDataFrame([], schema)
+
+    def holds(self, batch: str) -> bool:
+        """Whether a version that names this batch was published."""
+        return self._named().where(F.col("batch") == batch).limit(1).count() > 0
+
     def read(self, schema: T.StructType) -> DataFrame:
         path = self.current_path()
         return self.spark.read.schema(schema).parquet(path) if path else self.spark.createDataFrame([], schema)
 
-    def publish(self, state: DataFrame) -> str:
+    def publish(self, state: DataFrame, batch: str | None = None) -> str:
         last = self.current_path()
         version = int(last.rsplit("/version=", 1)[1].split("-")[0]) + 1 if last else 0
         name = f"version={version}-{uuid.uuid4().hex[:8]}"
         state.write.partitionBy("listing_status").parquet(f"{self.root}/{name}")
-        self.spark.createDataFrame([(version, name)], "version long, name string").coalesce(1).write.mode("append").json(f"{self.root}/pointer")
+        self.spark.createDataFrame([(version, name, batch)], "version long, name string, batch string").coalesce(1).write.mode("append").json(f"{self.root}/pointer")
         return f"{self.root}/{name}"

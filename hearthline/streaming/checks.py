@@ -9,39 +9,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hearthline.operators.verify import apply_checks
-from hearthline.sources.tables import VersionedState, append_history
+from hearthline.sources.tables import VersionedState, append_history, exists
 
 
-def checks_writer(store: VersionedState, schema, history_path: str, applied_path: str, now: Callable[[], str]):
-    """A foreachBatch function. The ids of applied batches are kept beside the state, so a batch that is given again
-    after a restart changes nothing. Of several results for a listing in one batch the last by ``checked_at`` stands,
+def checks_writer(store: VersionedState, schema, history_path: str, now: Callable[[], str]):
+    """A foreachBatch function. A batch's events are a part of the history of its own, which replaces itself, and the
+    state's pointer names the batch, as the last thing written: a batch that fails anywhere before is done anew from the
+    old state and the other batches' history, and one that is given again after that changes nothing. Of several results for a listing in one batch the last by ``checked_at`` stands,
     if that column is there."""
 
     def apply_checks_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            done = spark.read.schema("batch_id long").json(applied_path).where(F.col("batch_id") == batch_id).limit(1).count()
-        except Exception as fault:
-            if "PATH_NOT_FOUND" not in str(fault):
-                raise
-            done = 0
-        if done:
+        spark, name = batch.sparkSession, f"checks-{batch_id}"
+        if store.holds(name):
             return
         order = "checked_at" if "checked_at" in batch.columns else "listing_id"
         rest = [c for c in batch.columns if c != "listing_id"]
         last = batch.groupBy("listing_id").agg(F.max_by(F.struct(*rest), order).alias("r")).select("listing_id", "r.*")
-        try:
-            history = spark.read.parquet(history_path)
-        except Exception as fault:
-            if "PATH_NOT_FOUND" not in str(fault):
-                raise
+        if exists(spark, history_path):
+            history = spark.read.parquet(history_path).where(F.col("batch") != name)
+        else:
             history = spark.createDataFrame([], "listing_id long, event_type string, old_value long, new_value long")
         out = apply_checks(store.read(schema), history, last, now=now())
-        out.events.persist()
-        append_history(out.events, history_path)
-        store.publish(out.state)
-        out.events.unpersist()
-        spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1).write.mode("append").json(applied_path)
+        append_history(out.events, history_path, name)
+        store.publish(out.state, name)
 
     return apply_checks_batch
 

@@ -237,7 +237,7 @@ def test_state_versions_and_stream(spark, tmp_path):
     append_history(spark.createDataFrame([(1, "PRICE_CHANGE", 9, 5, dt.date(2024, 1, 1), None)], "listing_id long, event_type string, old_value long, new_value long, event_date date, notes string"), past)
     kind = "listing_id long, source string, external_id string, is_removed boolean, observed_price long, error string"
     spark.createDataFrame([(1, "a", "x1", True, None, None), (2, "a", "x2", False, 70, None)], kind).write.json(str(tmp_path / "in"))
-    write = checks_writer(store, schema, past, str(tmp_path / "applied"), lambda: NOW)
+    write = checks_writer(store, schema, past, lambda: NOW)
     q = stream_checks(spark.readStream.schema(kind).json(str(tmp_path / "in")), write, str(tmp_path / "cp"))
     q.processAllAvailable()
     q.stop()
@@ -245,3 +245,75 @@ def test_state_versions_and_stream(spark, tmp_path):
     assert out == {1: ("REMOVED", True, 100), 2: ("ACTIVE", False, 70)}
     write(spark.createDataFrame([(2, "a", "x2", True, None, None)], kind), 0)  # batch 0 again
     assert store.read(schema).where("id = 2").first().listing_status == "ACTIVE" and spark.read.parquet(past).count() == 3
+
+
+@pytest.mark.parametrize("where", ["before the events", "after the events", "after the version", "after the pointer"])
+def test_a_batch_that_failed_on_its_way_is_applied_once(spark, tmp_path, monkeypatch, where):
+    from hearthline.streaming import checks
+
+    schema, past = spark.createDataFrame([], STATE).schema, str(tmp_path / "history")
+    store = VersionedState(spark, str(tmp_path / "state"))
+    store.publish(spark.createDataFrame([listing(1, price=100), listing(2, price=80)], STATE))
+    kind = "listing_id long, source string, external_id string, is_removed boolean, observed_price long, error string"
+    batch = spark.createDataFrame([(1, "a", "x1", False, 70, None), (2, "a", "x2", True, None, None)], kind)
+    write = checks_writer(store, schema, past, lambda: NOW)
+
+    def broken(f, then):
+        def run(*a, **k):
+            if then:
+                f(*a, **k)
+            raise OSError("lost")
+
+        return run
+
+    with monkeypatch.context() as m:
+        if where == "before the events":
+            m.setattr(checks, "append_history", broken(checks.append_history, False))
+        elif where == "after the events":
+            m.setattr(checks, "append_history", broken(checks.append_history, True))
+        elif where == "after the version":
+            m.setattr(spark, "createDataFrame", broken(spark.createDataFrame, False), raising=False)
+        else:
+            m.setattr(store, "publish", broken(store.publish, True))
+        with pytest.raises(OSError):
+            write(batch, 3)
+    write(batch, 3)
+    write(batch, 3)
+    out = {r.id: (r.listing_status, r.suspected_sold, r.price_kobo) for r in store.read(schema).collect()}
+    assert out == {1: ("ACTIVE", False, 70), 2: ("REMOVED", False, 80)}
+    assert sorted((r.listing_id, r.event_type, r.new_value) for r in spark.read.parquet(past).collect()) == [(1, "PRICE_CHANGE", 70), (2, "REMOVED", None)]
+    write(spark.createDataFrame([(1, "a", "x1", True, None, None)], kind), 4)
+    assert store.read(schema).where("id = 1").first().suspected_sold and spark.read.parquet(past).count() == 3
+
+
+def test_sinks(spark, tmp_path):
+    from hearthline.schemas import SCRAPE_RUNS
+    from hearthline.sources import tables
+
+    day = dt.date(2024, 1, 1)
+    snaps = [("i", "B", "n", day, 2.0), ("i", "A", "n", day, 1.0), ("j", "A", "m", day, 3.0)]
+    df = spark.createDataFrame(snaps, "id string, city string, neighbourhood string, snapshot_week date, p25 double")
+    for _ in range(2):  # the second reload replaces the first
+        tables.replace_snapshots(df.repartition(3), str(tmp_path / "snap"))
+    assert sorted((r.id, r.city) for r in tables.read_table(spark, str(tmp_path / "snap")).collect()) == [("i", "A"), ("j", "A")]
+    run = spark.createDataFrame([(None, dt.datetime(2024, 3, 1), "a", 3, 1, 0, 2, "SUCCESS", None, None)], SCRAPE_RUNS)
+    for _ in range(2):
+        tables.append_runs(run, str(tmp_path / "runs"))
+    assert tables.read_table(spark, str(tmp_path / "runs"), SCRAPE_RUNS).count() == 2
+    place = spark.createDataFrame([("Lekki", "LAGOS", 6.4, 3.5)], "neighbourhood string, city string, lat double, lng double")
+    tables.append_gazetteer(place, str(tmp_path / "gaz"))
+    assert tables.read_table(spark, str(tmp_path / "gaz")).first().lat == 6.4
+
+
+def test_one_written_join_gives_all_outputs(spark, tmp_path):
+    state, seen = frames(spark, [listing(1), listing(2, price=450)], [obs(1), obs(2, price=400), obs(9)])
+    plain, written = upsert.upsert(state, seen, now=NOW), upsert.upsert(state, seen, now=NOW, joined_path=str(tmp_path / "joined"))
+    for a, b in ((plain.state, written.state), (plain.events, written.events), (plain.stats, written.stats)):
+        assert a.schema == b.schema and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert "FileScan parquet" in written.events._jdf.queryExecution().toString() and "FullOuter" not in written.events._jdf.queryExecution().toString()
+
+
+def test_report_texts(spark):
+    stats = spark.createDataFrame([(3, 1, 2, 0, 0), (3, 1, 2, 0, 4)], "checked long, confirmed_removed long, confirmed_active long, price_changes long, errors long")
+    assert [r.lines.split("\n")[1:] for r in runlog.check_summary(stats).collect()] == [["Still active: 2", "Price changes: 0", "Confirmed removed: 1"], ["Still active: 2", "Price changes: 0", "Confirmed removed: 1", "Errors: 4"]]
+    assert len(spark.createDataFrame([("é" * 1500,)], "m string").select(runlog.crash_text(F.col("m")).alias("m")).first().m) == 1000
