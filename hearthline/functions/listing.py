@@ -41,6 +41,7 @@ def price_kobo(raw: Column) -> Column:
 
 def floor_area_sqm(raw: Column) -> Column:
     """Square metres as given, or from square feet to one digit (halves away from zero)."""
+    # The units' patterns and the factor.
     metres = F.regexp_replace(F.regexp_extract(raw, r"(?iU)([\d,]+\.?\d*)\s*(?:sqm|sq\.?\s*m\b|m²)", 1), ",", "")
     feet = F.regexp_replace(F.regexp_extract(raw, r"(?iU)([\d,]+\.?\d*)\s*(?:sqft|sq\.?\s*ft\b)", 1), ",", "")
     return F.when(metres != "", metres.try_cast("double")).when(feet != "", F.round(feet.try_cast("double") * 0.0929, 1))
@@ -62,11 +63,16 @@ def price_type(kind: Column, title: Column, description: Column) -> Column:
 
 def property_type(raw: Column, mapping=vocab.PROPERTY_TYPES) -> Column:
     """The mapped type of the whole text, else of the first entry that it contains, else the text itself as a name."""
-    key = strip(F.lower(raw))
-    exact, held = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for word, name in reversed(mapping):
-        exact, held = F.when(key == word, name).otherwise(exact), F.when(key.contains(word), name).otherwise(held)
-    return F.when(raw != "", F.coalesce(exact, held, F.substring(F.replace(F.upper(raw), F.lit(" "), F.lit("_")), 1, 40)))
+    names = F.create_map(*[F.lit(x) for entry in mapping for x in entry])
+    entries = F.array(*[F.struct(F.lit(word).alias("word"), F.lit(name).alias("name")) for word, name in mapping])
+
+    def named(key: Column) -> Column:
+        first = F.try_element_at(F.filter(entries, lambda e: key.contains(e["word"])), F.lit(1))
+        return F.coalesce(F.try_element_at(names, key), first["name"])
+
+    # within the array the cleaned text is worked out once
+    found = F.transform(F.array(strip(F.lower(raw))), named)[0]
+    return F.when(raw != "", F.coalesce(found, F.substring(F.replace(F.upper(raw), F.lit(" "), F.lit("_")), 1, 40)))
 
 
 def listing_type(raw: Column, title: Column, description: Column) -> Column:
@@ -92,5 +98,9 @@ def match_text(c: Column) -> Column:
 
 
 def noise_free(c: Column) -> Column:
-    out = F.regexp_replace(match_text(c), r"\b(" + "|".join(vocab.NOISE_WORDS) + r")\b", " ")
+    return without_noise(match_text(c))
+
+
+def without_noise(clean: Column) -> Column:
+    out = F.regexp_replace(clean, r"\b(" + "|".join(vocab.NOISE_WORDS) + r")\b", " ")
     return F.trim(F.regexp_replace(out, r"\s+", " "))

@@ -22,16 +22,22 @@ def typed(raw: DataFrame) -> DataFrame:
         L.price_type(F.col("raw_price_type"), F.col("title"), F.col("description")).alias("price_type"),
         L.listing_type(F.col("property_type_raw"), F.col("title"), F.col("description")).alias("property_type"),
         L.first_int(F.col("raw_bedrooms")).alias("bedrooms"), L.first_int(F.col("raw_bathrooms")).alias("bathrooms"),
-        area.try_cast("decimal(8,2)").alias("floor_area_sqm"), F.when(area.isNotNull(), "PORTAL").alias("floor_area_source"), "raw_address",
+        area.try_cast("decimal(8,2)").alias("floor_area_sqm"), F.when(area.isNotNull(), "PORTAL").otherwise("NONE").alias("floor_area_source"), "raw_address",
         L.city(F.col("raw_address"), F.col("title")).alias("city"), "agent_name", L.signal_flag(F.col("description")).alias("diaspora_targeted"), error.alias("normalise_error"),
     )
 
 
+def normalised(raw: DataFrame, vocabulary: list[str], *, fuzzy: bool = True) -> DataFrame:
+    """The whole typed row: place by each distinct address, no coordinates yet, and ``normalise_error``."""
+    rows = resolve_places(typed(raw), "raw_address", vocabulary, fuzzy=fuzzy)
+    nowhere = F.lit(None).cast("double")
+    return rows.withColumns({"lat": nowhere, "lng": nowhere, "geocoded": F.lit(False)})
+
+
 def normalise(raw: DataFrame, vocabulary: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantine): each distinct address is resolved once."""
-    rows = typed(raw)
-    good = rows.where("normalise_error is null").drop("normalise_error")
-    return resolve_places(good, "raw_address", vocabulary), rows.where("normalise_error is not null")
+    """(good, quarantine)."""
+    rows = normalised(raw, vocabulary)
+    return rows.where("normalise_error is null").drop("normalise_error"), rows.where("normalise_error is not null")
 
 
 def from_sources(raw: DataFrame, sources: list[str] | None) -> DataFrame:

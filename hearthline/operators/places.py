@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthline.functions.listing import match_text, noise_free
+from hearthline.functions.listing import match_text, noise_free, without_noise
 from hearthline.params import DEFAULT, Params
 from hearthline.vocab import NOISE_WORDS
 
@@ -53,7 +53,9 @@ def exact_places(addresses: DataFrame, address: str, vocabulary: list[str]) -> D
     """The distinct addresses with place_rank and place: tiers one and two, by column functions alone."""
     names = _literals(ranked(vocabulary))
     d = addresses.where(F.col(address) != "").select(address).distinct()
-    d = d.withColumn("_clean", match_text(F.col(address))).withColumn("_bare", noise_free(F.col(address)))
+    # a row number, always at least 0, keeps later filters above this step: they would run once a row, below the distinct
+    d = d.withColumn("_clean", F.when(F.monotonically_increasing_id() >= 0, match_text(F.col(address))))
+    d = d.withColumn("_bare", F.when(F.monotonically_increasing_id() >= 0, without_noise(F.col("_clean"))))
     one = F.try_element_at(F.filter(names, lambda v: (v["clean"] != "") & F.col("_clean").contains(v["clean"])), F.lit(1))
     two = F.try_element_at(F.filter(names, lambda v: (F.length(v["bare"]) > 2) & (F.col("_bare") != "") & F.col("_bare").contains(v["bare"])), F.lit(1))
     found = F.coalesce(one, two)

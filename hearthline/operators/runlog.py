@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions.time import moment, seconds_between
@@ -62,3 +62,16 @@ def run_summary(runs: DataFrame) -> DataFrame:
         F.count_if(F.col("status") != "SUCCESS").alias("non_success"), F.format_string("%dm %ds", F.floor(seconds / 60).cast("bigint"), F.pmod(seconds, F.lit(60))).alias("duration"),
         F.array_join(F.sort_array(F.collect_list("_line")), "\n").alias("lines"),
     )
+
+
+def check_summary(stats: DataFrame) -> DataFrame:
+    """The counts of a verification run, and the lines of its report; errors have a line only if there are any."""
+    line = lambda label, c: F.concat(F.lit(f"{label}: "), F.col(c).cast("string"))
+    errors = F.when(F.col("errors") > 0, line("Errors", "errors"))
+    lines = F.concat_ws("\n", line("URLs checked", "checked"), line("Still active", "confirmed_active"), line("Price changes", "price_changes"), line("Confirmed removed", "confirmed_removed"), errors)
+    return stats.select("checked", "confirmed_active", "price_changes", "confirmed_removed", "errors", lines.alias("lines"))
+
+
+def crash_text(message: Column) -> Column:
+    """A fault's message as reported: its first 1,000 characters."""
+    return F.substring(message, 1, 1000)

@@ -55,12 +55,16 @@ def _joined(state: DataFrame, obs: DataFrame, scraped: Column, seq: str) -> Data
     return j.withColumn("case", case)
 
 
-def upsert(state: DataFrame, obs: DataFrame, *, now, scraped_sources: list[str] | None = None, relist: bool = False, seq: str = "seq") -> UpsertResult:
+def upsert(state: DataFrame, obs: DataFrame, *, now, scraped_sources: list[str] | None = None, relist: bool = False, seq: str = "seq", joined_path: str | None = None) -> UpsertResult:
     """state: the new version; events: (source, external_id, event_type, old_value, new_value, event_date, notes);
     stats: one row per source and a total (source null). With ``relist``, a removed listing that is seen again becomes
-    active and emits RELISTED; without, only its last_seen_at moves and LISTED is emitted again."""
+    active and emits RELISTED; without, only its last_seen_at moves and LISTED is emitted again. Each of the three is a plan of its own over the
+    join; with ``joined_path``, the join is written there once and all three read it."""
     at = moment(now)
     j = _joined(state, obs, F.lit(True) if scraped_sources is None else F.col("source").isin(*scraped_sources), seq)
+    if joined_path:
+        j.write.mode("overwrite").parquet(joined_path)
+        j = j.sparkSession.read.schema(j.schema).parquet(joined_path)
     case, s, o = F.col("case"), lambda c: F.col(f"s.{c}"), lambda c: F.col(f"o.{c}")
     carried = {c for c in obs.columns if c not in KEYS}
     fixed = {

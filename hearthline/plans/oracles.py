@@ -122,9 +122,14 @@ SELECT md5(concat(neighbourhood, strftime(week, '%Y-%m-%d'))) AS id, city, neigh
     out["property_type"] = f"{RAW} SELECT external_id, {PROPERTY} AS property_type FROM raw_t"
     out["infer_city"] = f"{RAW} SELECT external_id, {CITY} AS city FROM raw_t"
     out["audience_flag"] = f"{RAW} SELECT external_id, {FLAG} AS diaspora_targeted FROM raw_t"
-    out["normalise_listings"] = f"""{RAW} SELECT external_id, source, url, title, description, {PRICE} AS price_kobo, ({PRICE}) IS NULL AS price_parse_failed, {PRICE_TYPE} AS price_type, {PROPERTY} AS property_type,
- {_int('raw_bedrooms')} AS bedrooms, {_int('raw_bathrooms')} AS bathrooms, {AREA} AS floor_area_sqm, CASE WHEN ({AREA}) IS NOT NULL THEN 'PORTAL' END AS floor_area_source, raw_address, {CITY} AS city, agent_name,
- {FLAG} AS diaspora_targeted, CASE WHEN regexp_matches(regexp_extract(raw_floor_area, '(?i)([\\d,]+\\.?\\d*)\\s*(?:sqm|sqft)', 1), '^,+$') THEN 'unreadable floor area' END AS normalise_error FROM raw_t"""
+    out["normalise_listings"] = f"""{RAW}, {_names(vocab.SAMPLE_PLACES)}, {_places('raw_v')} SELECT external_id, source, url, title, description, {PRICE} AS price_kobo, ({PRICE}) IS NULL AS price_parse_failed, {PRICE_TYPE} AS price_type, {PROPERTY} AS property_type,
+ {_int('raw_bedrooms')} AS bedrooms, {_int('raw_bathrooms')} AS bathrooms, {AREA} AS floor_area_sqm, CASE WHEN ({AREA}) IS NOT NULL THEN 'PORTAL' ELSE 'NONE' END AS floor_area_source, raw_address, {CITY} AS city, agent_name,
+ coalesce(place, left(nullif(raw_address, ''), 60)) AS neighbourhood, place IS NOT NULL AS neighbourhood_normalised, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lng, FALSE AS geocoded,
+ {FLAG} AS diaspora_targeted, CASE WHEN regexp_matches(regexp_extract(raw_floor_area, '(?i)([\\d,]+\\.?\\d*)\\s*(?:sqm|sqft)', 1), '^,+$') THEN 'unreadable floor area' END AS normalise_error FROM raw_t LEFT JOIN found USING (raw_address)"""
+    out["successful_sources"] = f"{with_views('runs_v')} SELECT DISTINCT source FROM runs_v WHERE status = 'SUCCESS' AND new_listings > 0"
+    out["total_listings"] = f"{with_views('listings_v')} SELECT count(*) AS total_listings FROM listings_v"
+    out["concatenated_feeds"] = f"{with_views('raw_v')} SELECT source, external_id, url FROM raw_v WHERE source IN ('alpha', 'gamma') UNION ALL SELECT source, external_id, url FROM raw_v WHERE source = 'alpha'"
+    out["error_alerts"] = f"{with_views('fetch_v')} SELECT listing_id, left(body, 1000) AS message FROM fetch_v"
     out["neighbourhood_exact"] = f"""{with_views('raw_v')}, {_names(vocab.SAMPLE_PLACES)}, {_places('raw_v')}
 SELECT r.raw_address, external_id, coalesce(place, left(nullif(r.raw_address, ''), 60)) AS neighbourhood, place IS NOT NULL AS neighbourhood_normalised FROM raw_v r LEFT JOIN found USING (raw_address)"""
     out["dedup_last"] = f"{with_views('obs_v')}, {_LAST} SELECT * FROM last"
@@ -160,6 +165,8 @@ SELECT id, source, external_id, url, first_seen_at, price_kobo, ratio, rank, CAS
  CASE WHEN gone THEN 'confirmed removed by health checker' ELSE 'detected by health checker' END AS notes FROM ck2 WHERE gone OR repriced"""
     out["check_stats"] = f"""{CHECKS} SELECT count(*) FILTER (checked) AS checked, count(*) FILTER (gone) AS confirmed_removed, count(*) FILTER (live) AS confirmed_active, count(*) FILTER (repriced) AS price_changes,
  (SELECT count(*) FROM res WHERE error IS NOT NULL) AS errors FROM ck2"""
+    out["check_summary"] = f"""WITH st AS ({out["check_stats"]}) SELECT checked, confirmed_active, price_changes, confirmed_removed, errors, concat('URLs checked: ', checked, chr(10), 'Still active: ', confirmed_active, chr(10),
+ 'Price changes: ', price_changes, chr(10), 'Confirmed removed: ', confirmed_removed, CASE WHEN errors > 0 THEN concat(chr(10), 'Errors: ', errors) ELSE '' END) AS lines FROM st"""
     out["next_check_backfill"] = f"""{with_views('listings_v')} SELECT id, CASE WHEN next_health_check_at IS NULL AND last_health_check_at IS NOT NULL THEN
  {_cohort('first_seen_at >= last_health_check_at - INTERVAL 14 DAY', 'first_seen_at >= last_health_check_at - INTERVAL 60 DAY', 'last_health_check_at')} ELSE next_health_check_at END AS next_health_check_at FROM listings_v"""
     out["suspected_sold"] = f"{with_views('listings_v', 'history_v')} SELECT id, coalesce({_DAYS} >= 30, TRUE) AND d.listing_id IS NOT NULL AS suspected_sold FROM listings_v LEFT JOIN ({_DROPPED}) d ON d.listing_id = id"

@@ -12,7 +12,7 @@ from hearthline.functions import listing as L
 from hearthline.functions import web
 from hearthline.operators import backfill as B
 from hearthline.operators import extract, feeds, gazetteer, places, runlog, snapshots, upsert, verify
-from hearthline.operators.normalise import from_sources, typed
+from hearthline.operators.normalise import concatenate, from_sources, normalised
 from hearthline.sources.adapters import NOW, view
 
 #: For the order-based views, names made by rule.
@@ -79,8 +79,8 @@ def audience_flag(s, d):
 
 @query
 def normalise_listings(s, d):
-    """Good and quarantined rows in one table; the place comes from ``neighbourhood_exact`` and ``neighbourhood_fuzzy``."""
-    out = typed(view(s, d, "raw_v"))
+    """Good and quarantined rows in one table, with the place by tiers one and two; the others are ``neighbourhood_fuzzy``."""
+    out = normalised(view(s, d, "raw_v"), list(vocab.SAMPLE_PLACES), fuzzy=False)
     return out.withColumn("floor_area_sqm", C("floor_area_sqm").cast("double"))
 
 
@@ -185,6 +185,11 @@ def check_stats(s, d):
     return _checks(s, d).stats
 
 
+@query
+def check_summary(s, d):
+    return runlog.check_summary(_checks(s, d).stats)
+
+
 @query
 def next_check_backfill(s, d):
     return verify.backfill_next_check(view(s, d, "listings_v")).select("id", "next_health_check_at")
@@ -216,6 +221,27 @@ def run_log(s, d):
     return out.withColumn("duration_seconds", C("duration_seconds").cast("double"))
 
 
+@query
+def successful_sources(s, d):
+    return upsert.successful_sources(view(s, d, "runs_v").withColumn("raw_count", C("new_listings")))
+
+
+@query
+def total_listings(s, d):
+    return runlog.total_listings(view(s, d, "listings_v"))
+
+
+@query
+def concatenated_feeds(s, d):
+    raw = view(s, d, "raw_v").select("source", "external_id", "url")
+    return concatenate(from_sources(raw, ["alpha"]), from_sources(raw, ["gamma"]), from_sources(raw, ["alpha"]))
+
+
+@query
+def error_alerts(s, d):
+    return view(s, d, "fetch_v").select("listing_id", runlog.crash_text(C("body")).alias("message"))
+
+
 @query
 def quality_ratios(s, d):
     rows = gazetteer.enrich(view(s, d, "listings_v").select("neighbourhood", "city", "price_parse_failed"), view(s, d, "gaz_v"))

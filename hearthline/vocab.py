@@ -80,7 +80,8 @@ REMOVAL_PHRASES = (
     "the page you are looking for",
 )
 
-#: A small sample of place names; the full vocabulary is the user's own table (name, in order of preference).
+#: A small sample of place names, with which results are compared; the full vocabulary is the user's own
+#: table (name, in order of preference).
 SAMPLE_PLACES = (
     "Lekki Phase 1", "Lekki Phase 2", "Osapa London", "Osapa", "Pinnock Beach Estate", "Sangotedo", "Ago Palace", "Okota", "Shomolu", "Ajah",
     "Surulere", "Yaba", "Ikeja", "Maitama", "Asokoro", "Wuse 2", "Wuse", "Gwarinpa", "Mabushi", "Guzape", "Gaduwa", "Asaba", "Ibeju-Lekki",
