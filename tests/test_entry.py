@@ -40,7 +40,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_entry_imports_without_the_text_folder(tmp_path):
-    for f in ("__spark_entry__.py", "hearthline"):
+    for f in ("__spark_entry__.py", "corpus_pipeline.py", "hearthline"):
         subprocess.run(["cp", "-r", str(REPO / f), str(tmp_path)], check=True)
     subprocess.run([sys.executable, "-c", f"import shutil; shutil.rmtree({str(tmp_path / 'hearthline/llm')!r}, ignore_errors=True)"], check=True)
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not [x for x in q if x.startswith('op') or x == 'pipeline']; assert set(e.oracle_sql()) <= set(q)"
