@@ -25,18 +25,21 @@ def _number(c: Column) -> Column:
 
 def price_kobo(raw: Column) -> Column:
     """struct<kobo, failed>: a price text in hundredths, cut off; failed also if there is no text."""
-    text = strip(F.regexp_replace(F.regexp_replace(raw, "[,₦N]", ""), "naira", ""))
-    head = text.substr(F.lit(1), F.length(text) - 1)
-    millions, first = F.regexp_extract(text, r"(?iU)([\d.]+)\s*million", 1), F.regexp_extract(text, r"(?U)[\d.]+", 0)
-    value = (
-        F.when(strip(raw) == "", None)
-        .when(text.rlike(r"(?U)\d[mM]$"), _number(head) * 1e6 * 100)
-        .when(text.rlike("[bB]$"), _number(head) * 1e9 * 100)
-        .when(millions != "", _number(millions) * 1e6 * 100)
-        .when(first != "", _number(first) * 100)
-    )
-    kobo = value.try_cast("bigint")
-    return F.struct(kobo.alias("kobo"), kobo.isNull().alias("failed"))
+    def value(text: Column) -> Column:
+        head = text.substr(F.lit(1), F.length(text) - 1)
+        millions, first = F.regexp_extract(text, r"(?iU)([\d.]+)\s*million", 1), F.regexp_extract(text, r"(?U)[\d.]+", 0)
+        found = (
+            F.when(text.rlike(r"(?U)\d[mM]$"), _number(head) * 1e6 * 100)
+            .when(text.rlike("[bB]$"), _number(head) * 1e9 * 100)
+            .when(millions != "", _number(millions) * 1e6 * 100)
+            .when(first != "", _number(first) * 100)
+        )
+        return found.try_cast("bigint")
+
+    text = F.when(strip(raw) != "", strip(F.regexp_replace(F.regexp_replace(raw, "[,₦N]", ""), "naira", "")))
+    # each step's array holds what the next one reads several times, so it is worked out once
+    kobo = F.transform(F.array(text), value)
+    return F.transform(kobo, lambda k: F.struct(k.alias("kobo"), k.isNull().alias("failed")))[0]
 
 
 def floor_area_sqm(raw: Column) -> Column:
