@@ -5,7 +5,7 @@ hash of the URL, in full-batch steps on the driver, so that reruns agree. A rule
 the path starts with the rule's; of several the longest stands (then the one that sorts first).
 
 Edge cases: a null URL or one without ``://`` has an empty host and path and is judged by the regression (its bias
-alone); without labels of both kinds the regression allows; rows that repeat an id are judged each; an empty table
+alone); without labels of both kinds the regression allows; rows that repeat an id are judged each, very long URLs whole; an empty table
 gives an empty result; other columns are not read.
 """
 
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.textbytes import U64, mix, utf8
+from hearthline.llm.textbytes import U64, mix
 
 #: (host, path, blocks)
 Rules = tuple[tuple[str, str, bool], ...]
@@ -45,22 +45,18 @@ def rule_for(host: Column, path: Column, rules: Rules) -> Column:
 
 
 def features(hosts: pa.Array, paths: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of all n-grams of `` host `` and of `` path ``, the two told apart."""
+    """(row, bucket) of all character n-grams of `` host `` and of `` path ``, the two told apart."""
     rows, buckets = [], []
     for kind, column in enumerate((hosts, paths)):
-        data, offsets = utf8(column)
-        data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
-        n = len(offsets) - 1
-        text = np.full(len(data) + 2 * n, 0x20, np.uint8)
-        row = np.repeat(np.arange(n), np.diff(offsets))
-        text[np.arange(len(data)) + 2 * row + 1] = data
-        at = np.repeat(np.arange(n), np.diff(offsets) + 2)
+        texts = column.to_pylist()
+        text = np.frombuffer("".join(f" {t} " for t in texts).encode("utf-32-le"), "<u4").astype(U64)
+        at = np.repeat(np.arange(len(texts)), [len(t) + 2 for t in texts])
         for size in SIZES:
             if len(text) < size:
                 continue
             key = np.full(len(text) - size + 1, 10 * size + kind, U64)
             for j in range(size):
-                key = key * U64(257) + text[j : len(text) - size + 1 + j]
+                key = key * U64(0x9E3779B97F4A7C15) + text[j : len(text) - size + 1 + j]
             inside = at[: len(key)] == at[size - 1 :]
             rows.append(at[: len(key)][inside])
             buckets.append((mix(key[inside]) & U64(BUCKETS - 1)).astype(np.int64))
