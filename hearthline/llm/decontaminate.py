@@ -6,8 +6,10 @@ automaton over all items' pieces) give the places, and Myers' bit-parallel dista
 for an edit is one whole piece; it must not stand within a longer word (scripts that write words without blanks have
 no such borders).
 
-Edge cases: null or empty texts and items match nothing; equal items are reported each; ids may repeat (one row per document row and item); an empty table of
-either kind gives an empty result; other columns are not read.
+Edge cases: null or empty texts and items match nothing; equal items are reported each; ids may repeat (one row per
+document row and item) or be null; of several places with the fewest edits the first is told; a very long text is
+searched whole, with memory in proportion to it; an empty table of either kind gives an empty result; other columns are
+not read.
 """
 
 from __future__ import annotations

@@ -5,8 +5,9 @@ mixture of languages: expectation-maximisation estimates the proportions from it
 the nested sets of its most likely languages the one with the best penalised likelihood is kept.
 
 Edge cases: null, empty or letterless text is ``und`` with score 0; without any labelled document every text is
-``und``; equal proportions go to the language that sorts first; ids may be null or repeat; other columns of the
-table are not read. More than ``MAX_LANGUAGES`` labels raise a ValueError, for the model is broadcast.
+``und``; equal proportions go to the language that sorts first; ids may be null or repeat; a very long text is worked on
+alone; an empty table gives an empty result; other columns of the table are not read. The model, which is broadcast,
+has 64 KB a label; texts are worked on in slices that are the smaller the more labels there are.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.textbytes import LOWER, slices, utf8
+from hearthline.llm.textbytes import LOWER, SLICE_BYTES, slices, utf8
 
 BUCKETS = 1 << 14
-MAX_LANGUAGES = 512
+#: Labels up to which slices of text have their full size.
+FEW_LANGUAGES = 16
 ROUNDS = 12
 #: Log-likelihood that each further language must bring, times the log of the document's trigrams.
 PENALTY = 8.0
@@ -81,9 +83,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     """Languages in order, and log frequencies [bucket, language]. Counts cover all rows; what comes to the driver is
     at most BUCKETS numbers a language."""
     labelled = labelled.where(F.col(lang_col).isNotNull() & has_letter(F.col(text_col))).select(text_col, F.col(lang_col).cast("string"))
-    names = sorted(r[0] for r in labelled.select(lang_col).distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    names = sorted(r[0] for r in labelled.select(lang_col).distinct().collect())
     counts = labelled.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros((BUCKETS, max(1, len(names))))
     if counts.num_rows:
@@ -155,7 +155,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
             data, offsets = utf8(batch.column(n - 2))
             some = np.array(batch.column(n - 1).to_pylist(), bool)
             share = np.zeros((batch.num_rows, table.shape[1]))
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, SLICE_BYTES * FEW_LANGUAGES // max(FEW_LANGUAGES, table.shape[1])):
                 share[i:j] = mixtures(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], table)
             known = some & (share.max(1) > 0) & bool(names)
             best = share.argmax(1)

@@ -332,6 +332,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     label = near_duplicates(rows, row, text_col, percent).select(F.col(row).alias("_gone"), "component_id")
     label = stage(label.join(rows.select(F.col(row).alias("_gone"), F.col(id_col).cast("long").alias("_id")), "_gone"), "near-labels")
     first = F.min(F.struct(F.col("_id").isNull().alias("last"), "_id", "_gone"))["_gone"]
-    groups = label.groupBy("component_id").agg(first.alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    gone = stage(label.join(groups, "component_id").where("_gone <> _first").select("_gone"), "near-gone")
+    groups = stage(label.groupBy("component_id").agg(first.alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "near-groups")
+    gone = stage(keyed_join(label, groups, "component_id", "inner").where("_gone <> _first").select("_gone"), "near-gone")
+    unstage(label, groups)
     return keyed_join(rows, gone, rows[row] == gone["_gone"], "left_anti").drop(row)

@@ -125,7 +125,7 @@ def scans_fully(rule: Rule) -> bool:
 
 def postings(docs: DataFrame, grams: list[bytes]) -> DataFrame:
     """(gram, id): from (id, text), where each of the given trigrams occurs; gram is its place in the list."""
-    mark = np.zeros(1 << 24, np.uint8)
+    mark = np.zeros(1 << 24, np.uint16)
     for k, g in enumerate(grams, 1):
         mark[g[0] << 16 | g[1] << 8 | g[2]] = k
 
@@ -139,11 +139,11 @@ def postings(docs: DataFrame, grams: list[bytes]) -> DataFrame:
                 hit = mark[(low[:-2] << np.uint32(16)) | (low[1:-1] << np.uint32(8)) | low[2:]]
                 at = np.flatnonzero(hit)
                 row = np.searchsorted(offsets[i : j + 1] - offsets[i], at, "right") - 1
-                pair = np.unique(row * 256 + hit[at])
-                yield pa.RecordBatch.from_arrays([pa.array((pair % 256 - 1).astype(np.int32)), batch.column(0).slice(i, j - i).take(pa.array(pair // 256))], ["gram", "id"])
+                pair = np.unique(row * 65536 + hit[at])
+                yield pa.RecordBatch.from_arrays([pa.array((pair % 65536 - 1).astype(np.int32)), batch.column(0).slice(i, j - i).take(pa.array(pair // 65536))], ["gram", "id"])
 
-    if len(grams) > 255:
-        raise ValueError("more than 255 trigrams")
+    if len(grams) > 65_535:
+        raise ValueError("more than 65,535 trigrams in the rules")
     return docs.mapInArrow(run, "gram int, id long")
 
 

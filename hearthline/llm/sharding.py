@@ -6,7 +6,7 @@ claimed. Shards so hold equal numbers of slots within one, and a shard's leaving
 slot is its id's hash modulo the table's size; the table, of fixed size, is broadcast, so placing is one lookup.
 
 Edge cases: a null id is placed as the text ``null``; rows that repeat an id share its shard; one shard takes all; an
-empty table gives an empty result; other columns are kept.
+empty table gives an empty result; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.llm.staging import fresh
+
 SLOTS = 5003
 SHARDS = tuple(f"shard-{k:02d}" for k in range(16))
 
@@ -56,12 +58,14 @@ def lookup_table(spark: SparkSession, shards=SHARDS, slots: int = SLOTS) -> Data
 
 
 def place(docs: DataFrame, id_col: str = "doc_id", shards=SHARDS, slots: int = SLOTS, slot_name: str = "slot", shard_name: str = "shard") -> DataFrame:
-    """The rows with their slot and shard."""
-    table = lookup_table(docs.sparkSession, shards, slots).toDF(slot_name, shard_name)
-    return docs.withColumn(slot_name, slot_of(F.col(id_col), slots)).join(F.broadcast(table), slot_name)
+    """The rows with their slot and shard, in columns of these names, or of these and underscores where they are taken."""
+    slot, shard = fresh(docs, slot_name), fresh(docs, shard_name)
+    table = lookup_table(docs.sparkSession, shards, slots).toDF(slot, shard)
+    return docs.withColumn(slot, slot_of(F.col(id_col), slots)).join(F.broadcast(table), slot).select(*docs.columns, slot, shard)
 
 
 def write_sharded(docs: DataFrame, path: str, id_col: str = "doc_id", shards=SHARDS, slots: int = SLOTS) -> None:
     """Writes the rows in one folder per shard; slots spread each shard over many tasks, so none meets a shard alone."""
     placed = place(docs, id_col, shards, slots, "_slot", "_shard")
-    placed.repartition("_slot").drop("_slot").write.partitionBy("_shard").parquet(path)
+    slot, shard = placed.columns[-2:]
+    placed.repartition(slot).drop(slot).write.partitionBy(shard).parquet(path)
