@@ -6,7 +6,7 @@ to that border, and sets of moves by the expected sum of squares for their ranks
 all tables are merged and ranked by exact distance.
 
 Rows are hashed once and lie in blocks of about BLOCK_ROWS, ordered by their first bucket, so that near rows share few
-blocks. Queries' probes meet the list of buckets and their blocks in an equi-join; a query goes to the blocks that hold
+blocks. Queries' probes meet the buckets, each with the list of its blocks, in an equi-join; a query goes to the blocks that hold
 any bucket it visits, and there meets the rows of these buckets alone. Queries that find fewer than k go to all blocks
 and meet all rows.
 
@@ -184,8 +184,10 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col
     n = queries.count()
     if not n:
         return empty
-    buckets = index.select("block", F.posexplode("keys").alias("t", "bucket")).distinct()
-    visits = queries.mapInArrow(visited, "query_id long, t int, bucket long").join(buckets, ["t", "bucket"]).select("query_id", "block").distinct()
+    # a bucket has the list of its blocks, so that the join makes no more rows than there are probes
+    buckets = index.select("block", F.posexplode("keys").alias("t", "bucket")).groupBy("t", "bucket").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
+    visits = queries.mapInArrow(visited, "query_id long, t int, bucket long").join(buckets, ["t", "bucket"])
+    visits = visits.groupBy("query_id").agg(F.array_distinct(F.flatten(F.collect_set("blocks"))).alias("blocks")).select("query_id", F.explode("blocks").alias("block"))
     visits = stage(visits, "near-visits")
     found = stage(_ranked(_search(index, visits, queries, n, dim, k, hashes), k), "near-found")
     unstage(visits)
