@@ -182,14 +182,37 @@ def label_sibling(root, tag, label, suffix=""):
         if n.text().lower() == label.lower():
             own = [x for x in n.siblings() if x.tag == tag]
             before = own[: own.index(n)]
+            inside = [x for x in n.parent.walk() if x.tag == tag] if n.parent else []
             if before:
                 return before[-1].text() + suffix
+            if len(inside) == 2:
+                return inside[0].text() + suffix
     return None
 
 
-def contains_any(root, tags, words, below=150, not_in=None):
-    skip = first(root, not_in) if not_in else None
-    return next((t for n in _named(root, tags) if (t := n.text()) and len(t) < below and any(w in t.lower() for w in words) and not (skip and t in skip)), None)
+def first_with(root, path, words):
+    """The first match, if it holds one of the words."""
+    found = select(root, path)
+    return found[0].text() if found and any(w in found[0].text().lower() for w in words) else None
+
+
+def contains_any(root, tags, words, below=None, not_in=(), parent=None):
+    """The first text with one of the words that is not a part of the title, which is the first of ``not_in`` with text."""
+    title = next((t for path in not_in if (t := first(root, path))), "")
+    for n in _named(root, tags):
+        t = n.text()
+        if t and (below is None or len(t) < below) and any(w in t.lower() for w in words) and t not in title and parent in (None, n.parent and n.parent.tag):
+            return t
+    return None
+
+
+def marked_box(root, tag, hints, holds, words):
+    """The first ``holds[-1]`` of a box whose classes have all hints and in which all of ``holds`` stand."""
+    for box in _named(root, tag):
+        inside = [next((x for x in box.walk() if x.tag == h), None) for h in holds]
+        if all(h in (box.attrs.get("class") or "") for h in hints) and all(inside) and any(w in inside[-1].text().lower() for w in words):
+            return inside[-1].text()
+    return None
 
 
 def class_hint_long(root, tag, hints, above=100):
@@ -229,7 +252,7 @@ def canonical(root):
     return attr(root, "link[rel=canonical]", "href")
 
 
-KINDS = {f.__name__: f for f in (first, nth_of_kind, attr, with_next, starts_with_digit, short_keyword_digit, label_sibling, contains_any, class_hint_long, section_after_heading, container_hint_short, link_after_heading, canonical)}
+KINDS = {f.__name__: f for f in (first, nth_of_kind, attr, with_next, starts_with_digit, short_keyword_digit, label_sibling, first_with, contains_any, marked_box, class_hint_long, section_after_heading, container_hint_short, link_after_heading, canonical)}
 
 
 def read_field(root: Node, rules) -> str | None:
@@ -237,13 +260,10 @@ def read_field(root: Node, rules) -> str | None:
     return next((t for kind, *args in rules if (t := KINDS[kind](root, *args))), None)
 
 
-def links(root: Node, rules) -> list[str]:
-    """Links of result pages in order: per card the first, or all of the first kind of card that is there."""
+def links(root: Node, rules) -> list[list[str]]:
+    """Links of result pages in order, by kind of card: per card the first, or all."""
+    out = []
     for path, all_of in rules:
-        found = []
-        for card in select(root, path):
-            hrefs = [a.attrs["href"] for a in ([card] if card.tag == "a" else card.walk()) if a.tag == "a" and a.attrs.get("href")]
-            found += hrefs if all_of else hrefs[:1]
-        if found:
-            return found
-    return []
+        cards = [[a.attrs["href"] for a in ([card] if card.tag == "a" else card.walk()) if a.tag == "a" and a.attrs.get("href")] for card in select(root, path)]
+        out.append([h for hrefs in cards for h in (hrefs if all_of else hrefs[:1])])
+    return out

@@ -12,6 +12,8 @@ EXTERNAL_IDS = {
     "nigeriapropertycentre": (r"(?i)/(\d{5,})(?:-[a-z0-9-]+)?(?:\.html)?$",),
     "jiji": (r"-([A-Za-z0-9]{10,})\.html?$", r"([A-Za-z0-9]{15,})"),
 }
+#: Sources whose URLs are read without the slashes at their end.
+TRIMMED = ("nigeriapropertycentre",)
 # Per source, text of the URL and the price type it tells, in order.
 URL_PRICE_TYPES = {
     "propertypro": (("for-sale", "FOR_SALE"), ("for-rent", "FOR_RENT"), ("for-shortlet", "FOR_SHORT_LET")),
@@ -34,7 +36,8 @@ CURRENCIES = ("₦", "$", "USD")
 def external_id(source: Column, url: Column, rules=EXTERNAL_IDS) -> Column:
     out = F.lit(None).cast("string")
     for name, patterns in rules.items():
-        found = F.coalesce(*[F.when(F.regexp_extract(url, p, 1) != "", F.regexp_extract(url, p, 1)) for p in patterns])
+        own = F.regexp_replace(url, "/+$", "") if name in TRIMMED else url
+        found = F.coalesce(*[F.when(F.regexp_extract(own, p, 1) != "", F.regexp_extract(own, p, 1)) for p in patterns])
         out = F.when(source == name, found).otherwise(out)
     return out
 

@@ -55,7 +55,8 @@ def extract_listings(pages: DataFrame, fields=R.FIELDS) -> tuple[DataFrame, Data
 
 
 def harvest_links(pages: DataFrame, cards=R.CARDS) -> DataFrame:
-    """(source, page_url, position, url, external_id): each page's listing links, once each, in order."""
+    """(source, page_url, position, url, external_id): each page's listing links, once each, in order. Where all links of
+    a card count, only those with an id do; the first kind of card that gives a link is taken."""
 
     def run(frames):
         for frame in frames:
@@ -64,11 +65,12 @@ def harvest_links(pages: DataFrame, cards=R.CARDS) -> DataFrame:
                 found.append(P.links(P.parse(html or ""), cards.get(source, ())))
             yield pd.DataFrame({"source": frame["source"], "page_url": frame["url"], "hrefs": found})
 
-    read = pages.select("source", "url", "html").mapInPandas(run, "source string, page_url string, hrefs array<string>")
-    whole = F.array_distinct(F.transform("hrefs", lambda h: absolute_url(F.col("source"), h)))
-    every = read.select("source", "page_url", F.posexplode(whole).alias("position", "url")).withColumn("external_id", external_id(F.col("source"), F.col("url")))
-    # where all links of a card count, only those with an id are listings
-    return every.where(F.col("external_id").isNotNull() | ~F.col("source").isin(*[s for s, c in cards.items() if c[0][1]]))
+    read = pages.select("source", "url", "html").mapInPandas(run, "source string, page_url string, hrefs array<array<string>>")
+    only_ids = F.col("source").isin(*[s for s, c in cards.items() if c[0][1]])
+    listed = F.transform("hrefs", lambda kind: F.filter(kind, lambda h: ~only_ids | external_id(F.col("source"), h).isNotNull()))
+    taken = F.try_element_at(F.filter(listed, lambda kind: F.size(kind) > 0), F.lit(1))
+    whole = F.array_distinct(F.transform(taken, lambda h: absolute_url(F.col("source"), h)))
+    return read.select("source", "page_url", F.posexplode(whole).alias("position", "url")).withColumn("external_id", external_id(F.col("source"), F.col("url")))
 
 
 def observed_prices(fetches: DataFrame, fields=R.FIELDS) -> DataFrame:

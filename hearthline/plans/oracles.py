@@ -203,4 +203,27 @@ SELECT page_id, source, url, CASE page_id % 4 WHEN 0 THEN regexp_extract(url, '/
  CASE WHEN page_id % 4 = 3 THEN 'FOR_SALE' WHEN contains(url, 'for-sale') THEN 'FOR_SALE' WHEN contains(url, 'for-rent') THEN 'FOR_RENT' WHEN page_id % 4 <> 0 AND contains(url, 'short-let') THEN 'FOR_SHORT_LET' END AS raw_price_type FROM p"""
     out["page_frontier"] = f"""{with_views('feed_v')}, f AS (SELECT DISTINCT source AS s, feed AS fd FROM feed_v), b AS (SELECT ['propertypro', 'privateproperty', 'nigeriapropertycentre', 'jiji'][length(s) % 4 + 1] AS source, concat(s, '-', fd) AS feed, concat('https://feed.test/', s, '/', fd) AS base FROM f)
 SELECT source, feed, CAST(page AS INT) AS page, CASE WHEN page = 1 THEN base WHEN source IN ('propertypro', 'privateproperty') THEN concat(base, '&page=', page) ELSE concat(base, '?page=', page) END AS url FROM b, range(1, 6) p(page)"""
+    kept = "k % 11 <> 7"
+    out["site_listings"] = f"""{with_views('site_v')}, f AS (SELECT *, layout < 2 AS strict, CASE WHEN source = 'jiji' THEN layout < 4 AND html IS NOT NULL ELSE {kept} AND layout < 4 AND html IS NOT NULL END AS good FROM site_v)
+SELECT CASE WHEN source = 'jiji' THEN lpad(CAST(k AS VARCHAR), 12, '0') ELSE code END AS external_id, source,
+ CASE WHEN source = 'jiji' THEN concat('https://jiji.ng/houses-apartments-for-', CASE WHEN k % 2 = 0 THEN 'sale' ELSE 'rent' END, '/flat-', lpad(CAST(k AS VARCHAR), 12, '0'), '.html') ELSE url END AS url,
+ CASE WHEN source IN ('propertypro', 'privateproperty') AND NOT strict THEN title || ', Lagos' ELSE title END AS title,
+ CASE WHEN source = 'jiji' AND layout = 1 THEN NULL WHEN source = 'jiji' AND layout = 2 THEN cur || amount || '/Month' WHEN source IN ('propertypro', 'privateproperty') AND NOT strict THEN cur || amount || 'a year' ELSE cur || amount END AS raw_price,
+ CASE WHEN source = 'jiji' THEN CASE WHEN layout = 2 OR k % 2 = 1 THEN 'FOR_RENT' ELSE 'FOR_SALE' END ELSE ['FOR_SALE', 'FOR_RENT', 'FOR_SHORT_LET'][k % 3 + 1] END AS raw_price_type,
+ CASE WHEN source = 'jiji' THEN CASE WHEN layout < 3 THEN beds || 'bedrooms' END WHEN source = 'nigeriapropertycentre' THEN CASE WHEN strict THEN beds || 'Bedrooms' ELSE beds || ' Bedrooms' END WHEN strict THEN beds || ' beds' ELSE beds || ' bedrooms' END AS raw_bedrooms,
+ CASE WHEN source = 'jiji' THEN CASE WHEN layout < 3 THEN baths || ' bathrooms' END WHEN source = 'nigeriapropertycentre' THEN CASE WHEN strict THEN baths || 'Bathrooms' ELSE baths || ' Bathrooms' END WHEN strict THEN beds || ' beds' ELSE baths || ' bathrooms' END AS raw_bathrooms,
+ place AS raw_address, CASE WHEN source = 'propertypro' AND strict THEN beds || '0 sqm' END AS raw_floor_area,
+ CASE WHEN strict OR source = 'jiji' THEN about WHEN source = 'nigeriapropertycentre' THEN about || chr(10) || 'Ask us' ELSE trim(repeat('Roomy and light. ', 8)) || chr(10) || about END AS description,
+ CASE source WHEN 'jiji' THEN 'House' WHEN 'nigeriapropertycentre' THEN CASE WHEN strict THEN 'House' ELSE 'Flat for rent' END END AS property_type_raw, CASE WHEN source <> 'privateproperty' THEN agent END AS agent_name FROM f WHERE good"""
+    out["site_quarantine"] = f"""{with_views('site_v')} SELECT source, url, CASE WHEN source = 'jiji' OR NOT {kept} THEN 'no external id' ELSE 'no price' END AS reason FROM site_v
+WHERE html IS NULL OR layout = 4 OR (source <> 'jiji' AND NOT {kept})"""
+    out["site_links"] = f"""{with_views('result_v')} SELECT source, url AS page_url, 0::INT AS position, 'https://propertypro.ng/property/a-' || code AS url, code AS external_id FROM result_v WHERE source = 'propertypro'
+UNION ALL SELECT source, url, 1, 'https://o.test/about', NULL FROM result_v WHERE source = 'propertypro'
+UNION ALL SELECT source, url, 0, 'https://privateproperty.ng/listings/b-' || code || '?p=1', code FROM result_v WHERE source = 'privateproperty'
+UNION ALL SELECT source, url, 0, 'https://nigeriapropertycentre.com/l/' || code || '-x/', code FROM result_v WHERE source = 'nigeriapropertycentre'
+UNION ALL SELECT source, url, 1, 'https://o.test/' || code, code FROM result_v WHERE source = 'nigeriapropertycentre'
+UNION ALL SELECT source, url, 0, 'https://jiji.ng/lagos/flat-' || lpad(code, 12, '0') || '.html', lpad(code, 12, '0') FROM result_v WHERE source = 'jiji'"""
+    out["site_checks"] = f"""{with_views('site_v')}, f AS (SELECT *, CASE WHEN k % 23 = 0 THEN NULL WHEN k % 9 = 0 THEN 'not_found' ELSE 'live' END AS reason FROM site_v WHERE {kept} AND source <> 'jiji')
+SELECT k AS listing_id, source, code AS external_id, reason = 'not_found' AS is_removed, CASE WHEN reason = 'live' AND html IS NOT NULL AND layout < 4 THEN (k % 900 + 1) * 100000 END AS observed_price, reason,
+ CASE WHEN k % 23 = 0 THEN 'timeout' END AS error FROM f"""
     return out

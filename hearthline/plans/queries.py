@@ -325,3 +325,34 @@ def extract_listings(s, d):
 @query
 def extract_quarantine(s, d):
     return extract.extract_listings(_site(s, d), PAGE_FIELDS)[1]
+
+
+def _listing_pages(s, d):
+    """Detail pages in the four sources' own layouts, made of the given orders."""
+    return view(s, d, "site_v").select("source", "url", "html")
+
+
+@query
+def site_listings(s, d):
+    return extract.extract_listings(_listing_pages(s, d))[0]
+
+
+@query
+def site_quarantine(s, d):
+    return extract.extract_listings(_listing_pages(s, d))[1]
+
+
+@query
+def site_links(s, d):
+    return extract.harvest_links(view(s, d, "result_v").select("source", "url", "html"))
+
+
+@query
+def site_checks(s, d):
+    """Fetched detail pages classified, with the price that each live page states."""
+    p = view(s, d, "site_v").where("k % 11 <> 7 AND source <> 'jiji'")
+    fetched = p.select(
+        C("k").alias("listing_id"), "source", C("code").alias("external_id"), "url", F.when(C("k") % 9 == 0, 404).otherwise(200).alias("status"), C("url").alias("final_url"), C("html").alias("body"),
+        F.when(C("k") % 23 == 0, "timeout").alias("error"),
+    )
+    return verify.classify_fetches(fetched, observed=extract.observed_prices(fetched))

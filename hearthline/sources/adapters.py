@@ -8,6 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events", "pages")
 NOW = "2002-01-07 00:00:00"
 
+_LONG = "repeat('Roomy and light. ', 8)"
+_MONEY = "concat(cur, amount)"
+# Detail pages of the four sources, with the elements that their rules look for first, and with those that they fall back on.
+_PAGES = f"""CASE WHEN k % 17 = 5 THEN NULL
+ WHEN source = 'propertypro' AND layout < 2 THEN concat('<html><body><h1 class="page-heading"> ', title, '</h1><div class="property-pricing"><div class="pricing"><h2><strong>', amount, '</strong><strong>', cur, '</strong></h2></div></div><div class="property-contact-block"><div class="property-pros"><ul><li>', beds, ' beds</li><li>', baths, ' baths</li></ul></div></div><span data-tooltip="Size"><strong>', beds, '0 sqm</strong></span><div class="content-block"><p>', place, '</p><div class="line-paragraph">', about, '</div></div><div id="sidebar"><div class="flex-grow-1"><a><h4>', agent, '</h4></a></div></div></body></html>')
+ WHEN source = 'privateproperty' AND layout < 2 THEN concat('<div class="property-info"><h1>', title, '</h1><p>', place, '</p><div class="price"><strong>per plot</strong><strong>', {_MONEY}, '</strong></div><ul class="property-benefit"><li>', beds, ' beds</li><li>', baths, ' baths</li></ul></div><div class="description-property"><div class="row"><div class="description-list">', about, '</div></div></div>')
+ WHEN source = 'nigeriapropertycentre' AND layout < 2 THEN concat('<div class="property-details"><h4>', title, '</h4><address>', place, '</address></div><div class="property-details-price"><span itemprop="priceCurrency">', cur, '</span><span itemprop="price">', amount, '</span></div><i class="fa fa-bed"></i><span>', beds, '</span><b> Bedrooms</b><i class="fa-bath"></i><span itemprop="value">', baths, '</span><span itemprop="name"> Bathrooms</span><p itemprop="description">', about, '</p><span class="property-type">House</span><div class="disclaimer"><div class="voffset-bottom-0"><strong>', agent, '</strong></div></div>')
+ WHEN source = 'jiji' THEN concat(CASE WHEN layout < 4 THEN concat('<link rel="canonical" href="https://jiji.ng/houses-apartments-for-', CASE WHEN k % 2 = 0 THEN 'sale' ELSE 'rent' END, '/flat-', lpad(CAST(k AS STRING), 12, '0'), '.html">') ELSE '' END, '<h1>', title, '</h1>', CASE WHEN layout <> 1 THEN concat('<div class="qa-advert-price-view-title">', {_MONEY}, CASE WHEN layout = 2 THEN '/Month' ELSE '' END, '</div>') ELSE '' END,
+  '<div class="b-advert-info-statistics--region">', place, '</div><div class="b-advert-icon-attribute">House</div>', CASE WHEN layout < 3 THEN concat('<div class="b-advert-icon-attribute"><b>', beds, '</b> bedrooms</div><div class="b-advert-icon-attribute">', baths, ' bathrooms</div>') ELSE '' END, '<div class="qa-advert-description">', about, '</div><div class="b-seller-block__name">', agent, '</div>')
+ WHEN layout = 4 THEN concat('<h1>', title, '</h1><span>$ on request</span><p>', place, '</p>')
+ WHEN source = 'nigeriapropertycentre' THEN concat('<p>For sale: see below</p><main><p>Flat for rent</p><h1>', title, '</h1><h3>$ 1</h3><span>', {_MONEY}, '</span><div><span>', beds, '</span><span>BEDROOMS</span></div><div><b><span>', baths, '</span></b><span>Bathrooms</span></div>', CASE WHEN layout = 2 THEN concat('<p><span>Lagos only</span></p><div class="x"><span>', place, '</span></div>') ELSE concat('<div><span>Abuja too</span></div><div class="flex items-start text-sm"><svg></svg><span>', place, '</span></div>') END,
+  '<section><div><h2>About this Property</h2></div><div x-ref="body">', about, '<br>Ask us</div></section><div><div><h2>Marketed by</h2></div></div><a href="/x">no</a><a href="/agents/1">', agent, '</a></main>')
+ ELSE concat('<div class="box"><h1>', title, ', Lagos</h1><p>Lagos</p><span>Call us</span><h3>', {_MONEY}, '<br>a year</h3><p>', beds, ' bedrooms</p><ul><li>', baths, ' bathrooms</li></ul><p>', place, '</p><div class="short-desc">', about, '</div><div class="about-it">', {_LONG}, '<br>', about, '</div><div class="agent-box"><div><span>Contact</span><h5>', agent, '</h5></div></div></div>') END"""
+_RESULTS = """CASE source WHEN 'propertypro' THEN concat('<div class="pl-title"><a href="/property/a-', code, '">x</a><a href="/more">y</a></div><div class="pl-title"><a href="https://o.test/about">z</a></div><div class="pl-title"><a href="/property/a-', code, '">x</a></div><div class="pl-title">none</div>')
+ WHEN 'privateproperty' THEN concat('<a class="similar-listings-info" href="/listings/b-', code, '?p=1">x</a><p><a href="/listings/c-', code, '">no card</a></p>')
+ WHEN 'nigeriapropertycentre' THEN concat('<h2 class="wp-block-title"><a href="/about">1</a></h2><article><a href="/l/', code, '-x/">1</a><a href="/about">2</a><a href="/l/', code, '-x/">1</a><a href="https://o.test/', code, '">3</a></article>')
+ ELSE concat('<div class="b-advert-card"><i><a href="/lagos/flat-', lpad(code, 12, '0'), '.html">x</a></i></div><div class="b-advert-card"></div>') END"""
+
 VIEWS = {
     "listings_v": """
 SELECT o.o_orderkey AS id, CAST(o.o_orderkey AS STRING) AS external_id, o.o_orderpriority AS source,
@@ -62,6 +80,16 @@ SELECT page_id AS listing_id, CASE page_id % 3 WHEN 0 THEN 'alpha' ELSE 'beta' E
   CASE page_id % 7 WHEN 0 THEN 'https://elsewhere.test/' WHEN 1 THEN concat('https://moved.test/', CAST(page_id AS STRING)) ELSE url END AS final_url,
   CASE page_id % 10 WHEN 3 THEN concat(html, ' This Ad Has Been DELETED!') WHEN 4 THEN concat('Oops! Page NOT found', html) ELSE html END AS body,
   CASE WHEN page_id % 23 = 0 THEN 'timeout' END AS error, CASE WHEN page_id % 4 <> 1 THEN CAST(page_id * 1000 + 99 AS BIGINT) END AS observed_price FROM {pages}""",
+    "site_v": f"""
+SELECT *, {_PAGES} AS html FROM (SELECT *, CASE WHEN k % 11 = 7 THEN concat('https://', source, '.test/about') WHEN source = 'propertypro' THEN concat('https://propertypro.test/property/for-', CASE k % 3 WHEN 0 THEN 'sale' WHEN 1 THEN 'rent' ELSE 'shortlet' END, '-flat-', code)
+  WHEN source = 'privateproperty' THEN concat('https://privateproperty.test/listings/', kind, '-', code, '?x=1') WHEN source = 'nigeriapropertycentre' THEN concat('https://npc.test/', kind, '/', code, '-some-house', CASE WHEN k % 5 = 1 THEN '/' ELSE '' END) ELSE concat('https://jiji.test/ad/', CAST(k AS STRING)) END AS url
+ FROM (SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN 'propertypro' WHEN 1 THEN 'privateproperty' WHEN 2 THEN 'nigeriapropertycentre' ELSE 'jiji' END AS source, o_orderkey % 5 AS layout, CAST(o_orderkey + 100000 AS STRING) AS code,
+   CASE o_orderkey % 3 WHEN 0 THEN 'for-sale' WHEN 1 THEN 'for-rent' ELSE 'short-let' END AS kind, concat('Flat ', CAST(o_orderkey AS STRING)) AS title, CASE o_orderkey % 3 WHEN 0 THEN '₦' WHEN 1 THEN '$' ELSE 'USD' END AS cur,
+   concat(CAST(o_orderkey % 900 + 1 AS STRING), ',000') AS amount, CAST(o_orderkey % 7 + 1 AS STRING) AS beds, CAST(o_orderkey % 3 + 1 AS STRING) AS baths, CASE WHEN o_orderkey % 2 = 0 THEN 'Lekki, Lagos' ELSE 'Wuse, Abuja' END AS place,
+   concat('Offer ', o_orderpriority) AS about, concat('Firm ', CAST(o_custkey AS STRING)) AS agent FROM {{orders}}) f) g""",
+    "result_v": f"""
+SELECT source, url, code, {_RESULTS} AS html FROM (SELECT CASE c_custkey % 4 WHEN 0 THEN 'propertypro' WHEN 1 THEN 'privateproperty' WHEN 2 THEN 'nigeriapropertycentre' ELSE 'jiji' END AS source,
+ concat('https://results.test/', CAST(c_custkey AS STRING)) AS url, CAST(c_custkey + 100000 AS STRING) AS code FROM {{customer}}) c""",
     "gaz_v": """
 SELECT n.n_name AS neighbourhood, r.r_name AS city, CAST(n.n_nationkey AS DOUBLE) + 0.25 AS lat, CAST(n.n_nationkey AS DOUBLE) - 0.5 AS lng
 FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey WHERE n.n_nationkey % 5 <> 4

@@ -2,7 +2,7 @@
 
 _CITY_WORDS = ("lagos", "abuja", "enugu", "ph", "kano", "ibadan")
 _MONEY = ("₦", "$", "USD")
-_ADDRESS = ("contains_any", "p span div", _CITY_WORDS, 150, "h1")
+_ADDRESS = ("contains_any", "p span div", _CITY_WORDS, 150)
 _ABOUT = ("class_hint_long", "div", ("desc", "detail", "about"))
 
 #: source -> field -> rules in the order in which they are tried
@@ -15,7 +15,7 @@ FIELDS = {
         "raw_bedrooms": (("first", ".property-contact-block>.property-pros ul li"), ("short_keyword_digit", "li span p div", ("bed", "bedroom"))),
         "raw_bathrooms": (("first", ".property-contact-block>.property-pros ul li"), ("short_keyword_digit", "li span p div", ("bath", "bathroom"))),
         "raw_floor_area": (("first", "span[data-tooltip=Size] strong"),),
-        "raw_address": (("first", ".content-block>p"), _ADDRESS),
+        "raw_address": (("first", ".content-block>p"), (*_ADDRESS, ("h1.page-heading", "h1"))),
         "description": (("first", ".content-block>.line-paragraph"), _ABOUT),
         "agent_name": (
             ("first", "#sidebar .flex-grow-1>a>h4"),
@@ -27,7 +27,7 @@ FIELDS = {
         "price": (("nth_of_kind", ".property-info .price>strong", 2), ("starts_with_digit", "span strong h2 h3 div", _MONEY)),
         "raw_bedrooms": (("first", ".property-info .property-benefit>li"), ("short_keyword_digit", "li span p div", ("bed", "bedroom"))),
         "raw_bathrooms": (("first", ".property-info .property-benefit>li"), ("short_keyword_digit", "li span p div", ("bath", "bathroom"))),
-        "raw_address": (("first", ".property-info>p"), _ADDRESS),
+        "raw_address": (("first", ".property-info>p"), (*_ADDRESS, (".property-info>h1", "h1"))),
         "description": (("first", ".description-property>.row .description-list"), _ABOUT),
     },
     "nigeriapropertycentre": {
@@ -37,9 +37,13 @@ FIELDS = {
         "whole_price": (("starts_with_digit", "span", _MONEY),),
         "raw_bedrooms": (("with_next", ".fa-bed+span"), ("label_sibling", "span", "Bedrooms", " Bedrooms")),
         "raw_bathrooms": (("with_next", "i.fa-bath+span[itemprop=value]"), ("label_sibling", "span", "Bathrooms", " Bathrooms")),
-        "raw_address": (("first", ".property-details>address"), ("contains_any", "span", _CITY_WORDS, 100_000)),
+        "raw_address": (
+            ("first", ".property-details>address"),
+            ("marked_box", "div", ("items-start", "text-sm"), ("svg", "span"), _CITY_WORDS),
+            ("contains_any", "span", _CITY_WORDS, None, (), "div"),
+        ),
         "description": (("first", "p[itemprop=description]"), ("section_after_heading", "h2", "about this property", "div[x-ref=body]")),
-        "property_type_raw": (("first", "span.property-type"), ("label_sibling", "span", "Property type"), ("contains_any", "p", ("sale", "rent", "let"))),
+        "property_type_raw": (("first", "span.property-type"), ("label_sibling", "span", "Property type"), ("first_with", "main p", ("sale", "rent", "let"))),
         "agent_name": (("first", ".disclaimer .voffset-bottom-0>strong"), ("link_after_heading", "h2", "marketed by", ("/agents/", "/property-owners/"))),
     },
     "jiji": {
