@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from html.parser import HTMLParser
 
@@ -75,23 +76,27 @@ def parse(html: str) -> Node:
     return builder.root
 
 
-def _fits(node: Node, step: str) -> bool:
+@functools.cache
+def _step(step: str) -> tuple[str | None, tuple[tuple[str, str | None], ...]]:
+    """A step's tag, and its marks as (attribute, value); a class has the attribute ``.``, and no value is any value."""
     m = _STEP.fullmatch(step)
     if m is None:
         raise ValueError(f"not a step: {step}")
-    if m["tag"] and node.tag != m["tag"]:
-        return False
+    marks = []
     for mark in re.findall(r"[.#][\w-]+|\[[^\]]+\]", m["rest"]):
-        if mark[0] == ".":
-            ok = mark[1:] in node.classes()
-        elif mark[0] == "#":
-            ok = node.attrs.get("id") == mark[1:]
+        if mark[0] in ".#":
+            marks.append(("." if mark[0] == "." else "id", mark[1:]))
         else:
             name, eq, value = mark[1:-1].partition("=")
-            ok = name in node.attrs and (not eq or node.attrs[name] == value.strip("'\""))
-        if not ok:
-            return False
-    return True
+            marks.append((name, value.strip("'\"") if eq else None))
+    return m["tag"], tuple(marks)
+
+
+def _fits(node: Node, step: str) -> bool:
+    tag, marks = _step(step)
+    if tag and node.tag != tag:
+        return False
+    return all(value in node.classes() if name == "." else name in node.attrs and value in (None, node.attrs[name]) for name, value in marks)
 
 
 def _path_fits(node: Node, steps: list[tuple[str, str]]) -> bool:
@@ -114,8 +119,8 @@ def _path_fits(node: Node, steps: list[tuple[str, str]]) -> bool:
     return False
 
 
-def select(root: Node, path: str) -> list[Node]:
-    """Nodes in document order; ``path`` is steps parted by blanks, ``>`` or ``+``."""
+@functools.cache
+def _steps(path: str) -> list[tuple[str, str]]:
     steps, how = [], ""
     for word in re.sub(r"(\[[^\]]*\])|([>+])", lambda m: m[1] or f" {m[2]} ", path).split():
         if word in ">+":
@@ -123,6 +128,12 @@ def select(root: Node, path: str) -> list[Node]:
         else:
             steps.append((how, word))
             how = ""
+    return steps
+
+
+def select(root: Node, path: str) -> list[Node]:
+    """Nodes in document order; ``path`` is steps parted by blanks, ``>`` or ``+``."""
+    steps = _steps(path)
     return [n for n in root.walk() if _path_fits(n, steps)]
 
 

@@ -1,6 +1,7 @@
 """State, verification, snapshots, feeds, extraction, stores and the stream, with invariants."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,6 +176,22 @@ def test_feed_cutoffs(spark):
     assert feeds.before_failures(f, n=3, order=["position"]).count() == 7
 
 
+@pytest.mark.parametrize("block", [1, 3, 1024])
+def test_failure_runs_match_a_walk(spark, monkeypatch, block):
+    monkeypatch.setattr(feeds, "BLOCK_POSITIONS", block)
+    rng = random.Random(block)
+    rows = [(s, f, p, i, rng.random() < 0.7, rng.random() < q) for s, q in (("a", 0.3), ("b", 0.8), (None, 0.7)) for f in ("x", "y") for p in (1, 2) for i in range(9)]
+    got = feeds.before_failures(spark.createDataFrame(rows, "source string, feed string, page int, position int, is_item boolean, failed boolean"), n=4).collect()
+    want, stopped, run = [], set(), {}
+    for s, f, p, i, item, bad in rows:
+        run[s] = run.get(s, 0) + 1 if bad else 0 if item else run.get(s, 0)
+        if s not in stopped:
+            want.append((s, f, p, i, run[s]))
+        if run[s] >= 4:
+            stopped.add(s)
+    assert sorted((str(r.source), r.feed, r.page, r.position, r.run) for r in got) == sorted((str(w[0]), *w[1:]) for w in want)
+
+
 PAGE = """<html><body><h1 class="page-heading">3 bed flat, Lekki</h1><div class="property-pricing"><div class="pricing"><h2><strong>45,000,000</strong><strong>&#8358;</strong></h2></div></div>
 <div class="property-contact-block"><div class="property-pros"><ul><li>3 beds</li><li>2 baths</li></ul></div></div><div class="content-block"><p>Lekki, Lagos</p><div class="line-paragraph">A fine flat</div></div>
 <div id="sidebar"><div class="flex-grow-1"><a><h4>Agent Co</h4></a></div></div></body></html>"""
