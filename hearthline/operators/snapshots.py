@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from hearthline.functions.time import moment
 from hearthline.params import DEFAULT
 
+PERCENTILES = (0.25, 0.5, 0.75, 0.9)
+#: Prices that double fall into so many bins.
+BINS_PER_OCTAVE = 32
+
 
 def snapshot_base(listings: DataFrame) -> DataFrame:
     """Listings with a resolved place and a city, and the columns that snapshots need."""
@@ -54,35 +58,78 @@ def price_segments(base: DataFrame, changes: DataFrame, *, as_of) -> DataFrame:
     return d.withColumn("price", price).withColumn("cut_week", F.when(F.col("cut"), F.col("start"))).drop("_from", "_to", "start", "end", "told", "cut")
 
 
+def _week_rows(spans: DataFrame) -> DataFrame:
+    """Per place, price bin and week with listings: how many are on the market, new or cut, and their days on it. Each
+    span counts where it begins and where it ends; running sums in between stand for its weeks."""
+    keys = ("city", "neighbourhood", "bin")
+    born = F.unix_date("first").cast("long")
+    sunday = F.unix_date(F.date_add("hi", 6)).cast("long")
+    # in the week in which a listing goes, its days end with its last day and not on Sunday
+    late = F.when(monday(F.col("gone")) == F.col("hi"), F.greatest(F.lit(0), F.date_diff("gone", "first")) - (sunday - born))
+    mark = lambda week, n, first, new, cut, days: F.struct(week.alias("week"), n.alias("n"), first.alias("born"), new.alias("new"), cut.alias("cuts"), days.alias("days"))
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    is_new, is_cut = (monday(F.col("first")) == F.col("lo")).cast("long"), F.coalesce((F.col("cut_week") == F.col("lo")).cast("long"), zero)
+    marks = F.array(mark(F.col("lo"), one, born, is_new, is_cut, zero), mark(F.col("hi"), zero, zero, zero, zero, F.coalesce(late.cast("long"), zero)), mark(F.date_add("hi", 7), -one, -born, zero, zero, zero))
+    m = spans.select(*keys, F.explode(marks).alias("m")).groupBy(*keys, F.col("m.week").alias("at")).agg(*[F.sum(f"m.{c}").alias(c) for c in ("n", "born", "new", "cuts", "days")])
+    w = Window.partitionBy(*keys).orderBy("at")
+    m = m.withColumn("next", F.lead("at").over(w)).withColumn("n", F.sum("n").over(w)).withColumn("born", F.sum("born").over(w)).where("n > 0")
+    m = m.withColumn("week", F.explode(F.expr("sequence(at, date_sub(next, 7), interval 7 day)")))
+    here = F.col("week") == F.col("at")
+    point = {c: F.when(here, F.col(c)).otherwise(0) for c in ("new", "cuts")}
+    days = F.col("n") * (F.unix_date("week") + 6) - F.col("born") + F.when(here, F.col("days")).otherwise(0)
+    return m.select(*keys, "week", "n", *[v.alias(c) for c, v in point.items()], days.alias("days"))
+
+
+def _ranks(prices: Column) -> list[Column]:
+    """The places, from 1, of the prices between which the percentiles lie."""
+    return [r(q * (prices - 1)) + 1 for q in PERCENTILES for r in (F.floor, F.ceil)]
+
+
+def week_prices(spans: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Per place and week, the exact percentiles. wanted: the bins of each place and week that hold a wanted rank, with the
+    number of prices below and in all. Only spans of these bins are dealt out over the weeks that want them."""
+    place = ["city", "neighbourhood"]
+    d = spans.where("price is not null").groupBy(*place, "bin", "price", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
+    d = d.join(wanted, [*place, "bin"]).where("week between lo and hi")
+    d = d.groupBy(*place, "bin", "week", "price", "prices", "below").agg(F.sum("n").alias("n"))
+    upto = Window.partitionBy(*place, "bin", "week").orderBy("price").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("upto", F.col("below") + F.sum("n").over(upto))
+
+    def percentile(q: float):
+        at = q * (F.col("prices") - 1)
+        nth = lambda n: F.max(F.when((F.col("upto") - F.col("n") < n) & (n <= F.col("upto")), F.col("price"))).cast("double")
+        below, above = nth(F.floor(at) + 1), nth(F.ceil(at) + 1)
+        return below + (above - below) * F.max(at - F.floor(at))
+
+    return d.groupBy(*place, "week").agg(*[percentile(q).alias(name) for name, q in zip(("p25", "median_price_kobo", "p75", "p90"), PERCENTILES)])
+
+
 def weekly_snapshots(listings: DataFrame, history: DataFrame, *, as_of, computed_at=None, min_listings: int = DEFAULT.week_min_listings, id_includes_city: bool = False) -> DataFrame:
     """One row per place and completed week with at least ``min_listings`` active listings.
 
-    Changes are summed up per listing and week, so a listing has no more spans than weeks however many changes it has;
-    no join of weeks with listings or changes is made. Percentiles come from running counts of the distinct prices of a
-    place and week. The id leaves the city out by default; of one name in several cities the first city stands.
+    Changes are summed up per listing and week, so a listing has no more spans than weeks however many changes it has,
+    and spans are counted at their ends, not once a week. Percentiles are exact and take two passes: counts per price
+    bin tell in which bins the wanted ranks lie, and only the prices of these are ranked. The id leaves the city out by
+    default; of one name in several cities the first city stands.
     """
     spans = price_segments(snapshot_base(listings), price_changes(history), as_of=as_of)
     first, seen = F.col("first_seen_at").cast("date"), F.when(F.col("listing_status") == "REMOVED", F.col("last_seen_at")).cast("date")
-    spans = spans.select("city", "neighbourhood", "price", "cut_week", first.alias("first"), seen.alias("gone"), F.explode(F.expr("sequence(lo, hi, interval 7 day)")).alias("week"))
-    sunday = F.date_add("week", 6)
-    days = F.greatest(F.lit(0), F.date_diff(F.when(F.col("gone") <= sunday, F.col("gone")).otherwise(sunday), F.col("first")))
-    rows = spans.select("city", "neighbourhood", "week", "price", (F.col("cut_week") == F.col("week")).alias("reduced"), days.alias("days"), (monday(F.col("first")) == F.col("week")).alias("is_new"))
-    rows = rows.groupBy("city", "neighbourhood", "week", "price").agg(F.count(F.lit(1)).alias("n"), F.count("price").alias("priced"), F.count_if("is_new").alias("new"), F.count_if("reduced").alias("cuts"), F.sum("days").alias("days"))
+    # bins rise with the price; those below 1 share one
+    octave = F.floor(F.log2(F.greatest("price", F.lit(1))) * BINS_PER_OCTAVE).cast("int")
+    spans = spans.select("city", "neighbourhood", "price", F.when(F.col("price") < 1, -1).otherwise(F.when(F.col("price").isNotNull(), octave)).alias("bin"), "cut_week", first.alias("first"), seen.alias("gone"), "lo", "hi")
     group = Window.partitionBy("city", "neighbourhood", "week")
-    upto = group.orderBy(F.col("price").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("upto", F.sum("priced").over(upto)).withColumn("prices", F.sum("priced").over(group))
-
-    def percentile(q: float):
-        at = q * (F.col("prices") - 1)
-        nth = lambda n: F.max(F.when((F.col("upto") - F.col("priced") < n) & (n <= F.col("upto")), F.col("price"))).cast("double")
-        below, above = nth(F.floor(at) + 1), nth(F.ceil(at) + 1)
-        return below + (above - below) * F.max(at - F.floor(at))
-
-    out = rows.groupBy("city", "neighbourhood", "week").agg(
-        F.sum("n").alias("active_listing_count"), F.sum("new").alias("new_listings_count"), F.sum("cuts").alias("price_reduced_count"),
-        F.round(F.sum("days") / F.sum("n"), 1).alias("avg_days_on_market"), percentile(0.25).alias("p25"), percentile(0.5).alias("median_price_kobo"), percentile(0.75).alias("p75"), percentile(0.9).alias("p90"),
-    )
-    out = out.where(F.col("active_listing_count") >= min_listings)
+    before = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    priced = F.when(F.col("bin").isNotNull(), F.col("n")).otherwise(0)
+    rows = _week_rows(spans).withColumn("priced", priced)
+    rows = rows.withColumn("below", F.coalesce(F.sum("priced").over(before), F.lit(0))).withColumn("prices", F.sum("priced").over(group)).withColumn("active", F.sum("n").over(group))
+    hit = F.lit(False)
+    for rank in _ranks(F.col("prices")):
+        hit = hit | ((F.col("below") < rank) & (rank <= F.col("below") + F.col("priced")))
+    weeks = rows.groupBy("city", "neighbourhood", "week").agg(
+        F.sum("n").alias("active_listing_count"), F.sum("new").alias("new_listings_count"), F.sum("cuts").alias("price_reduced_count"), F.round(F.sum("days") / F.sum("n"), 1).alias("avg_days_on_market"),
+    ).where(F.col("active_listing_count") >= min_listings)
+    wanted = rows.where(hit & (F.col("active") >= min_listings)).select("city", "neighbourhood", "bin", "week", "prices", "below")
+    out = weeks.join(week_prices(spans, wanted), ["city", "neighbourhood", "week"], "left")
     name = F.concat("neighbourhood", F.date_format("week", "yyyy-MM-dd"))
     out = out.withColumn("id", F.md5(F.concat("city", name) if id_includes_city else name))
     out = out.select(

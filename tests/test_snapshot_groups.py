@@ -28,3 +28,21 @@ def test_a_listing_has_no_more_spans_than_weeks(spark):
     assert got.keys() == want.keys() and len(got) > 10
     for k, (n, new, red, days, *p) in want.items():
         assert got[k][:3] == (n, new, red) and got[k][3] == pytest.approx(days, abs=0.051) and [x if x is None else pytest.approx(x) for x in p] == list(got[k][4:]), k
+
+
+def test_percentiles_of_prices_of_all_magnitudes(spark):
+    """Zero, negative, equal and very large prices, those next to powers of two, and places without any price."""
+    rng = random.Random(11)
+    start = dt.datetime(2023, 1, 2)
+    prices = [None, -7, 0, 1, 2, 3, 63, 64, 65, 1 << 40, (1 << 40) + 1, (1 << 40) - 1, 10**15, 10**15 + 1]
+    listings = [(i, "A", rng.choice(["p", "q"]), start + dt.timedelta(days=rng.randint(0, 40)), start + dt.timedelta(days=rng.randint(20, 90)), rng.choice(["ACTIVE", "REMOVED", "OTHER"]), rng.choice(prices)) for i in range(80)]
+    listings += [(100 + i, "B", "none", start, start, "ACTIVE", None) for i in range(3)]
+    listings += [(200, "B", "gone", start + dt.timedelta(days=2), start, "REMOVED", 5), (201, "B", "gone", start, start + dt.timedelta(days=1), "REMOVED", 5)]
+    df = spark.createDataFrame([(*r, True) for r in listings], "id long, city string, neighbourhood string, first_seen_at timestamp_ntz, last_seen_at timestamp_ntz, listing_status string, price_kobo long, neighbourhood_normalised boolean")
+    got = {(r.city, r.neighbourhood, r.snapshot_week): r for r in snapshots.weekly_snapshots(df, spark.createDataFrame([], HISTORY), as_of="2023-04-20 00:00:00", id_includes_city=True).collect()}
+    want = brute_snapshots(listings, [], dt.date(2023, 4, 17))
+    assert got.keys() == want.keys() and len(got) > 20
+    for k, (n, new, cut, days, *p) in want.items():
+        r = got[k]
+        assert (r.active_listing_count, r.new_listings_count, r.price_reduced_count) == (n, new, cut), k
+        assert r.avg_days_on_market == pytest.approx(days, abs=0.051) and [r.p25, r.median_price_kobo, r.p90] == [x if x is None else pytest.approx(x) for x in p], k
