@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +12,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 _own: dict[str, str] = {}
-#: Staged tables that stand, and the owner at whose work they were staged.
-_written: dict[str, str | None] = {}
-_owner: str | None = None
+#: Staged tables that stand, each with a weak reference to the file index that all plans over it share.
+_standing: dict[str, tuple[SparkSession, object]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,28 +33,23 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that goes with the staged tables of its owner."""
-    path = new_folder(spark, name)
-    _written[path] = _owner
-    return path
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once as Parquet in the shared folder and reads it again: lineage ends there, and a lost executor
-    costs no recomputation."""
-    path = new_folder(df.sparkSession, name)
+    costs no recomputation. The table goes by ``unstage``, or once no plan of this driver reads it any more."""
+    spark = df.sparkSession
+    sweep(spark)
+    path = new_folder(spark, name)
     df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     out._hearthline_path = path
-    _written[path] = _owner
+    _standing[path] = spark, spark._jvm.java.lang.ref.WeakReference(out._jdf.queryExecution().analyzed().relation().location())
     return out
 
 
 def _delete(spark: SparkSession, path: str) -> None:
+    _standing.pop(path, None)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    _written.pop(path, None)
 
 
 def unstage(*tables: DataFrame) -> None:
@@ -67,22 +59,14 @@ def unstage(*tables: DataFrame) -> None:
             _delete(t.sparkSession, path)
 
 
-@contextlib.contextmanager
-def owned(owner: str, keep: DataFrame) -> Iterator[None]:
-    """Tables staged in this block belong to ``owner``. Those that an earlier block of the owner left are deleted first,
-    but for those that ``keep`` reads: to be used where its other results have been written."""
-    global _owner
-    left = [p for p, o in _written.items() if o == owner]
-    if left:
-        read = keep.inputFiles()
-        for path in left:
-            if not any(path.rsplit("/", 1)[1] in f for f in read):
-                _delete(keep.sparkSession, path)
-    before, _owner = _owner, owner
-    try:
-        yield
-    finally:
-        _owner = before
+def sweep(spark: SparkSession) -> None:
+    """Deletes the staged tables of which no frame, and no frame derived from one, is left: what the JVM has collected.
+    Results that somebody still holds stand, whoever else works on the session meanwhile."""
+    for path, (owner, index) in list(_standing.items()):
+        if owner.sparkContext is not spark.sparkContext:
+            _standing.pop(path, None)  # of a session that has ended
+        elif index.get() is None:
+            _delete(spark, path)
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -23,11 +23,13 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.llm.staging import scratch_folder, stage
+from hearthline.llm.staging import new_folder, stage
 from hearthline.llm.textbytes import WordNumbers, distinct_words, slices, texts, utf8, words
 from hearthline.llm.wavelet import WaveletMatrix, encode
 
 SHARD_TOKENS = 2_000_000
+#: Bytes of text at most, about, that a task sorts and encodes.
+RANGE_BYTES = 128 << 20
 #: Words (or their parts) whose ids a worker remembers; beyond that it starts anew.
 CACHE_WORDS = 1_000_000
 #: Bytes of text whose words are looked up together.
@@ -191,7 +193,8 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_c
     fs, root = _filesystem(folder)
     fs.create_dir(root, recursive=True)
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.length(text_col).alias("n"), F.xxhash64(text_col).alias("h"))
-    parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    held = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // RANGE_BYTES))
     order = [F.col("id").asc_nulls_first(), F.col("n").asc_nulls_first(), "h"]  # ranges part the rows of one id, too
     ordered = d.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text")
     return stage(ordered.select("id", "text").mapInArrow(run, "name string, part long, place long, tokens long"), "token-files")
@@ -219,7 +222,6 @@ def read_shards(files: DataFrame, folder: str) -> DataFrame:
     within = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     base = parts.select("part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("before"))
     base = files.join(base, "part").select("name", (F.col("before") + F.coalesce(F.sum("tokens").over(within), F.lit(0))).alias("base"))
-    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 2147483647)
     raw = spark.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
     docs = raw.join(F.broadcast(files.select("name")) if files.limit(100_001).count() <= 100_000 else files.select("name"), "name", "left_semi").mapInArrow(run, "name string, id long, at long, n_tokens long, ids_crc32 long")
     small = stage(base, "token-bases")
@@ -227,9 +229,9 @@ def read_shards(files: DataFrame, folder: str) -> DataFrame:
 
 
 def token_output(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes the ids of all documents to ``folder`` (a new one in the shared folder by default) and returns per document
-    what the files hold: id, start, n_tokens, ids_crc32."""
-    folder = folder or scratch_folder(docs.sparkSession, "token-ids")
+    """Writes the ids of all documents to ``folder`` (a new one in the shared folder by default; the files are the product
+    and stay until somebody deletes them) and returns per document what the files hold: id, start, n_tokens, ids_crc32."""
+    folder = folder or new_folder(docs.sparkSession, "token-ids")
     files = write_shards(docs, tokenizer, end_id, folder, id_col, text_col)
     if files.limit(1).count() == 0:
         return docs.sparkSession.createDataFrame([], f"`{id_col}` long, start long, n_tokens long, ids_crc32 long")

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 from hearthline.llm import ctw, mixing, neighbours, secrets, sharding, tokens, urls, wavelet
-from hearthline.llm.testing import rows
+from tests.llm.tables import rows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}

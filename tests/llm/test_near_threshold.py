@@ -6,7 +6,7 @@ import corpus_pipeline
 import pytest
 
 from hearthline.llm import minhash
-from hearthline.llm.testing import rows
+from tests.llm.tables import rows
 from tests.llm.test_texts import DOCS, brute_components, shingles
 
 

@@ -6,7 +6,7 @@ import corpus_pipeline as P
 import pytest
 
 from hearthline.llm import decontaminate, mixing
-from hearthline.llm.testing import rows
+from tests.llm.tables import rows
 from tests.llm.test_texts import DOCS, brute_components
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]

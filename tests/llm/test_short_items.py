@@ -3,7 +3,7 @@
 import random
 
 from hearthline.llm import decontaminate
-from hearthline.llm.testing import rows
+from tests.llm.tables import rows
 from tests.llm.test_texts import DOCS, edit_distance
 
 

@@ -1,7 +1,9 @@
 """Odd rows through each pipeline stage, clashing names, and two models against plain versions."""
 
+import gc
 import math
 import random
+import time
 
 import corpus_pipeline
 import numpy as np
@@ -9,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 from hearthline.llm import langid, sharding, staging, urls
-from hearthline.llm.testing import rows
+from tests.llm.tables import rows
 from hearthline.llm.textbytes import utf8
 from tests.llm.test_texts import DOCS, language_docs
 
@@ -56,14 +58,36 @@ def test_stage_with_no_rows(spark, odd, name):
     assert out.count() == 0 and (name == "token_ids" or out.columns == df.columns)
 
 
-def test_a_stage_deletes_what_the_last_one_left(spark):
-    docs = rows(spark, [(1, "a b c d e f", "en", "s", 1), (2, "a b c d e f", "en", "s", 1)], DOCS)
-    one = corpus_pipeline.near_dedup(spark, docs, "")
-    left = [p for p, o in staging._written.items() if o == "pipeline"]
-    two = corpus_pipeline.mixture(spark, one, "")
-    assert two.count() >= 1 and one.count() == 1  # what it still reads stands
-    three = corpus_pipeline.mixture(spark, docs, "")
-    assert left and not set(left) & set(staging._written) and three.count() >= 1
+def test_interleaved_runs_leave_each_other_alone(spark, odd, tmp_path):
+    """Two runs stage by stage in turn: both results stand, token files too, whatever the other one does."""
+    df, d, _ = odd
+    settings = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+    one, two = df, df.where("doc_id < 5")
+    for _, stage_of in corpus_pipeline.STAGES:
+        one, two = stage_of(spark, one, d), stage_of(spark, two, d)
+    seen = [sorted(map(str, x.collect())) for x in (one, two)]
+    corpus_pipeline.token_ids(spark, df.where("doc_id = 8"), d).collect()
+    spark._jvm.System.gc()
+    staging.sweep(spark)
+    assert [sorted(map(str, x.collect())) for x in (one, two)] == seen and len(seen[0]) > len(seen[1]) > 0
+    assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == settings
+
+
+def test_staged_tables_go_when_nobody_reads_them(spark):
+    held = staging.stage(spark.range(10).toDF("x"), "held")
+    derived, path = held.where("x > 3"), held._hearthline_path
+    gone = staging.stage(spark.range(10).toDF("x"), "gone")
+    gone_path = gone._hearthline_path
+    assert gone.count() == 10
+    del gone, held
+    for _ in range(20):
+        gc.collect()
+        spark._jvm.System.gc()
+        staging.sweep(spark)
+        if gone_path not in staging._standing:
+            break
+        time.sleep(0.2)
+    assert gone_path not in staging._standing and path in staging._standing and derived.count() == 6
 
 
 def test_clashing_names_of_shards(spark, tmp_path):

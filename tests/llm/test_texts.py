@@ -6,7 +6,7 @@ import re
 import pytest
 
 from hearthline.llm import components, decontaminate, langid, minhash, textbytes
-from hearthline.llm.testing import rows
+from tests.llm.tables import rows
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
