@@ -2,8 +2,10 @@
 
 All stages take any table with the columns of documents, also others beside them, whatever their names, and all but the
 last return the columns that they got. Rows count one by one, also where ids repeat or are null; texts are worked on
-whole, however long; an empty table gives an empty one. Null and empty texts, and ties, are stated at each stage. Tables
-that a stage stages are deleted when the next one begins, unless that one's ``docs`` still reads them.
+whole, however long; an empty table gives an empty one. Null and empty texts, and ties, are stated at each stage.
+
+A stage writes its result, which is all that it leaves behind; that table goes once nobody reads it any more, so runs of
+one session do not meet. The token files of the last stage are the product and stay.
 """
 
 from __future__ import annotations
@@ -15,18 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.llm import decontaminate, langid, minhash, mixing, tokens
-from hearthline.llm.staging import fresh, keyed_join, owned, stage, unstage, with_row_key
+from hearthline.llm.staging import fresh, keyed_join, stage, with_row_key
 
-#: Rows that cross to Python at a time: texts are long, and workers keep what their largest batch needed.
-BATCH_ROWS = "1000"
+#: Rows that cross to Python at a time, while a stage works: texts are long, and workers keep what their largest batch needed.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
 
 
 def _stage(f):
     @functools.wraps(f)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-        with owned("pipeline", docs):
-            return f(spark, docs, sf_dir)
+        before = spark.conf.get(BATCH_SETTING)
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+        try:
+            return stage(f(spark, docs, sf_dir), f"pipeline-{f.__name__}")
+        finally:
+            spark.conf.set(BATCH_SETTING, before)
 
     return run
 
@@ -78,7 +83,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage_of in STAGES[:-1]:
-        before, docs = docs, stage(stage_of(spark, docs, sf_dir), f"pipeline-{name}")
-        unstage(before)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for _, stage_of in STAGES:
+        docs = stage_of(spark, docs, sf_dir)
+    return docs
