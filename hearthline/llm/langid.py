@@ -61,6 +61,11 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return key[first], np.diff(np.append(first, len(key)))
 
 
+#: Languages whose table of log frequencies (64 KB each) is sent to every task: 128 MB at most. More labels stop training
+#: with an error, for they are no languages.
+MOST_LANGUAGES = 2048
+
+
 def _count(batches):
     """Per partition, the trigram counts of each label."""
     totals: dict[str, np.ndarray] = {}
@@ -83,7 +88,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     """Languages in order, and log frequencies [bucket, language]. Counts cover all rows; what comes to the driver is
     at most BUCKETS numbers a language."""
     labelled = labelled.where(F.col(lang_col).isNotNull() & has_letter(F.col(text_col))).select(text_col, F.col(lang_col).cast("string"))
-    names = sorted(r[0] for r in labelled.select(lang_col).distinct().collect())
+    names = sorted(r[0] for r in labelled.select(lang_col).distinct().limit(MOST_LANGUAGES + 1).collect())
+    if len(names) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: the mixture weighs all of them for each trigram, and its table would not fit into a task")
     counts = labelled.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros((BUCKETS, max(1, len(names))))
     if counts.num_rows:

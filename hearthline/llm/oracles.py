@@ -19,14 +19,14 @@ h AS (SELECT doc_id, list_sort(list(g)) AS gs FROM s GROUP BY doc_id), same AS (
 SELECT c.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, c.doc_id = component_id AS kept, coalesce(same.set_id, c.doc_id) AS set_id
 FROM c LEFT JOIN n ON n.doc_id = c.doc_id LEFT JOIN h ON h.doc_id = c.doc_id LEFT JOIN same ON same.gs = h.gs"""
 
-MIX = f"""WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{_SPACE}')), 0) AS BIGINT) AS size FROM documents),
+MIX = f"""WITH RECURSIVE d AS (SELECT doc_id, source, text, CAST(coalesce(len(regexp_extract_all(text, '{_SPACE}')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS words, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source),
 r AS (SELECT source, words, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(k - 1) % 3 + 1] AS w, 2.0::DOUBLE * words AS cap, k FROM s),
 o AS (SELECT *, coalesce(sum(cap) OVER b, 0) AS capped, sum(w) OVER () - coalesce(sum(w) OVER b, 0) AS rest, 1.5::DOUBLE * (SELECT sum(words) FROM s) AS total FROM r WINDOW b AS (ORDER BY cap / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 lv AS (SELECT first((total - capped) / rest ORDER BY cap / w, k) AS level FROM o WHERE (total - capped) / rest <= cap / w),
 t AS (SELECT source, words, coalesce(least(cap, w * level), cap) AS target FROM o, lv),
-j AS (SELECT d.doc_id, d.size, t.words, t.target, d.source, length(bin(d.size)) AS w, CASE WHEN t.words > 0 THEN target / words ELSE 0 END AS e,
- (('0x' || substr(md5(concat('17:', coalesce(CAST(doc_id AS VARCHAR), 'null'))), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656 AS u FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
+j AS (SELECT d.doc_id, d.text, d.size, t.words, t.target, d.source, length(bin(d.size)) AS w, CASE WHEN t.words > 0 THEN target / words ELSE 0 END AS e,
+ (('0x' || substr(md5(concat('17:', coalesce(CAST(doc_id AS VARCHAR), 'null'), ':', coalesce(text, ''))), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656 AS u FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
 x AS (SELECT *, floor(e + 1e-12) AS certain, greatest(0, target - floor(e + 1e-12) * words) AS room FROM j),
 cl AS (SELECT source, w, room, sum(size)::BIGINT AS n FROM x GROUP BY source, w, room),
 cx AS (SELECT *, coalesce(sum(n) OVER b, 0)::BIGINT AS capped, (sum(n * w) OVER (PARTITION BY source) - coalesce(sum(n * w) OVER b, 0))::BIGINT AS shares FROM cl
@@ -35,8 +35,15 @@ cv AS (SELECT source, first(level ORDER BY w DESC) AS level FROM (SELECT *, CASE
 q AS (SELECT x.*, CASE WHEN room > 0 THEN least(1, coalesce(level * w, 1)) ELSE 0 END AS p FROM x LEFT JOIN cv ON cv.source IS NOT DISTINCT FROM x.source),
 rk AS (SELECT *, CASE WHEN p >= 1 THEN -1 ELSE (u / (1 - u)) / (p / (1 - p)) END AS rank FROM q),
 y AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source, p > 0 ORDER BY rank, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM rk),
-z AS (SELECT *, CASE WHEN p <= 0 THEN 0 WHEN p >= 1 OR (before < room AND before + size / 2 <= room) THEN 1 ELSE 0 END AS extra FROM y)
-SELECT doc_id, size, words AS source_size, target, CAST((certain + extra) * size AS BIGINT) AS taken, CAST(certain + extra AS BIGINT) AS copies, p AS chance FROM z"""
+z AS (SELECT *, CASE WHEN p <= 0 THEN 0 WHEN p >= 1 OR before + size <= room THEN 1 ELSE 0 END AS extra, row_number() OVER () AS n FROM y),
+lack AS (SELECT source, max(room) - sum(extra * size) AS lack, max(target) / 100 AS close FROM z WHERE p > 0 GROUP BY source),
+fit AS (SELECT z.n, z.source, z.size, row_number() OVER (PARTITION BY z.source ORDER BY z.rank, z.doc_id, z.size) AS k FROM z JOIN lack ON lack.source IS NOT DISTINCT FROM z.source WHERE lack > close AND p > 0 AND p < 1 AND extra = 0 AND size > 0),
+go AS (SELECT source, 0::BIGINT AS k, NULL::BIGINT AS n, lack, close FROM lack WHERE lack > close UNION ALL
+ SELECT go.source, fit.k, CASE WHEN size <= lack AND lack > close THEN fit.n END, lack - CASE WHEN size <= lack AND lack > close THEN size ELSE 0 END, close FROM go JOIN fit ON fit.source IS NOT DISTINCT FROM go.source AND fit.k = go.k + 1),
+still AS (SELECT source, min(lack) AS lack FROM go GROUP BY source HAVING min(lack) > min(close)),
+beyond AS (SELECT first(fit.n ORDER BY fit.k) AS n FROM fit JOIN still ON still.source IS NOT DISTINCT FROM fit.source WHERE fit.size < 2 * still.lack AND fit.n NOT IN (SELECT n FROM go WHERE n IS NOT NULL) GROUP BY fit.source),
+f AS (SELECT z.*, certain + extra + (z.n IN (SELECT n FROM go WHERE n IS NOT NULL UNION ALL SELECT n FROM beyond))::BIGINT AS c FROM z)
+SELECT doc_id, size, words AS source_size, target, CAST(c * size AS BIGINT) AS taken, CAST(c AS BIGINT) AS copies, p AS chance FROM f"""
 
 _NAMES = ", ".join(f"({k}, '{x}')" for k, x in enumerate(sorted(SHARDS)))
 _HASH = "('0x' || substr(md5({}), 1, 8))::BIGINT"
