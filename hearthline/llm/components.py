@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.llm.staging import stage, unstage
+from hearthline.llm.textbytes import tidy
 
 #: Links that a task merges at a time.
 CHUNK = 200_000
 
 
+@tidy
 def _stars(batches):
     """Merges the links at hand, chunk by chunk: each node and the smallest node that it reaches there."""
 

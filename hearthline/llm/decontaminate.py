@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearthline.llm.textbytes import tidy
+
 ERROR_RATE = 0.08
 #: Items with fewer characters, which are the empty ones, match nothing.
 MIN_CHARS = 1
@@ -144,6 +146,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         items = block.toArrow()  # at most about BLOCK_CHARS
         shared = docs.sparkSession.sparkContext.broadcast(list(zip(items["item"].to_pylist(), items["text"].to_pylist(), strict=True)))
 
+        @tidy
         def run(batches, shared=shared):
             matcher = Matcher(shared.value, rate)
             for batch in batches:
@@ -164,6 +167,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         items = block.toArrow()
         shared = docs.sparkSession.sparkContext.broadcast(list(zip(items["item"].to_pylist(), items["text"].to_pylist(), strict=True)))
 
+        @tidy
         def run(batches, shared=shared):
             matcher = Matcher(shared.value, rate)
             for batch in batches:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.textbytes import LOWER, SLICE_BYTES, slices, utf8
+from hearthline.llm.textbytes import LOWER, SLICE_BYTES, slices, tidy, utf8
 
 BUCKETS = 1 << 14
 #: Labels up to which slices of text have their full size.
@@ -66,6 +66,7 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 MOST_LANGUAGES = 2048
 
 
+@tidy
 def _count(batches):
     """Per partition, the trigram counts of each label."""
     totals: dict[str, np.ndarray] = {}
@@ -155,6 +156,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     kept = docs.select(*keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", lang_pred string, score double, langs array<string>"
 
+    @tidy
     def run(batches):
         names, table = shared.value
         for batch in batches:

@@ -25,6 +25,7 @@ empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from hearthline.llm.components import connected_components
 from hearthline.llm.staging import is_small, keyed_join, stage, unstage, with_row_key
-from hearthline.llm.textbytes import long_lists, mix, shingle_hashes, slices, utf8, word_hashes, words
+from hearthline.llm.textbytes import long_lists, mix, shingle_hashes, slices, tidy, utf8, word_hashes, words
 
 WIDTH = 5
 #: Similarity, in percent, from which near duplicates are dropped.
@@ -72,7 +73,7 @@ def _distinct(hashes: np.ndarray, at: np.ndarray):
         yield x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
 
 
-def _sets(column: pa.Array, width: int):
+def set_hashes(column: pa.Array, width: int):
     """For each text the sorted distinct hashes of its shingles, under two seeds."""
     data, offsets = utf8(column)
     for i, j in slices(offsets):
@@ -81,19 +82,20 @@ def _sets(column: pa.Array, width: int):
         yield from zip(*(_distinct(*shingle_hashes(word_hashes(part, starts, ends, seed), first, width)) for seed in SEEDS), strict=True)
 
 
-def _digests(x: np.ndarray, y: np.ndarray) -> list[int]:
+def digests(x: np.ndarray, y: np.ndarray) -> list[int]:
     return [int(mix(z).sum(dtype=np.uint64).view(np.int64)) for z in (x, y)]
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH, k: int = SKETCH) -> DataFrame:
     """id, n_shingles, two digests of the whole set (two longs), sketch."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             n, low, high, kept = [], [], [], []
-            for x, y in _sets(batch.column(1), width):
+            for x, y in set_hashes(batch.column(1), width):
                 n.append(max(len(x), len(y)))
-                d1, d2 = _digests(x, y)
+                d1, d2 = digests(x, y)
                 low.append(d1)
                 high.append(d2)
                 kept.append(x[:k])
@@ -106,12 +108,13 @@ def full_sets(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     """From (node, text, d1, d2): node and its whole set, under both hashes; texts of other digests are left out."""
     names = ["node", "shingles", "again"]
 
+    @tidy
     def run(batches):
         for batch in batches:
             nodes, made, again, size = [], [], [], 0
             known = zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True)
-            for (node, *digests), (x, y) in zip(known, _sets(batch.column(1), width), strict=True):
-                if digests != _digests(x, y):
+            for (node, *known_by), (x, y) in zip(known, set_hashes(batch.column(1), width), strict=True):
+                if known_by != digests(x, y):
                     continue
                 nodes.append(node)
                 made.append(x)
@@ -189,15 +192,20 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stage(_of_both(pairs, sets).where(holds("shingles") & holds("again")).select("a", "b"), "near-links")
 
 
-def _filtered(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that the sketch of the union lets pass, staged."""
-    k, shared = sketch_plan(percent)
+def pairs_that(pairs: DataFrame, sketch: DataFrame, condition: Column) -> DataFrame:
+    """The pairs (a, b) whose two rows of ``sketch`` fulfil the condition, staged."""
     pairs = stage(pairs, "near-candidates")
-    out = stage(_of_both(pairs, sketch).where(_estimate(F.col("sketch_a"), F.col("sketch_b"), k) >= shared / k).select("a", "b"), "near-pairs")
+    out = stage(_of_both(pairs, sketch).where(condition).select("a", "b"), "near-pairs")
     unstage(pairs)
     return out
 
 
+def _union_estimate(nodes: DataFrame, percent: int) -> Callable[[DataFrame], DataFrame]:
+    """Lets pairs pass by the sketch of their union."""
+    k, shared = sketch_plan(percent)
+    return lambda pairs: pairs_that(pairs, nodes.select("node", "sketch"), _estimate(F.col("sketch_a"), F.col("sketch_b"), k) >= shared / k)
+
+
 def _sets_of(need: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """The whole sets of the needed nodes, staged."""
     need = stage(nodes.join(need, "node", "left_semi").select("node", "id", "d1", "d2"), "near-need")
@@ -213,12 +221,11 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
 
-def _short_links(short: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str, width: int) -> DataFrame:
+def _short_links(short: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str, width: int, passing: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links from the staged short lists (value, node, n): of all members with one, then across components."""
-    sketch = nodes.select("node", "sketch")
     lot = F.struct(F.xxhash64("node").alias("r"), "node", "n")
     stars = short.join(short.groupBy("value").agg(F.min(lot).alias("c")), "value").where((F.col("node") != F.col("c.node")) & _alike("n", "c.n", percent))
-    pairs = _filtered(stars.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct(), sketch, percent)
+    pairs = passing(stars.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct())
     sets = _sets_of(_ends(pairs), nodes, docs, id_col, text_col, width)
     first = _confirmed(pairs, sets, percent)
     unstage(pairs, sets)
@@ -227,7 +234,7 @@ def _short_links(short: DataFrame, nodes: DataFrame, docs: DataFrame, percent: i
     apart = at.groupBy("value").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min(lot)["node"].alias("center")).where("c1 < c2").select("value", "center")
     at = stage(at.join(apart, "value").where("node <> center").select("value", "node", "n", "c"), "near-apart")
     across = at.join(at.toDF("value", "b", "nb", "cb"), "value").where((F.col("node") < F.col("b")) & (F.col("c") != F.col("cb")) & _alike("n", "nb", percent))
-    pairs = _filtered(across.select(F.col("node").alias("a"), "b").distinct(), sketch, percent)
+    pairs = passing(across.select(F.col("node").alias("a"), "b").distinct())
     sets = _sets_of(_ends(pairs), nodes, docs, id_col, text_col, width)
     second = _confirmed(pairs, sets, percent)
     links = stage(first.unionByName(second), "near-links")
@@ -235,15 +242,18 @@ def _short_links(short: DataFrame, nodes: DataFrame, docs: DataFrame, percent: i
     return links
 
 
-def near_links(docs: DataFrame, nodes: DataFrame, percent: int, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
-    """(a, b): links that make the same components as all pairs of nodes with similarity of at least ``percent``."""
+def near_links(docs: DataFrame, nodes: DataFrame, percent: int, id_col: str, text_col: str, width: int = WIDTH, lists: DataFrame | None = None, passing: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(a, b): links that make the same components as all pairs of nodes with similarity of at least ``percent``. Nodes
+    that can be similar meet in ``lists`` (value, node, n; staged), and ``passing`` stages those of the pairs that a sketch
+    lets pass; both are by bottom-k sketches unless they are given."""
     share = F.ceil(F.col("n") * percent / 100).cast("int")
-    lists = inverted_lists(nodes, "sketch", F.least(share, F.lit(sketch_plan(percent)[1])))
+    if lists is None:
+        lists = inverted_lists(nodes, "sketch", F.least(share, F.lit(sketch_plan(percent)[1])))
+    passing = passing or _union_estimate(nodes, percent)
     sizes = stage(lists.groupBy("value").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-sizes")
     tagged = stage(lists.join(sizes, "value"), "near-tagged")
     unstage(lists, sizes)
-    sketch = nodes.select("node", "sketch")
-    links = _short_links(tagged.where(F.col("size") <= WHOLE).select("value", "node", "n"), nodes, docs, percent, id_col, text_col, width)
+    links = _short_links(tagged.where(F.col("size") <= WHOLE).select("value", "node", "n"), nodes, docs, percent, id_col, text_col, width, passing)
     long_ = stage(tagged.where(F.col("size") > WHOLE).select("node").distinct(), "near-long")
     unstage(tagged)
     if long_.limit(1).count() == 0:
@@ -281,7 +291,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, percent: int, id_col: str, tex
         met = tagged.join(few, "value").select("node", F.transform(F.filter("pivots", meets), lambda p: p["node"]).alias("p")).where(F.size("p") > 0)
         met = met.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("p"))).alias("p")).select("node", F.explode("p").alias("p"))
         met = met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        pairs = _filtered(met, sketch, percent)
+        pairs = passing(met)
         more = _confirmed(pairs, sets, percent)
         before, links = links, stage(links.unionByName(more), "near-links")
         unstage(few, pairs, more, before)
@@ -297,16 +307,21 @@ def near_links(docs: DataFrame, nodes: DataFrame, percent: int, id_col: str, tex
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = WIDTH) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept, set_id (the smallest id with the same set)."""
     sk = stage(sketches(docs, id_col, text_col, width, sketch_plan(percent)[0]), "near-all")
+    return labelled(sk, lambda nodes: near_links(docs, nodes, percent, id_col, text_col, width), id_col)
+
+
+def labelled(sk: DataFrame, links_of: Callable[[DataFrame], DataFrame], id_col: str) -> DataFrame:
+    """The result from the staged (id, n, d1, d2, ...) of all documents and what links the nodes, one per set."""
     real = sk.where("n > 0 and id is not null")
     # the smallest id of each set stands for it; sets have numbers of their own, for an id may have several
     named = real.groupBy("n", "d1", "d2").agg(F.min("id").alias("id"))
     named = stage(named.withColumn("node", F.monotonically_increasing_id()), "near-sets-once")
     twice = stage(real.groupBy("id").agg(F.min(F.struct("d1", "d2")).alias("x"), F.max(F.struct("d1", "d2")).alias("y"), F.count(F.lit(1)).alias("rows")).where("rows > 1"), "near-twice")
     repeats = twice.limit(1).count() > 0
-    nodes = keyed_join(real, named, ["n", "d1", "d2", "id"], "inner").select("node", "id", "n", "d1", "d2", "sketch")
+    nodes = keyed_join(real, named, ["n", "d1", "d2", "id"], "inner").select("node", *sk.columns)
     nodes = stage(nodes.dropDuplicates(["node"]) if repeats else nodes, "near-nodes")
     nodes._repeats = repeats
-    links = near_links(docs, nodes, percent, id_col, text_col, width)
+    links = links_of(nodes)
     # an id with several sets links them
     of_id = real.join(twice.where("x <> y").select("id"), "id", "left_semi").join(named.drop("id"), ["n", "d1", "d2"]).select("id", "node").distinct()
     same = of_id.join(of_id.groupBy("id").agg(F.min("node").alias("b")), "id").select(F.col("node").alias("a"), "b").where("a <> b")

@@ -7,8 +7,8 @@ from hearthline.llm.sharding import SHARDS, SLOTS
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACE = r"[^\x20\x09-\x0D]+"
 
-NEAR = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_SPACE}') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0) x),
+_NEAR = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_SPACE}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < @ THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + @ - 1], ' ') END AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - @ + 2, 2))) AS i FROM w WHERE len(w) > 0) x),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
 e AS (SELECT a, b FROM met JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
@@ -19,6 +19,9 @@ h AS (SELECT doc_id, list_sort(list(g)) AS gs FROM s GROUP BY doc_id), same AS (
 SELECT c.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, c.doc_id = component_id AS kept, coalesce(same.set_id, c.doc_id) AS set_id
 FROM c LEFT JOIN n ON n.doc_id = c.doc_id LEFT JOIN h ON h.doc_id = c.doc_id LEFT JOIN same ON same.gs = h.gs"""
 
+#: Components of documents whose sets of so many words' shingles have a similarity of 0.85.
+NEAR, JOIN = _NEAR.replace("@", "5"), _NEAR.replace("@", "4")
+
 MIX = f"""WITH RECURSIVE d AS (SELECT doc_id, source, text, CAST(coalesce(len(regexp_extract_all(text, '{_SPACE}')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS words, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source),
 r AS (SELECT source, words, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(k - 1) % 3 + 1] AS w, 2.0::DOUBLE * words AS cap, k FROM s),
@@ -57,4 +60,4 @@ SELECT d.doc_id, d.source, d.slot, sh.x AS shard FROM d JOIN tab USING (slot) JO
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_bottom_k_near_dedup": NEAR, "op2_pareto_mix": MIX, "op7_permutation_shards": SHARDING}
+    return {"op1_bottom_k_near_dedup": NEAR, "op2_pareto_mix": MIX, "op7_permutation_shards": SHARDING, "op12_parity_sketch_join": JOIN}

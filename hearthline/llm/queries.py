@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import ctw, decontaminate, langid, minhash, mixing, neighbours, oracles, secrets, sharding, tokens, urls
+from hearthline.llm import align, ctw, decontaminate, langid, minhash, mixing, neighbours, oracles, parity, secrets, sharding, tokens, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,8 +67,23 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect_languages(_table(spark, sf_dir, "documents"))
 
 
+def op11_anchor_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.align_documents(_table(spark, sf_dir, "documents"), a, b, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity.similar_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bottom_k_near_dedup, op2_pareto_mix, op3_url_regression, op4_context_tree_score, op5_trigram_secret_scan, op6_multiprobe_neighbours, op7_permutation_shards, op8_pigeonhole_decontamination, op9_wavelet_token_ids, op10_language_mixture)}
+    numbered = (
+        op1_bottom_k_near_dedup, op2_pareto_mix, op3_url_regression, op4_context_tree_score, op5_trigram_secret_scan, op6_multiprobe_neighbours, op7_permutation_shards,
+        op8_pigeonhole_decontamination, op9_wavelet_token_ids, op10_language_mixture, op11_anchor_alignment, op12_parity_sketch_join,
+    )
+    return {f.__name__: f for f in numbered}
 
 
 def oracle_sql() -> dict[str, str]:

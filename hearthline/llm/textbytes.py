@@ -5,6 +5,9 @@ A word is a maximal run of bytes other than space and 0x09-0x0D; A-Z count as a-
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -22,6 +25,20 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def tidy(run):
+    """For a function of Arrow batches that a task runs: at its end, memory goes back to the system. Workers live on from
+    task to task, and would keep what the largest batch of each kind of task needed."""
+
+    @functools.wraps(run)
+    def tidied(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError):  # the C library of other systems has no such function
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
@@ -62,6 +79,12 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(full & ends) + 1, np.searchsorted(starts, offsets)
 
 
+def dealt(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` at ``starts``, one behind the other."""
+    upto = np.cumsum(sizes)
+    return pool[np.repeat(starts - (upto - sizes), sizes) + np.arange(upto[-1] if len(upto) else 0)]
+
+
 def _packed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     """The words as a binary array: all bytes that are no space, cut at the words' ends."""
     offsets = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64)

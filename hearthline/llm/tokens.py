@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.llm.staging import new_folder, stage
-from hearthline.llm.textbytes import WordNumbers, distinct_words, slices, texts, utf8, words
+from hearthline.llm.textbytes import WordNumbers, dealt, distinct_words, slices, texts, tidy, utf8, words
 from hearthline.llm.wavelet import WaveletMatrix, encode
 
 SHARD_TOKENS = 2_000_000
@@ -41,12 +41,6 @@ LETTERS = "^[A-Za-zÀ-ÖØ-öø-įı-ſ]+$"
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def _dealt(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The stretches of ``pool`` at ``starts``, one behind the other."""
-    upto = np.cumsum(sizes)
-    return pool[np.repeat(starts - (upto - sizes), sizes) + np.arange(upto[-1] if len(upto) else 0)]
-
-
 class Encoder:
     """Ids of texts under a tokenizer that never joins what white space parts: each distinct word is encoded once while
     a worker remembers it. Words are told apart by their bytes.
@@ -126,9 +120,9 @@ class Encoder:
         sizes = self.upto[parts + 1] - self.upto[parts]
         sizes[~second, 1] = 0
         # the ids of the distinct words, then those of all words
-        pool, n = _dealt(self.pool, self.upto[parts].ravel(), sizes.ravel()), sizes.sum(1)
+        pool, n = dealt(self.pool, self.upto[parts].ravel(), sizes.ravel()), sizes.sum(1)
         upto = np.concatenate(([0], np.cumsum(n[place])))[first]
-        return _dealt(pool, (np.cumsum(n) - n)[place], n[place]), np.diff(upto)
+        return dealt(pool, (np.cumsum(n) - n)[place], n[place]), np.diff(upto)
 
 
 #: One per tokenizer file and worker: later tasks find earlier tasks' words.
@@ -147,6 +141,8 @@ def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 
 def write_shards(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the files and returns one row each: path, part, place (its order within the part), tokens."""
+
+    @tidy
     def run(batches):
         from pyspark import TaskContext
 
@@ -204,6 +200,7 @@ def read_shards(files: DataFrame, folder: str) -> DataFrame:
     """One row per document, from the files: id, start, n_tokens, ids_crc32."""
     spark = files.sparkSession
 
+    @tidy
     def run(batches):
         for batch in batches:
             for name, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

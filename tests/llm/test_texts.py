@@ -11,13 +11,13 @@ from tests.llm.tables import rows
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def shingles(text):
+def shingles(text, width=5):
     w = [x.translate({c: c + 32 for c in range(65, 91)}) for x in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
 
 
-def brute_components(docs, percent=85):
-    sets = {i: [shingles(t) for j, t in docs if j == i] for i, _ in docs}
+def brute_components(docs, percent=85, width=5):
+    sets = {i: [shingles(t, width) for j, t in docs if j == i] for i, _ in docs}
     parent = {i: i for i in sets}
 
     def root(x):
