@@ -78,9 +78,13 @@ class Hashes:
             return key[:, None] + sum(step[:, self.order[:, c]] for c in range(self.order.shape[1]))
 
 
-def valid_vector(v: Column, dim: int) -> Column:
+def finite_vector(v: Column, dim: int) -> Column:
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce((F.size(v) == dim) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
+    return F.coalesce((F.size(v) == dim) & finite, F.lit(False))
+
+
+def valid_vector(v: Column, dim: int) -> Column:
+    return finite_vector(v, dim) & F.exists(v, lambda x: x != 0)
 
 
 def _vectors(column: pa.Array, dim: int) -> np.ndarray:

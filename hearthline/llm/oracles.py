@@ -59,5 +59,14 @@ d AS (SELECT doc_id, source, {_HASH.format("coalesce(CAST(doc_id AS VARCHAR), 'n
 SELECT d.doc_id, d.source, d.slot, sh.x AS shard FROM d JOIN tab USING (slot) JOIN sh ON sh.k = tab.k"""
 
 
+NEGATIVES = """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+ FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_bottom_k_near_dedup": NEAR, "op2_pareto_mix": MIX, "op7_permutation_shards": SHARDING, "op12_parity_sketch_join": JOIN}
+    return {"op1_bottom_k_near_dedup": NEAR, "op2_pareto_mix": MIX, "op7_permutation_shards": SHARDING, "op12_parity_sketch_join": JOIN, "op13_hilbert_hard_negatives": NEGATIVES}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import align, ctw, decontaminate, langid, minhash, mixing, neighbours, oracles, parity, secrets, sharding, tokens, urls
+from hearthline.llm import align, ctw, decontaminate, hardnegatives, langid, minhash, mixing, neighbours, oracles, parity, secrets, sharding, tokens, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,10 +78,15 @@ def op12_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity.similar_documents(_table(spark, sf_dir, "documents"))
 
 
+def op13_hilbert_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = (
         op1_bottom_k_near_dedup, op2_pareto_mix, op3_url_regression, op4_context_tree_score, op5_trigram_secret_scan, op6_multiprobe_neighbours, op7_permutation_shards,
-        op8_pigeonhole_decontamination, op9_wavelet_token_ids, op10_language_mixture, op11_anchor_alignment, op12_parity_sketch_join,
+        op8_pigeonhole_decontamination, op9_wavelet_token_ids, op10_language_mixture, op11_anchor_alignment, op12_parity_sketch_join, op13_hilbert_hard_negatives,
     )
     return {f.__name__: f for f in numbered}
 

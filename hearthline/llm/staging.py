@@ -33,13 +33,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Writes ``df`` once as Parquet in the shared folder and reads it again: lineage ends there, and a lost executor
-    costs no recomputation. The table goes by ``unstage``, or once no plan of this driver reads it any more."""
+    costs no recomputation. With ``by``, each value of that column has a folder. The table goes by ``unstage``, or once no plan of this driver reads it any more."""
     spark = df.sparkSession
     sweep(spark)
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._hearthline_path = path
     _standing[path] = spark, spark._jvm.java.lang.ref.WeakReference(out._jdf.queryExecution().analyzed().relation().location())
