@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from hearthline.functions import pages as P
 from hearthline.functions.listing import price_kobo
 from hearthline.functions.web import absolute_url, external_id, split_currency, url_price_type
+from hearthline.operators.verify import REMOVED, with_reason
 from hearthline.sources import rules as R
+from hearthline.vocab import REMOVAL_PHRASES
 
 READ = ("url", "title", "currency", "price", "whole_price", "raw_bedrooms", "raw_bathrooms", "raw_address", "raw_floor_area", "description", "property_type_raw", "agent_name")
 RAW = (
@@ -17,13 +19,13 @@ RAW = (
 )
 
 
-def read_pages(pages: DataFrame, fields=R.FIELDS) -> DataFrame:
-    """(source, page_url, each field read, error): a page that cannot be read keeps its error."""
+def read_pages(pages: DataFrame, fields=R.FIELDS, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(source, page_url, each field read, error, keys): a page that cannot be read keeps its error."""
 
     def run(frames):
         for frame in frames:
             rows = []
-            for source, url, html in frame.itertuples(index=False):
+            for source, url, html, *_ in frame.itertuples(index=False):
                 row = dict.fromkeys(READ) | {"source": source, "page_url": url, "error": None}
                 try:
                     root = P.parse(html or "")
@@ -31,16 +33,18 @@ def read_pages(pages: DataFrame, fields=R.FIELDS) -> DataFrame:
                 except Exception as fault:  # kept with the row
                     row["error"] = f"{type(fault).__name__}: {fault}"[:500]
                 rows.append(row)
-            yield pd.DataFrame(rows, columns=["source", "page_url", *READ, "error"], dtype=object)
+            out = pd.DataFrame(rows, columns=["source", "page_url", *READ, "error"], dtype=object)
+            yield out.assign(**{k: frame[k].to_numpy() for k in keys})
 
-    schema = "source string, page_url string, " + ", ".join(f"{c} string" for c in READ) + ", error string"
-    return pages.select("source", "url", "html").mapInPandas(run, schema)
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in pages.select(*keys).schema]
+    schema = ", ".join(["source string, page_url string", *(f"{c} string" for c in READ), "error string", *kinds])
+    return pages.select("source", "url", "html", *keys).mapInPandas(run, schema)
 
 
-def extract_listings(pages: DataFrame, fields=R.FIELDS) -> tuple[DataFrame, DataFrame]:
-    """(raw listings, quarantine with the reason). Pages without an id, or without the price (and currency) that their
+def judged_pages(pages: DataFrame, fields=R.FIELDS, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Raw listings, their page_url and keys, and the reason why a page is none (else null). Pages without an id, or without the price (and currency) that their
     source needs, are no listings."""
-    read = read_pages(pages, fields)
+    read = read_pages(pages, fields, keys)
     url = F.coalesce("url", "page_url")
     combined = split_currency(F.col("whole_price"))
     fall = F.col("price").isNull() | F.col("currency").isNull()
@@ -50,7 +54,12 @@ def extract_listings(pages: DataFrame, fields=R.FIELDS) -> tuple[DataFrame, Data
     out = out.withColumn("raw_price_type", url_price_type(F.col("source"), F.col("url"), F.col("raw_price"))).withColumn("title", F.coalesce("title", F.lit("")))
     null_page = F.col("source").isin(*R.NEEDS_PRICE) & F.col("raw_price").isNull()
     reason = F.coalesce("error", F.when(F.col("external_id").isNull(), "no external id"), F.when(null_page, "no price"))
-    out = out.withColumn("reason", reason)
+    return out.withColumn("reason", reason).select(*RAW, "page_url", *keys, "reason")
+
+
+def extract_listings(pages: DataFrame, fields=R.FIELDS) -> tuple[DataFrame, DataFrame]:
+    """(raw listings, quarantine with the reason)."""
+    out = judged_pages(pages, fields)
     return out.where("reason is null").select(*RAW), out.where("reason is not null").select("source", F.col("page_url").alias("url"), "reason")
 
 
@@ -73,9 +82,13 @@ def harvest_links(pages: DataFrame, cards=R.CARDS) -> DataFrame:
     return read.select("source", "page_url", F.posexplode(whole).alias("position", "url")).withColumn("external_id", external_id(F.col("source"), F.col("url")))
 
 
-def observed_prices(fetches: DataFrame, fields=R.FIELDS) -> DataFrame:
-    """(listing_id, observed_price) of fetched pages that hold a readable price; fetches: FETCH_LOG rows."""
-    live = fetches.where("status = 200 and error is null")
-    good, _ = extract_listings(live.select("source", "url", F.col("body").alias("html")), fields)
-    priced = good.select("source", "external_id", price_kobo(F.col("raw_price"))["kobo"].alias("observed_price")).where("observed_price is not null")
-    return live.join(priced.dropDuplicates(["source", "external_id"]), ["source", "external_id"]).select("listing_id", "observed_price")
+def checked_pages(fetches: DataFrame, fields=R.FIELDS, phrases=REMOVAL_PHRASES) -> DataFrame:
+    """What each fetch tells, with the price that a live page states. The price stays with its fetch: neither an id found
+    in the page nor other fetches of the listing matter. fetches: FETCH_LOG rows."""
+    told = with_reason(fetches, phrases)
+    html = F.when(F.col("reason") == "live", F.col("body")).alias("html")
+    # renamed, for the page has an id and an error of its own
+    pages = told.select("source", "url", html, "listing_id", F.col("external_id").alias("fetch_id"), F.col("reason").alias("fetch_reason"), F.col("error").alias("fetch_error"))
+    read = judged_pages(pages, fields, ("listing_id", "fetch_id", "fetch_reason", "fetch_error"))
+    price = F.when((F.col("fetch_reason") == "live") & F.col("reason").isNull(), price_kobo(F.col("raw_price"))["kobo"])
+    return read.select("listing_id", "source", F.col("fetch_id").alias("external_id"), F.col("fetch_reason").isin(*REMOVED).alias("is_removed"), price.alias("observed_price"), F.col("fetch_reason").alias("reason"), F.col("fetch_error").alias("error"))

@@ -43,15 +43,23 @@ def check_candidates(listings: DataFrame, *, now, force_all: bool = False, param
     return ranked.select("id", "source", "external_id", "url", "first_seen_at", "price_kobo", "ratio", "rank", F.floor((F.col("rank") - 1) / params.check_batch).cast("int").alias("batch"))
 
 
-def classify_fetches(fetch_log: DataFrame, phrases=REMOVAL_PHRASES, observed: DataFrame | None = None) -> DataFrame:
-    """What each fetch tells: is_removed, reason and, where (listing_id, observed_price) of the page is given, the
-    observed price. Failed requests confirm as active; rows with an error tell nothing."""
+#: Reasons for which a listing counts as gone.
+REMOVED = ("not_found", "redirected", "phrase")
+
+
+def with_reason(fetch_log: DataFrame, phrases=REMOVAL_PHRASES) -> DataFrame:
     body = F.lower(F.col("body"))
     phrase = F.exists(F.array(*[F.lit(p) for p in phrases]), lambda p: body.contains(p))
     moved = (F.col("final_url") != F.col("url")) & ~F.col("final_url").contains(F.col("external_id"))
     reason = F.when(F.col("status") == 404, "not_found").when(moved, "redirected").when((F.col("status") == 200) & phrase, "phrase").when(F.col("status") == 200, "live").otherwise("unreachable")
-    out = fetch_log.withColumn("reason", F.when(F.col("error").isNull(), reason))
-    removed = F.col("reason").isin("not_found", "redirected", "phrase")
+    return fetch_log.withColumn("reason", F.when(F.col("error").isNull(), reason))
+
+
+def classify_fetches(fetch_log: DataFrame, phrases=REMOVAL_PHRASES, observed: DataFrame | None = None) -> DataFrame:
+    """What each fetch tells: is_removed, reason and, where (listing_id, observed_price) of the page is given, the
+    observed price. Failed requests confirm as active; rows with an error tell nothing."""
+    out = with_reason(fetch_log, phrases)
+    removed = F.col("reason").isin(*REMOVED)
     if observed is not None:
         out = out.join(observed.select("listing_id", "observed_price"), "listing_id", "left")
     else:

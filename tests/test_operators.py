@@ -222,8 +222,21 @@ def test_extraction(spark):
     d = g["abcdefghijkl"]
     assert (d.url, d.raw_price_type, d.property_type_raw, d.raw_bedrooms) == ("https://jiji.ng/houses-apartments-for-sale/a-abcdefghijkl.html", "FOR_SALE", "House", "4 bedrooms")
     assert g["6PBUWY"].raw_price == "USD 1,200per year" and g["6PBUWY"].raw_price_type == "FOR_SHORT_LET"
-    fetches = spark.createDataFrame([(1, "propertypro", "7NUGY", "https://propertypro.ng/property/for-sale-flat-7NUGY", 200, "", PAGE, None), (2, "jiji", "q", "u", 404, "", PAGE, None)], FETCH)
-    assert [tuple(r) for r in extract.observed_prices(fetches).collect()] == [(1, 4500000000)]
+
+
+def test_observed_prices_stay_with_their_fetch(spark):
+    url = "https://propertypro.ng/property/for-sale-flat-7NUGY"
+    jiji = lambda price, found: f'<link rel="canonical" href="https://jiji.ng/flat-{found}.html"><h1>T</h1><div class="qa-advert-price-view-title">₦ {price}</div>'
+    rows = [
+        (1, "propertypro", "7NUGY", url, 200, url, PAGE, None), (2, "jiji", "q", "u", 404, "u", PAGE, None), (3, "jiji", "abcdefghijkl", "u", 200, "u", jiji("7,000", "abcdefghijkl"), None),
+        (4, "jiji", "abcdefghijkl", "u", 200, "u", jiji("8,000", "abcdefghijkl"), None), (5, "jiji", "abcdefghijkl", "u", 200, "u", jiji("9,000", "zzzzzzzzzzzz"), None), (6, "jiji", "a", "u", 200, "u", jiji("1", "abcdefghijkl"), "broken"),
+        (7, "propertypro", "x", url, 200, url, PAGE + " Page not found", None), (8, "propertypro", "x", url, 503, url, PAGE, None), (3, "jiji", "abcdefghijkl", "u", 200, "u", jiji("7,500", "abcdefghijkl"), None),
+    ]
+    out = sorted((r.listing_id, r.external_id, r.is_removed, r.observed_price, r.reason, r.error) for r in extract.checked_pages(spark.createDataFrame(rows, FETCH)).collect() if r.listing_id != 6)
+    assert out == [
+        (1, "7NUGY", False, 4500000000, "live", None), (2, "q", True, None, "not_found", None), (3, "abcdefghijkl", False, 700000, "live", None), (3, "abcdefghijkl", False, 750000, "live", None), (4, "abcdefghijkl", False, 800000, "live", None),
+        (5, "abcdefghijkl", False, 900000, "live", None), (7, "x", True, None, "phrase", None), (8, "x", False, None, "unreachable", None),
+    ]
 
 
 def test_links(spark):
