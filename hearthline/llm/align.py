@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,14 @@ from hearthline.llm.staging import stage, unstage
 from hearthline.llm.textbytes import IS_SPACE, WordNumbers, dealt, slices, texts, tidy, utf8
 
 #: Bytes of text whose chunks are looked up together, and of chunks that a worker remembers before it starts anew.
-LOOK_UP_BYTES, CACHE_BYTES = 2 << 20, 32 << 20
+LOOK_UP_BYTES, CACHE_BYTES = 1 << 20, 3 << 20
 #: Windows whose alignments a worker remembers, and the ids of the longest.
-CACHE_WINDOWS, WINDOW_IDS = 500_000, 256
+CACHE_WINDOWS, WINDOW_IDS = 400_000, 256
 #: Linked pairs up to which their counts are broadcast (24 bytes each).
 MOST_PAIRS = 2_000_000
 SPACE_MARK = "▁"
+#: Bytes of white space that is not ASCII's, of control characters that some count as such, and of the mark itself.
+ODD = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a|\xe1\xa0|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe2\x96\x81|\xe3\x80|[\x1c-\x1f]")
 
 
 def byte_level_decoder() -> dict[str, int]:
@@ -47,9 +50,23 @@ def byte_level_decoder() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def _table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """How many bytes each id has, and whether it begins with a space."""
-    return np.array([len(t) for t in tokens], np.int64), np.array([t[:1] == b" " for t in tokens], bool)
+class Tokens:
+    """A vocabulary: each id's bytes, how many they are, whether they begin with a space, and the id as text."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.bytes, self.size = np.frombuffer(b"".join(tokens), np.uint8), np.array([len(t) for t in tokens], np.int64)
+        self.at = np.cumsum(self.size) - self.size
+        self.spaced = np.array([t[:1] == b" " for t in tokens], bool)
+        self.text = np.array([str(k) for k in range(len(tokens))], object)
+
+    def give_back(self, ids: np.ndarray, n: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Of texts with so many ids each, whether the ids' bytes are the texts', which stand in ``data`` behind each other."""
+        own = np.diff(np.concatenate(([0], np.cumsum(self.size[ids])))[np.concatenate(([0], np.cumsum(n)))])
+        good = own == sizes
+        ids, text = ids[np.repeat(good, n)], data[np.repeat(good, sizes)]
+        wrong = dealt(self.bytes, self.at[ids], self.size[ids]) != text
+        good[np.repeat(np.flatnonzero(good), sizes[good])[wrong]] = False
+        return good
 
 
 class Tokenizers:
@@ -64,38 +81,70 @@ class Tokenizers:
         self.a.encode_special_tokens = True
         byte, vocabulary = byte_level_decoder(), self.a.get_vocab(with_added_tokens=True)
         special = {t.content for t in self.a.get_added_tokens_decoder().values()}
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for t, i in vocabulary.items():
-            self.a_bytes[i] = t.encode() if t in special else bytes(byte[c] for c in t)
+            a_bytes[i] = t.encode() if t in special else bytes(byte[c] for c in t)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
+        b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
         # a piece with a space behind something else would reach from chunk to chunk
         self.parts = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
         self.space = self.b.piece_to_id(SPACE_MARK)
-        (self.a_size, self.a_spaced), (self.b_size, self.b_spaced) = _table(self.a_bytes), _table(self.b_bytes)
-        self._forget()
+        self.tokens = Tokens(a_bytes), Tokens(b_bytes)
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known, self.held, self.good = WordNumbers(), 0, np.zeros(0, bool)
         #: Of each tokenizer, all chunks' ids one behind the other, and where each chunk's end.
         self.pools, self.upto = [np.zeros(0, np.int64)] * 2, [np.zeros(1, np.int64)] * 2
 
-    def _learn(self, chunks: pa.Array) -> np.ndarray:
-        text, raw = texts(chunks), chunks.to_pylist()
+    def _in_one_go(self, text: str, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Ids of chunks of these sizes that stand one behind the other, by each tokenizer: all ids, and how many each has.
+        None if ids do not end where chunks do."""
+        out, ends = [], np.cumsum(sizes)
+        made = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:], num_threads=1)  # B adds the first space
+        for ids, own in zip(made, self.tokens, strict=True):
+            ids = np.array(ids, np.int64)
+            upto = np.cumsum(own.size[ids])
+            last = np.searchsorted(upto, ends)
+            if not len(upto) or upto[-1] != ends[-1] or (upto[last] != ends).any():
+                return None
+            out.append((ids, np.diff(last, prepend=-1)))
+        return out
+
+    def _singly(self, text: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         a = [e.ids for i in range(0, len(text), 5000) for e in self.a.encode_batch_fast(text[i : i + 5000], add_special_tokens=False)]
         b = [ids if t != " " else [self.space] for t, ids in zip(text, self.b.encode([t[1:] for t in text], num_threads=1), strict=True)]
-        good = [b"".join([self.a_bytes[x] for x in p]) == r and b"".join([self.b_bytes[x] for x in q]) == r for p, q, r in zip(a, b, raw, strict=True)]
-        self.good = np.concatenate((self.good, np.array(good, bool)))
-        for k, ids in enumerate((a, b)):
-            self.pools[k] = np.concatenate((self.pools[k], np.array([x for i in ids for x in i], np.int64)))
-            self.upto[k] = np.concatenate((self.upto[k], self.upto[k][-1] + np.cumsum([len(i) for i in ids])))
+        return [(np.array([x for i in made for x in i], np.int64), np.array([len(i) for i in made], np.int64)) for made in (a, b)]
+
+    def _learn(self, chunks: pa.Array) -> np.ndarray:
+        """Chunks that white space ends, or that hold other white space, are no neighbours for others; these are encoded many
+        at a time."""
+        raw, text = chunks.to_pylist(), texts(chunks)
+        plain = np.array([len(r) <= 256 and not r[-1:].isspace() and not ODD.search(r) for r in raw], bool)
+        parts = []
+        for k in range(0, len(raw), 20_000):
+            for at, joined in ((np.flatnonzero(plain[k : k + 20_000]) + k, True), (np.flatnonzero(~plain[k : k + 20_000]) + k, False)):
+                if len(at):
+                    own = [text[x] for x in at.tolist()]
+                    made = self._in_one_go("".join(own), np.array([len(raw[x]) for x in at.tolist()])) if joined else None
+                    parts.append((at, made or self._singly(own)))
+        order = np.concatenate([at for at, _ in parts])
+        number = np.empty(len(raw), np.int64)
+        number[order] = self.known.add(chunks.take(pa.array(order)))
+        for k in range(2):
+            ids, n = (np.concatenate([made[k][x] for _, made in parts]) for x in range(2))
+            self.pools[k] = np.concatenate((self.pools[k], ids))
+            self.upto[k] = np.concatenate((self.upto[k], self.upto[k][-1] + np.cumsum(n)))
+        data, sizes, good = np.frombuffer(b"".join([raw[x] for x in order.tolist()]), np.uint8), np.array([len(raw[x]) for x in order.tolist()], np.int64), np.ones(len(raw), bool)
+        for k, own in enumerate(self.tokens):
+            ids, n = (np.concatenate([made[k][x] for _, made in parts]) for x in range(2))
+            good &= own.give_back(ids, n, data, sizes)
+        self.good = np.concatenate((self.good, good))
         self.held += sum(map(len, raw))
-        return self.known.add(chunks)
+        return number
 
     def numbers(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The numbers of the chunks that start there; new ones are learned."""
-        if self.held > CACHE_BYTES:
-            self._forget()
         offsets = np.append(starts, len(data)).astype(np.int64)
         coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
         distinct = coded.dictionary.cast(pa.binary())
@@ -114,45 +163,66 @@ def _other_spaces(data: np.ndarray) -> np.ndarray:
     return three | ((a == 0xC2) & ((b == 0x85) | (b == 0xA0))) | ((a == 0xE1) & ((b == 0x9A) | (b == 0xA0))) | ((a == 0xE3) & (b == 0x80)) | ((a >= 0x1C) & (a <= 0x1F))
 
 
-def align(a: list[int], b: list[int], a_size: np.ndarray, b_size: np.ndarray) -> list[tuple[list[int], list[int]]]:
-    """The groups of two id sequences over the same bytes."""
-    out, i, j, p, q, at, to = [], 0, 0, 0, 0, 0, 0
-    while i < len(a):
-        at += a_size[a[i]]
-        i += 1
-        while to < at:
-            to += b_size[b[j]]
-            j += 1
-        if to == at:
-            out.append((a[p:i], b[q:j]))
-            p, q = i, j
-    return out
+def group_ends(ends: list[np.ndarray]) -> list[np.ndarray]:
+    """From the bytes at which the tokens of both sequences end: the places of the tokens that end together."""
+    mark = np.zeros(int(ends[0][-1]) + 1 if len(ends[0]) else 1, bool)
+    mark[ends[0]] = True
+    second = np.flatnonzero(mark[ends[1]])
+    return [np.searchsorted(ends[0], ends[1][second]), second]
 
 
 class Aligner:
     """Windows' alignments by their ids: the groups as text, and the linked pairs."""
 
     def __init__(self, tokenizers: Tokenizers):
-        self.t, self.width = tokenizers, len(tokenizers.b_bytes)
+        self.t, self.width = tokenizers, len(tokenizers.tokens[1].size)
         self._forget()
 
     def _forget(self) -> None:
-        self.memo: dict[tuple[bytes, bytes], int] = {}
+        self.t.forget()
+        self.memo: dict[bytes, int] = {}
         self.groups: list[str] = []
-        self.pairs: list[list[int]] = []
-
-    def _window(self, a: bytes, b: bytes) -> int:
-        groups = align(np.frombuffer(a, "<u4").tolist(), np.frombuffer(b, "<u4").tolist(), self.t.a_size, self.t.b_size)
-        self.groups.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-        self.pairs.append([x[-1] * self.width + y[-1] for x, y in groups])
-        number = len(self.groups) - 1
-        if len(a) + len(b) <= 4 * WINDOW_IDS:
-            self.memo[a, b] = number
-        return number
+        #: All windows' linked pairs one behind the other, and where each window's end.
+        self.pairs, self.upto = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        #: The window of each known chunk that is one.
+        self.of_chunk = np.zeros(0, np.int64)
+
+    def _align(self, ids: list[np.ndarray], starts: list[np.ndarray], sizes: list[np.ndarray]) -> None:
+        """Aligns windows, given by where their ids start in both sequences and how many they are."""
+        own = [dealt(x, s, n) for x, s, n in zip(ids, starts, sizes, strict=True)]
+        last = group_ends([np.cumsum(t.size[x]) for t, x in zip(self.t.tokens, own, strict=True)])
+        texts_ = []
+        for t, x, at in zip(self.t.tokens, own, last, strict=True):
+            text, cut = t.text[x].tolist(), [0, *(at + 1).tolist()]
+            texts_.append([text[p] if q == p + 1 else ",".join(text[p:q]) for p, q in zip(cut, cut[1:], strict=False)])
+        groups = [f"{x}|{y}" for x, y in zip(*texts_, strict=True)]
+        # windows end where groups do
+        upto = np.searchsorted(last[0], np.cumsum(sizes[0]) - 1) + 1
+        cut = [0, *upto.tolist()]
+        self.groups += [groups[p] if q == p + 1 else ";".join(groups[p:q]) for p, q in zip(cut, cut[1:], strict=False)]
+        self.pairs = np.concatenate((self.pairs, own[0][last[0]] * self.width + own[1][last[1]]))
+        self.upto = np.concatenate((self.upto, self.upto[-1] + upto))
+
+    def _windows(self, ids: list[np.ndarray], starts: list[np.ndarray], sizes: list[np.ndarray]) -> np.ndarray:
+        """The numbers of the windows; those whose ids are not known are aligned."""
+        raw, memo, out, new = [x.astype("<u4").tobytes() for x in ids], self.memo, [], []
+        places = [[(4 * s).tolist(), (4 * (s + n)).tolist()] for s, n in zip(starts, sizes, strict=True)]
+        for k, (p, q, r, s) in enumerate(zip(*places[0], *places[1], strict=True)):
+            key = raw[0][p:q] + b"\xff\xff\xff\xff" + raw[1][r:s]  # no id
+            number = memo.get(key)
+            if number is None:
+                number = len(self.groups) + len(new)
+                new.append(k)
+                if len(key) <= 4 * WINDOW_IDS:
+                    memo[key] = number
+            out.append(number)
+        if new:
+            self._align(ids, [x[new] for x in starts], [x[new] for x in sizes])
+        return np.array(out, np.int64)
 
     def documents(self, data: np.ndarray, offsets: np.ndarray):
         """For each text: n_a, n_b, the groups as text, and its linked pairs (a * width + b) one by one."""
-        if len(self.groups) > CACHE_WINDOWS:
+        if len(self.groups) > CACHE_WINDOWS or self.t.held > CACHE_BYTES:
             self._forget()
         rows, size = len(offsets) - 1, np.diff(offsets)
         full = np.flatnonzero(size)
@@ -177,26 +247,37 @@ class Aligner:
             n = upto[number + 1] - upto[number]
             ids.append(dealt(pool, upto[number], n))
             counts.append(np.bincount(doc, n, len(full)).astype(np.int64))
-        ends = [np.cumsum(s[x]) for s, x in zip((self.t.a_size, self.t.b_size), ids, strict=True)]
-        begins = [e - s[x] for e, s, x in zip(ends, (self.t.a_size, self.t.b_size), ids, strict=True)]
+        ends = [np.cumsum(t.size[x]) for t, x in zip(self.t.tokens, ids, strict=True)]
+        begins = [e - t.size[x] for e, t, x in zip(ends, self.t.tokens, ids, strict=True)]
         # anchors: where a token of both starts with a space
         mark = np.zeros(int(ends[0][-1]) + 1 if len(ends[0]) else 1, bool)
-        mark[begins[0][self.t.a_spaced[ids[0]]]] = True
-        anchors = begins[1][self.t.b_spaced[ids[1]]]
+        mark[begins[0][self.t.tokens[0].spaced[ids[0]]]] = True
+        anchors = begins[1][self.t.tokens[1].spaced[ids[1]]]
         anchors = anchors[mark[anchors]]
-        i, j = (4 * np.append(np.searchsorted(b, anchors), len(b)) for b in begins)
-        a, b = (x.astype("<u4").tobytes() for x in ids)
-        memo, window, made = self.memo, self._window, []
-        for p, q, r, s in zip(i[:-1].tolist(), i[1:].tolist(), j[:-1].tolist(), j[1:].tolist(), strict=True):
-            k = memo.get((a[p:q], b[r:s]))
-            made.append(window(a[p:q], b[r:s]) if k is None else k)
+        cuts = [np.append(np.searchsorted(b, anchors), len(b)) for b in begins]
+        i = cuts[0]
+        # most windows are one chunk, whose window is known by its number
+        heads = np.concatenate(([0], np.cumsum(self.t.upto[0][number + 1] - self.t.upto[0][number])))
+        at = np.minimum(np.searchsorted(heads[:-1], i[:-1]), max(0, len(number) - 1))
+        whole = (heads[at] == i[:-1]) & (heads[at + 1] == i[1:]) if len(at) else np.zeros(0, bool)
+        self.of_chunk = np.concatenate((self.of_chunk, np.full(len(self.t.known) - len(self.of_chunk), -1)))
+        made = np.full(len(i) - 1, -1)
+        made[whole] = self.of_chunk[number[at[whole]]]
+        # of chunks met for the first time here, one place each
+        first = np.flatnonzero(made < 0)
+        chunk = np.where(whole[first], number[at[first]], -1 - np.arange(len(first)))
+        _, some, again = np.unique(chunk, return_index=True, return_inverse=True)
+        window = self._windows(ids, [c[:-1][first[some]] for c in cuts], [np.diff(c)[first[some]] for c in cuts])
+        made[first] = window[again]
+        self.of_chunk[number[at[whole]]] = made[whole]
         # each text's first token starts with its space, so a window starts with it
         good = np.flatnonzero(~bad)
-        upto = np.searchsorted(i[:-1] // 4, np.concatenate(([0], np.cumsum(counts[0][good]))))
-        out = [(0, 0, "", [])] * rows
+        upto = np.searchsorted(i[:-1], np.concatenate(([0], np.cumsum(counts[0][good]))))
+        out = [(0, 0, "", np.zeros(0, np.int64))] * rows
         for k, row in enumerate(good.tolist()):
             own = made[upto[k] : upto[k + 1]]
-            out[full[row]] = int(counts[0][row]), int(counts[1][row]), ";".join([self.groups[w] for w in own]), [x for w in own for x in self.pairs[w]]
+            groups = ";".join([self.groups[w] for w in own.tolist()])
+            out[full[row]] = int(counts[0][row]), int(counts[1][row]), groups, dealt(self.pairs, self.upto[own], self.upto[own + 1] - self.upto[own])
         return out
 
 
@@ -224,7 +305,7 @@ def groups_of(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id",
             for i, j in slices(offsets, LOOK_UP_BYTES):
                 made = own.documents(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 links = [len(p) for *_, p in made]
-                distinct = [np.unique(np.array(p, np.int64), return_counts=True) for *_, p in made]
+                distinct = [np.unique(p, return_counts=True) for *_, p in made]
                 upto = pa.array(np.concatenate(([0], np.cumsum([len(x) for x, _ in distinct]))).astype(np.int32))
                 groups = [g for _, _, g, _ in made]
                 if digest:
