@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hearthline.functions.time import moment
@@ -21,10 +21,11 @@ class UpsertResult:
     stats: DataFrame
 
 
-def dedup_last(obs: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """The last row of each key by ``seq``."""
+def dedup_last(obs: DataFrame, keys: list[str], seq: str, seen: str | None = None) -> DataFrame:
+    """The last row of each key by ``seq``; with ``seen``, also how many rows it had."""
     rest = [c for c in obs.columns if c not in keys]
-    return obs.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("_last")).select(*keys, "_last.*")
+    last = obs.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("_last"), F.count(F.lit(1)).alias("_seen"))
+    return last.select(*keys, "_last.*", *([F.col("_seen").alias(seen)] if seen else []))
 
 
 def active(listings: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def successful_sources(runs: DataFrame) -> DataFrame:
 def _joined(state: DataFrame, obs: DataFrame, scraped: Column, seq: str) -> DataFrame:
     """State and last observations side by side, one row per key, with the case that holds: N new, R seen again after
     removal, U update, M missed, O as it was."""
-    last = dedup_last(obs, KEYS, seq)
+    last = dedup_last(obs, KEYS, seq, "_seen")
     o = last.select(*KEYS, F.struct(*[c for c in last.columns if c not in KEYS]).alias("o"))
     s = state.select(*KEYS, F.struct(*[c for c in state.columns if c not in KEYS]).alias("s"))
     j = s.join(o, KEYS, "full_outer")
@@ -55,16 +56,35 @@ def _joined(state: DataFrame, obs: DataFrame, scraped: Column, seq: str) -> Data
     return j.withColumn("case", case)
 
 
-def upsert(state: DataFrame, obs: DataFrame, *, now, scraped_sources: list[str] | None = None, relist: bool = False, seq: str = "seq", joined_path: str | None = None) -> UpsertResult:
+COUNTED = ("new", "updated", "price_changes", "duplicates_dropped")
+STATS = "source string, new long, updated long, price_changes long, duplicates_dropped long, seen long"
+
+
+def _counts(among: Column | None = None) -> Column:
+    """What the stats count of the joined rows, and the observed keys, as one metric."""
+    own = F.col("o").isNotNull() if among is None else F.col("o").isNotNull() & among
+    changed = (F.col("case") == "U") & (F.col("s.price_kobo") != F.col("o.price_kobo"))
+    counts = {"new": F.count_if(own & F.col("case").isin("N", "R")), "updated": F.count_if(own & (F.col("case") == "U")), "price_changes": F.count_if(own & changed)}
+    dropped = F.coalesce(F.sum(F.when(own, F.col("o._seen") - 1)), F.lit(0))
+    return F.struct(*[c.alias(n) for n, c in counts.items()], dropped.alias("duplicates_dropped"), F.count_if(own).alias("seen"))
+
+
+def upsert(state: DataFrame, obs: DataFrame, *, now, scraped_sources: list[str] | None = None, relist: bool = False, seq: str = "seq", joined_path: str | None = None, buckets: int | None = None) -> UpsertResult:
     """state: the new version; events: (source, external_id, event_type, old_value, new_value, event_date, notes);
     stats: one row per source and a total (source null). With ``relist``, a removed listing that is seen again becomes
     active and emits RELISTED; without, only its last_seen_at moves and LISTED is emitted again. Each of the three is a plan of its own over the
-    join; with ``joined_path``, the join is written there once and all three read it."""
+    join; with ``joined_path``, the join is executed once: written there for state and events, while the job that writes it
+    observes the stats, of all observations and of those of each scraped source. With ``buckets``, the number of those in
+    which the state is stored by its keys, observations are shuffled into the same ones, once, and the state stays."""
+    if buckets:
+        obs = obs.repartition(buckets, *KEYS)
     at = moment(now)
     j = _joined(state, obs, F.lit(True) if scraped_sources is None else F.col("source").isin(*scraped_sources), seq)
+    spark, observed = j.sparkSession, None
     if joined_path:
-        j.write.mode("overwrite").parquet(joined_path)
-        j = j.sparkSession.read.schema(j.schema).parquet(joined_path)
+        observed = Observation()
+        j.observe(observed, _counts().alias("all"), *[_counts(F.col("source") == x).alias(f"s{k}") for k, x in enumerate(scraped_sources or ())]).write.mode("overwrite").parquet(joined_path)
+        j = spark.read.schema(j.schema).parquet(joined_path)
     case, s, o = F.col("case"), lambda c: F.col(f"s.{c}"), lambda c: F.col(f"o.{c}")
     carried = {c for c in obs.columns if c not in KEYS}
     fixed = {
@@ -94,12 +114,18 @@ def upsert(state: DataFrame, obs: DataFrame, *, now, scraped_sources: list[str]
     kind = F.when(case == "N", "LISTED").when(case == "R", "RELISTED" if relist else "LISTED").when(changed, "PRICE_CHANGE")
     events = j.select(*KEYS, kind.alias("event_type"), F.when(changed, s("price_kobo")).alias("old_value"), o("price_kobo").alias("new_value"), at.cast("date").alias("event_date"), F.lit(None).cast("string").alias("notes"))
     events = events.where("event_type is not null")
+    if observed:
+        told = observed.get
+        rows = [(x, *told[f"s{k}"]) for k, x in enumerate(scraped_sources or ())]
+        if sum(r[-1] for r in rows) == told["all"]["seen"]:  # else there are other sources, whose stats the written join has
+            rows = spark.createDataFrame([*rows, (None, *told["all"])], STATS).where("source is null or seen > 0")
+            return UpsertResult(out, events, rows.select("source", *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTED]))
     seen = obs.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
     per = j.where("o is not null").groupBy("source").agg(
         F.count_if(case.isin("N", "R")).alias("new"), F.count_if(case == "U").alias("updated"), F.count_if(changed).alias("price_changes"), F.count(F.lit(1)).alias("keys")
     )
     per = per.join(seen, "source").select("source", "new", "updated", "price_changes", (F.col("rows") - F.col("keys")).alias("duplicates_dropped"))
-    stats = per.rollup("source").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("new", "updated", "price_changes", "duplicates_dropped")])
+    stats = per.rollup("source").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTED])
     return UpsertResult(out, events, stats)
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearthline.functions.ranks import numbered
 from hearthline.functions.time import moment, next_check_at, seconds_between, whole_days
 from hearthline.params import DEFAULT, Params
 from hearthline.vocab import REMOVAL_PHRASES
@@ -29,13 +30,14 @@ def overdue_ratio(now: Column, params: Params = DEFAULT) -> Column:
 
 def check_candidates(listings: DataFrame, *, now, force_all: bool = False, params: Params = DEFAULT) -> DataFrame:
     """The listings to verify, most overdue first, with their rank and batch. A ratio that is unknown ranks first.
-    ``force_all`` takes all active listings, most missed first, without a limit."""
+    ``force_all`` takes all active listings, most missed first, without a limit, and ranks them in range partitions."""
     at = moment(now)
     rows = listings.where("listing_status = 'ACTIVE'")
     last = F.col("last_health_check_at").asc_nulls_first()
     if force_all:
-        # as many ranks as rows: ordered in range partitions, so no task meets them all
-        return rows.select("id", "source", "external_id", "url", "first_seen_at", "price_kobo", "missed_run_count", "last_health_check_at").orderBy(F.col("missed_run_count").desc(), last, "id")
+        rows = rows.select("id", "source", "external_id", "url", "first_seen_at", "price_kobo", "missed_run_count", "last_health_check_at")
+        ranked = numbered(rows, [F.col("missed_run_count").desc(), last, F.col("id")])
+        return ranked.withColumn("batch", F.floor((F.col("rank") - 1) / params.check_batch).cast("int"))
     due = rows.where((F.col("missed_run_count") > 0) & (F.col("next_health_check_at").isNull() | (F.col("next_health_check_at") < at)))
     order = [F.col("ratio").desc_nulls_first(), last, F.col("id")]
     top = due.withColumn("ratio", overdue_ratio(at, params)).orderBy(*order).limit(params.checks_per_run)

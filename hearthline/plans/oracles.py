@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from hearthline import vocab
-from hearthline.plans.queries import NATIONS, RUNS_NOW, SCRAPED
+from hearthline.plans.queries import NATIONS, PRIORITIES, RUNS_NOW, SCRAPED
 from hearthline.sources.adapters import NOW, with_views
 
 NOW_SQL = f"TIMESTAMP '{NOW}'"
@@ -148,6 +148,9 @@ SELECT r.raw_address, external_id, coalesce(place, left(nullif(r.raw_address, ''
     out["upsert_events"] = f"{UPSERT} {_EVENTS}"
     out["upsert_stats"] = f"""{UPSERT}, {_STATS} SELECT source, new, updated, price_changes, duplicates_dropped FROM st
 UNION ALL SELECT NULL, coalesce(sum(new), 0)::BIGINT, coalesce(sum(updated), 0)::BIGINT, coalesce(sum(price_changes), 0)::BIGINT, coalesce(sum(duplicates_dropped), 0)::BIGINT FROM st"""
+    out["upsert_state_bucketed"], out["upsert_once_stats"] = out["upsert_state"], out["upsert_stats"]
+    every = ", ".join(_q(s) for s in PRIORITIES)
+    out["upsert_once_state"] = out["upsert_state"].replace(f"IN ({SOURCES})", f"IN ({every})")
     out["history_insert"] = f"{UPSERT}, ev AS ({_EVENTS}) SELECT l.id AS listing_id, event_type, old_value, new_value, event_date, notes FROM ev JOIN listings_v l USING (source, external_id)"
     out["missed_keys"] = f"""{with_views('listings_v', 'obs_v')} SELECT source, external_id, missed_run_count FROM listings_v l WHERE listing_status = 'ACTIVE' AND source IN ({SOURCES})
  AND NOT EXISTS (SELECT 1 FROM obs_v o WHERE o.source = l.source AND o.external_id = l.external_id)"""
@@ -161,7 +164,7 @@ SELECT neighbourhood, city, lat, lng FROM n WHERE NOT EXISTS (SELECT 1 FROM gaz_
  FROM listings_v WHERE listing_status = 'ACTIVE' AND missed_run_count > 0 AND (next_health_check_at IS NULL OR next_health_check_at < {NOW_SQL})),
 r AS (SELECT *, CAST(row_number() OVER (ORDER BY ratio DESC NULLS FIRST, last_health_check_at ASC NULLS FIRST, id) AS INT) AS rank FROM c)
 SELECT id, source, external_id, url, first_seen_at, price_kobo, ratio, rank, CAST(floor((rank - 1) / 50) AS INT) AS batch FROM r WHERE rank <= 1000"""
-    out["check_candidates_all"] = f"{with_views('listings_v')} SELECT id, source, external_id, url, first_seen_at, price_kobo, missed_run_count, last_health_check_at FROM listings_v WHERE listing_status = 'ACTIVE'"
+    out["check_candidates_all"] = f"{with_views('listings_v')} SELECT id, source, external_id, url, first_seen_at, price_kobo, missed_run_count, last_health_check_at, row_number() OVER w AS rank, CAST((row_number() OVER w - 1) // 50 AS INT) AS batch FROM listings_v WHERE listing_status = 'ACTIVE' WINDOW w AS (ORDER BY missed_run_count DESC, last_health_check_at NULLS FIRST, id)"
     out["classify_fetch"] = f"{with_views('fetch_v')}, {_CLASSES} SELECT listing_id, source, external_id, is_removed, observed_price, reason, error FROM res"
     out["apply_checks_state"] = f"""{CHECKS} SELECT id, external_id, source, url, title, CASE WHEN repriced THEN observed_price ELSE price_kobo END AS price_kobo, price_parse_failed, raw_address, neighbourhood, neighbourhood_normalised, city, lat, lng, geocoded,
  CASE WHEN gone THEN 'REMOVED' ELSE listing_status END AS listing_status, CASE WHEN gone THEN coalesce(days >= 30, TRUE) AND dropped ELSE suspected_sold END AS suspected_sold, CASE WHEN live THEN 0 ELSE missed_run_count END AS missed_run_count,
@@ -232,4 +235,5 @@ UNION ALL SELECT source, url, 0, 'https://jiji.ng/lagos/flat-' || lpad(code, 12,
     out["site_checks"] = f"""{with_views('site_v')}, f AS (SELECT *, CASE WHEN k % 23 = 0 THEN NULL WHEN k % 9 = 0 THEN 'not_found' ELSE 'live' END AS reason FROM site_v)
 SELECT k AS listing_id, source, code AS external_id, reason = 'not_found' AS is_removed, CASE WHEN reason = 'live' AND html IS NOT NULL AND layout < 4 AND CASE WHEN source = 'jiji' THEN layout <> 1 ELSE {kept} END THEN (k % 900 + 1) * 100000 END AS observed_price, reason,
  CASE WHEN k % 23 = 0 THEN 'timeout' END AS error FROM f"""
+    out["log_state_checks"] = out["apply_checks_state"]
     return out

@@ -14,10 +14,15 @@ from hearthline.operators import backfill as B
 from hearthline.operators import extract, feeds, gazetteer, places, runlog, snapshots, upsert, verify
 from hearthline.operators.normalise import concatenate, from_sources, normalised
 from hearthline.sources.adapters import NOW, view
+from hearthline.sources.bucketed import BUCKETS, write_bucketed
+from hearthline.sources.logstate import LogState
+from hearthline.sources.scratch import new_folder
+from hearthline.streaming.checks import apply_batch
 
 #: For the order-based views, names made by rule.
 NATIONS = [f"NATION_{k}" for k in range(20)]
 SCRAPED = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
+PRIORITIES = [*SCRAPED, "4-NOT SPECIFIED", "5-LOW"]
 RUNS_NOW = "2024-01-31 10:00:00"
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -118,6 +123,28 @@ def upsert_stats(s, d):
     return _upsert(s, d).stats
 
 
+@query
+def upsert_state_bucketed(s, d):
+    """The state lies in buckets of its keys; only observations are shuffled."""
+    state = write_bucketed(view(s, d, "listings_v"), new_folder(s, "listings-bucketed"), upsert.KEYS)
+    return upsert.upsert(state, view(s, d, "obs_v"), now=NOW, scraped_sources=SCRAPED, buckets=BUCKETS).state
+
+
+def _upsert_once(s, d):
+    return upsert.upsert(view(s, d, "listings_v"), view(s, d, "obs_v"), now=NOW, scraped_sources=PRIORITIES, joined_path=new_folder(s, "upsert-joined"))
+
+
+@query
+def upsert_once_stats(s, d):
+    """All sources scraped; the job that writes the join observes the stats."""
+    return _upsert_once(s, d).stats
+
+
+@query
+def upsert_once_state(s, d):
+    return _upsert_once(s, d).state
+
+
 @query
 def history_insert(s, d):
     return upsert.history_rows(_upsert(s, d).events, view(s, d, "listings_v"))
@@ -175,6 +202,19 @@ def apply_checks_state(s, d):
     return _checks(s, d).state
 
 
+@query
+def log_state_checks(s, d):
+    """The same results in four batches, each adding the rows that it changes to a log of segments."""
+    f = view(s, d, "fetch_v")
+    results = verify.classify_fetches(f.drop("observed_price"), observed=f.select("listing_id", "observed_price"))
+    state, history = view(s, d, "listings_v"), view(s, d, "history_v")
+    store = LogState(s, new_folder(s, "listings-log"))
+    store.publish(state)
+    for k in range(4):
+        apply_batch(store, state.schema, history, results.where(F.pmod(C("listing_id"), F.lit(4)) == k), now=NOW, batch=f"checks-{k}")
+    return store.read(state.schema)
+
+
 @query
 def apply_checks_events(s, d):
     return _checks(s, d).events

@@ -1,4 +1,4 @@
-"""Stored tables: reading with declared schemas, appending history and logs, and versions of the current state."""
+"""Stored tables: reading with declared schemas, appending history and logs, reloading snapshots."""
 
 from __future__ import annotations
 
@@ -18,10 +18,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def append_history(events: DataFrame, path: str, batch: str | None = None) -> None:
     """Adds the events as the part ``batch`` (a new one by default). A part that is written again replaces itself."""
-    part = events.withColumn("batch", F.lit(batch or f"run-{uuid.uuid4().hex}"))
-    part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "event_type").parquet(path)
+    name = batch or f"run-{uuid.uuid4().hex}"
+    if batch:
+        delete(events.sparkSession, f"{path}/batch={name}")  # whole, for this attempt may lack a type that a failed one had
+    events.withColumn("batch", F.lit(name)).write.mode("append").partitionBy("batch", "event_type").parquet(path)
 
 
 def append_runs(rows: DataFrame, path: str) -> None:
@@ -37,36 +44,3 @@ def replace_snapshots(rows: DataFrame, path: str) -> None:
     rest = F.struct(*[c for c in rows.columns if c != "id"])
     one = rows.groupBy("id").agg(F.min_by(rest, F.struct("city", "neighbourhood", "snapshot_week", F.xxhash64(rest))).alias("r"))
     one.select("id", "r.*").select(*rows.columns).write.mode("overwrite").parquet(path)
-
-
-class VersionedState:
-    """The current state as a folder of versions and a pointer table that names the last. A new version is written
-    whole before it is named, so readers see the old one or the new one and a failed write leaves no trace."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def current_path(self) -> str | None:
-        last = self._named().orderBy("version", ascending=False).first()
-        return f"{self.root}/{last['name']}" if last else None
-
-    def _named(self) -> DataFrame:
-        schema = "version long, name string, batch string"
-        there = exists(self.spark, f"{self.root}/pointer")
-        return self.spark.read.schema(schema).json(f"{self.root}/pointer") if there else self.spark.createDataFrame([], schema)
-
-    def holds(self, batch: str) -> bool:
-        """Whether a version that names this batch was published."""
-        return self._named().where(F.col("batch") == batch).limit(1).count() > 0
-
-    def read(self, schema: T.StructType) -> DataFrame:
-        path = self.current_path()
-        return self.spark.read.schema(schema).parquet(path) if path else self.spark.createDataFrame([], schema)
-
-    def publish(self, state: DataFrame, batch: str | None = None) -> str:
-        last = self.current_path()
-        version = int(last.rsplit("/version=", 1)[1].split("-")[0]) + 1 if last else 0
-        name = f"version={version}-{uuid.uuid4().hex[:8]}"
-        state.write.partitionBy("listing_status").parquet(f"{self.root}/{name}")
-        self.spark.createDataFrame([(version, name, batch)], "version long, name string, batch string").coalesce(1).write.mode("append").json(f"{self.root}/pointer")
-        return f"{self.root}/{name}"

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearthline.operators import backfill, extract, feeds, gazetteer, runlog, snapshots, upsert, verify
-from hearthline.sources.tables import VersionedState, append_history
+from hearthline.sources.logstate import LogState
+from hearthline.sources.tables import append_history
 from hearthline.streaming.checks import checks_writer, stream_checks
 
 NOW = "2024-03-01 12:00:00"
@@ -99,7 +100,8 @@ def test_candidates(spark):
     rows = [listing(1, days=5, missed=1, last=at(4), next_=at(2)), listing(2, missed=1), listing(3, missed=0), listing(4, missed=1, next_=at(1)), listing(5, missed=1, last=at(1), next_=at(-1)), listing(6, status="REMOVED", missed=1), listing(7, days=90, missed=9, last=at(20), next_=at(6))]
     state = spark.createDataFrame(rows, STATE)
     assert [r.id for r in verify.check_candidates(state, now=NOW).orderBy("rank").collect()] == [4, 1, 7, 2]
-    assert [r.id for r in verify.check_candidates(state, now=NOW, force_all=True).collect()] == [7, 2, 4, 1, 5, 3]
+    everything = sorted((r.rank, r.batch, r.id) for r in verify.check_candidates(state, now=NOW, force_all=True).collect())
+    assert everything == [(k + 1, 0, i) for k, i in enumerate([7, 2, 4, 1, 5, 3])]
 
 
 def brute_snapshots(listings, changes, as_of):
@@ -261,7 +263,7 @@ def test_run_log(spark):
 
 def test_state_versions_and_stream(spark, tmp_path):
     schema = spark.createDataFrame([], STATE).schema
-    store, past = VersionedState(spark, str(tmp_path / "state")), str(tmp_path / "history")
+    store, past = LogState(spark, str(tmp_path / "state")), str(tmp_path / "history")
     assert store.read(schema).count() == 0
     store.publish(spark.createDataFrame([listing(1, price=100), listing(2)], STATE))
     append_history(spark.createDataFrame([(1, "PRICE_CHANGE", 9, 5, dt.date(2024, 1, 1), None)], "listing_id long, event_type string, old_value long, new_value long, event_date date, notes string"), past)
@@ -273,7 +275,9 @@ def test_state_versions_and_stream(spark, tmp_path):
     q.stop()
     out = {r.id: (r.listing_status, r.suspected_sold, r.price_kobo) for r in store.read(schema).collect()}
     assert out == {1: ("REMOVED", True, 100), 2: ("ACTIVE", False, 70)}
-    write(spark.createDataFrame([(2, "a", "x2", True, None, None)], kind), 0)  # batch 0 again
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", q.id)
+    write(spark.createDataFrame([(2, "a", "x2", True, None, None)], kind), 0)  # the stream's batch 0 again
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
     assert store.read(schema).where("id = 2").first().listing_status == "ACTIVE" and spark.read.parquet(past).count() == 3
 
 
@@ -282,7 +286,7 @@ def test_a_batch_that_failed_on_its_way_is_applied_once(spark, tmp_path, monkeyp
     from hearthline.streaming import checks
 
     schema, past = spark.createDataFrame([], STATE).schema, str(tmp_path / "history")
-    store = VersionedState(spark, str(tmp_path / "state"))
+    store = LogState(spark, str(tmp_path / "state"))
     store.publish(spark.createDataFrame([listing(1, price=100), listing(2, price=80)], STATE))
     kind = "listing_id long, source string, external_id string, is_removed boolean, observed_price long, error string"
     batch = spark.createDataFrame([(1, "a", "x1", False, 70, None), (2, "a", "x2", True, None, None)], kind)
@@ -335,9 +339,10 @@ def test_sinks(spark, tmp_path):
     assert tables.read_table(spark, str(tmp_path / "gaz")).first().lat == 6.4
 
 
-def test_one_written_join_gives_all_outputs(spark, tmp_path):
-    state, seen = frames(spark, [listing(1), listing(2, price=450)], [obs(1), obs(2, price=400), obs(9)])
-    plain, written = upsert.upsert(state, seen, now=NOW), upsert.upsert(state, seen, now=NOW, joined_path=str(tmp_path / "joined"))
+@pytest.mark.parametrize("scraped", [None, ["a"], ["a", "b", "c"]])
+def test_one_written_join_gives_all_outputs(spark, tmp_path, scraped):
+    state, seen = frames(spark, [listing(1), listing(2, price=450), listing(3, source="b")], [obs(1), obs(2, price=400), obs(2, price=300, seq=-1), obs(9), obs(3, source="b")])
+    plain, written = upsert.upsert(state, seen, now=NOW, scraped_sources=scraped), upsert.upsert(state, seen, now=NOW, scraped_sources=scraped, joined_path=str(tmp_path / "joined"))
     for a, b in ((plain.state, written.state), (plain.events, written.events), (plain.stats, written.stats)):
         assert a.schema == b.schema and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
     assert "FileScan parquet" in written.events._jdf.queryExecution().toString() and "FullOuter" not in written.events._jdf.queryExecution().toString()
