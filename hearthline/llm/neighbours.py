@@ -3,7 +3,8 @@
 A table's bucket is the vector of floor((a . v + b) / w) over normal vectors a. A query visits its own bucket and then
 perturbed ones, in the order of their estimated success: moves of one coordinate are ranked by how near the query lies
 to that border, and sets of moves by the expected sum of squares for their ranks (Lv et al. 2007). The candidates of
-all tables are merged and ranked by exact distance.
+all tables are merged and ranked by exact distance. Buckets are as wide as neighbours are far: the median distance of the
+k-th neighbours of SAMPLE rows, by one pass over all rows, so that clustered vectors are found in their clusters.
 
 Rows are hashed once and lie in blocks of about BLOCK_ROWS, ordered by their first bucket, so that near rows share few
 blocks. Queries' probes meet the buckets, each with the list of its blocks, in an equi-join; a query goes to the blocks that hold
@@ -26,9 +27,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.llm.staging import keyed_join, stage, unstage
+from hearthline.llm.textbytes import tidy
 
-#: Tables, functions of each, buckets that a query visits in each, and their width as a multiple of the vectors' length.
-TABLES, MOVES, PROBES, WIDTH = 16, 8, 60, 2.0
+#: Tables, functions of each, buckets that a query visits in each, and their width as a multiple of the distance at which
+#: neighbours usually lie.
+TABLES, MOVES, PROBES, WIDTH = 16, 8, 60, 1.75
+#: Rows, by lot, from whose k-th neighbours among all rows that distance is taken.
+SAMPLE = 64
 BLOCK_ROWS = 10_000
 #: Queries that one task holds beside a block, and how many of them it works on at a time.
 QUERY_SLICE, QUERY_STEP = 20_000, 256
@@ -116,6 +121,29 @@ def _met(own: np.ndarray, probes: list[np.ndarray]) -> np.ndarray:
     return met
 
 
+def neighbour_distance(rows: DataFrame, dim: int, k: int, sample: int = SAMPLE) -> float:
+    """The median distance, above zero, from some rows to their k-th neighbours; of staged or given (id, v) rows."""
+    lot = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", "v").toArrow()
+    ids, vectors = lot["id"].to_numpy(), _vectors(lot["v"].combine_chunks(), dim)
+    shared = rows.sparkSession.sparkContext.broadcast((ids, vectors))
+
+    def run(batches):
+        ids, vectors = shared.value
+        best = np.full((len(ids), k), np.inf)
+        for batch in batches:
+            own, v = batch.column(0).to_numpy(), _vectors(batch.column(1), dim)
+            for i in range(0, len(own), 1024):
+                distance = np.sqrt(((vectors[:, None] - v[None, i : i + 1024]) ** 2).sum(2))
+                distance[ids[:, None] == own[None, i : i + 1024]] = np.inf
+                best = np.sort(np.concatenate((best, distance), axis=1), axis=1)[:, :k]
+        at, _ = np.nonzero(np.isfinite(best))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(best[np.isfinite(best)])], ["of", "distance"])
+
+    near = rows.select("id", "v").mapInArrow(tidy(run), "of int, distance double").groupBy("of").agg(F.slice(F.sort_array(F.collect_list("distance")), F.lit(k), F.lit(1)).alias("d"))
+    found = sorted(r["d"][0] for r in near.collect() if r["d"] and r["d"][0] > 0)  # no more than the sample
+    return found[len(found) // 2] if found else 0.0
+
+
 def _search(index: DataFrame, visits: DataFrame, queries: DataFrame, n: int, dim: int, k: int, hashes: Hashes | None) -> DataFrame:
     """For each of the staged visits (query_id, block) the query's k best rows of the block, of the buckets that it
     visits; without hashes, of all."""
@@ -158,12 +186,12 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col
         return empty
     dim = length["n"]
     rows = rows.where(valid_vector(F.col("v"), dim))
-    # buckets as wide as the vectors are long
     about = rows.agg(F.avg(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)), F.count(F.lit(1))).first()
     if not about[0]:
         return empty
-    norm = float(f"{about[0]:.3g}")  # sums of parts differ in the last digits
-    hashes = Hashes(dim, width * float(np.sqrt(norm)), tables, moves, probes, seed)
+    # equal vectors, or fewer than k, have no such distance: then their length stands for it
+    far = neighbour_distance(rows, dim, k) or float(np.sqrt(about[0]))
+    hashes = Hashes(dim, width * float(f"{far:.3g}"), tables, moves, probes, seed)
     shared = vectors.sparkSession.sparkContext.broadcast(hashes)
 
     def keys(batches):

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hearthline.llm import ctw, mixing, neighbours, secrets, sharding, tokens, urls, wavelet
 from tests.llm.tables import rows
@@ -353,3 +354,41 @@ def test_tokens_match_the_tokenizer(spark, monkeypatch):
         at += len(ids)
     assert out == want
     assert tokens.token_output(df.where("false"), tokenizer, 2).count() == 0
+
+
+def test_clustered_vectors_visit_few_rows(spark):
+    """40 tight clusters: recall of at least 0.9, and at most a tenth of all rows in the buckets that queries visit."""
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((40, 32))
+    v = centres[rng.integers(0, 40, 4000)] + 0.05 * rng.standard_normal((4000, 32))
+    df = rows(spark, [(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<double>")
+    out = neighbours.nearest_neighbours(df, F.col("vec_id") % 50 == 0, k=10).collect()
+    found = {}
+    for r in out:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    right = sum(len(found[q] & set(np.argsort(((v - v[q]) ** 2).sum(1), kind="stable")[1:11].tolist())) for q in range(0, 4000, 50))
+    assert right >= 0.9 * 10 * 80
+    far = neighbours.neighbour_distance(df.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), 32, 10)
+    exact = np.sort(np.sqrt(((v[:200, None] - v[None]) ** 2).sum(2)), axis=1)[:, 10]
+    assert np.quantile(exact, 0.1) < far < np.quantile(exact, 0.9)
+    hashes = neighbours.Hashes(32, neighbours.WIDTH * far, neighbours.TABLES, neighbours.MOVES, neighbours.PROBES, 5)
+    own = np.stack([hashes.place(v, t)[0] for t in range(neighbours.TABLES)], axis=1)
+    met = neighbours._met(own, [hashes.probes(v[::50], t) for t in range(neighbours.TABLES)])
+    assert met.mean() <= 0.1
+
+
+@pytest.mark.parametrize("ids", ["none", "one", "own"])
+def test_the_mix_is_a_draw_whatever_the_ids(spark, ids):
+    """In each size class about its chance is drawn, also where ids are null or repeat; sources end near their targets."""
+    rng = random.Random(12)
+    name = {"none": lambda k: None, "one": lambda k: 7, "own": lambda k: k}[ids]
+    docs = [(name(k), " ".join(f"w{k}" for _ in range(rng.choice((3, 6, 12, 25, 50)))), f"s{k % 3}") for k in range(1500)]
+    out = mixing.mix_sources(rows(spark, docs, "doc_id long, text string, source string"), weights=(3.0, 1.0, 2.0)).collect()
+    drawn = {}
+    for r in out:
+        if 0 < r.chance < 1:
+            drawn.setdefault((r.target, r.size.bit_length(), r.chance), []).append(r.copies - r.target // r.source_size)
+    shares = [(sum(c) / len(c), chance) for (_, _, chance), c in drawn.items() if len(c) >= 60]
+    assert len(shares) >= 5 and all(abs(share - chance) < 0.2 for share, chance in shares)
+    for target, size in {(r.target, r.source_size) for r in out}:
+        assert abs(sum(r.taken for r in out if (r.target, r.source_size) == (target, size)) / target - 1) < 0.01
