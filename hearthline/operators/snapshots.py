@@ -45,15 +45,18 @@ def price_periods(weeks: DataFrame) -> DataFrame:
     return weeks.select("listing_id", spans.alias("spans")).select("listing_id", F.explode("spans").alias("_s")).select("listing_id", "_s.*")
 
 
-def price_segments(base: DataFrame, changes: DataFrame, *, as_of) -> DataFrame:
+def price_segments(base: DataFrame, changes: DataFrame, *, as_of, since=None) -> DataFrame:
     """One row per listing and span of completed weeks (Mondays ``lo`` to ``hi``) in which it was on the market at one
     price, with ``cut_week`` where one was cut. Before each change that tells an old value that value held, after the
-    last one the present price."""
+    last one the present price. ``since``, a Monday, leaves out earlier weeks."""
     last = F.date_sub(monday(moment(as_of)), 7)
     end = F.when(F.col("listing_status") == "ACTIVE", last).otherwise(F.least(last, monday(F.col("last_seen_at"))))
     d = base.withColumn("_from", monday(F.col("first_seen_at"))).withColumn("_to", end).where("_from <= _to")
     d = d.join(price_periods(price_weeks(changes)), "listing_id", "left")
-    d = d.withColumn("lo", F.greatest("_from", "start")).withColumn("hi", F.least("_to", "end")).where("lo <= hi")
+    d = d.withColumn("lo", F.greatest("_from", "start")).withColumn("hi", F.least("_to", "end"))
+    if since is not None:
+        d = d.withColumn("lo", F.greatest("lo", since))
+    d = d.where("lo <= hi")
     price = F.when(F.col("end").isNull(), F.col("price_kobo")).otherwise(F.col("told"))
     return d.withColumn("price", price).withColumn("cut_week", F.when(F.col("cut"), F.col("start"))).drop("_from", "_to", "start", "end", "told", "cut")
 
@@ -104,15 +107,15 @@ def week_prices(spans: DataFrame, wanted: DataFrame) -> DataFrame:
     return d.groupBy(*place, "week").agg(*[percentile(q).alias(name) for name, q in zip(("p25", "median_price_kobo", "p75", "p90"), PERCENTILES)])
 
 
-def weekly_snapshots(listings: DataFrame, history: DataFrame, *, as_of, computed_at=None, min_listings: int = DEFAULT.week_min_listings, id_includes_city: bool = False) -> DataFrame:
-    """One row per place and completed week with at least ``min_listings`` active listings.
+def weekly_snapshots(listings: DataFrame, history: DataFrame, *, as_of, computed_at=None, min_listings: int = DEFAULT.week_min_listings, id_includes_city: bool = False, since=None) -> DataFrame:
+    """One row per place and completed week (from the Monday ``since`` on, if given) with at least ``min_listings`` active listings.
 
     Changes are summed up per listing and week, so a listing has no more spans than weeks however many changes it has,
     and spans are counted at their ends, not once a week. Percentiles are exact and take two passes: counts per price
     bin tell in which bins the wanted ranks lie, and only the prices of these are ranked. The id leaves the city out by
     default; of one name in several cities the first city stands.
     """
-    spans = price_segments(snapshot_base(listings), price_changes(history), as_of=as_of)
+    spans = price_segments(snapshot_base(listings), price_changes(history), as_of=as_of, since=since)
     first, seen = F.col("first_seen_at").cast("date"), F.when(F.col("listing_status") == "REMOVED", F.col("last_seen_at")).cast("date")
     # bins rise with the price; those below 1 share one
     octave = F.floor(F.log2(F.greatest("price", F.lit(1))) * BINS_PER_OCTAVE).cast("int")
@@ -138,3 +141,19 @@ def weekly_snapshots(listings: DataFrame, history: DataFrame, *, as_of, computed
     )
     rest = [c for c in out.columns if c != "id"]
     return out.groupBy("id").agg(F.min_by(F.struct(*rest), "city").alias("_row")).select("id", "_row.*")
+
+
+def refresh_snapshots(stored: DataFrame, stored_as_of, listings: DataFrame, history: DataFrame, changed: DataFrame, *, as_of, **options) -> DataFrame:
+    """What ``weekly_snapshots`` gives for the present listings and history, from the rows that it gave at ``stored_as_of``.
+    changed: (neighbourhood) of each listing that has changed since then, or whose history has, before and after. Those
+    places are counted anew; all others get the weeks completed since, for which earlier weeks are not read."""
+    names = changed.select("neighbourhood").where("neighbourhood is not null").distinct()
+    anew, rest = listings.join(names, "neighbourhood", "left_semi"), listings.join(names, "neighbourhood", "left_anti")
+    since = monday(moment(stored_as_of))
+    ids = anew.select(F.col("id").alias("listing_id"))
+    parts = [
+        weekly_snapshots(anew, history.join(ids, "listing_id", "left_semi"), as_of=as_of, **options),
+        weekly_snapshots(rest, history, as_of=as_of, since=since, **options),
+    ]
+    kept = stored.join(names, "neighbourhood", "left_anti").where(F.col("snapshot_week") < since).withColumn("computed_at", moment(options.get("computed_at") or as_of))
+    return kept.select(*parts[0].columns).unionByName(parts[0]).unionByName(parts[1])

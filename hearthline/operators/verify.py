@@ -70,31 +70,50 @@ def classify_fetches(fetch_log: DataFrame, phrases=REMOVAL_PHRASES, observed: Da
     return out.select("listing_id", "source", "external_id", removed.alias("is_removed"), price.alias("observed_price"), "reason", "error")
 
 
-def with_price_drop(history: DataFrame) -> DataFrame:
-    return history.where("event_type = 'PRICE_CHANGE' and new_value < old_value").select("listing_id").distinct()
+#: Bitmaps (4 KB each, for 32,768 ids) up to which they are broadcast.
+BROADCAST_BITMAPS = 8192
+
+
+def price_drop_bitmaps(history: DataFrame) -> DataFrame:
+    """(bucket, bits): of each bucket of ids, which listings had a price drop. A task sends a bitmap per bucket, however many
+    drops there are."""
+    drops = history.where("event_type = 'PRICE_CHANGE' and new_value < old_value and listing_id is not null")
+    return drops.groupBy(F.bitmap_bucket_number("listing_id").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("listing_id")).alias("_bits"))
+
+
+def with_drops(state: DataFrame, history: DataFrame, name: str) -> DataFrame:
+    """The state with a flag for a past price drop. The bitmaps are broadcast while the ids span few buckets, which their
+    range tells without reading the drops; then the state is not shuffled."""
+    maps = price_drop_bitmaps(history)
+    low, high, spread = state.agg(F.min("id"), F.max("id"), F.max(F.bitmap_bucket_number("id")) - F.min(F.bitmap_bucket_number("id"))).first()
+    if (spread or 0) < BROADCAST_BITMAPS:
+        # of ids that the state has, so that the bound holds
+        maps = F.broadcast(price_drop_bitmaps(history.where(F.col("listing_id").between(low, high))))
+    at = F.bitmap_bit_position("id")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("getbit", byte, (at % 8).cast("int"))
+    return state.join(maps, F.bitmap_bucket_number("id") == F.col("_bucket"), "left").withColumn(name, F.coalesce(bit == 1, F.lit(False))).drop("_bucket", "_bits")
 
 
 def suspected_sold(state: DataFrame, history: DataFrame, *, now, params: Params = DEFAULT) -> DataFrame:
     """(id, suspected_sold): at least so many days old (or of unknown age), with a past price drop."""
-    dropped = with_price_drop(history).select(F.col("listing_id").alias("id"), F.lit(True).alias("dropped"))
     age = whole_days(F.col("first_seen_at"), moment(now))
     flag = F.coalesce(age >= params.sold_min_days, F.lit(True)) & F.coalesce("dropped", F.lit(False))
-    return state.join(dropped, "id", "left").select("id", flag.alias("suspected_sold"))
+    return with_drops(state.select("id", "first_seen_at"), history, "dropped").select("id", flag.alias("suspected_sold"))
 
 
 def apply_checks(state: DataFrame, history: DataFrame, results: DataFrame, *, now, params: Params = DEFAULT) -> CheckOutcome:
     """results: one row per listing. Rows with an error change nothing and are only counted."""
     at = moment(now)
     good = results.where("error is null").select(F.col("listing_id").alias("id"), F.struct(F.coalesce("is_removed", F.lit(False)).alias("is_removed"), "observed_price").alias("r"))
-    dropped = with_price_drop(history).select(F.col("listing_id").alias("id"), F.lit(True).alias("_dropped"))
-    j = state.join(good, "id", "left").join(dropped, "id", "left")
+    j = with_drops(state, history, "_dropped").join(good, "id", "left")
     checked, removed = F.col("r").isNotNull(), F.coalesce(F.col("r.is_removed"), F.lit(False))
     live = checked & ~removed
     repriced = F.coalesce(live & (F.col("r.observed_price") != F.col("price_kobo")), F.lit(False))
     old_enough = F.coalesce(whole_days(F.col("first_seen_at"), at) >= params.sold_min_days, F.lit(True))
     new = {
         "listing_status": F.when(removed, "REMOVED").otherwise(F.col("listing_status")),
-        "suspected_sold": F.when(removed, old_enough & F.coalesce("_dropped", F.lit(False))).otherwise(F.col("suspected_sold")),
+        "suspected_sold": F.when(removed, old_enough & F.col("_dropped")).otherwise(F.col("suspected_sold")),
         "missed_run_count": F.when(live, 0).otherwise(F.col("missed_run_count")),
         "last_health_check_at": F.when(checked, at).otherwise(F.col("last_health_check_at")),
         "next_health_check_at": F.when(removed, None).when(live, next_check_at(F.col("first_seen_at"), at, params)).otherwise(F.col("next_health_check_at")),

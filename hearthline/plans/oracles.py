@@ -236,4 +236,7 @@ UNION ALL SELECT source, url, 0, 'https://jiji.ng/lagos/flat-' || lpad(code, 12,
 SELECT k AS listing_id, source, code AS external_id, reason = 'not_found' AS is_removed, CASE WHEN reason = 'live' AND html IS NOT NULL AND layout < 4 AND CASE WHEN source = 'jiji' THEN layout <> 1 ELSE {kept} END THEN (k % 900 + 1) * 100000 END AS observed_price, reason,
  CASE WHEN k % 23 = 0 THEN 'timeout' END AS error FROM f"""
     out["log_state_checks"] = out["apply_checks_state"]
+    out["snapshots_refreshed"] = out["weekly_snapshots"]
+    out["missed_runs_stream"] = f"""{with_views('sight_v')}, r AS (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY seen_at, kind) AS k FROM sight_v), z AS (SELECT listing_id, coalesce(max(k) FILTER (kind IN ('seen', 'active')), 0) AS zero FROM r GROUP BY listing_id)
+SELECT r.listing_id, count(*) FILTER (kind = 'missed' AND k > zero) AS missed_run_count, arg_max(kind, k) AS last_result, max(seen_at) AS last_at FROM r JOIN z USING (listing_id) GROUP BY r.listing_id"""
     return out

@@ -16,13 +16,16 @@ from hearthline.operators.normalise import concatenate, from_sources, normalised
 from hearthline.sources.adapters import NOW, view
 from hearthline.sources.bucketed import BUCKETS, write_bucketed
 from hearthline.sources.logstate import LogState
-from hearthline.sources.scratch import new_folder
+from hearthline.sources.scratch import new_folder, written
+from hearthline.streaming import runs
 from hearthline.streaming.checks import apply_batch
 
 #: For the order-based views, names made by rule.
 NATIONS = [f"NATION_{k}" for k in range(20)]
 SCRAPED = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 PRIORITIES = [*SCRAPED, "4-NOT SPECIFIED", "5-LOW"]
+#: When stored snapshots were computed.
+BEFORE = "2001-12-10 00:00:00"
 RUNS_NOW = "2024-01-31 10:00:00"
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,6 +44,17 @@ def weekly_snapshots(s, d):
     return snapshots.weekly_snapshots(view(s, d, "listings_v"), view(s, d, "history_v"), as_of=NOW)
 
 
+@query
+def snapshots_refreshed(s, d):
+    """Snapshots of four weeks ago, when a part of the prices was another, brought up to date: only places with changed
+    listings are counted anew."""
+    listings, history = view(s, d, "listings_v"), view(s, d, "history_v")
+    changed = (C("id") % 50 == 1) & C("neighbourhood").isin(*NATIONS[1:4])
+    before = listings.withColumn("price_kobo", F.when(changed, C("price_kobo") + 1000).otherwise(C("price_kobo")))
+    stored = written(snapshots.weekly_snapshots(before, history, as_of=BEFORE), "snapshots")
+    return snapshots.refresh_snapshots(stored, BEFORE, listings, history, listings.where(changed), as_of=NOW)
+
+
 @query
 def active_snapshot(s, d):
     return upsert.active(view(s, d, "listings_v"))
@@ -215,6 +229,20 @@ def log_state_checks(s, d):
     return store.read(state.schema)
 
 
+@query
+def missed_runs_stream(s, d):
+    """What runs and checks saw, in three files that arrive one after the other."""
+    seen, path = view(s, d, "sight_v").withColumnRenamed("seen_at", "at"), new_folder(s, "sightings")
+    low, high = seen.agg(F.min("at").cast("long"), F.max("at").cast("long")).first()
+    third = F.floor((C("at").cast("long") - (low or 0)) * 3 / F.lit(max(1, (high or 0) - (low or 0) + 1)))
+    for k in range(3):
+        seen.where(third == k).coalesce(1).write.mode("append").parquet(path)
+    store, schema = LogState(s, new_folder(s, "missed-runs"), "listing_id"), s.createDataFrame([], runs.OUT).schema
+    files = s.readStream.schema(seen.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    runs.keep_missed_runs(files, store, new_folder(s, "missed-runs-checkpoint")).awaitTermination()
+    return store.read(schema)
+
+
 @query
 def apply_checks_events(s, d):
     return _checks(s, d).events

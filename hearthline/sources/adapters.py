@@ -90,6 +90,8 @@ SELECT *, {_PAGES} AS html FROM (SELECT *, CASE WHEN k % 11 = 7 THEN concat('htt
     "result_v": f"""
 SELECT source, url, code, {_RESULTS} AS html FROM (SELECT CASE c_custkey % 4 WHEN 0 THEN 'propertypro' WHEN 1 THEN 'privateproperty' WHEN 2 THEN 'nigeriapropertycentre' ELSE 'jiji' END AS source,
  concat('https://results.test/', CAST(c_custkey AS STRING)) AS url, CAST(c_custkey + 100000 AS STRING) AS code FROM {{customer}}) c""",
+    "sight_v": """
+SELECT DISTINCT CAST(user_id AS BIGINT) AS listing_id, CAST(ts AS TIMESTAMP) AS seen_at, CASE WHEN event_id % 6 = 0 THEN 'seen' WHEN event_id % 13 = 0 THEN 'active' WHEN event_id % 11 = 0 THEN 'removed' ELSE 'missed' END AS kind FROM {events}""",
     "gaz_v": """
 SELECT n.n_name AS neighbourhood, r.r_name AS city, CAST(n.n_nationkey AS DOUBLE) + 0.25 AS lat, CAST(n.n_nationkey AS DOUBLE) - 0.5 AS lng
 FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey WHERE n.n_nationkey % 5 <> 4

@@ -46,3 +46,30 @@ def test_percentiles_of_prices_of_all_magnitudes(spark):
         r = got[k]
         assert (r.active_listing_count, r.new_listings_count, r.price_reduced_count) == (n, new, cut), k
         assert r.avg_days_on_market == pytest.approx(days, abs=0.051) and [r.p25, r.median_price_kobo, r.p90] == [x if x is None else pytest.approx(x) for x in p], k
+
+
+@pytest.mark.parametrize("weeks", [0, 1, 6])
+def test_refresh_equals_a_full_rebuild(spark, weeks):
+    rng = random.Random(weeks)
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+
+    def rows(seed):
+        r = random.Random(seed)
+        return {i: [i, r.choice("AB"), f"p{r.randint(0, 5)}", True, r.choice((None, 100, 200, 350)), r.choice(("ACTIVE", "REMOVED")), day(r.randint(0, 80)), day(90 + r.randint(0, 20))] for i in range(120)}
+
+    before, changes = rows(1), [(k, rng.randrange(120), "PRICE_CHANGE", rng.choice((50, 100)), rng.choice((60, 90)), day(rng.randint(0, 100)).date()) for k in range(150)]
+    after = {i: list(r) for i, r in before.items()}
+    touched = [i for i in rng.sample(range(120), 10) if before[i][2] in ("p1", "p2")][:4]
+    for i in touched:
+        after[i][4], after[i][2] = 777, "p3" if i % 2 else after[i][2]
+    more = [(1000 + i, i, "PRICE_CHANGE", 500, 400, day(60).date()) for i in touched]
+    kind = "id long, city string, neighbourhood string, neighbourhood_normalised boolean, price_kobo long, listing_status string, first_seen_at timestamp_ntz, last_seen_at timestamp_ntz"
+    past = "id long, listing_id long, event_type string, old_value long, new_value long, event_date date"
+    a, b = (spark.createDataFrame([tuple(r) for r in x.values()], kind) for x in (before, after))
+    h1, h2 = spark.createDataFrame(changes, past), spark.createDataFrame(changes + more, past)
+    then, now = f"{day(112):%Y-%m-%d} 00:00:00", f"{day(112 + 7 * weeks):%Y-%m-%d} 00:00:00"
+    stored = snapshots.weekly_snapshots(a, h1, as_of=then)
+    moved = [(before[i][2],) for i in touched] + [(after[i][2],) for i in touched]
+    out = snapshots.refresh_snapshots(stored, then, b, h2, spark.createDataFrame(moved, "neighbourhood string"), as_of=now)
+    full = snapshots.weekly_snapshots(b, h2, as_of=now)
+    assert sorted(map(str, out.collect())) == sorted(map(str, full.collect())) and full.count() > 50

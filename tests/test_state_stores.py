@@ -11,6 +11,7 @@ from hearthline.operators import upsert, verify
 from hearthline.sources.bucketed import open_bucketed, write_bucketed
 from hearthline.sources.logstate import LogState
 from hearthline.sources.tables import append_history, exists
+from hearthline.streaming import runs
 from hearthline.streaming.checks import apply_batch, checks_writer, stream_checks
 from tests.test_operators import HISTORY, NOW, OBS, STATE, history, listing, obs
 
@@ -138,3 +139,53 @@ def test_a_part_of_the_history_replaces_all_of_a_failed_attempt(spark, tmp_path)
     append_history(spark.createDataFrame([(7, "REMOVED", None, None, day, None)], kinds), path, "b2")
     assert sorted((r.listing_id, r.event_type, r.batch) for r in spark.read.parquet(path).collect()) == [(1, "PRICE_CHANGE", "b1"), (7, "REMOVED", "b2")]
     assert exists(spark, path) and HISTORY
+
+
+def test_price_drops_as_bitmaps(spark):
+    rng = random.Random(8)
+    ids = [*range(1, 300), *(rng.randrange(-(10**6), 10**6) for _ in range(300)), 0, 32768, 32769, 65536]
+    ids = sorted(set(ids))
+    state = spark.createDataFrame([listing(i, days=60) for i in ids], STATE)
+    drops = rng.sample(ids, 200)
+    past = history(spark, [(i, 9, 5, "2024-01-01") for i in drops] + [(i, 5, 9, "2024-01-01") for i in ids] + [(10**12, 9, 5, "2024-01-01")])
+    out = verify.suspected_sold(state, past, now=NOW)
+    assert {r.id for r in out.where("suspected_sold").collect()} == set(drops) and out.count() == len(ids)
+    plan = verify.suspected_sold(state, past, now=NOW)._jdf.queryExecution().executedPlan().toString()
+    # drops meet as bitmaps; the state is not shuffled
+    assert plan.count("Exchange hashpartitioning") == 1 and "bitmap_construct_agg" in plan and "SortMergeJoin" not in plan
+    assert verify.suspected_sold(state.where("false"), past, now=NOW).count() == 0
+
+
+def test_missed_runs_in_any_order_with_restarts(spark, tmp_path):
+    rng = random.Random(9)
+    start = dt.datetime(2024, 1, 1)
+    data = sorted({(rng.randint(1, 12), start + dt.timedelta(hours=rng.randint(0, 400)), rng.choice(runs.KINDS)) for _ in range(500)}, key=lambda r: (r[1], r[0], r[2]))
+
+    def expected(rows):
+        out = {}
+        for i in {r[0] for r in rows}:
+            count, kind, at = runs.fold(0, None, None, sorted((int((t - start).total_seconds()), k) for j, t, k in rows if j == i))
+            out[i] = (count, kind, start + dt.timedelta(seconds=at))
+        return out
+
+    schema = "listing_id long, at timestamp, kind string"
+    store, struct = LogState(spark, str(tmp_path / "log"), "listing_id"), spark.createDataFrame([], runs.OUT).schema
+
+    def feed(rows):
+        rng.shuffle(rows)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+
+    def run(checkpoint="cp"):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+        runs.keep_missed_runs(stream, store, str(tmp_path / checkpoint), "2 days").awaitTermination()
+        return {r.listing_id: (r.missed_run_count, r.last_result, r.last_at) for r in store.read(struct).collect()}
+
+    # neighbouring files overlap by less than the delay
+    files = [data[:200], data[150:350:2] + data[200:260], data[151:350:2] + data[350:]]
+    for k, f in enumerate(files):
+        feed(list(f))
+        assert run() == expected([r for g in files[: k + 1] for r in set(g)] if k == 0 else sorted({r for g in files[: k + 1] for r in g}))
+    assert run() == expected(data)  # nothing new
+    feed([(1, start, "seen"), (1, data[-1][1], data[-1][2])])  # too late, and one that may be there already
+    assert run()[2] == expected(data)[2]
+    assert run("another") == expected(sorted({*data, (1, start, "seen"), (1, data[-1][1], data[-1][2])}))
