@@ -150,6 +150,9 @@ SELECT r.raw_address, external_id, coalesce(place, left(nullif(r.raw_address, ''
 UNION ALL SELECT NULL, coalesce(sum(new), 0)::BIGINT, coalesce(sum(updated), 0)::BIGINT, coalesce(sum(price_changes), 0)::BIGINT, coalesce(sum(duplicates_dropped), 0)::BIGINT FROM st"""
     out["upsert_state_bucketed"], out["upsert_once_stats"] = out["upsert_state"], out["upsert_stats"]
     every = ", ".join(_q(s) for s in PRIORITIES)
+    done = ", ".join(_q(s) for s in PRIORITIES if s != "2-HIGH")
+    out["upsert_of_successful"] = out["upsert_state"].replace(f"IN ({SOURCES})", f"IN ({done})")
+    out["upsert_events_relisted"] = f"{UPSERT} {_EVENTS}".replace("WHEN kase IN ('N', 'R') THEN 'LISTED'", "WHEN kase = 'N' THEN 'LISTED' WHEN kase = 'R' THEN 'RELISTED'")
     out["upsert_once_state"] = out["upsert_state"].replace(f"IN ({SOURCES})", f"IN ({every})")
     out["history_insert"] = f"{UPSERT}, ev AS ({_EVENTS}) SELECT l.id AS listing_id, event_type, old_value, new_value, event_date, notes FROM ev JOIN listings_v l USING (source, external_id)"
     out["missed_keys"] = f"""{with_views('listings_v', 'obs_v')} SELECT source, external_id, missed_run_count FROM listings_v l WHERE listing_status = 'ACTIVE' AND source IN ({SOURCES})
@@ -196,10 +199,12 @@ l AS (SELECT o.id, f.place AS neighbourhood, o.city FROM open_v o JOIN found f U
     out["backfill_proposals"] = f"{fill} SELECT * FROM prop"
     out["backfill_stats"] = f"""{fill}, c AS (SELECT count(*) AS candidates, count(*) FILTER (raw_address <> '') AS processed FROM open_v), n AS (SELECT count(*) AS normalised, count(*) FILTER (geocoded) AS geocoded FROM prop)
 SELECT candidates, processed, normalised, geocoded, coalesce(round(normalised * 100.0::DOUBLE / nullif(processed, 0), 1), 0.0) AS normalised_pct, coalesce(round(geocoded * 100.0::DOUBLE / nullif(normalised, 0), 1), 0.0) AS geocoded_pct FROM c, n"""
-    out["feed_known_cutoff"] = f"""{with_views('feed_v')}, kn AS (SELECT DISTINCT source, external_id FROM feed_v WHERE in_state), f AS (SELECT f.*, kn.source IS NOT NULL AS known FROM feed_v f LEFT JOIN kn USING (source, external_id)),
-i AS (SELECT *, sum(CASE WHEN known THEN 0 ELSE 1 END) OVER (PARTITION BY source, feed ORDER BY position) AS island FROM f), r AS (SELECT *, sum(CASE WHEN known THEN 1 ELSE 0 END) OVER (PARTITION BY source, feed, island ORDER BY position) AS run FROM i),
-c AS (SELECT *, min(CASE WHEN run >= 10 THEN position END) OVER (PARTITION BY source, feed) AS stop FROM r)
-SELECT source, feed, page, position, external_id FROM c WHERE NOT known AND (stop IS NULL OR position < stop)""".replace("position, external_id FROM c", "CAST(position AS INT) AS position, external_id FROM c")
+    placed = ", ".join(f"CASE WHEN p.id IS NOT NULL THEN p.{c} ELSE v.{c} END AS {c}" for c in ("neighbourhood", "lat", "lng", "geocoded"))
+    out["backfill_state"] = f"{fill} SELECT v.* REPLACE ({placed}, p.id IS NOT NULL OR v.neighbourhood_normalised AS neighbourhood_normalised) FROM listings_v v LEFT JOIN prop p ON p.id = v.id"
+    out["feed_known_cutoff"] = f"""{with_views('feed_v')}, kn AS (SELECT DISTINCT source, external_id FROM feed_v WHERE in_state), f AS (SELECT f.*, kn.source IS NOT NULL AS known, row_number() OVER (PARTITION BY source, feed ORDER BY page, position) AS pos FROM feed_v f LEFT JOIN kn USING (source, external_id) WHERE page <= 5),
+i AS (SELECT *, sum(CASE WHEN known THEN 0 ELSE 1 END) OVER (PARTITION BY source, feed ORDER BY pos) AS island FROM f), r AS (SELECT *, sum(CASE WHEN known THEN 1 ELSE 0 END) OVER (PARTITION BY source, feed, island ORDER BY pos) AS run FROM i),
+c AS (SELECT *, min(CASE WHEN run >= 10 THEN pos END) OVER (PARTITION BY source, feed) AS stop FROM r)
+SELECT source, feed, page, position, external_id FROM c WHERE NOT known AND (stop IS NULL OR pos < stop)""".replace("position, external_id FROM c", "CAST(position AS INT) AS position, external_id FROM c")
     out["feed_failure_cutoff"] = f"""{with_views('feed_v')}, i AS (SELECT *, row_number() OVER w AS pos, sum(CASE WHEN is_item AND NOT failed THEN 1 ELSE 0 END) OVER w AS island FROM feed_v WINDOW w AS (PARTITION BY source ORDER BY feed, page, position, event_id ROWS UNBOUNDED PRECEDING)),
 r AS (SELECT *, sum(CASE WHEN failed THEN 1 ELSE 0 END) OVER (PARTITION BY source, island ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM i), c AS (SELECT *, min(CASE WHEN run >= 12 THEN pos END) OVER (PARTITION BY source) AS stop FROM r)
 SELECT source, feed, CAST(position AS INT) AS position, event_id, CAST(run AS BIGINT) AS run FROM c WHERE stop IS NULL OR pos <= stop"""

@@ -159,6 +159,21 @@ def upsert_once_state(s, d):
     return _upsert_once(s, d).state
 
 
+@query
+def upsert_of_successful(s, d):
+    """The scraped sources are those whose run succeeded, by the run's statistics."""
+    observed = view(s, d, "obs_v")
+    done = observed.groupBy("source").agg(F.count(F.lit(1)).alias("raw_count"), F.when(C("source").isin("2-HIGH"), "FAILED").otherwise("SUCCESS").alias("status"))
+    sources = [r["source"] for r in upsert.successful_sources(done).collect()]  # as many as there are scrapers
+    return upsert.upsert(view(s, d, "listings_v"), observed, now=NOW, scraped_sources=sources).state
+
+
+@query
+def upsert_events_relisted(s, d):
+    """Listings that come back after their removal are active again."""
+    return upsert.upsert(view(s, d, "listings_v"), view(s, d, "obs_v"), now=NOW, scraped_sources=SCRAPED, relist=True).events
+
+
 @query
 def history_insert(s, d):
     return upsert.history_rows(_upsert(s, d).events, view(s, d, "listings_v"))
@@ -325,6 +340,12 @@ def backfill_proposals(s, d):
     return _backfill(s, d).proposals
 
 
+@query
+def backfill_state(s, d):
+    """The listings with the proposals in place."""
+    return B.backfill(view(s, d, "listings_v"), view(s, d, "gaz_v"), NATIONS, dry_run=False).state
+
+
 @query
 def backfill_stats(s, d):
     return _backfill(s, d).stats

@@ -72,8 +72,10 @@ SELECT source, external_id, url, title, price_kobo, price_parse_failed, lat, lng
   UNION ALL
   SELECT o_orderpriority, concat('N', CAST(o_orderkey AS STRING)), 'https://listing.test/n', 'New one', CAST(o_orderkey * 100 AS BIGINT), FALSE, NULL, NULL, FALSE, o_orderkey * 3 + 2 FROM {orders} WHERE o_orderkey % 9 = 2) x""",
     "feed_v": """
-SELECT event_type AS source, CAST(user_id % 3 AS STRING) AS feed, 1 AS page, row_number() OVER (PARTITION BY event_type, user_id % 3 ORDER BY ts, event_id) AS position,
-  CAST(user_id AS STRING) AS external_id, event_id, user_id % 4 <> 0 AS in_state, event_id % 2 = 0 AS is_item, event_id % 7 < 5 AS failed FROM {events}""",
+SELECT source, feed, page, row_number() OVER (PARTITION BY source, feed, page ORDER BY k) AS position, external_id, event_id, in_state, is_item, failed
+FROM (SELECT *, 1 + CAST((8 * (k - 1) - 8 * (k - 1) % n) / n AS INT) AS page
+ FROM (SELECT event_type AS source, CAST(user_id % 3 AS STRING) AS feed, row_number() OVER (PARTITION BY event_type, user_id % 3 ORDER BY ts, event_id) AS k, count(*) OVER (PARTITION BY event_type, user_id % 3) AS n,
+  CAST(user_id AS STRING) AS external_id, event_id, user_id % 4 <> 0 AS in_state, event_id % 2 = 0 AS is_item, event_id % 7 < 5 AS failed FROM {events}) e) p""",
     "fetch_v": """
 SELECT page_id AS listing_id, CASE page_id % 3 WHEN 0 THEN 'alpha' ELSE 'beta' END AS source, CAST(page_id AS STRING) AS external_id, url,
   CASE page_id % 9 WHEN 0 THEN 404 WHEN 1 THEN 503 WHEN 2 THEN NULL ELSE 200 END AS status,
