@@ -1,280 +1,55 @@
-"""Reading fields off one page by rules. A small per-row helper of the extraction job."""
+"""One page as elements and pieces of text: the part of extraction that needs Python. What is read off them are columns
+(``elements.py``)."""
 
 from __future__ import annotations
 
-import functools
-import re
 from html.parser import HTMLParser
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_STEP = re.compile(r"(?P<tag>[a-z][a-z0-9]*)?(?P<rest>(?:[.#][\w-]+|\[[^\]]+\])*)")
+#: An element: its place in the page, its parent's and that of the last element within it, its number among its parent's
+#: children of its tag and the place of the one before (else null), tag, marks (``.class``, ``#id``, ``name``,
+#: ``name=value``), and its pieces of text, from and up to.
+ELEMENT = "pos int, parent int, end int, nth int, before int, tag string, marks array<string>, class string, id string, href string, first int, last int"
 
 
-class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "parts")
-
-    def __init__(self, tag: str, attrs: dict, parent: Node | None):
-        self.tag, self.attrs, self.parent, self.children, self.parts = tag, attrs, parent, [], []
-
-    def walk(self):
-        stack = list(reversed(self.children))
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(reversed(node.children))
-
-    def pieces(self):
-        todo = [iter(self.parts)]
-        while todo:
-            for p in todo[-1]:
-                if isinstance(p, str):
-                    yield p
-                else:
-                    todo.append(iter(p.parts))
-                    break
-            else:
-                todo.pop()
-
-    def text(self, joint: str = "") -> str:
-        return joint.join(x for p in self.pieces() if (x := p.strip()))
-
-    def classes(self) -> list[str]:
-        return (self.attrs.get("class") or "").split()
-
-    def siblings(self) -> list[Node]:
-        return self.parent.children if self.parent else [self]
-
-
-class _Builder(HTMLParser):
-    def __init__(self):
+class _Reader(HTMLParser):
+    def __init__(self, names: frozenset[str]):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("", {}, None)
+        self.names, self.elements, self.pieces, self.open, self.siblings = names, [], [], [], {}
+        self.handle_starttag("", ())
 
     def handle_starttag(self, tag, attrs):
-        node = Node(tag, dict(attrs), self.at)
-        self.at.children.append(node)
-        self.at.parts.append(node)
+        attrs, pos, parent = dict(attrs), len(self.elements), self.open[-1] if self.open else 0
+        before, nth = self.siblings.get((parent, tag), (None, 0))
+        self.siblings[parent, tag] = pos, nth + 1
+        classes, own_id = attrs.get("class") or "", attrs.get("id") or ""
+        marks = [f".{c}" for c in classes.split()] + [f"#{own_id}"]
+        for name in self.names & attrs.keys():
+            marks += [name] if attrs[name] is None else [name, f"{name}={attrs[name]}"]
+        at = len(self.pieces)
+        self.elements.append([pos, parent, pos, nth + 1, before, tag, marks, classes, own_id, attrs.get("href"), at, at])
         if tag not in VOID:
-            self.at = node
+            self.open.append(pos)
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node.parent is not None and node.tag != tag:
-            node = node.parent
-        if node.parent is not None:
-            self.at = node.parent
+        depth = next((k for k in range(len(self.open) - 1, 0, -1) if self.elements[self.open[k]][5] == tag), None)
+        if depth is not None:
+            self.leave(depth)
 
     def handle_data(self, data):
-        if self.at.tag not in ("script", "style"):
-            self.at.parts.append(data)
-
-
-def parse(html: str) -> Node:
-    builder = _Builder()
-    builder.feed(html)
-    builder.close()
-    return builder.root
-
-
-@functools.cache
-def _step(step: str) -> tuple[str | None, tuple[tuple[str, str | None], ...]]:
-    """A step's tag, and its marks as (attribute, value); a class has the attribute ``.``, and no value is any value."""
-    m = _STEP.fullmatch(step)
-    if m is None:
-        raise ValueError(f"not a step: {step}")
-    marks = []
-    for mark in re.findall(r"[.#][\w-]+|\[[^\]]+\]", m["rest"]):
-        if mark[0] in ".#":
-            marks.append(("." if mark[0] == "." else "id", mark[1:]))
-        else:
-            name, eq, value = mark[1:-1].partition("=")
-            marks.append((name, value.strip("'\"") if eq else None))
-    return m["tag"], tuple(marks)
-
-
-def _fits(node: Node, step: str) -> bool:
-    tag, marks = _step(step)
-    if tag and node.tag != tag:
-        return False
-    return all(value in node.classes() if name == "." else name in node.attrs and value in (None, node.attrs[name]) for name, value in marks)
-
-
-def _path_fits(node: Node, steps: list[tuple[str, str]]) -> bool:
-    """steps: (how it hangs on the one before: '' anywhere below, '>' right below, '+' right after; what it is)."""
-    how, what = steps[-1]
-    if not _fits(node, what):
-        return False
-    if len(steps) == 1:
-        return True
-    if how == ">":
-        return node.parent is not None and _path_fits(node.parent, steps[:-1])
-    if how == "+":
-        place = node.siblings().index(node)
-        return place > 0 and _path_fits(node.siblings()[place - 1], steps[:-1])
-    up = node.parent
-    while up is not None:
-        if _path_fits(up, steps[:-1]):
-            return True
-        up = up.parent
-    return False
-
-
-@functools.cache
-def _steps(path: str) -> list[tuple[str, str]]:
-    steps, how = [], ""
-    for word in re.sub(r"(\[[^\]]*\])|([>+])", lambda m: m[1] or f" {m[2]} ", path).split():
-        if word in ">+":
-            how = word
-        else:
-            steps.append((how, word))
-            how = ""
-    return steps
-
-
-def select(root: Node, path: str) -> list[Node]:
-    """Nodes in document order; ``path`` is steps parted by blanks, ``>`` or ``+``."""
-    steps = _steps(path)
-    return [n for n in root.walk() if _path_fits(n, steps)]
-
-
-def _named(root: Node, tags: str):
-    wanted = tags.split()
-    return (n for n in root.walk() if n.tag in wanted)
-
-
-def _digit(text: str) -> bool:
-    return any(c.isdigit() for c in text)
-
-
-def _above(node: Node, levels: int) -> Node:
-    for _ in range(levels):
-        node = node.parent or node
-    return node
-
-
-# Each kind takes the page and the rule's own arguments and gives a text or None.
-def first(root, path, nth=0):
-    found = select(root, path)
-    return found[nth].text() if len(found) > nth else None
-
-
-def nth_of_kind(root, path, nth):
-    """The first match that is its parent's nth child of its tag, from 1."""
-    for n in select(root, path):
-        if [x for x in n.siblings() if x.tag == n.tag].index(n) + 1 == nth:
-            return n.text()
-    return None
-
-
-def attr(root, path, name):
-    found = select(root, path)
-    return found[0].attrs.get(name) if found else None
-
-
-def with_next(root, path):
-    """A node's text and the text right after it."""
-    found = select(root, path)
-    if not found:
-        return None
-    after = found[0].siblings()[found[0].siblings().index(found[0]) + 1 :]
-    return found[0].text() + after[0].text() if after else None
-
-
-def starts_with_digit(root, tags, starts):
-    return next((t for n in _named(root, tags) if (t := n.text()).startswith(tuple(starts)) and _digit(t)), None)
-
-
-def short_keyword_digit(root, tags, words, below=50):
-    return next((t for n in _named(root, tags) if (t := n.text()) and len(t) < below and _digit(t) and any(w in t.lower() for w in words)), None)
-
-
-def label_sibling(root, tag, label, suffix=""):
-    for n in _named(root, tag):
-        if n.text().lower() == label.lower():
-            own = [x for x in n.siblings() if x.tag == tag]
-            before = own[: own.index(n)]
-            inside = [x for x in n.parent.walk() if x.tag == tag] if n.parent else []
-            if before:
-                return before[-1].text() + suffix
-            if len(inside) == 2:
-                return inside[0].text() + suffix
-    return None
-
-
-def first_with(root, path, words):
-    """The first match, if it holds one of the words."""
-    found = select(root, path)
-    return found[0].text() if found and any(w in found[0].text().lower() for w in words) else None
-
-
-def contains_any(root, tags, words, below=None, not_in=(), parent=None):
-    """The first text with one of the words that is not a part of the title, which is the first of ``not_in`` with text."""
-    title = next((t for path in not_in if (t := first(root, path))), "")
-    for n in _named(root, tags):
-        t = n.text()
-        if t and (below is None or len(t) < below) and any(w in t.lower() for w in words) and t not in title and parent in (None, n.parent and n.parent.tag):
-            return t
-    return None
-
-
-def marked_box(root, tag, hints, holds, words):
-    """The first ``holds[-1]`` of a box whose classes have all hints and in which all of ``holds`` stand."""
-    for box in _named(root, tag):
-        inside = [next((x for x in box.walk() if x.tag == h), None) for h in holds]
-        if all(h in (box.attrs.get("class") or "") for h in hints) and all(inside) and any(w in inside[-1].text().lower() for w in words):
-            return inside[-1].text()
-    return None
-
-
-def class_hint_long(root, tag, hints, above=100):
-    return next((n.text("\n") for n in _named(root, tag) if any(h in (n.attrs.get("class") or "").lower() for h in hints) and len(n.text()) > above), None)
-
-
-def section_after_heading(root, tag, heading, path):
-    for n in _named(root, tag):
-        if heading in n.text().lower() and n.parent:
-            section = n.parent if n.parent.tag == "section" else _above(n, 2)
-            if body := select(section, path):
-                return body[0].text("\n")
-    return None
-
-
-def container_hint_short(root, tags, hints, not_words, below=60, levels=3):
-    for n in _named(root, tags):
-        t = n.text()
-        if not t or len(t) >= below or any(w in t.lower() for w in not_words):
-            continue
-        boxes = [_above(n, k) for k in range(1, levels + 1)]
-        if any(h in f"{b.attrs.get('class') or ''}{b.attrs.get('id') or ''}".lower() for b in boxes if b.tag in ("div", "aside", "section") for h in hints):
-            return t
-    return None
-
-
-def link_after_heading(root, tag, heading, marks, levels=3):
-    for n in _named(root, tag):
-        if heading in n.text().lower():
-            for link in _named(_above(n, levels), "a"):
-                if any(m in (link.attrs.get("href") or "") for m in marks):
-                    return link.text()
-    return None
-
-
-def canonical(root):
-    return attr(root, "link[rel=canonical]", "href")
-
-
-KINDS = {f.__name__: f for f in (first, nth_of_kind, attr, with_next, starts_with_digit, short_keyword_digit, label_sibling, first_with, contains_any, marked_box, class_hint_long, section_after_heading, container_hint_short, link_after_heading, canonical)}
-
-
-def read_field(root: Node, rules) -> str | None:
-    """The first rule's text that is not empty; a rule is (kind, arguments...)."""
-    return next((t for kind, *args in rules if (t := KINDS[kind](root, *args))), None)
-
-
-def links(root: Node, rules) -> list[list[str]]:
-    """Links of result pages in order, by kind of card: per card the first, or all."""
-    out = []
-    for path, all_of in rules:
-        cards = [[a.attrs["href"] for a in ([card] if card.tag == "a" else card.walk()) if a.tag == "a" and a.attrs.get("href")] for card in select(root, path)]
-        out.append([h for hrefs in cards for h in (hrefs if all_of else hrefs[:1])])
-    return out
+        if self.elements[self.open[-1]][5] not in ("script", "style") and (piece := data.strip()):
+            self.pieces.append(piece)
+
+    def leave(self, depth):
+        for pos in self.open[depth:]:
+            self.elements[pos][2], self.elements[pos][11] = len(self.elements) - 1, len(self.pieces)
+        del self.open[depth:]
+
+
+def read_page(html: str | None, names: frozenset[str]) -> tuple[list[list], list[str]]:
+    """(elements in document order, the page itself first; pieces of text). Of the attributes, class, id, href and ``names`` are kept."""
+    reader = _Reader(names)
+    reader.feed(html or "")
+    reader.close()
+    reader.leave(0)
+    return reader.elements, reader.pieces

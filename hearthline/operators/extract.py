@@ -1,44 +1,73 @@
-"""Pages to raw listings and links: one Arrow job reads the fields by rules, the rest is column functions."""
+"""Pages to raw listings and links: Python takes a page apart into elements and texts, all rules are column functions."""
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import itertools
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hearthline.functions import pages as P
+from hearthline.functions import elements as X
 from hearthline.functions.listing import price_kobo
+from hearthline.functions.pages import ELEMENT, read_page
 from hearthline.functions.web import absolute_url, external_id, split_currency, url_price_type
 from hearthline.operators.verify import REMOVED, with_reason
 from hearthline.sources import rules as R
 from hearthline.vocab import REMOVAL_PHRASES
 
+#: Characters of pages whose elements are sent back at a time.
+PAGE_CHARS = 4_000_000
+_ARROW = {"int": pa.int32(), "string": pa.string(), "array<string>": pa.list_(pa.string())}
 READ = ("url", "title", "currency", "price", "whole_price", "raw_bedrooms", "raw_bathrooms", "raw_address", "raw_floor_area", "description", "property_type_raw", "agent_name")
+PRICED = ("url", "currency", "price", "whole_price")
 RAW = (
     "external_id", "source", "url", "title", "raw_price", "raw_price_type", "raw_bedrooms", "raw_bathrooms", "raw_address", "raw_floor_area", "description", "property_type_raw", "agent_name",
 )
 
 
+def page_elements(pages: DataFrame, names: frozenset[str]) -> DataFrame:
+    """The pages with their elements and pieces of text in place of ``html``, and the error of those that cannot be read.
+    A task holds the elements of about PAGE_CHARS characters of pages at a time."""
+    kept = [c for c in pages.columns if c != "html"]
+    schema = T.StructType([*pages.select(*kept).schema.fields, *T._parse_datatype_string(f"elements array<struct<{ELEMENT}>>, pieces array<string>, read_error string").fields])
+
+    def run(batches):
+        kind = pa.struct([pa.field(n, _ARROW[t]) for n, t in (part.split(" ", 1) for part in ELEMENT.split(", "))])
+        for batch in batches:
+            html = batch.column(batch.schema.get_field_index("html"))
+            at = 0
+            while at < len(html):
+                elements, pieces, errors, chars, start = [], [], [], 0, at
+                while at < len(html) and (chars < PAGE_CHARS or at == start):
+                    page = html[at].as_py() or ""
+                    try:
+                        read, texts, error = *read_page(page, names), None
+                    except Exception as fault:  # kept with the row
+                        read, texts, error = [], [], f"{type(fault).__name__}: {fault}"[:500]
+                    elements.append(read), pieces.append(texts), errors.append(error)
+                    chars, at = chars + len(page), at + 1
+                rows = list(zip(*itertools.chain.from_iterable(elements), strict=True)) or [()] * len(kind)
+                structs = pa.StructArray.from_arrays([pa.array(column, f.type) for column, f in zip(rows, kind, strict=True)], fields=list(kind))
+                ends = pa.array([0, *itertools.accumulate(map(len, elements))], pa.int32())
+                columns = [batch.column(batch.schema.get_field_index(c)).slice(start, at - start) for c in kept]
+                yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(ends, structs), pa.array(pieces, pa.list_(pa.string())), pa.array(errors, pa.string())], names=schema.names)
+
+    return pages.mapInArrow(run, schema)
+
+
+def _by_source(rules: dict, expression, kind: str) -> Column:
+    cases = "".join(f" WHEN source = {X.quoted(source)} THEN {expression(own)}" for source, own in rules.items())
+    return F.expr(f"CASE{cases} END" if cases else f"CAST(NULL AS {kind})")
+
+
 def read_pages(pages: DataFrame, fields=R.FIELDS, keys: tuple[str, ...] = ()) -> DataFrame:
-    """(source, page_url, each field read, error, keys): a page that cannot be read keeps its error."""
-
-    def run(frames):
-        for frame in frames:
-            rows = []
-            for source, url, html, *_ in frame.itertuples(index=False):
-                row = dict.fromkeys(READ) | {"source": source, "page_url": url, "error": None}
-                try:
-                    root = P.parse(html or "")
-                    row |= {name: P.read_field(root, own) for name, own in fields.get(source, {}).items()}
-                except Exception as fault:  # kept with the row
-                    row["error"] = f"{type(fault).__name__}: {fault}"[:500]
-                rows.append(row)
-            out = pd.DataFrame(rows, columns=["source", "page_url", *READ, "error"], dtype=object)
-            yield out.assign(**{k: frame[k].to_numpy() for k in keys})
-
-    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in pages.select(*keys).schema]
-    schema = ", ".join(["source string, page_url string", *(f"{c} string" for c in READ), "error string", *kinds])
-    return pages.select("source", "url", "html", *keys).mapInPandas(run, schema)
+    """(source, page_url, each field read, error, keys): a page that cannot be read keeps its error. The fields are rows
+    of a generator, so that filters on them do not work them out once more."""
+    read = page_elements(pages.select("source", F.col("url").alias("page_url"), "html", *keys), X.attribute_names(fields) | {"rel"})
+    columns = [_by_source({s: own[name] for s, own in fields.items() if name in own}, X.field, "STRING").alias(name) for name in READ]
+    return read.select("source", "page_url", F.inline(F.array(F.struct(*columns))), F.col("read_error").alias("error"), *keys)
 
 
 def judged_pages(pages: DataFrame, fields=R.FIELDS, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -67,14 +96,8 @@ def harvest_links(pages: DataFrame, cards=R.CARDS) -> DataFrame:
     """(source, page_url, position, url, external_id): each page's listing links, once each, in order. Where all links of
     a card count, only those with an id do; the first kind of card that gives a link is taken."""
 
-    def run(frames):
-        for frame in frames:
-            found = []
-            for source, html in zip(frame["source"], frame["html"], strict=True):
-                found.append(P.links(P.parse(html or ""), cards.get(source, ())))
-            yield pd.DataFrame({"source": frame["source"], "page_url": frame["url"], "hrefs": found})
-
-    read = pages.select("source", "url", "html").mapInPandas(run, "source string, page_url string, hrefs array<array<string>>")
+    read = page_elements(pages.select("source", F.col("url").alias("page_url"), "html"), X.attribute_names(cards))
+    read = read.select("source", "page_url", _by_source(cards, X.links, "ARRAY<ARRAY<STRING>>").alias("hrefs"))
     only_ids = F.col("source").isin(*[s for s, c in cards.items() if c[0][1]])
     listed = F.transform("hrefs", lambda kind: F.filter(kind, lambda h: ~only_ids | external_id(F.col("source"), h).isNotNull()))
     taken = F.try_element_at(F.filter(listed, lambda kind: F.size(kind) > 0), F.lit(1))
@@ -89,6 +112,7 @@ def checked_pages(fetches: DataFrame, fields=R.FIELDS, phrases=REMOVAL_PHRASES)
     html = F.when(F.col("reason") == "live", F.col("body")).alias("html")
     # renamed, for the page has an id and an error of its own
     pages = told.select("source", "url", html, "listing_id", F.col("external_id").alias("fetch_id"), F.col("reason").alias("fetch_reason"), F.col("error").alias("fetch_error"))
-    read = judged_pages(pages, fields, ("listing_id", "fetch_id", "fetch_reason", "fetch_error"))
+    priced = {source: {name: own[name] for name in PRICED if name in own} for source, own in fields.items()}
+    read = judged_pages(pages, priced, ("listing_id", "fetch_id", "fetch_reason", "fetch_error"))
     price = F.when((F.col("fetch_reason") == "live") & F.col("reason").isNull(), price_kobo(F.col("raw_price"))["kobo"])
     return read.select("listing_id", "source", F.col("fetch_id").alias("external_id"), F.col("fetch_reason").isin(*REMOVED).alias("is_removed"), price.alias("observed_price"), F.col("fetch_reason").alias("reason"), F.col("fetch_error").alias("error"))
