@@ -397,7 +397,7 @@ def external_ids(s, d):
 
 def _listing_pages(s, d):
     """Detail pages in the four sources' own layouts, made of the given orders."""
-    return view(s, d, "site_v").select("source", "url", "html")
+    return view(s, d, "site_v", "o_orderkey").select("source", "url", "html")
 
 
 @query
@@ -412,13 +412,13 @@ def site_quarantine(s, d):
 
 @query
 def site_links(s, d):
-    return extract.harvest_links(view(s, d, "result_v").select("source", "url", "html"))
+    return extract.harvest_links(view(s, d, "result_v", "c_custkey").select("source", "url", "html"))
 
 
 @query
 def site_checks(s, d):
     """Fetched detail pages of all sources classified, with the price that each live page states."""
-    p = view(s, d, "site_v")
+    p = view(s, d, "site_v", "o_orderkey")
     fetched = p.select(
         C("k").alias("listing_id"), "source", C("code").alias("external_id"), "url", F.when(C("k") % 9 == 0, 404).otherwise(200).alias("status"), C("url").alias("final_url"), C("html").alias("body"),
         F.when(C("k") % 23 == 0, "timeout").alias("error"),

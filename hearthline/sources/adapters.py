@@ -105,9 +105,14 @@ SELECT event_type AS source, date_trunc('hour', ts) AS run_at, CASE WHEN sum(eve
 }
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """spread_by: a column of the view's one table, by which its rows are dealt out before pages are made of them, as a
+    row group of narrow rows is a single task otherwise, however long its pages take to read."""
     text = VIEWS[name]
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text})
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
+    if spread_by:
+        tables = {t: df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), spread_by) for t, df in tables.items()}
+    return spark.sql(text, **tables)
 
 
 def with_views(*names: str) -> str:
