@@ -7,16 +7,20 @@ from pyspark.sql import functions as F
 
 from hearthline.functions.time import moment
 from hearthline.params import DEFAULT
+from hearthline.sources.scratch import written
 
 PERCENTILES = (0.25, 0.5, 0.75, 0.9)
 #: Prices that double fall into so many bins.
 BINS_PER_OCTAVE = 32
+#: Listings and price changes that one task sorts and joins.
+ROWS_PER_TASK = 500_000
 
 
-def snapshot_base(listings: DataFrame) -> DataFrame:
+def snapshot_base(listings: DataFrame, since: Column | None = None) -> DataFrame:
     """Listings with a resolved place and a city, and the columns that snapshots need."""
     rows = listings.where("neighbourhood_normalised and city is not null and neighbourhood is not null")
-    return rows.select(F.col("id").alias("listing_id"), "city", "neighbourhood", "price_kobo", "listing_status", "first_seen_at", "last_seen_at")
+    own = [] if since is None else [since.alias("since")]
+    return rows.select(F.col("id").alias("listing_id"), "city", "neighbourhood", "price_kobo", "listing_status", "first_seen_at", "last_seen_at", *own)
 
 
 def price_changes(history: DataFrame) -> DataFrame:
@@ -45,17 +49,24 @@ def price_periods(weeks: DataFrame) -> DataFrame:
     return weeks.select("listing_id", spans.alias("spans")).select("listing_id", F.explode("spans").alias("_s")).select("listing_id", "_s.*")
 
 
-def price_segments(base: DataFrame, changes: DataFrame, *, as_of, since=None) -> DataFrame:
+def by_listing(base: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both dealt out by listing into as many parts as their rows ask for. Parts that are put together by their bytes hold
+    more rows the more alike these are, and no more parts than the session sets hold more rows the larger the tables are."""
+    parts = max(base.sparkSession.sparkContext.defaultParallelism, -(-(base.count() + changes.count()) // ROWS_PER_TASK))
+    return base.repartition(parts, "listing_id"), changes.repartition(parts, "listing_id")
+
+
+def price_segments(base: DataFrame, changes: DataFrame, *, as_of) -> DataFrame:
     """One row per listing and span of completed weeks (Mondays ``lo`` to ``hi``) in which it was on the market at one
     price, with ``cut_week`` where one was cut. Before each change that tells an old value that value held, after the
-    last one the present price. ``since``, a Monday, leaves out earlier weeks."""
+    last one the present price. A column ``since``, a Monday or null, leaves out earlier weeks."""
     last = F.date_sub(monday(moment(as_of)), 7)
     end = F.when(F.col("listing_status") == "ACTIVE", last).otherwise(F.least(last, monday(F.col("last_seen_at"))))
     d = base.withColumn("_from", monday(F.col("first_seen_at"))).withColumn("_to", end).where("_from <= _to")
     d = d.join(price_periods(price_weeks(changes)), "listing_id", "left")
     d = d.withColumn("lo", F.greatest("_from", "start")).withColumn("hi", F.least("_to", "end"))
-    if since is not None:
-        d = d.withColumn("lo", F.greatest("lo", since))
+    if "since" in base.columns:
+        d = d.withColumn("lo", F.greatest("lo", "since")).drop("since")
     d = d.where("lo <= hi")
     price = F.when(F.col("end").isNull(), F.col("price_kobo")).otherwise(F.col("told"))
     return d.withColumn("price", price).withColumn("cut_week", F.when(F.col("cut"), F.col("start"))).drop("_from", "_to", "start", "end", "told", "cut")
@@ -108,23 +119,26 @@ def week_prices(spans: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def weekly_snapshots(listings: DataFrame, history: DataFrame, *, as_of, computed_at=None, min_listings: int = DEFAULT.week_min_listings, id_includes_city: bool = False, since=None) -> DataFrame:
-    """One row per place and completed week (from the Monday ``since`` on, if given) with at least ``min_listings`` active listings.
+    """One row per place and completed week (from the Monday ``since`` on, a column of the listings, if given and not null) with at least ``min_listings`` active listings.
 
     Changes are summed up per listing and week, so a listing has no more spans than weeks however many changes it has,
     and spans are counted at their ends, not once a week. Percentiles are exact and take two passes: counts per price
     bin tell in which bins the wanted ranks lie, and only the prices of these are ranked. The id leaves the city out by
-    default; of one name in several cities the first city stands.
+    default; of one name in several cities the first city stands. Spans and counts, which several passes read, are written once.
     """
-    spans = price_segments(snapshot_base(listings), price_changes(history), as_of=as_of, since=since)
+    base = written(snapshot_base(listings, since), "snapshot-base")
+    spans = price_segments(*by_listing(base, price_changes(history)), as_of=as_of)
     first, seen = F.col("first_seen_at").cast("date"), F.when(F.col("listing_status") == "REMOVED", F.col("last_seen_at")).cast("date")
     # bins rise with the price; those below 1 share one
     octave = F.floor(F.log2(F.greatest("price", F.lit(1))) * BINS_PER_OCTAVE).cast("int")
     spans = spans.select("city", "neighbourhood", "price", F.when(F.col("price") < 1, -1).otherwise(F.when(F.col("price").isNotNull(), octave)).alias("bin"), "cut_week", first.alias("first"), seen.alias("gone"), "lo", "hi")
+    spans = written(spans, "snapshot-spans")
     group = Window.partitionBy("city", "neighbourhood", "week")
     before = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     priced = F.when(F.col("bin").isNotNull(), F.col("n")).otherwise(0)
     rows = _week_rows(spans).withColumn("priced", priced)
     rows = rows.withColumn("below", F.coalesce(F.sum("priced").over(before), F.lit(0))).withColumn("prices", F.sum("priced").over(group)).withColumn("active", F.sum("n").over(group))
+    rows = written(rows, "snapshot-counts")
     hit = F.lit(False)
     for rank in _ranks(F.col("prices")):
         hit = hit | ((F.col("below") < rank) & (rank <= F.col("below") + F.col("priced")))

@@ -73,3 +73,16 @@ def test_refresh_equals_a_full_rebuild(spark, weeks):
     out = snapshots.refresh_snapshots(stored, then, b, h2, spark.createDataFrame(moved, "neighbourhood string"), as_of=now)
     full = snapshots.weekly_snapshots(b, h2, as_of=now)
     assert sorted(map(str, out.collect())) == sorted(map(str, full.collect())) and full.count() > 50
+
+
+def test_parts_that_meet_grow_with_the_rows(spark, monkeypatch):
+    """However many parts the session sets, a task joins no more listings and changes than it may."""
+    start, seen, whole = dt.datetime(2023, 1, 2), [], snapshots.price_segments
+    monkeypatch.setattr(snapshots, "ROWS_PER_TASK", 100, raising=False)
+    monkeypatch.setattr(snapshots, "price_segments", lambda *a, **k: seen.append(whole(*a, **k)) or seen[0])
+    listings = [(i, "A", f"p{i % 2}", start, start, "ACTIVE", 100 + i) for i in range(600)]
+    changes = [(i, i, "PRICE_CHANGE", 50, 40, (start + dt.timedelta(days=20)).date()) for i in range(600)]
+    df = spark.createDataFrame([(*r, True) for r in listings], "id long, city string, neighbourhood string, first_seen_at timestamp_ntz, last_seen_at timestamp_ntz, listing_status string, price_kobo long, neighbourhood_normalised boolean")
+    got = {(r.neighbourhood, r.snapshot_week.day): (r.active_listing_count, r.median_price_kobo) for r in snapshots.weekly_snapshots(df, spark.createDataFrame(changes, HISTORY), as_of="2023-02-02 00:00:00").collect()}
+    assert got == {("p0", 2): (300, 50), ("p0", 9): (300, 50), ("p0", 16): (300, 399), ("p0", 23): (300, 399), ("p1", 2): (300, 50), ("p1", 9): (300, 50), ("p1", 16): (300, 400), ("p1", 23): (300, 400)}
+    assert seen[0].rdd.getNumPartitions() >= 12
