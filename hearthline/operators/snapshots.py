@@ -162,12 +162,8 @@ def refresh_snapshots(stored: DataFrame, stored_as_of, listings: DataFrame, hist
     changed: (neighbourhood) of each listing that has changed since then, or whose history has, before and after. Those
     places are counted anew; all others get the weeks completed since, for which earlier weeks are not read."""
     names = changed.select("neighbourhood").where("neighbourhood is not null").distinct()
-    anew, rest = listings.join(names, "neighbourhood", "left_semi"), listings.join(names, "neighbourhood", "left_anti")
-    since = monday(moment(stored_as_of))
-    ids = anew.select(F.col("id").alias("listing_id"))
-    parts = [
-        weekly_snapshots(anew, history.join(ids, "listing_id", "left_semi"), as_of=as_of, **options),
-        weekly_snapshots(rest, history, as_of=as_of, since=since, **options),
-    ]
-    kept = stored.join(names, "neighbourhood", "left_anti").where(F.col("snapshot_week") < since).withColumn("computed_at", moment(options.get("computed_at") or as_of))
-    return kept.select(*parts[0].columns).unionByName(parts[0]).unionByName(parts[1])
+    monday_then = monday(moment(stored_as_of))
+    marked = listings.join(names.withColumn("_anew", F.lit(True)), "neighbourhood", "left")
+    fresh = weekly_snapshots(marked, history, as_of=as_of, since=F.when(F.col("_anew").isNull(), monday_then), **options)
+    kept = stored.join(names, "neighbourhood", "left_anti").where(F.col("snapshot_week") < monday_then).withColumn("computed_at", moment(options.get("computed_at") or as_of))
+    return kept.select(*fresh.columns).unionByName(fresh)
