@@ -70,7 +70,7 @@ def _above(e: str, levels: int) -> str:
 
 
 def _text(e: str, joint: str = "") -> str:
-    return f"array_join(slice(pieces, {e}.first + 1, {e}.last - {e}.first), {quoted(joint)})"
+    return f"CASE {e}.last - {e}.first WHEN 1 THEN get(pieces, {e}.first) WHEN 0 THEN '' ELSE array_join(slice(pieces, {e}.first + 1, {e}.last - {e}.first), {quoted(joint)}) END"
 
 
 def _text_at(pos: str, joint: str = "") -> str:
@@ -113,8 +113,9 @@ def select(path: str) -> str:
         if how == "+":
             found = f"array_compact({_each(found, lambda p: _let(_element(p), lambda e: _after(e, lambda n: f'CASE WHEN {_fits(n, *what)} THEN {n}.pos END')))})"
         else:
-            hangs = lambda e, p: f"{e}.parent = {p} AND " if how == ">" else ""
-            below = lambda p: _let(_element(p), lambda a: _each(_where(_inside(a), lambda e: hangs(e, p) + _fits(e, *what)), lambda e: f"{e}.pos"))
+            right_below = lambda p: _where("elements", lambda e: f"{e}.parent = {p} AND {e}.pos > {p} AND {_fits(e, *what)}")
+            anywhere = lambda p: _let(_element(p), lambda a: _where(_inside(a), lambda e: _fits(e, *what)))
+            below = lambda p, found_in=right_below if how == ">" else anywhere: _each(found_in(p), lambda e: f"{e}.pos")
             found = f"array_sort(array_distinct(flatten({_each(found, below)})))"
     return found
 

@@ -1,8 +1,12 @@
 """Pages as elements and pieces of text, and the rules that read them."""
 
+import contextlib
+import io
+
 import pytest
 
 from hearthline.functions import elements as X
+from hearthline.functions import pages as pages_of
 from hearthline.functions.pages import read_page
 from hearthline.operators import extract
 
@@ -60,3 +64,30 @@ def test_a_page_that_cannot_be_read_keeps_its_error(spark):
     pages = spark.createDataFrame([("privateproperty", url, b"<strong>$ 5</strong>"), ("privateproperty", url, None)], "source string, url string, html binary")
     good, quarantine = extract.extract_listings(pages)
     assert good.count() == 0 and sorted(r.reason.split(":")[0] for r in quarantine.collect()) == ["TypeError", "no price"]
+
+
+def test_plain_pages_are_read_without_the_parser_and_alike(monkeypatch):
+    """Of plain tags and text, the parser is not asked; what it would have given is the same, and other pages go to it."""
+    names, asked = frozenset(["rel", "data-kind"]), []
+    plain = ["", "x", "<p>a<p CLASS='a  b' id=i>", '<div class="a &amp; b"><br/><img src="u"/>&lt;b &amp; c</div> > </p></div>', "<i data-kind rel='x y'>1</i><i rel=\"\">2</i><I>3</i><div/><u>4</b></u>"]
+    other = ["a < b", "<p><!-- c -->d", "<title>&lt;</title>", "<a href='x>y'>z</a>", "<script>1<2</script>", "<p a=b>c", "<a href='x>", "</p x>y"]
+    init = pages_of._Reader.__init__
+
+    def parsed(page):
+        reader = pages_of._Reader(names)
+        reader.feed(page), reader.close(), reader.leave(0)
+        return [[*e[:6], set(e[6]), *e[7:]] for e in reader.elements], reader.pieces
+
+    want = {page: parsed(page) for page in plain + other}
+    monkeypatch.setattr(pages_of._Reader, "__init__", lambda self, n: asked.append(1) or init(self, n))
+    for page in [*plain, *other, *plain]:
+        elements, pieces = read_page(page, names)
+        assert ([[*e[:6], set(e[6]), *e[7:]] for e in elements], pieces) == want[page], page
+    assert len(asked) == len(other) + 2  # an id without quotes is not plain, each time
+
+
+def test_quarantine_reads_what_decides_alone(spark):
+    page = spark.createDataFrame([("jiji", "https://jiji.ng/a", "<h1>t</h1>")], HTML)
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        extract.extract_listings(page)[1].explain()
+    assert "b-seller-block__name" not in plan.getvalue() and extract.extract_listings(page)[1].first().reason == "no external id"
