@@ -70,6 +70,11 @@ def read_pages(pages: DataFrame, fields=R.FIELDS, keys: tuple[str, ...] = ()) ->
     return read.select("source", "page_url", F.inline(F.array(F.struct(*columns))), F.col("read_error").alias("error"), *keys)
 
 
+def priced(fields: dict) -> dict:
+    """Of each source's rules, those for url, price and currency."""
+    return {source: {name: own[name] for name in PRICED if name in own} for source, own in fields.items()}
+
+
 def judged_pages(pages: DataFrame, fields=R.FIELDS, keys: tuple[str, ...] = ()) -> DataFrame:
     """Raw listings, their page_url and keys, and the reason why a page is none (else null). Pages without an id, or without the price (and currency) that their
     source needs, are no listings."""
@@ -87,9 +92,8 @@ def judged_pages(pages: DataFrame, fields=R.FIELDS, keys: tuple[str, ...] = ())
 
 
 def extract_listings(pages: DataFrame, fields=R.FIELDS) -> tuple[DataFrame, DataFrame]:
-    """(raw listings, quarantine with the reason)."""
-    out = judged_pages(pages, fields)
-    return out.where("reason is null").select(*RAW), out.where("reason is not null").select("source", F.col("page_url").alias("url"), "reason")
+    """(raw listings, quarantine with the reason, for which only what decides is read)."""
+    return judged_pages(pages, fields).where("reason is null").select(*RAW), judged_pages(pages, priced(fields)).where("reason is not null").select("source", F.col("page_url").alias("url"), "reason")
 
 
 def harvest_links(pages: DataFrame, cards=R.CARDS) -> DataFrame:
@@ -112,7 +116,6 @@ def checked_pages(fetches: DataFrame, fields=R.FIELDS, phrases=REMOVAL_PHRASES)
     html = F.when(F.col("reason") == "live", F.col("body")).alias("html")
     # renamed, for the page has an id and an error of its own
     pages = told.select("source", "url", html, "listing_id", F.col("external_id").alias("fetch_id"), F.col("reason").alias("fetch_reason"), F.col("error").alias("fetch_error"))
-    priced = {source: {name: own[name] for name in PRICED if name in own} for source, own in fields.items()}
-    read = judged_pages(pages, priced, ("listing_id", "fetch_id", "fetch_reason", "fetch_error"))
+    read = judged_pages(pages, priced(fields), ("listing_id", "fetch_id", "fetch_reason", "fetch_error"))
     price = F.when((F.col("fetch_reason") == "live") & F.col("reason").isNull(), price_kobo(F.col("raw_price"))["kobo"])
     return read.select("listing_id", "source", F.col("fetch_id").alias("external_id"), F.col("fetch_reason").isin(*REMOVED).alias("is_removed"), price.alias("observed_price"), F.col("fetch_reason").alias("reason"), F.col("fetch_error").alias("error"))
