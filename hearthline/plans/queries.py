@@ -246,15 +246,16 @@ def log_state_checks(s, d):
 
 @query
 def missed_runs_stream(s, d):
-    """What runs and checks saw, in three files that arrive one after the other."""
-    seen, path = view(s, d, "sight_v").withColumnRenamed("seen_at", "at"), new_folder(s, "sightings")
+    """What runs and checks saw, in three lots that arrive one after the other, each of as many files as tasks write it. The
+    stream goes on from its checkpoint with each."""
+    seen, path = written(view(s, d, "sight_v").withColumnRenamed("seen_at", "at"), "seen"), new_folder(s, "sightings")
     low, high = seen.agg(F.min("at").cast("long"), F.max("at").cast("long")).first()
     third = F.floor((C("at").cast("long") - (low or 0)) * 3 / F.lit(max(1, (high or 0) - (low or 0) + 1)))
-    for k in range(3):
-        seen.where(third == k).coalesce(1).write.mode("append").parquet(path)
     store, schema = LogState(s, new_folder(s, "missed-runs"), "listing_id"), s.createDataFrame([], runs.OUT).schema
-    files = s.readStream.schema(seen.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    runs.keep_missed_runs(files, store, new_folder(s, "missed-runs-checkpoint")).awaitTermination()
+    checkpoint = new_folder(s, "missed-runs-checkpoint")
+    for k in range(3):
+        seen.where(third == k).write.mode("append").parquet(path)
+        runs.keep_missed_runs(s.readStream.schema(seen.schema).parquet(path), store, checkpoint).awaitTermination()
     return store.read(schema)
 
 
